@@ -1,4 +1,4 @@
-"""Exact, memoised batch encoding with a ``tokenizers`` byte-level BPE file.
+"""Exact, memoised encoding with a ``tokenizers`` byte-level BPE file.
 
 A byte-level BPE pre-tokenizer always cuts between a non-space character and a single space that precedes
 another non-space character. Texts are cut at those places only, each distinct part is split by the same
@@ -14,11 +14,47 @@ from array import array
 
 _TWO_SPACES = re.compile(r"\s\s")
 _SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
-MEMO_ENTRIES = 700_000
+MEMO_ENTRIES = 1_500_000
 
 _ENCODERS: dict[str, TokenEncoder] = {}
 
 
+class _Pieces(dict):
+    """Pre-token -> ids, asked of the library once."""
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.encode = tokenizer.encode
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) > MEMO_ENTRIES:
+            self.clear()
+        self[piece] = ids = array("I", self.encode(piece, add_special_tokens=False).ids).tobytes()
+        return ids
+
+
+class _Words(dict):
+    """Word (the part behind a cut's space) -> ids of the space and the word."""
+
+    def __init__(self, pieces: _Pieces, findall):
+        super().__init__()
+        self.pieces, self.findall = pieces, findall
+
+    def encode(self, piece: str) -> bytes:
+        return array("I", self.pieces.encode(piece, add_special_tokens=False).ids).tobytes()
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) > MEMO_ENTRIES:
+            self.clear()
+        core = word.rstrip(".,!?;:")
+        if core and max(core) < "\u0250" and core.isalpha():  # letters are one pre-token, the marks behind them another
+            ids = self.encode(" " + core) if len(core) == len(word) else self[core] + self.pieces[word[len(core) :]]
+        else:
+            ids = b"".join([self.pieces[p] for p in self.findall(" " + word)])
+        self[word] = ids
+        return ids
+
+
 class TokenEncoder:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -28,52 +64,21 @@ class TokenEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.pattern = regex.compile(public_tokenizers.PATTERN)
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-
-    def _learn(self, words: list[str]) -> None:
-        if len(self.words) > MEMO_ENTRIES:
-            self.words.clear()
-        if len(self.pieces) > MEMO_ENTRIES:
-            self.pieces.clear()
-        split = {w: self.pattern.findall(" " + w) for w in dict.fromkeys(words)}
-        self._encode_pieces(p for parts in split.values() for p in parts)
-        for w, parts in split.items():
-            self.words[w] = b"".join([self.pieces[p] for p in parts])
-
-    def _encode_pieces(self, parts) -> None:
-        new = list(dict.fromkeys(p for p in parts if p not in self.pieces))
-        for i in range(0, len(new), 4096):
-            batch = new[i : i + 4096]
-            for p, e in zip(batch, self.tokenizer.encode_batch_fast(batch, add_special_tokens=False), strict=True):
-                self.pieces[p] = array("I", e.ids).tobytes()
+        self.findall = regex.compile(public_tokenizers.PATTERN).findall
+        self.pieces = _Pieces(self.tokenizer)
+        self.words = _Words(self.pieces, self.findall)
+
+    def encode(self, text: str) -> bytes:
+        """Ids of a text as little-endian unsigned 32-bit integers."""
+        if _TWO_SPACES.search(text):
+            head, *rest = _SAFE_CUT.split(text)
+            rest = [r[1:] for r in rest]
+        else:
+            head, *rest = text.split(" ")
+        return b"".join([*map(self.pieces.__getitem__, self.findall(head)), *map(self.words.__getitem__, rest)])
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        out = []
-        for at in range(0, len(texts), 256):
-            cut = []
-            for x in texts[at : at + 256]:
-                if _TWO_SPACES.search(x):
-                    head, *rest = _SAFE_CUT.split(x)
-                    rest = [r[1:] for r in rest]
-                else:
-                    head, *rest = x.split(" ")
-                cut.append((head, rest))
-            words = self.words
-            missing = [w for _, rest in cut for w in rest if w not in words]
-            if missing:
-                self._learn(missing)
-            for head, rest in cut:
-                first = self.pattern.findall(head)
-                self._encode_pieces(first)
-                try:
-                    out.append(b"".join([*map(self.pieces.__getitem__, first), *map(words.__getitem__, rest)]))
-                except KeyError:  # the memo was emptied for this batch's new words
-                    self._learn([w for w in rest if w not in words])
-                    out.append(b"".join([*map(self.pieces.__getitem__, first), *(words[w] for w in rest)]))
-        return out
+        return [self.encode(t) for t in texts]
 
 
 def encoder(path: str) -> TokenEncoder:
