@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans import scoring
+from tidemark.plans import dependents, panel, scoring  # noqa: F401
 from tidemark.plans.base import ORACLES, QUERIES
 
 
