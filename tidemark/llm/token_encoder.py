@@ -38,13 +38,18 @@ class _Words(dict):
 
     def __init__(self, pieces: _Pieces, findall):
         super().__init__()
-        self.pieces, self.findall = pieces, findall
+        self.pieces, self.findall, self.old = pieces, findall, {}
 
     def encode(self, piece: str) -> bytes:
         return array("I", self.pieces.encode(piece, add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) > MEMO_ENTRIES:
+        ids = self.old.get(word)
+        if ids is not None:  # still in use: it joins the new generation
+            self[word] = ids
+            return ids
+        if len(self) > MEMO_ENTRIES // 2:
+            self.old = dict(self)
             self.clear()
         core = word.rstrip(".,!?;:")
         if core and max(core) < "\u0250" and core.isalpha():  # letters are one pre-token, the marks behind them another
