@@ -67,22 +67,20 @@ def features(text: str, lex: Lexicon) -> list[float]:
     n, chars = max(1, len(words)), max(1, len(text))
     kinds = set(words)
     found = kinds & lex.words.keys()
-    heads = {k: v for k, v in lex.heads.items() if k in {w[:s] for w in kinds for s in HEADS}} if lex.heads else {}
-    hits = second = near = head_hits = 0
+    heads = lex.heads.keys() & {w[:s] for w in kinds for s in HEADS} if lex.heads else set()
+    headed = {w for w in kinds if w[:4] in heads or w[:5] in heads} if heads else set()
     best = max([lex.words[w] for w in found], default=0.0)
-    if found or heads or kinds & SECOND:
+    hits = second = near = head_hits = 0
+    marked = found | headed | (kinds & SECOND)
+    if marked:
         last_you = last_hit = -(10**9)
-        for i, w in enumerate(words):
-            you = w in SECOND
-            hit = w in found
-            if heads and (w[:4] in heads or w[:5] in heads):
-                head_hits += 1
-                hit = True
-            if you:
+        for i, w in [(i, w) for i, w in enumerate(words) if w in marked]:
+            if w in SECOND:
                 second += 1
                 near += i - last_hit <= NEAR
                 last_you = i
-            if hit:
+            if w in headed or w in found:
+                head_hits += w in headed
                 hits += w in found
                 near += i - last_you <= NEAR
                 last_hit = i
@@ -94,7 +92,7 @@ def features(text: str, lex: Lexicon) -> list[float]:
     symbols = int(((code >= 33) & (code <= 47)).sum() + ((code >= 58) & (code <= 64)).sum() + ((code >= 91) & (code <= 96)).sum())
     return [
         np.log1p(len(words)), hits, hits / n, len(found), best, sum(lex.words[w] for w in found) / n,
-        head_hits, head_hits / n, len(heads), max(heads.values(), default=0.0),
+        head_hits, head_hits / n, len(heads), max([lex.heads[h] for h in heads], default=0.0),
         second / n, near, near / n, upper / chars, bang / n, ask / n, symbols / chars,
         len(masked) / n, unmasked, len(_RUN.findall(low)) / n, len(kinds) / n, chars / n,
     ]
