@@ -99,35 +99,50 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, least: float = 0.3) -> float:
-    """Least ratio of unlabelled to positive shares above a score, over thresholds that keep ``least`` of positives."""
+    """Least ratio of unlabelled to positive shares above a score, over thresholds that keep ``least`` of the positives.
+
+    Both shares are taken at one standard error towards a larger ratio, so that few rows don't pull the minimum down.
+    """
     cuts = np.quantile(positive, np.linspace(0, 1 - least, 60))
-    ratio = [(unlabelled >= c).mean() / max((positive >= c).mean(), 1e-9) for c in cuts]
-    return float(np.clip(min(ratio), 0.05, 0.98))
+    u = np.array([(unlabelled >= c).mean() for c in cuts])
+    p = np.array([(positive >= c).mean() for c in cuts])
+    u = u + np.sqrt(u * (1 - u) / len(unlabelled))
+    p = np.maximum(p - np.sqrt(p * (1 - p) / len(positive)), 1e-9)
+    return float(np.clip((u / p).min(), 0.05, 0.98))
+
 
+def _membership(positive: np.ndarray, unlabelled: np.ndarray, steps: int, batch: int, r: np.random.Generator) -> Network:
+    """Scorer of positives against unlabelled rows (logistic loss)."""
+    net = Network(positive.shape[1], hidden=8)
+    for _ in range(steps):
+        x = np.concatenate([positive[r.integers(0, len(positive), batch)], unlabelled[r.integers(0, len(unlabelled), batch)]])
+        net.step(x, (_sigmoid(net.raw(x)) - np.repeat([1.0, 0.0], batch)) / len(x), 0.01, 1e-3)
+    return net
 
-def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, steps: int = 800, batch: int = 512, seed: int = 11):
-    """(network, prior): the prior by a first scorer, then the non-negative risk under that prior."""
+
+def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, batch: int = 512, seed: int = 11):
+    """(network, prior): the prior from scorers applied to rows they were not fitted on, then the non-negative risk under it."""
     r = np.random.default_rng(seed)
-    first = Network(positive.shape[1])
-    for _ in range(steps // 2):  # logistic regression of membership: positives against unlabelled
-        p, u = positive[r.integers(0, len(positive), batch)], unlabelled[r.integers(0, len(unlabelled), batch)]
-        x = np.concatenate([p, u])
-        y = np.repeat([1.0, 0.0], batch)
-        first.step(x, (_sigmoid(first.raw(x)) - y) / len(x), 0.01)
-    prior = estimate_prior(first.raw(positive), first.raw(unlabelled))
+    steps = min(800, 100 + len(positive) // 4)
+    p_half, u_half = r.permutation(len(positive)) % 2 == 0, r.permutation(len(unlabelled)) % 2 == 0
+    guesses = []
+    for side in (True, False):
+        a, b, c, d = positive[p_half == side], unlabelled[u_half == side], positive[p_half != side], unlabelled[u_half != side]
+        if min(map(len, (a, b, c, d))):
+            first = _membership(a, b, steps // 2, batch, r)
+            guesses.append(estimate_prior(first.raw(c), first.raw(d)))
+    prior = float(np.mean(guesses)) if guesses else 0.5
     net = Network(positive.shape[1], seed=seed)
     for _ in range(steps):
         p, u = positive[r.integers(0, len(positive), batch)], unlabelled[r.integers(0, len(unlabelled), batch)]
-        zp, zu = net.raw(p), net.raw(u)
-        sp, su = _sigmoid(zp), _sigmoid(zu)
+        sp, su = _sigmoid(net.raw(p)), _sigmoid(net.raw(u))
         # sigmoid loss: l(z, +1) = s(-z), l(z, -1) = s(z)
-        negative = su.mean() - prior * sp.mean()
         dp, du = sp * (1 - sp), su * (1 - su)
-        if negative >= 0:
-            dz = np.concatenate([prior * (-dp) / batch - prior * dp / batch, du / batch])
+        if su.mean() - prior * sp.mean() >= 0:
+            dz = np.concatenate([-2 * prior * dp, du]) / batch
         else:
-            dz = np.concatenate([prior * dp / batch, -du / batch])
-        net.step(np.concatenate([p, u]), dz, 0.01)
+            dz = np.concatenate([prior * dp, -du]) / batch
+        net.step(np.concatenate([p, u]), dz, 0.01, 1e-3)
     return net, prior
 
 
