@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MARK = "▁"
 #: fixed values: piece types and model types of the SentencePiece model format
@@ -208,7 +209,7 @@ def codec(path: str) -> Codec:
 
 
 def encode_documents(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
-    """Every row with ``ids`` (array of integers) and ``parity``."""
+    """Every row with ``ids`` (array of integers) and ``parity``; columns that had these names are replaced."""
 
     def run(frames):
         import numpy as np
@@ -217,8 +218,9 @@ def encode_documents(docs: DataFrame, path: str, text_col: str = "text") -> Data
             got = codec(path).encode_batch(pdf["_text"].tolist())
             yield pdf.drop(columns="_text").assign(ids=[np.frombuffer(i, "<u4").astype("int32") for i, _ in got], parity=[p for _, p in got])
 
-    schema = docs.schema.add("ids", "array<int>").add("parity", "boolean")
-    return docs.withColumn("_text", F.coalesce(text_col, F.lit(""))).mapInPandas(run, schema)
+    kept = docs.select(*[c for c in docs.columns if c not in ("ids", "parity", "_text")], F.coalesce(text_col, F.lit("")).alias("_text"))
+    fields = [f for f in kept.schema.fields if f.name != "_text"]
+    return kept.mapInPandas(run, T.StructType([*fields, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("parity", T.BooleanType())]))
 
 
 def decode_documents(rows: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
@@ -228,7 +230,8 @@ def decode_documents(rows: DataFrame, path: str, ids_col: str = "ids") -> DataFr
         for pdf in frames:
             yield pdf.assign(decoded=[codec(path).decode(i) for i in pdf[ids_col]])
 
-    return rows.mapInPandas(run, rows.schema.add("decoded", "string"))
+    kept = rows.select(*[c for c in rows.columns if c != "decoded"])
+    return kept.mapInPandas(run, T.StructType([*kept.schema.fields, T.StructField("decoded", T.StringType())]))
 
 
 def codec_report(docs: DataFrame, path: str) -> DataFrame:
