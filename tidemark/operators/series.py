@@ -72,8 +72,8 @@ def recency_swing(df: DataFrame, recent: int = 13, prior: int = 39) -> DataFrame
     value = F.col("rs") / F.when(flat, tiny * F.when(F.col("ps") < 0, -1).otherwise(1)).otherwise(F.col("ps"))
     label = (
         F.when(flat & (F.col("rs") > tiny), "accelerating from a flat base").when(flat & (F.col("rs") < -tiny), "recent slope negative on a flat base").when(flat, "flat")
-        .when(F.col("v") > 1.15, "accelerating").when(F.col("v") < 0, "recent slope sign differs from prior window")
-        .when(F.col("v") < 0.85, "recent slope below prior window").otherwise("steady")
+        .when(F.round("v", 9) > 1.15, "accelerating").when(F.round("v", 9) < 0, "recent slope sign differs from prior window")
+        .when(F.round("v", 9) < 0.85, "recent slope below prior window").otherwise("steady")
     )
     short = F.when(F.col("n") < recent + 1, "too short for a recent window").when(F.col("prior_window") < 2, "too short for a prior window")
     got = got.withColumn("v", value).withColumn("reason", short)

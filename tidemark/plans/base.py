@@ -6,6 +6,8 @@ SQL common table expression of the same name.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +35,15 @@ def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def scratch(s: SparkSession, name: str) -> str:
+    """A new path in the shared checkpoint folder; a local temporary one only where that setting is unset."""
+    base = s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        base = tempfile.mkdtemp(prefix="tidemark-")
+        s.conf.set("spark.checkpoint.dir", base)
+    return f"{base}/tidemark/{name}-{uuid.uuid4().hex}"
+
+
 def month_pos(c: str):
     return ((F.year(c) - 1995) * 12 + F.month(c) - 1).cast("long")
 

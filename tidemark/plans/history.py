@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.stats import r
 from tidemark.operators import asof, events, states
-from tidemark.plans.base import ACTIVITY, MONTHS, SCORES, YEARLY, query, scores, scores_sql, t
+from tidemark.plans.base import ACTIVITY, MONTHS, SCORES, YEARLY, query, scores, scores_sql, scratch, t
 
 CUT = "2024-01-20T00:00:00Z"
 OBS = "obs AS (SELECT event_id, user_id AS entity_id, ts AS captured_at, strftime(ts, '%G-w%V') AS period, value, event_type FROM events)"
@@ -127,6 +127,13 @@ def cl_19(s, d):
     return states.rising_floor(rows, m).select("entity_id", "rising_z")
 
 
+def stored(x, name):
+    """Snapshots are stored tables; comparing two reads each several times."""
+    path = scratch(x.sparkSession, name)
+    x.select("entity_id", *events.STATE).write.parquet(path)
+    return x.sparkSession.read.parquet(path)
+
+
 def snaps(s, d):
     return state(s, d, 70, 2000, 3), state(s, d)
 
@@ -150,18 +157,18 @@ def jn_05(s, d):
 
 @query("cl_09_diff_events", BOTH + ", " + EVENTS + " SELECT * FROM ev")
 def cl_09(s, d):
-    return events.diff_events(*snaps(s, d))
+    return events.diff_events(*(stored(x, f"snapshot-{k}") for k, x in enumerate(snaps(s, d))))
 
 
 @query("cl_10_cohort_minutes")
 def cl_10(s, d):
-    a, b = snaps(s, d)
+    a, b = (stored(x, f"snapshot-{k}") for k, x in enumerate(snaps(s, d)))
     return events.minutes(a, b, events.diff_events(a, b))
 
 
 @query("tk_05_priority_cap", BOTH + ", " + EVENTS + " SELECT cohort, event_kind, entity_id FROM (SELECT *, row_number() OVER (PARTITION BY cohort ORDER BY event_kind, entity_id, detail) AS rn FROM ev) WHERE rn <= 5")
 def tk_05(s, d):
-    e = events.diff_events(*snaps(s, d))
+    e = events.diff_events(*(stored(x, f"snapshot-{k}") for k, x in enumerate(snaps(s, d))))
     w = Window.partitionBy("cohort").orderBy("event_kind", "entity_id", "detail")
     return e.withColumn("rn", F.row_number().over(w)).where("rn <= 5").select("cohort", "event_kind", "entity_id")
 
@@ -181,12 +188,12 @@ def so_07(s, d):
 
 @query("sf_15_event_ids", BOTH + ", " + EVENTS + """ SELECT entity_id, event_kind, substr(sha256('{"day":"2001-11-30","event_kind":"' || event_kind || '","entity_id":"' || entity_id || '","detail":"' || coalesce(detail, '') || '"}'), 1, 16) AS id FROM ev""")
 def sf_15(s, d):
-    return events.event_id(events.diff_events(*snaps(s, d)), "2001-11-30").select("entity_id", "event_kind", "id")
+    return events.event_id(events.diff_events(*(stored(x, f"snapshot-{k}") for k, x in enumerate(snaps(s, d)))), "2001-11-30").select("entity_id", "event_kind", "id")
 
 
 @query("sk_06_feed_items")
 def sk_06(s, d):
-    return events.feed_items(events.diff_events(*snaps(s, d)), "2001-11-30").select("id", "type", "event_kind", "title", "date_published", F.concat_ws(",", "entity_ids").alias("entity_ids"))
+    return events.feed_items(events.diff_events(*(stored(x, f"snapshot-{k}") for k, x in enumerate(snaps(s, d)))), "2001-11-30").select("id", "type", "event_kind", "title", "date_published", F.concat_ws(",", "entity_ids").alias("entity_ids"))
 
 
 @query("tk_06_top_k_per_group", SCORES + " SELECT cohort, entity_id, momentum FROM (SELECT *, row_number() OVER (PARTITION BY cohort ORDER BY momentum DESC NULLS LAST, entity_id) AS rn FROM scores) WHERE rn <= 3")

@@ -11,7 +11,7 @@ from tidemark.operators import identity as idn
 from tidemark.operators import privacy as pv
 from tidemark.operators import quality as ql
 from tidemark.operators.asof import latest
-from tidemark.plans.base import SCORES, query, registry, scores, t
+from tidemark.plans.base import SCORES, query, registry, scores, scratch, t
 from tidemark.plans.history import CUT, OBS, observations
 from tidemark.sources import readers, writers
 from tidemark.streaming import observations as st
@@ -319,7 +319,7 @@ def pf_15(s, d):
     return pv.window_terms(surf, ["erwh", "the"], ["idiot", "scum"]).select("doc", "name", F.lower("term").alias("term"))
 
 
-@query("pf_15_page_terms", "SELECT doc, term, count(*) AS n FROM (SELECT doc_id AS doc, unnest(regexp_extract_all(lower(text), '[^a-z0-9_äöüßéèêçñáíóú](idiot|scum)', 1)) AS term FROM documents) GROUP BY 1, 2")
+@query("pf_15_page_terms", "SELECT doc, term, count(*) AS n FROM (SELECT doc_id AS doc, unnest(regexp_extract_all(' ' || lower(text), '[^a-z0-9_äöüßéèêçñáíóú](idiot|scum)', 1)) AS term FROM documents) GROUP BY 1, 2")
 def pf_15b(s, d):
     surf = t(s, d, "documents").select(F.col("doc_id").alias("doc"), F.concat(F.lit(" "), F.lower("text")).alias("surface"))
     return surf.select("doc", F.explode(F.regexp_extract_all("surface", F.lit("[^a-z0-9_äöüßéèêçñáíóú](idiot|scum)"), 1)).alias("term")).groupBy("doc", "term").agg(F.count("*").alias("n"))
@@ -349,17 +349,6 @@ def pf_18(s, d):
 # ---- sources and sinks: the table is written in the form that the operator reads or writes, and read back ----
 
 
-def scratch(s, name):
-    import tempfile
-    import uuid
-
-    base = s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        base = tempfile.mkdtemp(prefix="tidemark-")
-        s.conf.set("spark.checkpoint.dir", base)
-    return f"{base}/tidemark/{name}-{uuid.uuid4().hex}"
-
-
 @query("sc_01_snapshot_documents", "SELECT strftime(ts, '%Y-%m-%d') AS snapshot_date, count(*) AS entities FROM events GROUP BY 1")
 def sc_01(s, d):
     path = scratch(s, "snapshots")

@@ -53,8 +53,8 @@ def st_11(s, d):
   coalesce(regr_slope(ln(1 + value), pos) FILTER (WHERE k > 13), 0) AS ps FROM k WHERE k <= 52 GROUP BY 1),
  v AS (SELECT *, rs / CASE WHEN abs(ps) < 1e-6 THEN 1e-6 * CASE WHEN ps < 0 THEN -1 ELSE 1 END ELSE ps END AS v FROM g)
  SELECT entity_id, CASE WHEN abs(ps) < 1e-6 THEN NULL ELSE round(v, 3) + 0.0 END AS swing, prior_window, CASE WHEN abs(ps) < 1e-6 AND rs > 1e-6 THEN 'accelerating from a flat base'
-  WHEN abs(ps) < 1e-6 AND rs < -1e-6 THEN 'recent slope negative on a flat base' WHEN abs(ps) < 1e-6 THEN 'flat' WHEN v > 1.15 THEN 'accelerating'
-  WHEN v < 0 THEN 'recent slope sign differs from prior window' WHEN v < 0.85 THEN 'recent slope below prior window' ELSE 'steady' END AS label FROM v""")
+  WHEN abs(ps) < 1e-6 AND rs < -1e-6 THEN 'recent slope negative on a flat base' WHEN abs(ps) < 1e-6 THEN 'flat' WHEN round(v, 9) > 1.15 THEN 'accelerating'
+  WHEN round(v, 9) < 0 THEN 'recent slope sign differs from prior window' WHEN round(v, 9) < 0.85 THEN 'recent slope below prior window' ELSE 'steady' END AS label FROM v""")
 def st_12(s, d):
     got = se.recency_swing(activity(s, d))
     flat = F.col("label").contains("flat")
