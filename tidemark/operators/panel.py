@@ -152,9 +152,8 @@ def at_cutoffs(panel: DataFrame, cutoffs: DataFrame) -> DataFrame:
     return panel.join(F.broadcast(cutoffs), panel["snap"] <= cutoffs["cutoff"])
 
 
-def flip_and_churn(v: DataFrame, order: list[str] | None = None, least: int = 5) -> DataFrame:
+def flip_and_churn(v: DataFrame, least: int = 5) -> DataFrame:
     """Between consecutive cutoffs: changed votes and changed membership over the union of the eligible; under ``least`` UNEVALUABLE."""
-    del order
     cuts = v.select("cutoff").distinct()
     step = cuts.withColumn("prev", F.lag("cutoff").over(Window.orderBy("cutoff"))).where("prev IS NOT NULL")
     now = v.join(F.broadcast(step), "cutoff").select("prev", "cutoff", "entity", F.col("rising").alias("now"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.stats import r, residualize, robust_z
 from tidemark.operators import cohort as co
 from tidemark.operators import series as se
-from tidemark.plans.base import ACTIVITY, CURRENT_YEAR, METHOD, MONTHS, SCORES, YEARLY, activity, query, scores, t, yearly
+from tidemark.plans.base import ACTIVITY, CURRENT_YEAR, METHOD, MONTHS, SCORES, activity, query, scores, t, yearly
 
 
 @query("st_01_log_slope", f"WITH {ACTIVITY} SELECT entity_id, round(coalesce(regr_slope(ln(1 + value), pos), 0), 6) + 0.0 AS slope FROM activity GROUP BY 1")
