@@ -66,9 +66,12 @@ class TokenEncoder:
         import public_tokenizers
         import regex
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # parts are pre-tokens already, so the file's model needs its byte alphabet only; without added tokens the
+        # strings of special tokens in a text are ordinary text
+        self.tokenizer = Tokenizer(Tokenizer.from_file(path).model)
+        self.tokenizer.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
         self.findall = regex.compile(public_tokenizers.PATTERN).findall
         self.pieces = _Pieces(self.tokenizer)
         self.words = _Words(self.pieces, self.findall)
