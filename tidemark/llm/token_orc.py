@@ -13,17 +13,38 @@ from __future__ import annotations
 
 import zlib
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+MAX_FILES = 20_000  # beyond it files grow instead
 FILE_SCHEMA = "doc_id long, part int, part_start long, n_tokens long, ids array<int>"
 
 
-def encode_sorted(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
+def id_bounds(ids: DataFrame, rows_per_range: int) -> list[int]:
+    """Ascending bounds of doc_id ranges of about ``rows_per_range`` rows, from a scan of the ids alone (texts are not read)."""
+    ranges = min(max(1, -(-ids.count() // rows_per_range)), MAX_FILES)
+    return sorted({int(b) for b in ids.approxQuantile("doc_id", [i / ranges for i in range(1, ranges)], 0.25 / ranges)}) if ranges > 1 else []
+
+
+def range_of(bounds: list[int]):
+    """Column function: how many bounds are not above an id (0 for null)."""
+
+    @F.pandas_udf("int")
+    def number(v: pd.Series) -> pd.Series:
+        out = np.zeros(len(v), np.int32)
+        known = v.notna().to_numpy()
+        out[known] = np.searchsorted(np.array(bounds, np.int64), v[known].astype("int64").to_numpy(), side="right")
+        return pd.Series(out)
+
+    return number
+
+
+def encode_sorted(docs: DataFrame, tokenizer_path: str, end_id: int, rows_per_file: int = 8000) -> DataFrame:
     """Documents in ascending doc_id order over range partitions, with their ids (end id appended)."""
 
     def run(batches):
-        import numpy as np
         import pyarrow as pa
         from pyspark import TaskContext
 
@@ -44,9 +65,10 @@ def encode_sorted(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFram
                 )
                 start += int(ends[-1])
 
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    bounds = id_bounds(rows.select("doc_id"), rows_per_file)
     return (
-        docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-        .repartitionByRange("doc_id")
+        rows.repartitionById(len(bounds) + 1, range_of(bounds)("doc_id"))
         .sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
         .mapInArrow(run, FILE_SCHEMA)
     )
@@ -78,7 +100,6 @@ def positions(rows: DataFrame) -> DataFrame:
     offsets = totals.select("part", F.coalesce(F.sum("part_tokens").over(before), F.lit(0)).alias("part_offset"))
 
     def run(batches):
-        import numpy as np
         import pyarrow as pa
 
         for batch in batches:
