@@ -66,7 +66,7 @@ def parse(source: str) -> tuple[list[Node], list[tuple[int, str]]]:
             continue
         tag = m.group(2).lower()
         if m.group(1):
-            if tag in stack_tags(nodes, stack):
+            if is_open(nodes, stack, tag):
                 while len(stack) > 1:
                     top = stack.pop()
                     if nodes[top].tag not in INLINE:
@@ -84,7 +84,7 @@ def parse(source: str) -> tuple[list[Node], list[tuple[int, str]]]:
                 raw = tag
             flow.append((stack[-1], " "))
             continue
-        if tag in ("html", "body") and tag in stack_tags(nodes, stack):
+        if tag in ("html", "body") and is_open(nodes, stack, tag):
             nodes[0].attrs += " " + m.group(3)
             continue
         if tag in CLOSES_P:
@@ -112,8 +112,8 @@ def parse(source: str) -> tuple[list[Node], list[tuple[int, str]]]:
     return nodes, flow
 
 
-def stack_tags(nodes: list[Node], stack: list[int]) -> set[str]:
-    return {nodes[i].tag for i in stack}
+def is_open(nodes: list[Node], stack: list[int], tag: str) -> bool:
+    return any(nodes[i].tag == tag for i in reversed(stack))
 
 
 def _close(nodes: list[Node], stack: list[int], tags, barrier) -> None:
