@@ -167,8 +167,8 @@ def _deal(dealt: DataFrame, heads: DataFrame, buckets: int) -> DataFrame:
 
 def edited_likeness(docs: DataFrame, bucket_rows: int = 2000) -> DataFrame:
     """Fingerprints of every text and of its edited text, with both likenesses (see the module text)."""
-    dealt, _ = with_next(docs, bucket_rows)
-    laid = dealt.repartition("bucket").sortWithinPartitions("bucket", "guest", F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), "text")
+    dealt, buckets = with_next(docs, bucket_rows)
+    laid = dealt.repartitionById(buckets, F.col("bucket").cast("int")).sortWithinPartitions("bucket", "guest", F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), "text")
 
     def run(frames):
         import pandas as pd
