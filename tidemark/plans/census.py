@@ -265,7 +265,13 @@ def jn_16(s, d):
     return ce.first_linked_package(p, packs, ["PROMO", "ECONOMY", "STANDARD"])
 
 
-@query("jn_17_title_candidates")
+TOKENS = "list_filter(regexp_split_to_array({}, '[^a-z0-9]+'), lambda x: length(x) > 2)"
+
+
+@query("jn_17_title_candidates", f"""WITH e AS (SELECT n_nationkey AS entity_id, lower(n_name) AS name, {TOKENS.format('lower(n_name)')} AS toks, list_filter(regexp_split_to_array(lower(n_name), '[/ -]+'), lambda x: length(x) > 2) AS repo FROM nation),
+ w AS (SELECT c_custkey AS work_id, lower(n_name || ': ' || c_mktsegment) AS title FROM customer JOIN nation ON c_nationkey = n_nationkey),
+ j AS (SELECT entity_id, work_id, round(CASE WHEN contains(title, name || ':') THEN 0.4 WHEN contains(title, name) THEN 0.2 ELSE 0 END + least(0.3, 0.1 * len(list_filter(repo, lambda x: contains(title, x)))), 6)::DOUBLE AS score
+ FROM e JOIN w ON len(list_intersect(toks, {TOKENS.format('title')})) > 0) SELECT * FROM j WHERE score > 0""")
 def jn_17(s, d):
     n = t(s, d, "nation").select(F.col("n_nationkey").alias("entity_id"), F.col("n_name").alias("name"), F.lower("n_name").alias("repo"))
     w = t(s, d, "customer").join(t(s, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("c_custkey").alias("work_id"), F.concat_ws(": ", "n_name", "c_mktsegment").alias("title"), F.lit(2020).alias("year"), F.col("c_nationkey").alias("cited"))

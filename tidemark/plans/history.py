@@ -115,7 +115,8 @@ def cl_07(s, d):
     return state(s, d).select("entity_id", "coverage1", "coverage2", "history", "gate", "signal")
 
 
-@query("cl_08_phrases")
+@query("cl_08_phrases", SCORES + ", " + st_sql("", 6) + """ SELECT entity_id, gate, CASE gate WHEN 'awaiting_observations' THEN observations || ' of 4 weekly observations recorded.' WHEN 'awaiting_axis_coverage' THEN ((coverage1 = 'measurable')::INT + (coverage2 = 'measurable')::INT) || ' of 2 axes measurable.'
+ WHEN 'reference_measurement' THEN 'Measured as a reference; not evaluated.' WHEN 'awaiting_cohort_floor' THEN 'Cohort has ' || cohort_n || ' members.' ELSE 'Evaluated every week.' END AS phrase FROM state""")
 def cl_08(s, d):
     return states.phrase(state(s, d))
 

@@ -556,7 +556,7 @@ def ss_06b(s, d):
     return st.provisional(days).select(F.date_format("day", "yyyy-MM-dd").alias("day"), "state")
 
 
-@query("ss_07_silent_sessions")
+@query("ss_07_silent_sessions", "SELECT entity_id, count(*) FILTER (WHERE p IS NULL OR ts >= p + INTERVAL 2 DAY) AS runs, count(*) AS rows FROM (SELECT user_id AS entity_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS p FROM events) GROUP BY 1")
 def ss_07(s, d):
     x = t(s, d, "events").select(F.col("user_id").alias("entity_id"), F.col("ts").alias("captured_at"))
     return st.silent_sessions(x, ["entity_id"], "2 days").groupBy("entity_id").agg(F.count("*").alias("runs"), F.sum("rows").alias("rows"))

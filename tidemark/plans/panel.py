@@ -120,7 +120,19 @@ def wn_07(s, d):
     return cut_votes(s, d).select("cutoff", "entity", "points", "latest")
 
 
-@query("so_02_flip_and_churn")
+CUTZED = f"""cp AS (SELECT c.cutoff, p.* FROM panel p JOIN (SELECT unnest({CUTS}::DATE[]) AS cutoff) c ON snap <= c.cutoff),
+ pts AS (SELECT cutoff, entity, (row_number() OVER (PARTITION BY cutoff, entity ORDER BY snap) - 1)::DOUBLE AS i, ln(1 + value) AS y, value, snap FROM cp),
+ ends AS (SELECT cutoff, entity, substr(entity, 7, 1) AS cohort, arg_max(value, snap) AS latest, coalesce(regr_slope(y, i), 0) AS slope FROM pts GROUP BY 1, 2, 3 HAVING count(*) >= 14 AND arg_max(value, snap) >= 5),
+ fit AS (SELECT cutoff, cohort, count(*) AS m, covar_pop(ln(1 + latest), slope) AS c, var_pop(ln(1 + latest)) AS vv, avg(ln(1 + latest)) AS ml FROM ends GROUP BY 1, 2),
+ res AS (SELECT e.*, m, CASE WHEN m < 2 THEN slope ELSE slope - c / CASE WHEN vv = 0 THEN 1e-9 ELSE vv END * (ln(1 + latest) - ml) END AS v FROM ends e JOIN fit USING (cutoff, cohort)),
+ md AS (SELECT cutoff, cohort, -quantile_disc(-v, 0.5) AS md FROM res GROUP BY 1, 2), sd AS (SELECT cutoff, cohort, -quantile_disc(-abs(v - md), 0.5) * 1.4826 AS sd FROM res JOIN md USING (cutoff, cohort) GROUP BY 1, 2),
+ vt AS (SELECT cutoff, entity, slope > 0 AND CASE WHEN m < 2 OR sd = 0 THEN 0 ELSE (v - md) / sd END >= 1.0 AS rising FROM res JOIN md USING (cutoff, cohort) JOIN sd USING (cutoff, cohort)),
+ steps AS (SELECT cutoff, lag(cutoff) OVER (ORDER BY cutoff) AS prev FROM (SELECT DISTINCT cutoff FROM vt)),
+ bo AS (SELECT coalesce(n.prev, b.prev) AS prev, coalesce(n.cutoff, b.cutoff) AS cutoff, n.rising AS now, b.rising AS was FROM (SELECT s.prev, s.cutoff, entity, rising FROM vt JOIN steps s ON s.cutoff = vt.cutoff WHERE s.prev IS NOT NULL) n
+ FULL OUTER JOIN (SELECT s.prev, s.cutoff, entity, rising FROM vt JOIN steps s ON s.prev = vt.cutoff) b ON n.prev = b.prev AND n.cutoff = b.cutoff AND n.entity = b.entity)"""
+
+
+@query("so_02_flip_and_churn", f"WITH {PANEL}, {CUTZED} SELECT prev, cutoff, count(*) AS n, round(avg((coalesce(now, false) <> coalesce(was, false))::INT), 6) AS flip, round(avg((now IS NULL OR was IS NULL)::INT), 6) AS churn, CASE WHEN count(*) < 5 THEN 'UNEVALUABLE' ELSE 'EVALUATED' END AS state FROM bo GROUP BY 1, 2")
 def so_02(s, d):
     return pn.flip_and_churn(cut_votes(s, d)).select("prev", "cutoff", "n", r("flip").alias("flip"), r("churn").alias("churn"), "state")
 
