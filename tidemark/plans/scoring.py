@@ -70,7 +70,22 @@ def st_13(s, d):
     return se.slope_to_noise(activity(s, d)).where("reason IS NULL").select("entity_id", r("ratio").alias("ratio"), r("low").alias("low"))
 
 
-@query("st_14_changepoint")
+def _side(x: str) -> str:
+    return f"""CASE WHEN xx{x} - x{x} * x{x} / n{x} = 0 THEN 0 ELSE (xy{x} - x{x} * y{x} / n{x}) / (xx{x} - x{x} * x{x} / n{x}) END AS b{x}, xx{x} - x{x} * x{x} / n{x} AS sxx{x}, xy{x} - x{x} * y{x} / n{x} AS sxy{x}"""
+
+
+def _se(x: str) -> str:
+    return f"sqrt(greatest(0, yy{x} - y{x} * y{x} / n{x} - b{x} * sxy{x}) / greatest(1, n{x} - 2)) / sqrt(CASE WHEN sxx{x} = 0 THEN 1 ELSE sxx{x} END)"
+
+
+_SUMS = ", ".join(f"{f} OVER {w} AS {n}{w}" for w in "lr" for f, n in (("count(*)", "n"), ("sum(i)", "x"), ("sum(v)", "y"), ("sum(i * v)", "xy"), ("sum(i * i)", "xx"), ("sum(v * v)", "yy")))
+
+
+@query("st_14_changepoint", f"""WITH {ACTIVITY}, a AS (SELECT entity_id, value::DOUBLE AS v, (row_number() OVER (PARTITION BY entity_id ORDER BY pos) - 1)::DOUBLE AS i FROM activity),
+ w AS (SELECT entity_id, i::BIGINT AS k, {_SUMS} FROM a WINDOW l AS (PARTITION BY entity_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), r AS (PARTITION BY entity_id ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+ f AS (SELECT *, {_side("l")}, {_side("r")} FROM w WHERE k >= 3 AND k <= nl + nr - 3), g AS (SELECT entity_id, k, nl + nr AS n, round(br - bl, 9) AS delta, sqrt(({_se("l")}) ** 2 + ({_se("r")}) ** 2) AS se FROM f),
+ b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY abs(delta) DESC, k) AS rn FROM g) WHERE rn = 1)
+ SELECT entity_id, CASE WHEN abs(delta) > 2 * se THEN 'changepoint' ELSE 'none' END AS state, CASE WHEN abs(delta) > 2 * se THEN k END AS split, CASE WHEN abs(delta) > 2 * se THEN round(delta, 6) + 0.0 END AS delta FROM b""")
 def st_14(s, d):
     return se.changepoint(activity(s, d)).select("entity_id", "state", "split", r("delta").alias("delta"))
 
