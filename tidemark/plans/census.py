@@ -152,7 +152,15 @@ def classified(s, d):
     return ce.classify(x, ce.words(*VOCAB), ["zz"], ["fr"], ["the", "die", "les"], ce.words("licensed"))
 
 
-@query("cl_04_scope_classifier")
+CLASSED = f"""{REPO}, dd AS (SELECT doc_id AS repo_id, list_slice(list_filter(w, lambda x, i: list_position(w, x) = i), 1, 6) AS deps FROM (SELECT doc_id, regexp_extract_all(lower(text), '[a-z]+') AS w FROM documents)),
+ mm AS (SELECT r.*, nullif(regexp_extract(lower(name || ' ' || description), '{rx(VOCAB)}', 2), '') AS front, CASE WHEN language = 'fr' THEN 'weak-topic' END AS w, list_sort(list_intersect(deps, ['the', 'die', 'les']))[1] AS dep,
+  nullif(regexp_extract(lower(readme), '{rx(VOCAB)}', 2), '') AS rd, regexp_matches(lower(description || ' ' || language), '{rx(("licensed",))}') AS veto FROM repo r JOIN dd USING (repo_id)),
+ classed AS (SELECT *, CASE WHEN front IS NOT NULL THEN 'storefront' WHEN dep IS NOT NULL AND (w IS NOT NULL OR rd IS NOT NULL) AND NOT veto THEN 'corroborated' END AS channel FROM mm),
+ legged AS (SELECT *, list_filter([CASE WHEN channel IS NULL THEN 'scope' END, CASE WHEN repo_id % 11 = 0 OR repo_id % 13 = 0 THEN 'fork_or_archived' END, CASE WHEN license IS NULL THEN 'licence' END, CASE WHEN language NOT IN ('en', 'de', 'fr') THEN 'language' END,
+  CASE WHEN NOT (repo_id % 3 >= 1 OR stars % 100 >= 50 OR (stars % 20 >= 10 AND repo_id % 5 >= 3)) THEN 'velocity' END], lambda x: x IS NOT NULL) AS legs FROM classed)"""
+
+
+@query("cl_04_scope_classifier", f"WITH {CLASSED} SELECT repo_id, channel, CASE channel WHEN 'storefront' THEN front WHEN 'corroborated' THEN array_to_string(list_filter([w, dep, rd], lambda x: x IS NOT NULL), '+') END AS signal FROM classed")
 def cl_04(s, d):
     return classified(s, d).select("repo_id", "channel", "signal")
 
@@ -163,7 +171,7 @@ def deep(s, d):
     return x.select("*", (k % 11 == 0).alias("fork"), (k % 13 == 0).alias("archived"), (k % 3).cast("int").alias("releases"), (F.col("stars") % 100).alias("commits365"), (F.col("stars") % 20).alias("commits90"), (k % 5).cast("int").alias("authors"))
 
 
-@query("cl_05_eligibility_legs")
+@query("cl_05_eligibility_legs", f"WITH {CLASSED} SELECT repo_id, array_to_string(legs, ',') AS legs, len(legs) = 0 AS admitted FROM legged")
 def cl_05(s, d):
     return ce.eligibility(deep(s, d), ("en", "de", "fr")).select("repo_id", F.array_join("legs", ",").alias("legs"), "admitted")
 
@@ -174,7 +182,7 @@ def cl_06(s, d):
     return ce.carry_forward(adm, members(s, d), "2001-13", "2001-12-31").select("repo_id", "census_month", F.col("first_qualified_on").cast("string").alias("first_qualified_on"), "status", "wave")
 
 
-@query("ag_19_channel_attribution")
+@query("ag_19_channel_attribution", f"WITH {CLASSED} SELECT channel, coalesce(n, 0)::BIGINT AS n FROM (SELECT unnest(['storefront', 'corroborated', 'manual']) AS channel) LEFT JOIN (SELECT channel, count(*) AS n FROM classed GROUP BY 1) USING (channel)")
 def ag_19(s, d):
     return ce.zero_filled(classified(s, d), "channel", ["storefront", "corroborated", "manual"])
 
@@ -184,7 +192,7 @@ def ag_20(s, d):
     return ce.zero_filled(t(s, d, "documents").select(F.col("lang").alias("stratum")), "stratum", ["en", "de", "fr", "es", "it"])
 
 
-@query("ag_22_exclusions")
+@query("ag_22_exclusions", f"WITH {CLASSED} SELECT 'first' AS kind, legs[1] AS leg, count(*) AS n FROM legged WHERE repo_id % 10 <> 0 AND len(legs) > 0 GROUP BY 2 UNION ALL SELECT 'legacy', leg, count(*) FROM (SELECT unnest(legs) AS leg FROM legged WHERE repo_id % 10 = 0) GROUP BY 2")
 def ag_22(s, d):
     return ce.exclusions(ce.eligibility(deep(s, d), ("en", "de", "fr")), F.col("repo_id") % 10 == 0)
 
