@@ -49,10 +49,14 @@ def ag_29(s, d):
     return pn.coverage_deviation(panel(s, d)).select("median_n", r("max_deviation").alias("max_deviation"))
 
 
-@query("st_19_calibrate")
+@query("st_19_calibrate", f"""WITH {PANEL}, {MOVES}, cm AS (SELECT snap, count(*) AS n, max(abs(ln((v + 1) / (a + 1)))) AS mm, avg((abs(ln((v + 1) / (a + 1))) > ln(2))::INT) AS bs FROM m
+  WHERE idx NOT IN (SELECT idx FROM idx WHERE snap = DATE '{BAD}') AND idx - 1 NOT IN (SELECT idx FROM idx WHERE snap = DATE '{BAD}') GROUP BY 1),
+ n AS (SELECT snap, count(DISTINCT entity) AS n FROM panel GROUP BY 1), md AS (SELECT -quantile_disc(-n, 0.5) AS q FROM n), dv AS (SELECT max(abs(n - q) / q) AS dv FROM n, md)
+ SELECT 'types' AS series, round(greatest(max(mm), ln(2)), 6) AS move_bound, round(greatest(3 * coalesce(max(CASE WHEN n >= 10 THEN bs END), 0), 0.1), 6) AS share_bound, round(least(0.9, 1 - 3 * max(dv)), 6) AS least_coverage FROM cm, dv""")
 def st_19(s, d):
     bad = s.createDataFrame([(BAD,)], "snap string").select(F.to_date("snap").alias("snap"))
-    return pn.calibrate(panel(s, d), bad)
+    got = pn.calibrate(panel(s, d), bad)
+    return got.select("series", *(r(c).alias(c) for c in ("move_bound", "share_bound", "least_coverage")))
 
 
 @query("cl_12_partition_verdicts", f"""WITH {PANEL}, {MOVES}, {REV}, n AS (SELECT snap, idx, count(DISTINCT entity) AS n FROM idx GROUP BY 1, 2), md AS (SELECT -quantile_disc(-n, 0.5) AS md, max(idx) AS last FROM n)
@@ -92,7 +96,14 @@ def st_05(s, d):
     return pn.votes(panel(s, d).drop("series"), cohorts(s, d), veto=False).select("entity", r("z").alias("z"))
 
 
-@query("cl_13_votes")
+CLEAN_PTS = PTS.replace("FROM panel", f"FROM panel WHERE snap <> DATE '{BAD}'")
+
+
+@query("cl_13_votes", f"""WITH {PANEL}, {CLEAN_PTS}, {ZED}, ts AS (SELECT a.entity, median((b.y - a.y) / (b.i - a.i)) AS ts FROM pts a JOIN pts b ON a.entity = b.entity AND a.i < b.i GROUP BY 1),
+ l AS (SELECT a.entity, k.i AS k, a.y, (row_number() OVER (PARTITION BY a.entity, k.i ORDER BY a.i) - 1)::DOUBLE AS j FROM pts a JOIN pts k ON a.entity = k.entity AND a.i <> k.i),
+ lo AS (SELECT s.entity, bool_or((s.b > 1e-12) <> (f.b > 1e-12)) AS flips FROM (SELECT entity, k, regr_slope(y, j) AS b FROM l GROUP BY 1, 2) s JOIN (SELECT entity, regr_slope(y, i) AS b FROM pts GROUP BY 1) f USING (entity) GROUP BY 1),
+ un AS (SELECT zed.*, ((slope > 0) <> (ts > 0)) OR flips AS unstable FROM zed JOIN ts USING (entity) JOIN lo USING (entity))
+ SELECT entity, cohort, points, latest, round(slope, 6) + 0.0 AS slope, round(z, 6) + 0.0 AS z, unstable, slope > 0 AND z >= 1.0 AND NOT unstable AS rising FROM un""")
 def cl_13(s, d):
     return pn.votes(panel(s, d).where(F.col("snap") != F.lit(BAD)).drop("series"), cohorts(s, d)).select("entity", "cohort", "points", "latest", r("slope").alias("slope"), r("z").alias("z"), "unstable", "rising")
 
