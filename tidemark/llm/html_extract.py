@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_OPENING = re.compile(r"<[a-zA-Z/!?]")
 _ATTR = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _NAME = re.compile(r"[a-z]+")
 # fixed values: element classes of the HTML standard
@@ -50,11 +51,18 @@ def parse(source: str) -> tuple[list[Node], list[tuple[int, str]]]:
     flow: list[tuple[int, str]] = []
     stack = [0]
     pos, end, raw = 0, len(source), ""
+    last = source.rfind(">")  # no tag ends behind it: an unfinished one there is dropped, as browsers do
     while pos < end:
         if raw:
             m = re.compile(rf"</{raw}\s*>", re.I).search(source, pos)
             pos, raw = (m.end() if m else end), ""
             continue
+        if pos > last:
+            tail = source[pos:]
+            cut = _OPENING.search(tail)
+            tail = tail[: cut.start()] if cut else tail
+            flow.append((stack[-1], _html.unescape(tail)))
+            break
         m = _TOKEN.search(source, pos)
         text = source[pos : m.start() if m else end]
         if text:
