@@ -14,7 +14,8 @@ from array import array
 
 _TWO_SPACES = re.compile(r"\s\s")
 _SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
-MEMO_ENTRIES = 1_500_000
+MEMO_ENTRIES = 800_000  # words of both generations; about 220 bytes each
+PIECE_ENTRIES = 200_000
 
 _ENCODERS: dict[str, TokenEncoder] = {}
 
@@ -27,7 +28,7 @@ class _Pieces(dict):
         self.encode = tokenizer.encode
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) > MEMO_ENTRIES:
+        if len(self) > PIECE_ENTRIES:
             self.clear()
         self[piece] = ids = array("I", self.encode(piece, add_special_tokens=False).ids).tobytes()
         return ids
