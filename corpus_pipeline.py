@@ -2,20 +2,21 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept; :func:`run` writes every
 stage's result as Parquet to the shared folder and reads it back as the next one's documents. Classifiers learn
-from the training folds of ``labels`` among their own input's documents.
+from the training folds of ``labels`` among their own input's documents. Near-duplicates are texts whose five-word Jaccard
+similarity is 0.8 or more (exact, every link verified), and what such links connect.
 
-Defined results: null text counts as empty, null doc_ids are scored and kept like others (of rows with a null
-doc_id and equal fingerprints without any id in their group one stays), repeated rows fall to one in the
+Defined results: null text counts as empty, null doc_ids are scored and kept like others (of a group
+of near-duplicates without any id one stays), repeated rows fall to one in the
 near-duplicate stage, an empty table gives empty results, and columns beside those of documents pass through all
 stages but the last.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import packing, quality, simhash, toxicity
+from tidemark.llm import jaccard, packing, quality, toxicity
 from tidemark.llm.common import scratch_path, table
 from tidemark.llm.token_encoder import default_path
 
@@ -41,20 +42,15 @@ def _restore(rows: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The row whose doc_id is its component's id stays; of repeats of that row, one."""
-    found = simhash.near_duplicates(docs)
-    heads = found.where("doc_id = component_id").select("doc_id").distinct()
-    own = docs.join(heads, "doc_id", "left_semi")
-    one = own.withColumn("_rn", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text"))).where("_rn = 1").drop("_rn")
-    # documents without an id: those whose whole group has none, one a fingerprint group
-    nameless = docs.where("doc_id IS NULL")
-    if nameless.limit(1).count():
-        lone = found.where("component_id IS NULL").select("fingerprint").distinct()
-        prints = simhash.fingerprints(nameless.withColumn("doc_id", F.xxhash64("text"))).select(F.col("doc_id").alias("_h"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")).distinct()
-        keep = prints.join(lone, "fingerprint", "left_semi").groupBy("fingerprint").agg(F.min("_h").alias("_h"))
-        rest = nameless.withColumn("_h", F.xxhash64("text")).join(keep.select("_h"), "_h", "left_semi").dropDuplicates(["_h"]).drop("_h")
-        one = one.unionByName(rest.select(*docs.columns))
-    return one.select(*docs.columns)
+    """One row of each component of texts whose five-word Jaccard similarity is 0.8 or more: the least doc_id's."""
+    # ids only until the rows that stay are known; texts move once
+    key = [F.xxhash64(F.coalesce("text", F.lit(""))).alias("_node"), F.col("doc_id").isNull().alias("_none"), F.coalesce("doc_id", F.lit(0)).alias("_id")]
+    part = jaccard.components(docs).toDF("_node", "_c")
+    once = docs.select(*key).groupBy("_node").agg(F.min(F.struct("_none", "_id")).alias("_at"))
+    named = once.join(part, "_node", "left").select(F.coalesce("_c", "_node").alias("_c"), F.struct("_at._none", "_at._id", "_node").alias("_at"))
+    stay = named.groupBy("_c").agg(F.min("_at").alias("_at")).select("_at.*")
+    by = ["_node", "_none", "_id"]
+    return docs.select("*", *key).join(stay, by, "left_semi").dropDuplicates(by).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

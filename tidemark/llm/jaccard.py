@@ -1,0 +1,156 @@
+"""Near-duplicate documents by exact Jaccard similarity of their word shingles.
+
+Words as in :mod:`tidemark.llm.simhash`; a text is the set of its runs of ``SIZE`` words (64-bit hashes). Two texts are
+linked at a similarity of 4/5 or more. Candidates come from a prefix join: under one order of all shingles, two such
+texts of at most n shingles share one of their first n - ceil(4n/5) + 1, so no link is missed whatever the order is.
+Rare shingles come first (frequencies estimated on a sample), so a common line joins nothing.
+
+Of shingles with the same texts one is kept. A shingle's texts are first verified against its least one; what these links
+do not connect yet is compared pair by pair, so a group of copies costs one comparison a member and shingle at most.
+Pairs are first compared by sizes and parity bitmaps (they differ in at most as many bits as the sets in shingles, so
+this drops no link); every link is then verified on whole sets.
+
+Defined results: texts without words form one group; fewer words than ``SIZE``: the whole sequence is one shingle.
+Texts are known by their 64-bit hash.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidemark.llm.common import materialize
+from tidemark.llm.components import connected_components
+
+SIZE = 5
+SAMPLE, FREQUENT = 5_000, 100_000  # texts that frequencies are estimated on, shingles kept of them; neither changes a result
+BITS = 1024
+
+
+def shingles(text: str) -> np.ndarray:
+    """The distinct shingle hashes, sorted."""
+    import xxhash
+
+    words = text.encode("utf-8", "surrogatepass").lower().split()
+    if len(words) <= SIZE:
+        return np.array([xxhash.xxh64_intdigest(b" ".join(words), 42)], np.uint64).view(np.int64)
+    line = b" ".join(words)
+    lens = np.fromiter(map(len, words), np.int64, len(words)) + 1
+    starts = np.concatenate([[0], np.cumsum(lens)])
+    view, digest = memoryview(line), xxhash.xxh64_intdigest
+    n = len(words) - SIZE + 1
+    cuts = zip(starts[:n].tolist(), (starts[SIZE:] - 1).tolist(), strict=True)
+    return np.unique(np.fromiter((digest(view[a:b], 42) for a, b in cuts), np.uint64, n).view(np.int64))
+
+
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 5 * both >= 4 * (len(a) + len(b) - both)
+
+
+def parity(found: np.ndarray) -> bytes:
+    """1,024 bits, each the parity of the shingles that fall to it."""
+    at = found.view(np.uint64) % np.uint64(BITS)
+    return np.packbits(np.bincount(at.astype(np.int64), minlength=BITS).astype(np.uint8) & 1).tobytes()
+
+
+def prefix(found: np.ndarray, known: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The shingles that a similar text must share one of: the rarest, ties by hash."""
+    n = len(found)
+    keep = n - (4 * n + 4) // 5 + 1
+    often = np.zeros(n, np.int64)
+    if len(known):
+        at = np.minimum(np.searchsorted(known, found), len(known) - 1)
+        often = np.where(known[at] == found, counts[at], 0)
+    return found[np.lexsort((found, often))[:keep]]
+
+
+def _sets(texts: DataFrame) -> DataFrame:
+    """(node, text) -> (node, shingles)."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            got = [shingles(t) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.list_(pa.int64()))], ["node", "shingles"])
+
+    return texts.select("node", "text").mapInArrow(run, "node long, shingles array<long>")
+
+
+def _possible(pairs: DataFrame, briefs: DataFrame) -> DataFrame:
+    """The pairs (u, v) that their sizes and bitmaps leave open."""
+    one = briefs.select("node", "size", "bits")
+    both = pairs.join(one.toDF("v", "n", "b"), "v").join(one.toDF("u", "m", "a"), "u").where("5 * least(m, n) >= 4 * greatest(m, n)")
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint64).reshape(-1, BITS // 64) for k in (4, 5))
+            apart = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
+            ok = 9 * apart <= batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["u", "v"]).filter(pa.array(ok))
+
+    return materialize(both.select("u", "v", "m", "n", "a", "b").mapInArrow(run, "u long, v long"), "possible")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (u, v) that are similar."""
+    wanted = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
+    sets = materialize(_sets(texts.join(wanted, "node", "left_semi").dropDuplicates(["node"])), "sets")
+    both = pairs.join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("b")), "v").join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("a")), "u")
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            a, b = batch.column(2), batch.column(3)
+            ok = [similar(a[i].values.to_numpy(), b[i].values.to_numpy()) for i in range(batch.num_rows)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["u", "v"]).filter(pa.array(ok, pa.bool_()))
+
+    return materialize(both.select("u", "v", "a", "b").mapInArrow(run, "u long, v long"), "links")
+
+
+def components(docs: DataFrame) -> DataFrame:
+    """(node, component) of the texts that are similar to another; node is the text's xxhash64."""
+    spark = docs.sparkSession
+    texts = docs.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("node"), F.coalesce("text", F.lit("")).alias("text"))
+    share = max(1, docs.count() // SAMPLE)
+    some = _sets(texts.where(F.pmod(F.xxhash64("node"), F.lit(share)) == 0).dropDuplicates(["node"]))
+    often = some.select(F.explode("shingles").alias("s")).groupBy("s").count().where("count > 2").orderBy(F.desc("count"), "s").limit(FREQUENT)
+    rows = sorted((r["s"], r["count"]) for r in often.toLocalIterator())
+    shared = spark.sparkContext.broadcast((np.array([s for s, _ in rows], np.int64), np.array([n for _, n in rows], np.int64)))
+
+    def brief(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                found = [shingles(t) for t in batch.column(1).slice(at, 256).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(at, 256), pa.array([len(f) for f in found], pa.int64()), pa.array([parity(f) for f in found], pa.binary()),
+                     pa.array([prefix(f, *shared.value) for f in found], pa.list_(pa.int64()))], ["node", "size", "bits", "first"])
+
+    kinds = materialize(texts.mapInArrow(brief, "node long, size long, bits binary, first array<long>"), "briefs")
+    marks = kinds.select(F.explode("first").alias("s"), "node")
+    least = marks.groupBy("s").agg(F.min("node").alias("u"), F.max("node").alias("top")).where("u < top").select("s", "u")
+    every = materialize(marks.join(least, "s").distinct(), "every")
+    same = every.groupBy("s").agg(F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"), F.count("*").alias("n"))
+    held = materialize(every.join(same.groupBy("x", "y", "n").agg(F.min("s").alias("s")).select("s"), "s", "left_semi"), "held")
+    briefs = materialize(kinds.drop("first").join(held.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]), "open-briefs")
+    stars = materialize(held.where("node <> u").select("u", F.col("node").alias("v")).distinct(), "stars")
+    links = _verified(_possible(stars, briefs), texts)
+    part = materialize(connected_components(links), "part")
+    # what a shingle's least text does not connect: pairs of different components, of sizes that can be similar
+    parted = held.join(part, "node", "left").join(briefs.select("node", "size"), "node").select("s", "node", "size", F.coalesce("component", "node").alias("c"))
+    mixed = parted.groupBy("s").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("n")).where("lo < hi AND n > 2").select("s")
+    open_ = materialize(parted.join(mixed, "s", "left_semi"), "open")
+    left, right = (open_.select("s", *(F.col(x).alias(x + k) for x in ("node", "size", "c"))) for k in "12")
+    near = left.join(right, "s").where("node1 < node2 AND c1 <> c2 AND 5 * least(size1, size2) >= 4 * greatest(size1, size2)")
+    pairs = near.select(F.col("node1").alias("u"), F.col("node2").alias("v")).distinct().join(stars, ["u", "v"], "left_anti")
+    more = _verified(_possible(pairs, briefs), texts)
+    if not more.limit(1).count():
+        return part
+    return connected_components(links.union(more))
