@@ -3,7 +3,8 @@
 A byte-level BPE pre-tokenizer always cuts between a non-space character and a single space that precedes
 another non-space character. Texts are cut at those places only, each distinct part is split by the same
 pattern and encoded once by the library, and the ids are joined again: the result equals encoding the whole
-text. The memos hold a bounded number of entries, so a worker's memory does not grow with its input.
+text. :func:`encoder` first splits a text at the file's added tokens and emits their ids, as the library does by
+default; a bare ``TokenEncoder`` takes them as ordinary text. The memos hold a bounded number of entries, so a worker's memory does not grow with its input.
 """
 
 from __future__ import annotations
@@ -62,16 +63,20 @@ class _Words(dict):
 
 
 class TokenEncoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import public_tokenizers
         import regex
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
-        # parts are pre-tokens already, so the file's model needs its byte alphabet only; without added tokens the
-        # strings of special tokens in a text are ordinary text
-        self.tokenizer = Tokenizer(Tokenizer.from_file(path).model)
+        # parts are pre-tokens already, so the file's model needs its byte alphabet only
+        whole = Tokenizer.from_file(path)
+        self.added = {t.content: array("I", [i]).tobytes() for i, t in whole.get_added_tokens_decoder().items()} if added else {}
+        if any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in whole.get_added_tokens_decoder().values()):
+            raise ValueError(f"added tokens of {path} take more than their own text")
+        self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")").split
+        self.tokenizer = Tokenizer(whole.model)
         self.tokenizer.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
         self.findall = regex.compile(public_tokenizers.PATTERN).findall
         self.pieces = _Pieces(self.tokenizer)
@@ -79,6 +84,12 @@ class TokenEncoder:
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
+        for token in self.added:
+            if token in text:
+                return b"".join([self.added.get(part) or self._plain(part) for part in self.split(text)])
+        return self._plain(text)
+
+    def _plain(self, text: str) -> bytes:
         if _TWO_SPACES.search(text):
             head, *rest = _SAFE_CUT.split(text)
             rest = [r[1:] for r in rest]
@@ -93,7 +104,7 @@ class TokenEncoder:
 def encoder(path: str) -> TokenEncoder:
     """One encoder per worker process and file."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = TokenEncoder(path)
+        _ENCODERS[path] = TokenEncoder(path, added=True)
     return _ENCODERS[path]
 
 
