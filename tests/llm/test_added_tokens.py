@@ -1,10 +1,8 @@
 """The operators' encoder against the unmodified library: added tokens of the file."""
 
-from array import array
-
 from tests.llm.test_tokens import TEXTS, check_pieces
 from tidemark.llm import packing
-from tidemark.llm.token_encoder import default_path, encoder
+from tidemark.llm.token_encoder import TokenEncoder, default_path
 
 MARKED = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|> x  y", "x<|endoftext|>", "a  <|endoftext|>  b", "\n<|endoftext|>\n\nc d", "<|endoftext|", "<|endoftext|>'s it"]
 
@@ -20,7 +18,7 @@ def test_encoder_equals_the_unmodified_library():
     ids = library()
     assert ids(MARKED[0]) == [64, 220, 50256, 275]
     for x in (MARKED + TEXTS) * 2:
-        assert encoder(default_path()).encode(x) == array("I", ids(x)).tobytes(), x
+        assert TokenEncoder(default_path()).encode_text(x) == ids(x), x
 
 
 def test_packing_of_added_tokens(spark):

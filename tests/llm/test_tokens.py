@@ -1,11 +1,14 @@
 """SentencePiece codec, packing, token files."""
 
+import functools
 import zlib
 from array import array
 from collections import defaultdict
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from tests.llm.helpers import AWKWARD, awkward, empty
 from tidemark.llm import packing, sentencepiece_codec, token_orc
@@ -14,26 +17,55 @@ from tidemark.llm.token_encoder import TokenEncoder, default_path
 TEXTS = [t or "" for _, t, _ in AWKWARD] + ["a  b", " lead", "trail ", "x's it'll ' '", "a\n \n b\n\nc", "<|endoftext|> x", "don't   stop", "\xa0 nbsp\xa0x", "é. È! ß?", "a.b,c; d:", "..."]
 
 
-@pytest.fixture(scope="module")
-def library():
+@functools.cache
+def _library():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(default_path())
-    t.encode_special_tokens = True
+    return Tokenizer.from_file(default_path())
+
+
+@pytest.fixture(scope="module")
+def library():
+    t = _library()
     return lambda x: t.encode(x, add_special_tokens=False).ids
 
 
 def test_encoder_equals_the_library(library):
-    enc = TokenEncoder(default_path())
-    for x in TEXTS * 2:
-        assert enc.encode(x) == array("I", library(x)).tobytes(), x
+    for memo, chunk in ((None, None), (1500, None), (None, 40), (0, 8)):
+        enc = TokenEncoder(default_path(), memo, chunk)
+        for x in TEXTS * 2:
+            assert enc.encode_text(x) == library(x), (x, memo, chunk)
 
 
-def test_encoder_survives_a_full_memo(library, monkeypatch):
-    monkeypatch.setattr("tidemark.llm.token_encoder.MEMO_ENTRIES", 6)
-    enc = TokenEncoder(default_path())
-    for x in TEXTS * 2:
-        assert enc.encode(x) == array("I", library(x)).tobytes(), x
+def test_encoder_on_whole_columns(library):
+    import pyarrow as pa
+
+    texts = TEXTS * 3
+    for chunk in (8, 200, 1 << 20):
+        at = 0
+        for first, ids, counts in TokenEncoder(default_path(), chunk=chunk).encode(pa.array(texts)):
+            assert first == at
+            for n in counts.tolist():
+                assert ids[:n].tolist() == library(texts[at])
+                ids, at = ids[n:], at + 1
+        assert at == len(texts)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.sampled_from(" \n\t\x0b\x1c\x85\xa0\u2003ab'sé日1.,!|<>_") | st.characters(exclude_categories=["Cs"]), max_size=30), max_size=4), st.sampled_from([4, 30, 1 << 20]))
+def test_encoder_on_any_text(texts, chunk):
+    import pyarrow as pa
+
+    lib = _library()
+    got = [i for _, ids, _ in TokenEncoder(default_path(), 4000, chunk).encode(pa.array(texts, pa.string())) for i in ids.tolist()]
+    assert got == [i for t in texts for i in lib.encode(t, add_special_tokens=False).ids]
+
+
+def test_memo_is_bounded_in_bytes():
+    enc = TokenEncoder(default_path(), 100_000)
+    for k in range(40):
+        enc.encode_text(" ".join([f"w{k}x{j}" + "y" * (j % 90) for j in range(200)]))
+        assert enc.pieces.size <= 50_000 and max(map(len, enc.pieces), default=0) <= 64
 
 
 def test_sentencepiece_parity_and_round_trip():
@@ -124,6 +156,19 @@ def test_place_goes_to_the_cheapest_sequence_with_room():
     assert sum(n for _, _, n, _, _ in placed) == 20 and left == [(2, 2, 2)]
 
 
+def test_place_looks_at_every_sequence():
+    r = np.random.default_rng(2)
+    items = [(i, 0, int(n)) for i, n in enumerate(r.integers(1, 60, 300))]
+    count = sum(n for *_, n in items) // 64 + 3
+    placed, left = packing.place(items, 64, count, 1.0, 0.5)
+    used, cost = [0] * count, [0.0] * count
+    for _, _, n, s, at in placed:
+        fits = [x for x in range(count) if 64 - used[x] >= n]
+        assert at == used[s] and cost[s] == min(cost[x] for x in fits)  # a cut piece fits as well: it fills what is left
+        used[s], cost[s] = used[s] + n, cost[s] + n + 0.5 * n * n
+    assert not left
+
+
 def test_token_files(spark, library, tmp_path):
     docs = awkward(spark)
     path = str(tmp_path / "orc")

@@ -1,10 +1,13 @@
-"""Exact, memoised encoding with a ``tokenizers`` byte-level BPE file.
+"""Exact encoding of whole columns of texts with a ``tokenizers`` byte-level BPE file.
 
-A byte-level BPE pre-tokenizer always cuts between a non-space character and a single space that precedes
-another non-space character. Texts are cut at those places only, each distinct part is split by the same
-pattern and encoded once by the library, and the ids are joined again: the result equals encoding the whole
-text. :func:`encoder` first splits a text at the file's added tokens and emits their ids, as the library does by
-default; a bare ``TokenEncoder`` takes them as ordinary text. The memos hold a bounded number of entries, so a worker's memory does not grow with its input.
+A byte-level BPE pre-tokenizer always cuts between a non-space character and a single space that precedes another
+non-space character. Texts are cut at those places only, so each distinct word of a chunk of texts is encoded once by the
+file's model and the ids are laid out again by position: the result equals encoding the whole text. A text is first split
+at the file's added tokens, whose ids are emitted as they are, as the library does by default.
+
+Memory is bounded in bytes whatever the words are: a chunk holds at most ``CHUNK`` bytes of text (a longer text is cut into
+chunks of its own), the memo that carries words from chunk to chunk counts its bytes, takes no long words, and belongs to
+one partition: nothing stays in a worker but the model.
 """
 
 from __future__ import annotations
@@ -12,100 +15,198 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Iterator
 
-_TWO_SPACES = re.compile(r"\s\s")
-_SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
-MEMO_ENTRIES = 800_000  # words of both generations; about 220 bytes each
-PIECE_ENTRIES = 200_000
-
-_ENCODERS: dict[str, TokenEncoder] = {}
+import numpy as np
 
+CHUNK = 8 << 20  # bytes of text encoded at a time
+MEMO_BYTES = 64 << 20  # of both generations of a partition's memo
+MEMO_WORD = 64  # longest word that a memo keeps
+ENTRY = 200  # bytes of a memo's entry beside its word and ids: two objects and their slots
+# two white-space characters in a row (a superset of what any pattern engine calls white space)
+_WIDE = r"[\s\x0b\x1c-\x1f\x{85}\pZ]{2}"
+_SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
+_MARKS = ".,!?;:"
 
-class _Pieces(dict):
-    """Pre-token -> ids, asked of the library once."""
+_MODELS: dict[str, Model] = {}
 
-    def __init__(self, tokenizer):
-        super().__init__()
-        self.encode = tokenizer.encode
 
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) > PIECE_ENTRIES:
-            self.clear()
-        self[piece] = ids = array("I", self.encode(piece, add_special_tokens=False).ids).tobytes()
-        return ids
+def _byte_alphabet() -> dict[int, str]:
+    """Byte (as a Latin-1 character) -> the printable character that byte-level models write for it."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
-class _Words(dict):
-    """Word (the part behind a cut's space) -> ids of the space and the word."""
+def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Positions start, start + 1, ... of every (start, length), one after the other."""
+    ends = np.cumsum(lengths)
+    return np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
 
-    def __init__(self, pieces: _Pieces, findall):
-        super().__init__()
-        self.pieces, self.findall, self.old = pieces, findall, {}
-
-    def encode(self, piece: str) -> bytes:
-        return array("I", self.pieces.encode(piece, add_special_tokens=False).ids).tobytes()
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.old.get(word)
-        if ids is not None:  # still in use: it joins the new generation
-            self[word] = ids
-            return ids
-        if len(self) > MEMO_ENTRIES // 2:
-            self.old = dict(self)
-            self.clear()
-        core = word.rstrip(".,!?;:")
-        if core and max(core) < "\u0250" and core.isalpha():  # letters are one pre-token, the marks behind them another
-            ids = self.encode(" " + core) if len(core) == len(word) else self[core] + self.pieces[word[len(core) :]]
-        else:
-            ids = b"".join([self.pieces[p] for p in self.findall(" " + word)])
-        self[word] = ids
-        return ids
 
+class Model:
+    """What a worker keeps of a tokenizer file: the bare model, its pattern and its added tokens."""
 
-class TokenEncoder:
-    def __init__(self, path: str, added: bool = False):
+    def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import public_tokenizers
         import regex
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel
 
-        # parts are pre-tokens already, so the file's model needs its byte alphabet only
         whole = Tokenizer.from_file(path)
-        self.added = {t.content: array("I", [i]).tobytes() for i, t in whole.get_added_tokens_decoder().items()} if added else {}
-        if any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in whole.get_added_tokens_decoder().values()):
+        added = whole.get_added_tokens_decoder()
+        if any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added.values()):
             raise ValueError(f"added tokens of {path} take more than their own text")
+        self.added = {t.content: array("I", [i]).tobytes() for i, t in added.items()}
         self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")").split
-        self.tokenizer = Tokenizer(whole.model)
-        self.tokenizer.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.tokenize = whole.model.tokenize
         self.findall = regex.compile(public_tokenizers.PATTERN).findall
-        self.pieces = _Pieces(self.tokenizer)
-        self.words = _Words(self.pieces, self.findall)
-
-    def encode(self, text: str) -> bytes:
-        """Ids of a text as little-endian unsigned 32-bit integers."""
-        for token in self.added:
-            if token in text:
-                return b"".join([self.added.get(part) or self._plain(part) for part in self.split(text)])
-        return self._plain(text)
-
-    def _plain(self, text: str) -> bytes:
-        if _TWO_SPACES.search(text):
-            head, *rest = _SAFE_CUT.split(text)
-            rest = [r[1:] for r in rest]
+        self.alphabet = _byte_alphabet()
+
+    def piece(self, piece: str) -> bytes:
+        """Ids of one pre-token."""
+        if piece.isascii() and piece.isprintable():
+            piece = piece.replace(" ", self.alphabet[32])
         else:
-            head, *rest = text.split(" ")
-        return b"".join([*map(self.pieces.__getitem__, self.findall(head)), *map(self.words.__getitem__, rest)])
+            piece = piece.encode().decode("latin-1").translate(self.alphabet)
+        return array("I", [t.id for t in self.tokenize(piece)]).tobytes()
+
 
-    def encode_batch(self, texts: list[str]) -> list[bytes]:
-        return [self.encode(t) for t in texts]
+class Memo(dict):
+    """Pre-tokens and their ids of one partition: two generations, together at most ``limit`` bytes."""
 
+    def __init__(self, make, limit: int | None = None):
+        super().__init__()
+        self.make, self.half = make, (MEMO_BYTES if limit is None else limit) // 2
+        self.old: dict[str, bytes] = {}
+        self.size = 0
+
+    def __missing__(self, key: str) -> bytes:
+        ids = self.old.get(key)
+        if ids is None:
+            ids = self.make(key)
+        if len(key) <= MEMO_WORD:
+            self.size += ENTRY + len(key) + len(ids)
+            if self.size > self.half:
+                self.old, self.size = dict(self), ENTRY + len(key) + len(ids)
+                self.clear()
+            self[key] = ids
+        return ids
 
-def encoder(path: str) -> TokenEncoder:
-    """One encoder per worker process and file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = TokenEncoder(path, added=True)
-    return _ENCODERS[path]
+
+class TokenEncoder:
+    """Encodes the texts of one partition."""
+
+    def __init__(self, path: str, memo_bytes: int | None = None, chunk: int | None = None):
+        if path not in _MODELS:
+            _MODELS[path] = Model(path)
+        self.model, self.chunk = _MODELS[path], CHUNK if chunk is None else chunk
+        self.pieces = Memo(self.model.piece, memo_bytes)
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of a space and the word behind it, for each word."""
+        pieces, out = self.pieces, []
+        for word in words:
+            core = word.rstrip(_MARKS)
+            if core.isalpha() and (core.isascii() or max(core) < "ɐ"):  # letters are one pre-token, the marks behind them another
+                ids = pieces[" " + core]
+                out.append(ids if len(core) == len(word) else ids + pieces[word[len(core) :]])
+            else:
+                out.append(self._text(" " + word))
+        return out
+
+    def _text(self, text: str) -> bytes:
+        return b"".join([self.pieces[p] for p in self.model.findall(text)])
+
+    def _segments(self, texts):
+        """(segments, number of segments of each text or None, {segment: ids of an added token})."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        marked = np.zeros(len(texts), bool)
+        for token in self.model.added:
+            marked |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        if not marked.any():
+            return texts, None, {}
+        out, counts, fixed = [], [], {}
+        for text, cut in zip(texts.to_pylist(), marked.tolist(), strict=True):
+            parts = self.model.split(text) if cut else [text]
+            fixed.update({len(out) + i: self.model.added[p] for i, p in enumerate(parts) if i % 2})
+            out += parts
+            counts.append(len(parts))
+        return pa.array(out, pa.string()), np.array(counts), fixed
+
+    def _encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, number of ids of each) of a string array without nulls."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        if not len(texts):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        segments, per_text, fixed = self._segments(texts)
+        wide = pc.match_substring_regex(segments, _WIDE).to_numpy(zero_copy_only=False)
+        plain = pc.split_pattern(segments.filter(pa.array(~wide)), " ")
+        cut = [[x[0], *(w[1:] for w in x[1:])] for x in map(_SAFE_CUT.split, segments.filter(pa.array(wide)).to_pylist())]
+        words = pa.concat_arrays([plain.flatten(), pa.array([w for x in cut for w in x], pa.string())])
+        counts = np.concatenate([np.diff(plain.offsets.to_numpy()).astype(np.int64), np.array([len(x) for x in cut], np.int64)])
+        if wide.any():  # words back into the order of the segments
+            place = np.argsort(np.concatenate([np.flatnonzero(~wide), np.flatnonzero(wide)]))
+            words, counts = words.take(pa.array(ragged((np.cumsum(counts) - counts)[place], counts[place]))), counts[place]
+        kinds = words.dictionary_encode()
+        first = np.cumsum(counts) - counts
+        heads = [fixed.get(i) or self._text(h) for i, h in enumerate(words.take(pa.array(first)).to_pylist())]
+        table = [*self._words(kinds.dictionary.to_pylist()), *heads]
+        code = kinds.indices.to_numpy().copy()
+        code[first] = len(kinds.dictionary) + np.arange(len(first))
+        sizes = np.fromiter(map(len, table), np.int64, len(table)) // 4
+        values = np.frombuffer(b"".join(table), "<u4")
+        of_word = sizes[code]
+        ids = values[ragged((np.cumsum(sizes) - sizes)[code], of_word)]
+        tokens = np.add.reduceat(of_word, first)
+        if per_text is not None:
+            tokens = np.add.reduceat(tokens, np.cumsum(per_text) - per_text)
+        return ids, tokens
+
+    def _long(self, text: str) -> np.ndarray:
+        """Ids of a text of more than a chunk, a chunk at a time."""
+        import pyarrow as pa
+
+        out = []
+        for i, part in enumerate(self.model.split(text)):
+            at = 0
+            while at < len(part):
+                stop = min(len(part), at + self.chunk // 4)
+                while stop < len(part):  # the next place where a text may be cut
+                    stop = part.find(" ", stop)
+                    if stop < 0 or stop + 1 == len(part):
+                        stop = len(part)
+                    elif part[stop - 1].isspace() or part[stop + 1].isspace():
+                        stop += 1
+                    else:
+                        break
+                out.append(np.frombuffer(self.model.added[part], "<u4") if i % 2 else self._encode(pa.array([part[at:stop]], pa.string()))[0])
+                at = stop
+        return np.concatenate(out)
+
+    def encode(self, texts) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(first row, ids, number of ids of each row) for runs of rows of a string array without nulls."""
+        import pyarrow.compute as pc
+
+        size = pc.binary_length(texts).to_numpy()
+        at = 0
+        while at < len(size):
+            stop = at + max(1, int(np.searchsorted(np.cumsum(size[at : at + 10_000]), self.chunk, "right")))
+            if size[at] > self.chunk:
+                ids = self._long(texts[at].as_py())
+                yield at, ids, np.array([len(ids)])
+            else:
+                yield at, *self._encode(texts.slice(at, stop - at))
+            at = stop
+
+    def encode_text(self, text: str) -> list[int]:
+        import pyarrow as pa
+
+        return [i for _, ids, _ in self.encode(pa.array([text], pa.string())) for i in ids.tolist()]
 
 
 def default_path() -> str:

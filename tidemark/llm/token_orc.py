@@ -48,19 +48,20 @@ def encode_sorted(docs: DataFrame, tokenizer_path: str, end_id: int, rows_per_fi
         import pyarrow as pa
         from pyspark import TaskContext
 
-        from tidemark.llm.token_encoder import encoder
+        from tidemark.llm.token_encoder import TokenEncoder
 
-        enc, part, start = encoder(tokenizer_path), TaskContext.get().partitionId(), 0
-        end = int(end_id).to_bytes(4, "little")
+        enc, part, start = TokenEncoder(tokenizer_path), TaskContext.get().partitionId(), 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                piece = batch.slice(at, 512)
-                data = [d + end for d in enc.encode_batch(piece.column(1).to_pylist())]
-                n = np.fromiter((len(d) // 4 for d in data), np.int64, len(data))
+            for first, found, counts in enc.encode(batch.column(1)):
+                n = counts + 1
                 ends = np.concatenate([[0], np.cumsum(n)])
-                ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.frombuffer(b"".join(data), "<u4").astype(np.int32)))
+                with_end = np.full(ends[-1], end_id, np.int32)
+                keep = np.ones(ends[-1], bool)
+                keep[ends[1:] - 1] = False
+                with_end[keep] = found.view(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(with_end))
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column(0), pa.array(np.full(len(n), part, np.int32)), pa.array(start + ends[:-1]), pa.array(n), ids],
+                    [batch.column(0).slice(first, len(n)), pa.array(np.full(len(n), part, np.int32)), pa.array(start + ends[:-1]), pa.array(n), ids],
                     ["doc_id", "part", "part_start", "n_tokens", "ids"],
                 )
                 start += int(ends[-1])
