@@ -26,7 +26,8 @@ ENTRY = 200  # bytes of a memo's entry beside its word and ids: two objects and
 # two white-space characters in a row (a superset of what any pattern engine calls white space)
 _WIDE = r"[\s\x0b\x1c-\x1f\x{85}\pZ]{2}"
 _SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
-_MARKS = ".,!?;:"
+# words whose first pre-token is all of their letters (Latin ones, so that every version of Unicode agrees)
+_LETTERS = r"^(?P<core>[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{24F}]+)(?P<mark>[.,!?;:]*)$"
 
 _MODELS: dict[str, Model] = {}
 
@@ -103,18 +104,6 @@ class TokenEncoder:
         self.model, self.chunk = _MODELS[path], CHUNK if chunk is None else chunk
         self.pieces = Memo(self.model.piece, memo_bytes)
 
-    def _words(self, words: list[str]) -> list[bytes]:
-        """Ids of a space and the word behind it, for each word."""
-        pieces, out = self.pieces, []
-        for word in words:
-            core = word.rstrip(_MARKS)
-            if core.isalpha() and (core.isascii() or max(core) < "ɐ"):  # letters are one pre-token, the marks behind them another
-                ids = pieces[" " + core]
-                out.append(ids if len(core) == len(word) else ids + pieces[word[len(core) :]])
-            else:
-                out.append(self._text(" " + word))
-        return out
-
     def _text(self, text: str) -> bytes:
         return b"".join([self.pieces[p] for p in self.model.findall(text)])
 
@@ -155,11 +144,9 @@ class TokenEncoder:
         kinds = words.dictionary_encode()
         first = np.cumsum(counts) - counts
         heads = [fixed.get(i) or self._text(h) for i, h in enumerate(words.take(pa.array(first)).to_pylist())]
-        table = [*self._words(kinds.dictionary.to_pylist()), *heads]
+        values, sizes = self._table(kinds.dictionary, heads)
         code = kinds.indices.to_numpy().copy()
         code[first] = len(kinds.dictionary) + np.arange(len(first))
-        sizes = np.fromiter(map(len, table), np.int64, len(table)) // 4
-        values = np.frombuffer(b"".join(table), "<u4")
         of_word = sizes[code]
         ids = values[ragged((np.cumsum(sizes) - sizes)[code], of_word)]
         tokens = np.add.reduceat(of_word, first)
@@ -167,6 +154,32 @@ class TokenEncoder:
             tokens = np.add.reduceat(tokens, np.cumsum(per_text) - per_text)
         return ids, tokens
 
+    def _table(self, words, heads: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each) of a space and every one of ``words`` behind it, then of ``heads``."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        # letters with marks behind them are two pre-tokens: each distinct one is encoded once
+        parts = pc.extract_regex(words, _LETTERS)
+        easy = pc.is_valid(parts)
+        core = pc.binary_join_element_wise(" ", parts.filter(easy).field("core"), "").dictionary_encode()
+        mark = parts.filter(easy).field("mark").dictionary_encode()
+        hard = [self._text(w) for w in pc.binary_join_element_wise(" ", words.filter(pc.invert(easy)), "").to_pylist()]
+        easy = easy.to_numpy(zero_copy_only=False)
+        pieces = self.pieces
+        table = [*[pieces[w] for w in core.dictionary.to_pylist()], *[pieces[m] if m else b"" for m in mark.dictionary.to_pylist()], *hard, *heads, b""]
+        n_core, n_mark = len(core.dictionary), len(mark.dictionary)
+        one = np.empty(len(words) + len(heads), np.int64)
+        two = np.full(len(one), len(table) - 1)
+        place = np.flatnonzero(easy)
+        one[place], two[place] = core.indices.to_numpy(), n_core + mark.indices.to_numpy()
+        one[np.flatnonzero(~easy)] = n_core + n_mark + np.arange(len(hard))
+        one[len(words) :] = n_core + n_mark + len(hard) + np.arange(len(heads))
+        sizes = np.fromiter(map(len, table), np.int64, len(table)) // 4
+        starts = np.cumsum(sizes) - sizes
+        both = np.stack([one, two], axis=1).ravel()
+        return np.frombuffer(b"".join(table), "<u4")[ragged(starts[both], sizes[both])], sizes[one] + sizes[two]
+
     def _long(self, text: str) -> np.ndarray:
         """Ids of a text of more than a chunk, a chunk at a time."""
         import pyarrow as pa
