@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -14,9 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared checkpoint folder; a local temporary one only where that setting is unset (tests)."""
+    """A new path in the shared checkpoint folder; where that setting is unset, a local temporary one in local mode only."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex}"
@@ -30,11 +33,36 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+MAYBE_BITS = 1 << 23
+
+
+def maybe_among(df: DataFrame, key: str, keys: DataFrame, keep: bool = True) -> DataFrame:
+    """Rows of ``df`` whose 64-bit hash ``key`` may be in the column of that name of ``keys`` (or, not ``keep``, cannot be).
+
+    A bitmap of fixed size decides: 131,072 words of 64 bits at most are broadcast, whatever the tables' sizes. It only
+    spares joins rows that find no partner; where ``keys`` fills it, every row may be among them.
+    """
+    at = F.pmod(F.col(key), F.lit(MAYBE_BITS))
+    words = keys.select((at / 64).cast("int").alias("_word"), F.expr(f"shiftleft(1L, CAST(pmod({key}, 64) AS INT))").alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    found = df.withColumn("_word", (at / 64).cast("int")).join(F.broadcast(words), "_word", "left")
+    hit = F.coalesce(F.expr(f"(shiftrightunsigned(_bits, CAST(pmod({key}, 64) AS INT)) & 1L) = 1L"), F.lit(False))
+    return found.where(hit if keep else ~hit).drop("_word", "_bits")
+
+
 def fold(doc_id: Column, mod: int) -> Column:
     """crc32 of the id written as text, modulo ``mod`` (null id: null)."""
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(mod)
 
 
+def texts_of(docs: DataFrame, ids: DataFrame, by: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """One row for each row of ``ids`` (few) that ``docs`` has, with ``text`` (null: empty) beside its columns.
+
+    Where an id repeats in ``docs`` the text of least hash stands for it, so there are never more rows than ids.
+    """
+    found = docs.select(*by, F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(ids), list(by))
+    return found.groupBy(*ids.columns).agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, held_mod: int, held_at: int, rows: int) -> DataFrame:
     """At most ``rows`` labelled training rows as (doc_id, text, y).
 
@@ -48,4 +76,4 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, held_mod: in
         .groupBy("doc_id").agg(F.max("y").alias("y"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     )
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    return texts_of(docs, ids).select("doc_id", "text", "y")

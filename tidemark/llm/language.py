@@ -1,11 +1,13 @@
 """Language identification by compression: per-language zstandard raw-content dictionaries.
 
 A language's dictionary is a bounded, hash-chosen sample of its training texts (``docs`` rows of at most ``chars``
-characters each). A text is cut into blocks; every block is compressed with each dictionary at a fixed level, and the
-language with the smallest total wins. Texts and dictionaries are first brought to lower-case letters and spaces. The score is the winner's share of a soft-min over sizes; a text whose margin
-to the runner-up is under ``margin`` of the smallest size is marked ``rejected`` while its nearest language is still given.
+characters each). A text is cut into blocks; every block is compressed with each dictionary at a fixed level, and its opening
+of ``LEAD`` bytes once more in two other phases, because whole bytes are too coarse a measure of a few words. The language with
+the smallest total wins. Texts and dictionaries are first brought to lower-case letters and spaces. The score is the winner's
+share of a soft-min over sizes; a text whose margin to the runner-up is under ``margin`` of the smallest size is marked
+``rejected`` while its nearest language is still given.
 
-Defined results: null texts and texts without a letter give `und` with score 0; ties go to the language most frequent
+Defined results: null texts and texts without a letter (Unicode category L) give `und` with score 0; ties go to the language most frequent
 in training, then to the first in alphabetical order; with no training rows every text is `und`; repeated rows give
 repeated results; an empty table gives no rows; other columns are ignored.
 """
@@ -18,10 +20,9 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fold
+from tidemark.llm.common import fold, texts_of
 
-DOCS, CHARS, BLOCK, LEVEL, MARGIN = 120, 1500, 8192, 3, 0.02
-_LETTER = re.compile(r"[^\W\d_]")
+DOCS, CHARS, BLOCK, LEAD, LEVEL, MARGIN = 120, 1500, 8192, 64, 3, 0.02
 _OTHER = re.compile(r"[\W\d_]+")
 _AGAIN = re.compile(r"\b(\w+)(?: \1\b)+")
 SCHEMA = "doc_id long, lang_pred string, score double, margin double, rejected boolean"
@@ -32,6 +33,12 @@ def normal(text: str) -> bytes:
     return _AGAIN.sub(r"\1", _OTHER.sub(" ", text.lower())).encode("utf-8", "surrogatepass")
 
 
+def has_letter(text: str) -> bool:
+    import regex
+
+    return regex.search(r"\p{L}", text) is not None
+
+
 class LanguageModel:
     """Raw dictionary bytes per language, most frequent language first."""
 
@@ -55,13 +62,12 @@ class LanguageModel:
 
     def sizes(self, text: str) -> np.ndarray:
         raw = normal(text)
-        blocks = [raw[i : i + BLOCK] for i in range(0, len(raw), BLOCK)] or [b""]
-        if len(raw) < 200:  # short texts again and again: sizes of a few bytes would tie
-            blocks = [b" " + raw + b" ", raw, raw + b"."]
+        lead = raw[:LEAD]
+        blocks = [*(raw[i : i + BLOCK] for i in range(0, len(raw), BLOCK)), b" " + lead + b" ", lead + b"."]
         return np.array([sum(len(c.compress(b)) for b in blocks) for c in self.coders()], float)
 
     def predict(self, text: str | None) -> tuple[str, float, float, bool]:
-        if not text or not self.dictionaries or not _LETTER.search(text):
+        if not text or not self.dictionaries or not has_letter(text):
             return "und", 0.0, 0.0, True
         s = self.sizes(text)
         k = int(s.argmin())
@@ -83,7 +89,7 @@ def fit(docs: DataFrame, held_mod: int = 5, held_at: int = 0) -> LanguageModel:
         .withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= DOCS).select("doc_id", "lang", "rn")
     )
     # DOCS ids a language: bounded by the number of languages, so it is broadcast; texts are read in a second, narrow scan
-    texts = train.select("doc_id", F.expr(f"substring(text, greatest(1, length(text) DIV 2 - {CHARS // 2}), {CHARS})").alias("text")).join(F.broadcast(picked), "doc_id")
+    texts = texts_of(train, picked, ("doc_id", "lang")).select("lang", "rn", F.expr(f"substring(text, greatest(1, length(text) DIV 2 - {CHARS // 2}), {CHARS})").alias("text"))
     counts = {r["lang"]: r["n"] for r in train.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     chosen: dict[str, list] = {}
     for r in texts.collect():  # at most DOCS texts of CHARS characters a language

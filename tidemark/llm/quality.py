@@ -21,9 +21,11 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import labelled_sample
+from tidemark.llm.common import labelled_sample, texts_of
 
 ROWS = 12_000
+_SYMBOLS = re.compile(r"(?<!\S)[^\w\s]+(?!\S)")  # words of symbols only
+_RUN = re.compile(r"([^\w\s])\1\1")
 _SENTENCE = re.compile(r"[.!?](?:\s|$)")
 
 
@@ -42,17 +44,17 @@ def features(text: str) -> list[float]:
     lines = [x.strip() for x in text.split("\n") if x.strip()]
     m = max(1, len(lines))
     ends = sum(x[-1] in ".!?" for x in lines)
-    bare = words.count("|")
-    ending = sum(1 for x in words if not x[-1].isalnum() and x[-1] not in ".,;:|")
+    bare = len(_SYMBOLS.findall(text))
+    ending = sum(1 for x in words if not x[-1].isalnum() and x[-1] not in ".,;:")
     return [
         np.log1p(len(words)), kinds / n, np.log1p(kinds), same / n, upper / chars, upper / (upper + lower + 1), digits / chars,
         (other - plain) / chars, plain / n, bare / n, text.count("!") / n, ending / n, len(set(lines)) / m, ends / m,
         np.log1p(n / m), len(_SENTENCE.findall(text)) / n, (chars - white) / n, white / chars,
-        sum(text.count(c) for c in "#$%&*") / n, text.count("|") / n,
+        len(_RUN.findall(text)) / n,
     ]
 
 
-N_FEATURES = 20
+N_FEATURES = 19
 
 
 class Scaler:
@@ -171,8 +173,8 @@ def _extract(rows: DataFrame) -> np.ndarray:
 
 def fit(docs: DataFrame, labels: DataFrame, held_mod: int = 4, held_at: int = 2, rows: int = ROWS) -> QualityModel:
     positive = _extract(labelled_sample(docs, labels.where("quality = 1"), "quality", held_mod, held_at, rows))
-    ids = docs.select("doc_id").where("doc_id IS NOT NULL").orderBy(F.xxhash64("doc_id", F.lit("web")), "doc_id").limit(rows).distinct()
-    unlabelled = _extract(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id"))
+    ids = docs.select("doc_id").where("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id", F.lit("web")), "doc_id").limit(rows)
+    unlabelled = _extract(texts_of(docs, ids))
     if not len(positive) or not len(unlabelled):
         return QualityModel(None, None, 0.5)
     scaler = Scaler().fit(positive)

@@ -1,31 +1,34 @@
 """Toxicity by gradient-boosted trees over dense features, with isotonic calibration.
 
 The lexicon is learnt, not written down: words and word beginnings that mark toxic training texts, counted in the
-tasks over the labelled sample. Features are densities of lexicon words and beginnings, their nearness to second-person words,
+tasks over the distinct texts of the labelled sample. A term is taken where it is over-represented in toxic texts by log odds
+of ``ODDS`` and by more than chance: at most ``CHANCE`` of all terms are expected to do as well if labels were
+independent of words. Features are densities of lexicon words and beginnings, their nearness to second-person words,
 capitals, punctuation and obfuscation rates. Lexicons for training features come from the other half of the
-sample, so trees see densities as they are on unseen texts; calibration is fitted on held-back halves too.
+sample, so trees see densities as they are on unseen texts; calibration is fitted on held-back halves too. Copies of a text
+count once and are always in one half.
 
-Bounds: at most ``rows`` labelled rows train the model (the smallest hashes of doc_id), at most ``LEXICON`` terms
-are kept. Scoring reads every whole text once and shuffles nothing.
+Bounds: at most ``rows`` labelled rows train the model (the smallest hashes of doc_id), which bounds the terms. Scoring
+reads every whole text once and shuffles nothing.
 
 Defined results: null text counts as empty and is scored like any other; labels of other rows than the training
-fold are never read; with no toxic (or no clean) training rows the score is the training share of toxic rows
-(0 with no labels at all); repeated rows score alike; an empty table gives no rows; other columns are ignored.
+fold are never read; equal texts with different labels count as toxic; with no toxic (or no clean) training rows the score
+is the training share of toxic rows (0 with no labels at all); repeated rows score alike; an empty table gives no rows;
+other columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.boosting import BoostedTrees, Isotonic
-from tidemark.llm.common import labelled_sample
+from tidemark.llm.common import labelled_sample, materialize
 
-LEXICON = 6000
+ODDS, CHANCE = 2.5, 100
 ROWS = 20_000
 HEADS = (4, 5)  # lengths of word beginnings
 _WORD = re.compile(r"[^\W\d_]+")
@@ -50,17 +53,6 @@ class Lexicon:
         self.heads = {k[1:]: v for k, v in weights.items() if k[0] == "^"}
 
 
-def build_lexicon(rows: list[tuple[str, int, int]], toxic: int, clean: int) -> Lexicon:
-    """Terms with smoothed log odds of at least 2.5 that occur in at least 3 toxic sources (and 0.7 % of toxic texts)."""
-    least = max(3 if toxic > 60 else 2, 0.007 * toxic)
-    out = {}
-    for term, t, c in rows:
-        odds = np.log((t + 0.5) / (toxic + 1)) - np.log((c + 0.5) / (clean + 1))
-        if t >= least and odds >= 2.5:
-            out[term] = float(odds)
-    return Lexicon(out)
-
-
 def features(text: str, lex: Lexicon) -> list[float]:
     low = text.lower()
     words = _WORD.findall(low)
@@ -114,55 +106,47 @@ class ToxicityModel:
 
 def fit(docs: DataFrame, labels: DataFrame, held_mod: int = 5, held_at: int = 0, rows: int = ROWS) -> ToxicityModel:
     """Learn from labelled rows outside the held-out fold only."""
-    sample = labelled_sample(docs, labels, "toxic", held_mod, held_at, rows).select(
-        F.coalesce("text", F.lit("")).alias("text"), "y", F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)).cast("int").alias("half")
-    )
-    # copies of one text count once in the lexicon: a source is the first 80 characters
-    def count(frames):
-        import pandas as pd
+    chosen = labelled_sample(docs, labels, "toxic", held_mod, held_at, rows)
+    sample = materialize(chosen.groupBy("text").agg(F.max("y").alias("y")).withColumn("half", F.pmod(F.xxhash64("text", F.lit("half")), F.lit(2)).cast("int")), "toxic-sample")
+    seen = {(r["half"], r["y"]): r["n"] for r in sample.groupBy("half", "y").agg(F.count("*").alias("n")).collect()}
+    toxic, clean = (np.array([seen.get((h, y), 0) for h in (0, 1)]) for y in (1, 0))
+    if not toxic.sum() or not clean.sum():
+        return ToxicityModel(Lexicon({}), None, None, float(toxic.sum() > 0))
 
-        for pdf in frames:
-            out = []
-            for text, y, half in zip(pdf["text"], pdf["y"], pdf["half"], strict=True):
-                source = zlib.crc32(text[:80].encode("utf-8", "surrogatepass"))
-                out += [(t, source, half, y) for t in terms(text)]
-            yield pd.DataFrame(out, columns=["term", "source", "half", "y"])
-
-    toxic_only = sample.where("y = 1").mapInPandas(count, "term string, source long, half int, y int")
-    vocabulary = (
-        toxic_only.groupBy("term", "half").agg(F.countDistinct("source").alias("n"))
-        .groupBy("term").agg(F.sum("n").alias("n"), *(F.sum(F.when(F.col("half") == h, F.col("n")).otherwise(0)).alias(f"n{h}") for h in (0, 1)))
-        .where("n >= 2").orderBy(F.desc("n"), "term").limit(4 * LEXICON)
-    )
-    known = {r["term"]: np.array([r["n0"], r["n1"]]) for r in vocabulary.toLocalIterator()}
-
-    def count_known(frames):
+    def count(frames):
         import pandas as pd
 
         for pdf in frames:
-            out = {}
+            out: dict[str, list[int]] = {}
             for text, y, half in zip(pdf["text"], pdf["y"], pdf["half"], strict=True):
-                for t in terms(text) & known.keys():
-                    key = (t, half, y)
-                    out[key] = out.get(key, 0) + 1
-                key = ("", half, y)
-                out[key] = out.get(key, 0) + 1
-            yield pd.DataFrame([(*k, v) for k, v in out.items()], columns=["term", "half", "y", "n"])
-
-    counted = sample.mapInPandas(count_known, "term string, half int, y int, n long").groupBy("term", "half", "y").agg(F.sum("n").alias("n"))
-    table: dict[str, np.ndarray] = {}
-    for r in counted.toLocalIterator():  # at most 16 * LEXICON rows
-        table.setdefault(r["term"], np.zeros((2, 2), int))[r["half"], r["y"]] = r["n"]
-    totals = table.pop("", np.zeros((2, 2), int))
-    toxic, clean = int(totals[:, 1].sum()), int(totals[:, 0].sum())
-    if not toxic or not clean:
-        return ToxicityModel(Lexicon({}), None, None, float(toxic > 0))
-
-    def lexicon(halves: list[int]) -> Lexicon:
-        rows_ = [(t, int(known[t][halves].sum()), int(v[halves, 0].sum())) for t, v in table.items()]
-        return build_lexicon(rows_, int(totals[halves, 1].sum()), int(totals[halves, 0].sum()))
-
-    other = [lexicon([1]), lexicon([0])]
+                for t in terms(text):
+                    out.setdefault(t, [0, 0, 0, 0])[2 * half + y] += 1
+            yield pd.DataFrame([(k, *v) for k, v in out.items()], columns=["term", "c0", "t0", "c1", "t1"])
+
+    names = ["c0", "t0", "c1", "t1"]
+    counted = sample.mapInPandas(count, "term string, c0 long, t0 long, c1 long, t1 long").groupBy("term").agg(*(F.sum(c).alias(c) for c in names))
+    counted = materialize(counted.where("c0 + t0 + c1 + t1 > 1"), "toxic-terms")
+    views = {(1,): "01", (0,): "10", (0, 1): "11"}  # halves -> whether each counts
+
+    def both(y: str, halves) -> Column:
+        return sum((F.col(f"{y}{h}") for h in halves), F.lit(0)).cast("double")
+
+    kinds = counted.agg(*(F.count_if(both("t", v) + both("c", v) > 1).alias(n) for v, n in views.items())).first()
+    marks = []
+    for v, n in views.items():
+        t, c, at, ac = both("t", v), both("c", v), float(toxic[list(v)].sum()), float(clean[list(v)].sum())
+        share = max(at, 0.5) / max(at + ac, 1.0)
+        odds = F.log((t + 0.5) / (at + 1)) - F.log((c + 0.5) / (ac + 1))
+        # exp(-surprise) bounds the probability of as many toxic ones among a term's texts by chance
+        part = lambda k, p: F.when(k > 0, k * F.log(k / ((t + c) * p))).otherwise(0.0)
+        surprise = part(t, share) + part(c, 1 - share)
+        marks.append(F.when((odds >= ODDS) & (surprise >= float(np.log(max(kinds[n], 1) / CHANCE))), odds).alias(n))
+    found = counted.select("term", *marks).where("`01` IS NOT NULL OR `10` IS NOT NULL OR `11` IS NOT NULL").collect()
+
+    def lexicon(n: str) -> Lexicon:
+        return Lexicon({r["term"]: r[n] for r in found if r[n] is not None})
+
+    other = [lexicon("01"), lexicon("10")]
 
     def extract(frames):
         import pandas as pd
@@ -180,7 +164,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_mod: int = 5, held_at: int = 0,
         a, b = half != h, half == h
         if a.any() and b.any():
             raw[b] = BoostedTrees().fit(x[a], y[a]).raw(x[b])
-    return ToxicityModel(lexicon([0, 1]), BoostedTrees().fit(x, y), Isotonic().fit(raw, y), 0.0)
+    return ToxicityModel(lexicon("11"), BoostedTrees().fit(x, y), Isotonic().fit(raw, y), 0.0)
 
 
 def score_documents(docs: DataFrame, model: ToxicityModel, keep: list[str] | None = None) -> DataFrame:
