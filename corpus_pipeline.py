@@ -3,7 +3,7 @@
 Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept; :func:`run` writes every
 stage's result as Parquet to the shared folder and reads it back as the next one's documents. Classifiers learn
 from the training folds of ``labels`` among their own input's documents. Near-duplicates are texts whose five-word Jaccard
-similarity is 0.8 or more (exact, every link verified), and what such links connect.
+similarity is 0.8 or more (found by SimHash, every link verified exactly), and what such links connect.
 
 Defined results: null text counts as empty, null doc_ids are scored and kept like others (of a group
 of near-duplicates without any id one stays), repeated rows fall to one in the
@@ -13,44 +13,45 @@ stages but the last.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import jaccard, packing, quality, toxicity
-from tidemark.llm.common import scratch_path, table
+from tidemark.llm import packing, quality, similar, toxicity
+from tidemark.llm.common import materialize, maybe_among, scratch_path, table
 from tidemark.llm.token_encoder import default_path
 
 
+def _row(docs: DataFrame) -> Column:
+    """A document as one column, so that no column's name can clash with a stage's own."""
+    return F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), held_mod=5, held_at=0)
-    scored = toxicity.score_documents(docs.withColumnRenamed("score", "_score") if "score" in docs.columns else docs, model, _kept(docs))
-    return _restore(scored.where("score < 0.5").drop("score"), docs)
+    return toxicity.score_documents(docs.select("text", _row(docs)), model, ["row"]).where("score < 0.5").select("row.*")
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality.fit(docs, table(spark, sf_dir, "labels"), held_mod=4, held_at=2)
-    scored = quality.score_documents(docs.withColumnRenamed("score", "_score") if "score" in docs.columns else docs, model, _kept(docs))
-    return _restore(scored.where("score >= 0.7").drop("score"), docs)
-
-
-def _kept(docs: DataFrame) -> list[str]:
-    return ["_score" if c == "score" else c for c in docs.columns]
-
-
-def _restore(rows: DataFrame, docs: DataFrame) -> DataFrame:
-    return rows.withColumnRenamed("_score", "score").select(*docs.columns)
+    return quality.score_documents(docs.select("text", _row(docs)), model, ["row"]).where("score >= 0.7").select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each component of texts whose five-word Jaccard similarity is 0.8 or more: the least doc_id's."""
-    # ids only until the rows that stay are known; texts move once
-    key = [F.xxhash64(F.coalesce("text", F.lit(""))).alias("_node"), F.col("doc_id").isNull().alias("_none"), F.coalesce("doc_id", F.lit(0)).alias("_id")]
-    part = jaccard.components(docs).toDF("_node", "_c")
-    once = docs.select(*key).groupBy("_node").agg(F.min(F.struct("_none", "_id")).alias("_at"))
-    named = once.join(part, "_node", "left").select(F.coalesce("_c", "_node").alias("_c"), F.struct("_at._none", "_at._id", "_node").alias("_at"))
-    stay = named.groupBy("_c").agg(F.min("_at").alias("_at")).select("_at.*")
-    by = ["_node", "_none", "_id"]
-    return docs.select("*", *key).join(stay, by, "left_semi").dropDuplicates(by).select(*docs.columns)
+    key = [similar.node().alias("node"), F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).cast("long").alias("id")]
+    part = similar.components(docs)
+    # ids only until the rows that stay are known; of the texts only those of groups move
+    once = docs.select(*key).groupBy("node").agg(F.min(F.struct("none", "id")).alias("at"), F.count("*").alias("n"))
+    named = once.join(part, "node", "left").select(F.coalesce("component", "node").alias("c"), "node", "n", F.struct("at.none", "at.id", "node").alias("at"))
+    least = named.groupBy("c").agg(F.min("at").alias("at"), F.sum("n").alias("n"))
+    groups = materialize(named.select("c", "node").join(least.where("n > 1"), "c").select("node", (F.col("at.node") == F.col("node")).alias("first"), "at.none", "at.id"), "groups")
+    rows = docs.select(_row(docs), *key)
+    alone = maybe_among(rows, "node", groups, keep=False)
+    some = maybe_among(rows, "node", groups)
+    other = some.join(groups.select("node"), "node", "left_anti")
+    by = ["node", "none", "id"]
+    stay = some.join(groups.where("first").select(*by), by, "left_semi").dropDuplicates(by)
+    return alone.select("row").union(other.select("row")).union(stay.select("row")).select("row.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,8 +4,8 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from tests.llm.helpers import awkward, empty
-from tests.llm.test_near import slow_components, slow_simhash
+from tests.llm.helpers import AWKWARD, awkward, empty
+from tests.llm.test_similar import slow_heads
 from tidemark.llm import quality, toxicity
 from tidemark.llm.common import table
 
@@ -22,8 +22,7 @@ def test_stages_and_run(spark):
     left = spark.createDataFrame(rows, docs.schema)
     score = quality.fit(left, labels, 4, 2).score([r["text"] for r in rows])
     rows = [r for r, s in zip(rows, score, strict=True) if s >= 0.7]
-    root = slow_components([slow_simhash(r["text"]) for r in rows])
-    keep = {min(r["doc_id"] for r, x in zip(rows, root, strict=True) if x == c) for c in set(root)}
+    keep = slow_heads([(r["doc_id"], r["text"]) for r in rows])
     pieces = corpus_pipeline.run(spark, SF).collect()
     assert {p["doc_id"] for p in pieces} == keep
     for d in keep:
@@ -43,13 +42,15 @@ def test_clean_documents_stay_and_toxic_ones_go(spark):
 @pytest.mark.parametrize("stage", [s for _, s in corpus_pipeline.STAGES[:-1]])
 def test_awkward_tables(spark, stage):
     docs = awkward(spark)
+    for name in ("row", "_score", "_text", "node", "none", "id", "_word", "_bits", "half", "y"):
+        docs = docs.withColumn(name, docs["score"])
     got = stage(spark, docs, SF)
     assert got.columns == docs.columns and got.count() <= docs.count()
+    assert all(r["_word"] == 0.5 for r in got.collect())
     assert not stage(spark, empty(spark), SF).count()
 
 
 def test_one_of_each_group_stays(spark):
     got = corpus_pipeline.drop_near_duplicates(spark, awkward(spark), SF).collect()
-    texts = [r["text"] or "" for r in got]
-    assert sorted(r["doc_id"] for r in got if r["doc_id"] is not None)[:2] == [3, 7]
-    assert len({slow_simhash(t) for t in texts}) == len(texts) and any(r["doc_id"] is None for r in got)
+    assert sorted(r["doc_id"] for r in got if r["doc_id"] is not None) == sorted(slow_heads([(d, t or "") for d, t, _ in AWKWARD if d is not None]))
+    assert sum(r["doc_id"] is None for r in got) == 1

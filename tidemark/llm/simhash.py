@@ -19,6 +19,7 @@ none). Repeated rows give repeated results; an empty table gives none; other col
 from __future__ import annotations
 
 import itertools
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -31,23 +32,26 @@ BITS = 64
 NO_ID = 1 << 62  # nodes of fingerprints whose documents all lack an id start here
 
 
-def simhash(text: str, size: int = 4) -> int:
+def shingle_hashes(text: str, size: int) -> np.ndarray:
+    """XXH64 of every run of ``size`` words, repeats included; of all words where there are fewer, none without words."""
     import xxhash
 
     words = text.encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     line = b" ".join(words)
     if len(words) <= size:
-        h = np.array([xxhash.xxh64_intdigest(line, 42)], np.uint64)
-    else:
-        lens = np.fromiter(map(len, words), np.int64, len(words)) + 1
-        starts = np.concatenate([[0], np.cumsum(lens)])
-        view, digest = memoryview(line), xxhash.xxh64_intdigest
-        n = len(words) - size + 1
-        cuts = zip(starts[:n].tolist(), (starts[size:] - 1).tolist(), strict=True)
-        h = np.fromiter((digest(view[a:b], 42) for a, b in cuts), np.uint64, n)
-    # ones per bit, a slice at a time: whatever the length, a few megabytes
+        return np.array([xxhash.xxh64_intdigest(line, 42)], np.uint64)
+    lens = np.fromiter(map(len, words), np.int64, len(words)) + 1
+    starts = np.concatenate([[0], np.cumsum(lens)])
+    view, digest = memoryview(line), xxhash.xxh64_intdigest
+    n = len(words) - size + 1
+    cuts = zip(starts[:n].tolist(), (starts[size:] - 1).tolist(), strict=True)
+    return np.fromiter((digest(view[a:b], 42) for a, b in cuts), np.uint64, n)
+
+
+def majority(h: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes, counted a slice at a time: whatever their number, a few megabytes."""
     ones = np.zeros(BITS, np.int64)
     for at in range(0, len(h), 65536):
         bits = np.unpackbits(h[at : at + 65536].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -55,7 +59,11 @@ def simhash(text: str, size: int = 4) -> int:
     return int(sum(1 << b for b in np.flatnonzero(2 * ones > len(h)).tolist()))
 
 
-def _signed(v: int) -> int:
+def simhash(text: str, size: int = 4) -> int:
+    return majority(shingle_hashes(text, size))
+
+
+def signed(v: int) -> int:
     return v - (1 << BITS) if v >> (BITS - 1) else v
 
 
@@ -66,7 +74,7 @@ def fingerprints(docs: DataFrame, size: int = 4) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            fp = [_signed(simhash(t, size)) for t in batch.column(1).to_pylist()]
+            fp = [signed(simhash(t, size)) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp, pa.int64())], ["doc_id", "fp"])
 
     return docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, "doc_id long, fp long")
@@ -117,24 +125,36 @@ class _Forest:
 
 LEAF = 8  # node pairs of at most this many values a side are compared value by value
 FRONT = 200_000  # node pairs expanded at a time
+LEAF_PAIRS = 2_000_000  # values compared at a time
 
 
 def trie_links(values: np.ndarray, groups: np.ndarray, depth: int, budget: int) -> tuple[np.ndarray, np.ndarray]:
     """Spanning links of pairs within ``budget`` bits, among equal ``groups``.
 
-    ``values`` (unsigned, distinct within a group) are sorted by (group, value); bits above ``depth`` are equal
+    ``values`` (unsigned) are sorted by (group, value); bits above ``depth`` are equal
     within a group, so each group is one trie node at that depth. Returns positions.
     """
     forest = _Forest(len(values))
-    got_a, got_b = [], []
+    none = np.zeros(0, int)
     if not len(values):
-        return np.zeros(0, int), np.zeros(0, int)
+        return none, none
     edge = np.flatnonzero(np.diff(groups) != 0) + 1
     lo = np.concatenate([[0], edge])
     hi = np.concatenate([edge, [len(values)]])
-    many = hi - lo > 1
-    # a frame: node pair [alo, ahi) x [blo, bhi), both at bit ``at`` (next bit to branch on), err bits apart
-    stack = [(np.stack([lo, hi, lo, hi], axis=1)[many], np.full(int(many.sum()), depth, np.int64), np.zeros(int(many.sum()), np.int64))]
+    got = [forest.link(a, b) for a, b in trie_pairs(values, np.stack([lo, hi, lo, hi], axis=1), depth, budget)]
+    return (np.concatenate([a for a, _ in got]), np.concatenate([b for _, b in got])) if got else (none, none)
+
+
+def trie_pairs(values: np.ndarray, frames: np.ndarray, depth: int, budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions of all pairs within ``budget`` bits, in parts of bounded size.
+
+    A frame is a pair of trie nodes, the sorted ranges [alo, ahi) and [blo, bhi), equal above ``depth``: the same range twice
+    or two ranges of which the first comes before the second.
+    """
+    frames = frames[(frames[:, 1] > frames[:, 0]) & (frames[:, 3] > frames[:, 2])]
+    frames = frames[~((frames[:, 0] == frames[:, 2]) & (frames[:, 1] - frames[:, 0] == 1))]
+    # ``at``: the next bit to branch on; ``err``: bits in which the paths differ
+    stack = [(frames, np.full(len(frames), depth, np.int64), np.zeros(len(frames), np.int64))]
     while stack:
         node, at, err = stack.pop()
         if len(node) > FRONT:
@@ -143,10 +163,7 @@ def trie_links(values: np.ndarray, groups: np.ndarray, depth: int, budget: int)
         na, nb = node[:, 1] - node[:, 0], node[:, 3] - node[:, 2]
         small = ((na <= LEAF) & (nb <= LEAF)) | (at < 0)
         if small.any():
-            a, b = _leaf_links(values, node[small], budget)
-            a, b = forest.link(a, b)
-            got_a.append(a)
-            got_b.append(b)
+            yield from _leaf_pairs(values, node[small], budget)
         node, at, err = node[~small], at[~small], err[~small]
         if not len(node):
             continue
@@ -169,8 +186,6 @@ def trie_links(values: np.ndarray, groups: np.ndarray, depth: int, budget: int)
         kid = np.concatenate(kids)
         if len(kid):
             stack.append((kid, np.concatenate(ats), np.concatenate(errs)))
-    none = np.zeros(0, int)
-    return (np.concatenate(got_a), np.concatenate(got_b)) if got_a else (none, none)
 
 
 def _split(values: np.ndarray, lo: np.ndarray, hi: np.ndarray, bit: np.ndarray) -> np.ndarray:
@@ -187,22 +202,35 @@ def _split(values: np.ndarray, lo: np.ndarray, hi: np.ndarray, bit: np.ndarray)
         a = np.where(open_ & ~one, mid + 1, a)
 
 
-def _leaf_links(values: np.ndarray, node: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
-    out_a, out_b = [], []
+def _leaf_pairs(values: np.ndarray, node: np.ndarray, budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    size = (node[:, 1] - node[:, 0]) * (node[:, 3] - node[:, 2])
+    if size.max() > LEAF_PAIRS:  # many equal values: rows of the first range in slices
+        big = node[size > LEAF_PAIRS]
+        step = np.maximum(1, LEAF_PAIRS // (big[:, 3] - big[:, 2]))
+        for (a0, a1, b0, b1), k in zip(big.tolist(), step.tolist(), strict=True):
+            for lo in range(a0, a1, k):
+                for bo in range(b0, b1, LEAF_PAIRS):
+                    yield from _compare(values, np.array([[lo, min(a1, lo + k), bo, min(b1, bo + LEAF_PAIRS)]]), budget)
+        node, size = node[size <= LEAF_PAIRS], size[size <= LEAF_PAIRS]
+    at = 0
+    total = np.cumsum(size)
+    while at < len(node):
+        stop = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + LEAF_PAIRS, "right")))
+        yield from _compare(values, node[at:stop], budget)
+        at = stop
+
+
+def _compare(values: np.ndarray, node: np.ndarray, budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     na, nb = node[:, 1] - node[:, 0], node[:, 3] - node[:, 2]
-    step = max(1, 4_000_000 // max(1, int((na * nb).max())))
-    for at in range(0, len(node), step):
-        part, count = node[at : at + step], (na * nb)[at : at + step]
-        which = np.repeat(np.arange(len(part)), count)
-        k = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
-        width = nb[at : at + step][which]
-        a, b = part[which, 0] + k // width, part[which, 2] + k % width
-        ok = (a < b) if len(a) else np.zeros(0, bool)
-        a, b = a[ok], b[ok]
-        near = np.bitwise_count(values[a] ^ values[b]) <= budget
-        out_a.append(a[near])
-        out_b.append(b[near])
-    return np.concatenate(out_a), np.concatenate(out_b)
+    count = na * nb
+    which = np.repeat(np.arange(len(node)), count)
+    k = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
+    a, b = node[which, 0] + k // nb[which], node[which, 2] + k % nb[which]
+    ok = a < b
+    a, b = a[ok], b[ok]
+    near = np.bitwise_count(values[a] ^ values[b]) <= budget
+    if near.any():
+        yield a[near], b[near]
 
 
 def links(nodes: DataFrame, budget: int = 4) -> DataFrame:
