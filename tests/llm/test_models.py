@@ -95,7 +95,7 @@ def test_marginals_on_unseen_layouts(model):
 
 def test_messages_equal_enumeration(model):
     nodes, _ = html_extract.parse("<body><div class=ad><p>x</p></div><article><p>long text here</p><a href=x>y</a></article></body>")
-    feats = [html_extract.active(n) for n in nodes]
+    feats = [html_extract.active(n, {}) for n in nodes]
     n = len(nodes)
     mass = np.zeros(n)
     total = 0.0
@@ -122,6 +122,40 @@ def test_page_text(spark, model):
     assert not html_extract.extract_pages(rows.limit(0), model).count()
 
 
+SAID = ["The committee met on Tuesday to discuss the new harbour plan and its costs for the town.", "Several members asked whether the budget had been checked by an outside auditor.",
+        "A report from the engineers said that the old wall would need repairs within two years.", "Residents who spoke were mostly in favour, though some worried about noise."]
+PS = "".join(f"<p>{x}</p>" for x in SAID)
+MENU, FOOT = "<nav><a href=/>Home</a><a href=/n>News</a></nav>", "<footer>Copyright 2020 Town News</footer>"
+
+
+@pytest.mark.parametrize("page", [
+    f"<html><body><div>{PS}</div></body></html>", f"<html><body>{MENU}<div><h1>Plan</h1>{PS}</div>{FOOT}</body></html>", PS, "\n".join(SAID), f"<body>{PS}</body>", f"<body>{MENU}{PS}{FOOT}",
+    "<body>" + "".join(f"<div>{x}</div>" for x in SAID) + "</body>", "<body>" + "<br><br>".join(SAID), f"<div id=wrapper><div id=page><div>{PS}</div></div></div>",
+    f"<table><tr><td><a href=/>Home</a> <a href=/b>News</a></td><td><h2>Plan</h2>{PS}</td></tr></table>", f"<section><h2>Plan</h2>{PS}</section><aside><p>Read our other stories.</p></aside>",
+])
+def test_pages_written_by_hand(model, page):
+    """Layouts that no training page was composed from."""
+    got = model.text(page)
+    assert all(x in got for x in SAID) and "Home" not in got and "Copyright" not in got and "other stories" not in got
+
+
+def test_nothing_inside_an_article_is_dropped(model):
+    got = model.text(f"<article>{PS}<p>It is <math><mi>x</mi><mo>=</mo><mn>2</mn></math> here.</p><object data=a>Instead.</object></article>")
+    assert got == " ".join(SAID) + " It is x=2 here. Instead."
+    assert model.text("<html><body><article><p>Short note.</p></article></body></html>") == "Short note."
+
+
+@pytest.mark.parametrize("part", ["<div>|</span>", "<p><button>|<b>|<h1></h1>", "<a '", '<a "', "<p>", "<ul>|<li><b>", "<!--", "<", "&", "<a b='", "<div>|x|</div>"])
+def test_a_megabyte_of_broken_markup_takes_seconds(model, part):
+    import time
+
+    parts = part.split("|")
+    n = 1_000_000 // sum(map(len, parts))
+    at = time.process_time()
+    model.text("".join(p * n for p in parts) + ">")
+    assert time.process_time() - at < 40
+
+
 def test_given_pages(spark, model):
     """Every given page's article, cut out by its tags, equals the extracted text."""
     import html

@@ -88,7 +88,7 @@ def test_fingerprint_is_a_homomorphism():
 def test_fingerprint_slices_long_paragraphs(monkeypatch):
     text = "".join(chr(97 + i * 7 % 26) for i in range(3_000_000))
     lanes = fingerprint._windows(np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.uint64))
-    assert (fingerprint.vector(text)[1] == (lanes & 0xFFFF).astype(np.uint16)).all()
+    assert (fingerprint.vector(text)[1] == lanes.astype(np.uint32)).all()
 
 
 @pytest.mark.parametrize("bucket_rows", [1, 3, 1000])
@@ -111,29 +111,142 @@ def test_likeness_separates_edits_from_neighbours(spark):
     assert np.mean([r["near_edited"] > r["near_next"] for r in rows]) > 0.85
 
 
+def slow_likeness(a, b):
+    """Cosine of the counts of all windows of all paragraphs."""
+    from collections import Counter
+
+    def windows(t):
+        out = Counter()
+        for p in filter(None, (x.strip() for x in t.split("\n"))):
+            out.update(p[i : i + fingerprint.GRAM] for i in range(len(p)))
+        return out
+
+    x, y = windows(a), windows(b)
+    norm = (sum(v * v for v in x.values()) * sum(v * v for v in y.values())) ** 0.5
+    return sum(v * y[k] for k, v in x.items()) / norm if norm else float(x == y)
+
+
+def test_likeness_of_long_repetitive_texts():
+    f = fingerprint.vector
+    assert fingerprint.likeness(f("a" * 32_770), f("a" * 32_790)) > 0.999
+    assert fingerprint.likeness(f("ab" * 50_000), f("ab" * 90_000)) > 0.999
+    assert fingerprint.likeness(f("ab" * 50_000), f("xy" * 50_000)) < 0.2
+
+
+def test_likeness_equals_brute_force_within_its_error(spark):
+    rows = fingerprint.edited_likeness(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")).collect()
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    order = sorted(texts, reverse=True)
+    after = {d: order[(i + 1) % len(order)] for i, d in enumerate(order)}
+    off = []
+    for r in rows:
+        mine, following = texts[r["doc_id"]], texts[after[r["doc_id"]]]
+        off.append(r["near_next"] - slow_likeness(mine, following))
+        off.append(r["near_edited"] - slow_likeness(mine, fingerprint.edited(mine, following)))
+    assert np.sqrt(np.mean(np.square(off))) < 0.08 and np.max(np.abs(off)) < 0.35
+
+
 def tone(notes, rate=audio.RATE):
     t = np.arange(rate // 4) / rate
     wave = np.concatenate([np.sin(2 * np.pi * 220 * 2 ** (n / 12) * t) for n in notes])
     return (128 + 100 * wave).astype(np.uint8).tobytes()
 
 
+def slow_align(a, b):
+    """(votes, offset) by counting, for every offset, the distinct integers that agree."""
+    found = {}
+    for i, x in enumerate(a.tolist()):
+        for j, y in enumerate(b.tolist()):
+            if x == y:
+                found.setdefault(i - j, set()).add(x)
+    votes = max(map(len, found.values()), default=0)
+    return votes, min((o for o, v in found.items() if len(v) == votes), key=lambda o: (abs(o), o), default=0)
+
+
+def slow_run(a, b, offset):
+    """(bit error, length) of the stretch of least summed excess error, over all stretches."""
+    wrong = {j: bin(int(a[j + offset]) ^ int(b[j])).count("1") / 32 for j in range(len(b)) if 0 <= j + offset < len(a)}
+    js, best = sorted(wrong), (1e-12, 1.0, 0)
+    for x in range(len(js)):
+        gain = 0.0
+        for y in range(x, len(js)):
+            gain += audio.EXPECTED - wrong[js[y]]
+            if gain > best[0] + 1e-12:
+                best = (gain, sum(wrong[js[k]] for k in range(x, y + 1)) / (y + 1 - x), y + 1 - x)
+    return best[1:]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_audio_votes_and_runs_equal_brute_force(seed):
+    r = np.random.default_rng(seed)
+    a, b = r.integers(0, 5, 60).astype(np.uint32), r.integers(0, 9, 45).astype(np.uint32)
+    a[20:35] = r.integers(0, 2**32, 15)
+    b[5:20] = a[20:35] ^ (np.uint32(1) << r.integers(0, 32, 15).astype(np.uint32)) * (r.random(15) < 0.4)
+    offset, votes, error, run = audio.align(a, b)
+    assert (votes, offset) == slow_align(a, b)
+    want = slow_run(a, b, offset)
+    assert error == pytest.approx(want[0]) and run == want[1]
+
+
 def test_audio_alignment(spark):
     r = np.random.default_rng(3)
-    song = r.integers(0, 24, 40).tolist()
-    a, b, c = tone(song), tone(song[8:]), tone(r.integers(0, 24, 40).tolist())
-    offset, votes, error, overlap = audio.align(audio.fingerprint(a), audio.fingerprint(b))
-    assert abs(offset - 8 * (audio.RATE // 4) / audio.HOP) <= 1 and error < 0.1 and votes > 50 and overlap > 100
-    assert audio.align(audio.fingerprint(a), audio.fingerprint(c))[2] > 0.2
-    rows = [(1, a), (2, b), (3, c), (4, a), (5, b""), (6, None), (None, c)]
-    got = {x["doc_id"]: x for x in audio.align_recordings(spark.createDataFrame(rows, "doc_id long, pcm binary")).collect()}
-    assert got[4]["class_id"] == 1 and got[5]["class_id"] == got[6]["class_id"] == 5 and got[None]["class_id"] == 3
-    assert got[2]["matched"] and got[2]["ref_id"] == 1 and not got[3]["matched"]
-    assert not audio.align_recordings(spark.createDataFrame([], "doc_id long, pcm binary")).count()
-
-
-def test_audio_votes_equal_brute_force():
-    r = np.random.default_rng(0)
-    a, b = r.integers(0, 5, 40).astype(np.uint32), r.integers(0, 5, 25).astype(np.uint32)
-    votes = {o: sum(a[i + o] == b[i] for i in range(25) if 0 <= i + o < 40) for o in range(-24, 40)}
-    best = max(votes.values())
-    assert audio.align(a, b)[:2] == (min((o for o, v in votes.items() if v == best), key=lambda o: (abs(o), o)), best)
+    song, other = r.integers(0, 24, 40).tolist(), r.integers(0, 24, 40).tolist()
+    a, b, c = tone(song), tone(song[8:]), tone(other)
+    quiet = bytes([128]) * 40_000
+    # 500 and 600 share only a passage of two long recordings, off the frame grid; silence joins nothing
+    d, e = quiet + tone(other[:20])[:40_000], tone(song[:6])[77:] + tone(other[:20])[:40_000] + quiet
+    rows = [(100, a), (2, b), (300, c), (400, a), (500, d), (6, e), (700, b""), (8, None), (900, quiet), (10, quiet + b"x"), (None, c), (100, a)]
+    docs = spark.createDataFrame([(i, x, 1, [2]) for i, x in rows], "doc_id long, pcm binary, votes int, prints array<int>")
+    got = audio.align_recordings(docs).collect()
+    links = {(x["doc_id"], x["ref_id"]) for x in got}
+    assert sum(x["doc_id"] == 100 for x in got) == 2 * len({k for k in links if k[0] == 100})
+    assert {(100, 2), (400, 2), (500, 6)} <= links and not any(900 in k and None not in k for k in links)
+    one = next(x for x in got if (x["doc_id"], x["ref_id"]) == (100, 2))
+    assert abs(one["offset"] - 8 * (audio.RATE // 4) / audio.HOP) <= 1 and one["bit_error"] < 0.1 and one["votes"] >= 20 and one["members"] == 3 and one["class_id"] == 100
+    assert next(x for x in got if x["doc_id"] == 700)["members"] == 2 and (700, None) in links
+    # against all pairs
+    prints = {i: audio.fingerprint(x or b"") for i, x in rows}
+    for i, x in dict(rows).items():
+        if i is not None and i % 100 == 0:
+            for j, y in prints.items():
+                if j is not None and y.tobytes() != prints[i].tobytes():
+                    want = audio.matches(*audio.best_phase(audio.phases_of(x or b""), y)[1:4])
+                    least = min(k for k, z in prints.items() if k is not None and z.tobytes() == y.tobytes())
+                    assert want == ((i, least) in links), (i, j)
+    assert not audio.align_recordings(docs.limit(0)).count()
+
+
+def test_audio_search_on_documents_equals_all_pairs(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = {(r["doc_id"], r["ref_id"], r["offset"], r["votes"]) for r in audio.align_recordings(audio.text_recordings(docs)).where("ref_id IS NOT NULL").collect()}
+    rows = {r["doc_id"]: (r["text"] or "").encode() for r in docs.collect()}
+    prints, least = {}, {}
+    for d in sorted(rows):
+        p = audio.fingerprint(rows[d])
+        least.setdefault(p.tobytes(), d)
+        prints[d] = p
+    want = set()
+    for q in (d for d in rows if d % 100 == 0 and len(prints[d])):
+        phases = audio.phases_of(rows[q])
+        for k, d in least.items():
+            if k and k != prints[q].tobytes():
+                found = audio.best_phase(phases, prints[d])
+                if audio.matches(*found[1:4]):
+                    want.add((q, d, found[0], found[1]))
+    assert got == want
+
+
+def test_audio_recall_of_planted_passages():
+    r = np.random.default_rng(1)
+    import pyarrow.parquet as pq
+
+    texts = [x.encode() for x in pq.read_table("/root/testdata/sf0.01/documents.parquet")["text"].to_pylist() if x and len(x) > 9000]
+    found, wrong = [], []
+    for _ in range(40):
+        i, j, k = r.choice(len(texts), 3, replace=False)
+        at = int(r.integers(0, len(texts[i]) - 6000))
+        host = texts[j][: int(r.integers(100, 5000))] + texts[i][at : at + 6000] + texts[k][: int(r.integers(0, 3000))]
+        phases = audio.phases_of(texts[i])
+        found.append(audio.matches(*audio.best_phase(phases, audio.fingerprint(host))[1:4]))
+        wrong.append(audio.matches(*audio.best_phase(phases, audio.fingerprint(texts[k]))[1:4]))
+    assert np.mean(found) >= 0.9 and np.mean(wrong) <= 0.05

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tests.llm.helpers import AWKWARD, awkward, empty
 from tidemark.llm import packing, sentencepiece_codec, token_orc
@@ -80,13 +81,69 @@ def test_sentencepiece_parity_and_round_trip():
         assert parity
 
 
-def test_unigram_models_are_rebuilt():
-    def field(n, v):
-        if isinstance(v, int):
-            return bytes([n << 3, v])
-        v = v if isinstance(v, bytes) else v.encode()
-        return bytes([n << 3 | 2, len(v)]) + v
+def field(n, v):
+    """One protobuf field: a small integer or bytes."""
+    if isinstance(v, int):
+        return bytes([n << 3, v])
+    v = v if isinstance(v, bytes) else v.encode()
+    size, out = len(v), bytearray()
+    while True:
+        out.append(size & 127 | (128 if size > 127 else 0))
+        size >>= 7
+        if not size:
+            return bytes([n << 3 | 2, *out]) + v
+
+
+def test_unigram_model_of_32000_pieces(tmp_path):
+    import math
+    import struct
+
+    import sentencepiece
+
+    with open(sentencepiece_codec.default_path(), "rb") as f:
+        merge = sentencepiece_codec.Model(f.read())
+    # the given pieces as a unigram model: scores fall with the rank, so that whole words win
+    rows = [(p, -math.log(i + 2.5) - 3 if k == sentencepiece_codec.NORMAL else 0.0, k) for i, (p, _, k) in enumerate(merge.pieces)]
+    data = b"".join(field(1, field(1, p) + bytes([2 << 3 | 5]) + struct.pack("<f", x) + field(3, k)) for p, x, k in rows)
+    data += field(2, field(3, sentencepiece_codec.UNIGRAM) + bytes([0x98, 0x02, 1])) + field(3, field(3, 1) + field(4, 0) + field(5, 1))
+    path = tmp_path / "unigram.model"
+    path.write_bytes(data)
+    codec, lib = sentencepiece_codec.Codec(str(path)), sentencepiece.SentencePieceProcessor(model_file=str(path))
+    assert codec.model.type == sentencepiece_codec.UNIGRAM and codec.model.byte_fallback and codec.model.cuttable
+    import pyarrow.parquet as pq
+
+    # words of letters: the library's single-precision sums decide exact ties, such as ** * and * **, by what stands before them
+    words = dict.fromkeys(x for t in pq.read_table("/root/testdata/sf0.001/documents.parquet")["text"].to_pylist() for x in (t or "").split() if x.isalpha())
+    texts = [*TEXTS, *list(words)[:6000]]
+    for x, (ids, parity) in zip(texts, codec.encode_batch(texts), strict=True):
+        ids = np.frombuffer(ids, "<u4").tolist()
+        same = parity and ids == lib.encode(x) and codec.decode(ids) == lib.decode(ids) == x
+        assert same, x[:100]
+    sentencepiece_codec.require_parity(str(path), texts)
 
+
+def test_parity_fails_loudly(monkeypatch):
+    path = sentencepiece_codec.default_path()
+    texts = ["one two", "three"]
+    sentencepiece_codec.require_parity(path, texts)
+    c = sentencepiece_codec.codec(path)
+    monkeypatch.setattr(c, "library", type("Other", (), {"encode": staticmethod(lambda t: [5])})())
+    assert [p for _, p in c.forget().encode_batch(texts)] == [False, False]
+    with pytest.raises(ValueError):
+        sentencepiece_codec.require_parity(path, texts)
+    monkeypatch.undo()
+    c.forget()
+
+
+def test_unit_memo_is_bounded(monkeypatch):
+    monkeypatch.setattr(sentencepiece_codec, "MEMO_BYTES", 20_000)
+    c = sentencepiece_codec.Codec(sentencepiece_codec.default_path())
+    for k in range(20):
+        (ids, ok), = c.encode_batch([" ".join(f"w{k}x{j}" for j in range(50))])
+        assert ok and c.size < 60_000 and c.decode(np.frombuffer(ids, "<u4")).startswith(f"w{k}x0")
+
+
+def test_unigram_models_are_rebuilt():
     import struct
 
     def piece(p, score, kind=1):
@@ -102,7 +159,9 @@ def test_codec_report_and_interface(spark):
     path = sentencepiece_codec.default_path()
     got = sentencepiece_codec.codec_report(awkward(spark), path).collect()
     assert len(got) == len(AWKWARD) and all(r["round_trip"] and r["parity"] for r in got)
-    rows = sentencepiece_codec.encode_documents(awkward(spark), path)
+    docs = awkward(spark).withColumn("_text", F.lit("mine")).withColumn("row", F.lit(3)).withColumn("parity", F.lit("x"))
+    rows = sentencepiece_codec.encode_documents(docs, path)
+    assert {(r["_text"], r["row"]) for r in rows.collect()} == {("mine", 3)}
     back = sentencepiece_codec.decode_documents(rows, path).collect()
     assert all(r["decoded"] == (r["text"] or "") for r in back)
     assert not sentencepiece_codec.codec_report(empty(spark), path).count()

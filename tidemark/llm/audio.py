@@ -1,33 +1,40 @@
-"""Audio fingerprints of media columns by chroma, and the alignment of recordings.
+"""Audio fingerprints of media columns by chroma, and the search for recordings that share a passage.
 
 A recording is a binary column of unsigned 8-bit mono PCM. Overlapping frames are transformed, their energy is folded
 into twelve pitch classes, and an integral image over (time, pitch class) lets sixteen rectangle filters be read in a
 few additions each. Every filter answer is put into one of four levels (two Gray-coded bits), so a frame position gives
-one packed 32-bit integer. Two recordings are aligned by the histogram of position offsets of equal integers; at the
-best offset the share of differing bits over the overlap is their error.
+one packed 32-bit integer.
 
-Search for partners is by anchors: a recording's smallest integer hashes under ``ANCHORS`` hash functions. Each anchor
-names its least recording, and a recording is compared with the one of them that shares most of its anchors. So a group
-of copies costs one comparison a member and is never held in one place. Identical fingerprints are collapsed first; a
-partner that shares no anchor is not found.
+Two recordings are aligned by the histogram of position offsets of equal integers, each distinct integer counting once an
+offset (a held tone or silence proves no time). At the best offset, bits are compared along the run of positions that agree
+best; they match where ``VOTES`` integers or more agree and the run has ``LEAST_RUN`` positions or more of which at most
+``MAX_ERROR`` of the bits differ. So a short passage inside two long recordings is found.
+
+The search compares the recordings of a query set with all recordings. A query is fingerprinted at ``PHASES`` shifts within a
+hop, as a passage seldom begins on the other recording's frame grid. Equal fingerprints form a class and are searched once.
+Candidates come from a join on the integers themselves: a match needs ``VOTES`` distinct common integers, so it shares one
+besides the ``VOTES - 1`` that most recordings have. Leaving those out loses no match, and an integer as frequent as silence
+joins nothing. Every candidate is aligned.
 
 The given tables hold no sound, so the registered query renders each document: its UTF-8 bytes are the samples.
 
-Defined results: null and empty recordings, and those under one frame, have no integers, no reference and the id of the
-least such recording as their class; equal fingerprints share a class (the least doc_id); null doc_ids take part but
-are never a reference; an empty table gives no rows; extra columns are ignored.
+Defined results: null and empty recordings, and those under one span of frames, have no integers and match nothing; they are
+one class. A class is known by its least doc_id (null where no member has one). A query that matches nothing has one row with
+null partner columns; repeated queries give repeated rows; an empty table gives none; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialize
 
 RATE, FRAME, HOP, SPAN = 8000, 1024, 256, 16
-ANCHORS, MAX_ERROR, LEAST_OVERLAP = 16, 0.2, 8
+VOTES, LEAST_RUN, MAX_ERROR, PHASES = 4, 8, 0.2, 4
+EXPECTED = 0.25  # share of differing bits up to which a position lengthens a run
+QUERY = "doc_id % 100 = 0"
 BLOCK = 1024  # frames transformed at a time
 #: (shape, first pitch class, classes, frames): what each filter subtracts from what, within a span of SPAN frames
 FILTERS = [(s, y, h, w) for s, h, w in ((0, 4, 15), (1, 4, 14), (2, 4, 10), (3, 3, 16)) for y in (0, 3, 6, 8)]
@@ -92,38 +99,52 @@ def fingerprint(pcm: bytes) -> np.ndarray:
     return out
 
 
+def offset_votes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Distinct integers that agree at each offset, from -(len(b) - 1) on: a[i + offset] meets b[i]."""
+    votes = np.zeros(len(a) + len(b) - 1, np.int64)
+    oa, ob = np.argsort(a, kind="stable"), np.argsort(b, kind="stable")
+    common = np.intersect1d(a, b)
+    la, ha = np.searchsorted(a[oa], common, "left"), np.searchsorted(a[oa], common, "right")
+    lb, hb = np.searchsorted(b[ob], common, "left"), np.searchsorted(b[ob], common, "right")
+    once = (ha - la == 1) & (hb - lb == 1)
+    np.add.at(votes, oa[la[once]] - ob[lb[once]] + len(b) - 1, 1)
+    for k in np.flatnonzero(~once).tolist():
+        at, bt = oa[la[k] : ha[k]], ob[lb[k] : hb[k]]
+        seen = np.zeros(len(votes), bool)
+        for i in (at if len(at) <= len(bt) else bt).tolist():  # a repeat costs its rarer side
+            seen[(i - bt if len(at) <= len(bt) else at - i) + len(b) - 1] = True
+        votes += seen
+    return votes
+
+
 def align(a: np.ndarray, b: np.ndarray) -> tuple[int, int, float, int]:
-    """(offset, votes, bit error, overlap): a[i + offset] meets b[i]; ties of votes go to the offset nearest zero."""
+    """(offset, votes, bit error, run): a[i + offset] meets b[i]; ties of votes go to the offset nearest zero.
+
+    The run is the stretch at that offset whose positions' bit errors, less ``EXPECTED``, have the least sum.
+    """
     if not len(a) or not len(b):
         return 0, 0, 1.0, 0
-    order = np.argsort(a, kind="stable")
-    lo, hi = np.searchsorted(a[order], b, "left"), np.searchsorted(a[order], b, "right")
-    votes = np.zeros(len(a) + len(b) - 1, np.int64)
-    step = 1 << 14
-    for at in range(0, len(b), step):  # repeats vote in bounded slices
-        n = (hi - lo)[at : at + step]
-        for reach in range(int(n.max(initial=0))):
-            live = np.flatnonzero(n > reach)
-            np.add.at(votes, order[lo[at + live] + reach] - (at + live) + len(b) - 1, 1)
-    best = np.flatnonzero(votes == votes.max())
-    offset = int(min(best - (len(b) - 1), key=lambda o: (abs(o), o)))
+    votes = offset_votes(a, b)
+    best = np.flatnonzero(votes == votes.max()) - (len(b) - 1)
+    offset = int(min(best.tolist(), key=lambda o: (abs(o), o)))
     s = max(0, -offset)
     n = min(len(b) - s, len(a) - s - offset)
-    wrong = int(np.bitwise_count(a[s + offset : s + offset + n] ^ b[s : s + n]).sum())
-    return offset, int(votes.max()), wrong / (32 * n), n
-
-
-def anchors(prints: np.ndarray) -> list[int]:
-    """For each of ``ANCHORS`` hash functions the smallest hash of the integers."""
-    if not len(prints):
-        return []
-    v = np.unique(prints).astype(np.uint64)
-    out = []
-    for k in range(ANCHORS):
-        h = (v + np.uint64(k + 1)) * np.uint64(0xFF51AFD7ED558CCD + 2 * k)
-        h ^= h >> np.uint64(33)
-        out.append(int((h * np.uint64(0xC4CEB9FE1A85EC53)).min().view(np.int64)))
-    return out
+    wrong = np.bitwise_count(a[s + offset : s + offset + n] ^ b[s : s + n]) / 32
+    gain = np.concatenate([[0.0], np.cumsum(EXPECTED - wrong)])
+    low = np.minimum.accumulate(gain)
+    stop = int((gain - low).argmax())
+    start = int(np.flatnonzero(gain[: stop + 1] == low[stop])[-1])
+    return offset, int(votes.max()), float(wrong[start:stop].mean()) if stop > start else 1.0, stop - start
+
+
+def matches(votes: int, error: float, run: int) -> bool:
+    return votes >= VOTES and run >= LEAST_RUN and error <= MAX_ERROR
+
+
+def best_phase(phases: list[np.ndarray], ref: np.ndarray) -> tuple[int, int, float, int, int]:
+    """The alignment of most votes over a query's phases: (offset, votes, bit error, run, phase)."""
+    found = [(*align(p, ref), k) for k, p in enumerate(phases)]
+    return max(found, key=lambda x: (matches(*x[1:4]), x[1], -x[2], -x[4]), default=(0, 0, 1.0, 0, 0))
 
 
 def text_recordings(docs: DataFrame) -> DataFrame:
@@ -131,54 +152,67 @@ def text_recordings(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).cast("binary").alias("pcm"))
 
 
-def fingerprint_recordings(recordings: DataFrame, pcm_col: str = "pcm") -> DataFrame:
-    """(doc_id, prints array<int>, anchors array<long>, print_hash): one pass, no shuffle."""
-
-    def run(frames):
-        import hashlib
-
-        import pandas as pd
+def phases_of(pcm: bytes) -> list[np.ndarray]:
+    """Fingerprints of a query, shifted by fractions of a hop."""
+    return [fingerprint(pcm[k * HOP // PHASES :]) for k in range(PHASES)]
 
-        for pdf in frames:
-            prints = [fingerprint(p) for p in pdf["pcm"]]
-            yield pd.DataFrame({
-                "doc_id": pdf["doc_id"], "prints": [p.view(np.int32) for p in prints], "anchors": [anchors(p) for p in prints],
-                "print_hash": [hashlib.blake2b(p.tobytes(), digest_size=16).hexdigest() for p in prints],
-            })
 
-    return recordings.select("doc_id", F.coalesce(F.col(pcm_col), F.lit(b"")).alias("pcm")).mapInPandas(
-        run, "doc_id long, prints array<int>, anchors array<long>, print_hash string"
-    )
+def fingerprint_recordings(recordings: DataFrame, pcm_col: str = "pcm", query: str = QUERY) -> DataFrame:
+    """(doc_id, prints array<int>, print_hash, phases array<array<int>>): one pass, no shuffle; phases of queries only (else null)."""
 
+    def run(batches):
+        import hashlib
 
-def align_recordings(recordings: DataFrame) -> DataFrame:
-    """Per recording: doc_id, n_prints, print_hash, class_id, ref_id, offset, votes, bit_error, overlap, matched."""
-    prints = materialize(fingerprint_recordings(recordings), "prints")
-    # one representative for equal fingerprints
-    classes = materialize(prints.groupBy("print_hash").agg(F.min("doc_id").alias("class_id")), "classes")
-    heads = materialize(
-        prints.join(classes.where("class_id IS NOT NULL").select(F.col("class_id").alias("doc_id"), F.col("print_hash").alias("own")), "doc_id")
-        .where("print_hash = own").dropDuplicates(["print_hash"]).select("doc_id", "print_hash", "prints", "anchors"), "heads"
-    )
-    marks = heads.select("doc_id", F.posexplode("anchors").alias("band", "anchor"))
-    least = marks.groupBy("band", "anchor").agg(F.min("doc_id").alias("ref_id"))
-    shared = marks.join(least, ["band", "anchor"]).where("ref_id < doc_id").groupBy("doc_id", "ref_id").agg(F.count("*").alias("n"))
-    pairs = shared.groupBy("doc_id").agg(F.max_by("ref_id", F.struct("n", -F.col("ref_id"))).alias("ref_id"))
-    held = heads.select("doc_id", "prints")
-    both = pairs.join(held, "doc_id").join(held.select(F.col("doc_id").alias("ref_id"), F.col("prints").alias("ref_prints")), "ref_id")
-
-    def run(frames):
-        import pandas as pd
-
-        for pdf in frames:
-            got = [align(np.asarray(a, np.int32).view(np.uint32), np.asarray(b, np.int32).view(np.uint32)) for a, b in zip(pdf["prints"], pdf["ref_prints"], strict=True)]
-            out = pd.DataFrame(got, columns=["offset", "votes", "bit_error", "overlap"])
-            yield pd.concat([pdf[["doc_id", "ref_id"]].reset_index(drop=True), out], axis=1)
-
-    aligned = both.mapInPandas(run, "doc_id long, ref_id long, offset long, votes long, bit_error double, overlap long")
-    found = classes.join(aligned.withColumnRenamed("doc_id", "class_id"), "class_id", "left")
-    matched = F.coalesce((F.col("bit_error") <= MAX_ERROR) & (F.col("overlap") >= LEAST_OVERLAP), F.lit(False))
-    found = found.withColumn("matched", matched)
-    return prints.select("doc_id", F.size("prints").cast("long").alias("n_prints"), "print_hash").join(found, "print_hash").select(
-        "doc_id", "n_prints", "print_hash", "class_id", "ref_id", "offset", "votes", "bit_error", "overlap", "matched"
+        import pyarrow as pa
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                pcm, asked = part.column(1).to_pylist(), part.column(2).to_pylist()
+                prints = [fingerprint(p) for p in pcm]
+                phases = [[x.view(np.int32).tolist() for x in phases_of(p)] if q else None for p, q in zip(pcm, asked, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([p.view(np.int32) for p in prints], pa.list_(pa.int32())), pa.array([hashlib.blake2b(p.tobytes(), digest_size=16).hexdigest() for p in prints]),
+                     pa.array(phases, pa.list_(pa.list_(pa.int32())))], ["doc_id", "prints", "print_hash", "phases"])
+
+    rows = recordings.select(F.col("doc_id").cast("long"), F.coalesce(F.col(pcm_col), F.lit(b"")).alias("pcm"), F.coalesce(F.expr(query), F.lit(False)).alias("asked"))
+    return rows.mapInArrow(run, "doc_id long, prints array<int>, print_hash string, phases array<array<int>>")
+
+
+def align_recordings(recordings: DataFrame, query: str = QUERY) -> DataFrame:
+    """Per query recording and class of recordings that share a passage with it.
+
+    Columns: doc_id, n_prints, print_hash, class_id, members (of the query's class), ref_id, ref_members (of the matched
+    class), offset, votes, bit_error, run, phase.
+    """
+    prints = materialize(fingerprint_recordings(recordings, query=query), "prints")
+    classes = materialize(prints.groupBy("print_hash").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("members"), F.first("prints").alias("prints")), "classes")
+    asked = prints.where("phases IS NOT NULL")
+    queries = materialize(asked.groupBy("print_hash").agg(F.first("phases").alias("phases")), "queries")
+    postings = classes.select(F.col("print_hash").alias("ref"), F.explode(F.array_distinct("prints")).alias("h"))
+    mine = queries.select("print_hash", F.posexplode("phases").alias("phase", "one")).select("print_hash", "phase", F.explode(F.array_distinct("one")).alias("h"))
+    often = postings.groupBy("h").agg(F.count("*").alias("n"))
+    rank = F.row_number().over(Window.partitionBy("print_hash", "phase").orderBy(F.desc("n"), "h"))
+    rare = mine.join(often, "h").withColumn("rank", rank).where(F.col("rank") >= VOTES).select("print_hash", "h").distinct()
+    pairs = rare.join(postings, "h").where("print_hash <> ref").select("print_hash", "ref").distinct()
+    both = pairs.join(queries, "print_hash").join(classes.select(F.col("print_hash").alias("ref"), "prints"), "ref").select("print_hash", "ref", "phases", "prints")
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            rows = []
+            for q, ref, phases, other in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+                found = best_phase([np.array(p, np.int32).view(np.uint32) for p in phases], np.array(other, np.int32).view(np.uint32))
+                if matches(*found[1:4]):
+                    rows.append((q, ref, *found))
+            cols = list(zip(*rows, strict=True)) or [[]] * 7
+            types = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["print_hash", "ref", "offset", "votes", "bit_error", "run", "phase"])
+
+    aligned = materialize(both.mapInArrow(run, "print_hash string, ref string, offset long, votes long, bit_error double, run long, phase long"), "aligned")
+    named = aligned.join(classes.select(F.col("print_hash").alias("ref"), F.col("class_id").alias("ref_id"), F.col("members").alias("ref_members")), "ref").drop("ref")
+    own = asked.select("doc_id", F.size("prints").cast("long").alias("n_prints"), "print_hash")
+    return own.join(classes.select("print_hash", "class_id", "members"), "print_hash").join(named, "print_hash", "left").select(
+        "doc_id", "n_prints", "print_hash", "class_id", "members", "ref_id", "ref_members", "offset", "votes", "bit_error", "run", "phase"
     )

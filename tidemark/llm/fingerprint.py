@@ -3,8 +3,8 @@
 A paragraph (a line that is not blank, without outer white space) becomes a vector of two parts:
 
 * ``WIDE`` lanes of 64 bits from SHAKE-128 of its UTF-8 text, added modulo 2**64. Equal sums mean equal multisets.
-* ``LANES`` lanes of 16 bits, added modulo 2**16: each of its overlapping ``GRAM``-character windows adds +1 or
-  -1 to one lane. The cosine of two such sums estimates the share of windows two documents have in common.
+* ``LANES`` lanes of 32 bits, added modulo 2**32 (more than a text has windows): each of its overlapping
+  ``GRAM``-character windows adds +1 or -1 to one lane. The cosine of two such sums estimates the share of windows two documents have in common.
 
 Both parts are sums, so a fingerprint ignores paragraph order, and a paragraph is inserted or deleted by adding or
 subtracting its vector (:func:`insert`, :func:`delete`). Written as lower-case hex, wide part first.
@@ -57,7 +57,7 @@ def vector(text: str) -> tuple[np.ndarray, np.ndarray]:
     wide = np.zeros(WIDE, np.uint64)
     parts = [p for p in (line.strip() for line in text.split("\n")) if p]
     if not parts:
-        return wide, np.zeros(LANES, np.uint16)
+        return wide, np.zeros(LANES, np.uint32)
     raw = b"".join([hashlib.shake_128(p.encode("utf-8", "surrogatepass")).digest(8 * WIDE) for p in parts])
     wide = np.frombuffer(raw, "<u8").reshape(-1, WIDE).sum(axis=0, dtype=np.uint64)
     lanes = np.zeros(LANES, np.int64)
@@ -79,7 +79,7 @@ def vector(text: str) -> tuple[np.ndarray, np.ndarray]:
             got = got - _windows(piece[stop - at :])
         lanes += got
         at = stop
-    return wide, (lanes & 0xFFFF).astype(np.uint16)
+    return wide, lanes.astype(np.uint32)
 
 
 def insert(a, b):
@@ -92,14 +92,14 @@ def delete(a, b):
 
 
 def to_hex(v) -> str:
-    return v[0].astype("<u8").tobytes().hex() + v[1].astype("<u2").tobytes().hex()
+    return v[0].astype("<u8").tobytes().hex() + v[1].astype("<u4").tobytes().hex()
 
 
 def likeness(a, b) -> float:
     """1 for equal fingerprints, else the clipped cosine of the lane sums."""
     if (a[0] == b[0]).all() and (a[1] == b[1]).all():
         return 1.0
-    x, y = a[1].view(np.int16).astype(float), b[1].view(np.int16).astype(float)
+    x, y = a[1].view(np.int32).astype(float), b[1].view(np.int32).astype(float)
     norm = float(np.sqrt((x @ x) * (y @ y)))
     return 0.0 if norm == 0 else float(min(1.0, max(0.0, (x @ y) / norm)))
 

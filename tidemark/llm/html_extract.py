@@ -1,15 +1,16 @@
 """Main text of web pages by a tree-structured graphical model over the DOM.
 
 Every element is a binary variable (content or not). Unary potentials come from its tag, the words of its class, id and
-role, its text length and link density; pairwise potentials tie it to its parent, by the kind of child. Sum-product
+role, the length of its text and of the part that stands directly in it, its link density, and its paragraphs and headings; pairwise potentials tie it to its parent, by the kind of child. Sum-product
 messages pass upward and then downward, which gives each element's exact content marginal. Weights are fitted by
 gradient ascent on the likelihood of labelled pages (:mod:`tidemark.llm.html_pages`), with the same messages. Text whose
 element has a marginal of at least one half is kept.
 
 Output text: character references decoded, white space runs inside a block one space, trimmed, blocks in page order
 joined by one space. Defined results: null and empty html give empty text, broken markup is repaired the way
-browsers do in the common cases (unclosed elements, stray end tags), repeated rows and extra columns do no harm, an
-empty table gives no rows. Script, style and similar raw content is never text.
+browsers do in the common cases (unclosed elements, stray end tags; elements nested deeper than ``DEPTH`` count as part of
+the one at that depth), repeated rows and extra columns do no harm, an empty table gives no rows. A page without any markup
+is one block of text. Script, style and similar raw content is never text.
 """
 
 from __future__ import annotations
@@ -28,28 +29,30 @@ _ATTR = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]
 _NAME = re.compile(r"[a-z]+")
 # fixed values: element classes of the HTML standard
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe svg textarea title select object canvas math".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
+RAW = frozenset("script style noscript template iframe textarea title select canvas".split())
+DEPTH = 512
+INLINE = frozenset("math mi mn mo mrow mfrac msqrt msub msup mtext object svg a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
 SECTION = frozenset("article aside body div fieldset figure footer form header html main nav section table tbody td tr th ul ol dl center details".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "option": {"select"}}
 
 
 class Node:
-    __slots__ = ("attrs", "kids", "link", "parent", "pieces", "size", "tag")
+    __slots__ = ("attrs", "heads", "kids", "link", "own", "paragraphs", "parent", "size", "tag")
 
     def __init__(self, tag: str, parent: int, attrs: str):
         self.tag, self.parent, self.attrs = tag, parent, attrs
         self.kids: list[int] = []
-        self.size = self.link = 0
+        self.size = self.link = self.own = self.paragraphs = self.heads = 0
 
 
 def parse(source: str) -> tuple[list[Node], list[tuple[int, str]]]:
     """(nodes in page order, (node, text or "\\n" block edge) in page order)."""
     nodes = [Node("html", -1, "")]
     flow: list[tuple[int, str]] = []
-    stack = [0]
+    stack = _Open(nodes)
     pos, end, raw = 0, len(source), ""
     last = source.rfind(">")  # no tag ends behind it: an unfinished one there is dropped, as browsers do
     while pos < end:
@@ -61,12 +64,12 @@ def parse(source: str) -> tuple[list[Node], list[tuple[int, str]]]:
             tail = source[pos:]
             cut = _OPENING.search(tail)
             tail = tail[: cut.start()] if cut else tail
-            flow.append((stack[-1], _html.unescape(tail)))
+            flow.append((stack.top, _html.unescape(tail)))
             break
         m = _TOKEN.search(source, pos)
         text = source[pos : m.start() if m else end]
         if text:
-            flow.append((stack[-1], _html.unescape(text) if "&" in text else text))
+            flow.append((stack.top, _html.unescape(text) if "&" in text else text))
         if not m:
             break
         pos = m.end()
@@ -74,70 +77,96 @@ def parse(source: str) -> tuple[list[Node], list[tuple[int, str]]]:
             continue
         tag = m.group(2).lower()
         if m.group(1):
-            if is_open(nodes, stack, tag):
-                while len(stack) > 1:
+            if stack.beyond.get(tag):
+                stack.beyond[tag] -= 1
+            elif stack.count.get(tag, 0) > (tag == "html"):
+                while len(stack.ids) > 1:
                     top = stack.pop()
                     if nodes[top].tag not in INLINE:
-                        flow.append((stack[-1], "\n"))
+                        flow.append((stack.top, "\n"))
                     if nodes[top].tag == tag:
                         break
             elif tag not in INLINE:
-                flow.append((stack[-1], "\n"))
+                flow.append((stack.top, "\n"))
             continue
         if tag in VOID:
-            flow.append((stack[-1], " " if tag in ("wbr", "img") else "\n"))
+            flow.append((stack.top, " " if tag in ("wbr", "img") else "\n"))
             continue
         if tag in RAW:
             if not m.group(3).rstrip().endswith("/"):
                 raw = tag
-            flow.append((stack[-1], " "))
+            flow.append((stack.top, " "))
             continue
-        if tag in ("html", "body") and is_open(nodes, stack, tag):
+        if tag in ("html", "body") and stack.count.get(tag):
             nodes[0].attrs += " " + m.group(3)
             continue
         if tag in CLOSES_P:
-            _close(nodes, stack, {"p"}, frozenset(("button", "td", "th", "table", "div", "article", "section")))
-            if tag[0] == "h" and tag[1:].isdigit() and nodes[stack[-1]].tag[0] == "h" and nodes[stack[-1]].tag[1:].isdigit():
+            stack.close({"p"}, frozenset(("button", "td", "th", "table", "div", "article", "section")))
+            if tag in HEADINGS and nodes[stack.top].tag in HEADINGS:
                 stack.pop()
         elif tag in SAME:
-            _close(nodes, stack, SAME[tag], SCOPE[tag])
+            stack.close(SAME[tag], SCOPE[tag])
         if tag not in INLINE:
-            flow.append((stack[-1], "\n"))
-        node = Node(tag, stack[-1], m.group(3))
-        nodes[stack[-1]].kids.append(len(nodes))
-        stack.append(len(nodes))
-        nodes.append(node)
+            flow.append((stack.top, "\n"))
+        if len(stack.ids) < DEPTH:
+            up = nodes[stack.top]
+            up.kids.append(len(nodes))
+            up.heads += tag in HEADINGS
+            nodes.append(Node(tag, stack.top, m.group(3)))
+            stack.push(len(nodes) - 1)
+        else:
+            stack.beyond[tag] = stack.beyond.get(tag, 0) + 1
     for at, text in flow:
         n = len(text) - text.count(" ") - text.count("\n")
         if n:
             nodes[at].size += n
+            nodes[at].own += n
             if nodes[at].tag == "a":
                 nodes[at].link += n
     for i in range(len(nodes) - 1, 0, -1):
         p = nodes[nodes[i].parent]
+        p.paragraphs += nodes[i].own > 0 and nodes[i].tag in ("p", "div")
         p.size += nodes[i].size
         p.link += nodes[i].size if nodes[i].tag == "a" else nodes[i].link
     return nodes, flow
 
 
-def is_open(nodes: list[Node], stack: list[int], tag: str) -> bool:
-    return any(nodes[i].tag == tag for i in reversed(stack))
+class _Open:
+    """The open elements, innermost last, how many there are of each tag, and the tags opened beyond ``DEPTH``."""
 
+    def __init__(self, nodes: list[Node]):
+        self.beyond: dict[str, int] = {}
+        self.nodes, self.ids, self.count, self.top = nodes, [0], {"html": 1}, 0
 
-def _close(nodes: list[Node], stack: list[int], tags, barrier) -> None:
-    """Close the nearest open element of ``tags``, unless a ``barrier`` element is nearer."""
-    for k in range(len(stack) - 1, 0, -1):
-        tag = nodes[stack[k]].tag
-        if tag in tags:
-            del stack[k:]
-            return
-        if tag in barrier:
+    def push(self, i: int) -> None:
+        self.ids.append(i)
+        tag = self.nodes[i].tag
+        self.count[tag] = self.count.get(tag, 0) + 1
+        self.top = i
+
+    def pop(self) -> int:
+        i = self.ids.pop()
+        self.count[self.nodes[i].tag] -= 1
+        self.top = self.ids[-1]
+        return i
+
+    def close(self, tags: set[str], barrier: frozenset[str] | set[str]) -> None:
+        """Close the nearest open element of ``tags``, unless a ``barrier`` element is nearer."""
+        if not any(self.count.get(t) for t in tags):
             return
+        for k in range(len(self.ids) - 1, 0, -1):
+            tag = self.nodes[self.ids[k]].tag
+            if tag in tags:
+                while len(self.ids) > k:
+                    self.pop()
+                return
+            if tag in barrier:
+                return
 
 
 # ---- features -----------------------------------------------------------------------------------------------
 
-#: fixed values: common words of class, id and role attributes, grouped by the part of a page they name
+#: words that class, id and role attributes commonly use, by the part of a page they name (our own choice)
 GROUPS = {
     "menu": "nav navbar navigation menu menubar breadcrumb breadcrumbs crumbs toc pagination pager tabs skip toolbar",
     "head": "header masthead banner topbar hero logo branding head top",
@@ -158,10 +187,10 @@ for _g, _words in GROUPS.items():
     for _w in _words.split():
         WORD_GROUPS.setdefault(_w, []).append(_g)
 TAGS = "html body div section article main p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table tr td th blockquote pre figure figcaption aside nav header footer form fieldset button label address details summary a b i em strong span small time cite code".split()
-NAMES = ["bias", *[f"tag:{t}" for t in TAGS], "tag:other", *[f"name:{g}" for g in GROUPS], "unnamed", *[f"size:{k}" for k in range(7)], *[f"link:{k}" for k in range(4)], "long&unlinked", "mostly links"]
+NAMES = ["bias", *[f"tag:{t}" for t in TAGS], "tag:other", *[f"name:{g}" for g in GROUPS], "unnamed", *[f"size:{k}" for k in range(7)], *[f"link:{k}" for k in range(4)], "long&unlinked", "mostly links", *[f"own:{k}" for k in range(5)], *[f"paragraphs:{k}" for k in range(4)], "headed", "bare root"]
 INDEX = {n: i for i, n in enumerate(NAMES)}
 KINDS = 3  # inline, block and sectioning children
-_CACHE: dict[tuple, tuple[int, ...]] = {}
+CACHED, CACHED_ATTRS = 20_000, 120  # entries of a partition's cache of features, longest attributes that it keeps
 
 
 def _words(attrs: str) -> set[str]:
@@ -176,20 +205,21 @@ def _words(attrs: str) -> set[str]:
     return out
 
 
-def active(node: Node) -> tuple[int, ...]:
+def active(node: Node, cache: dict) -> tuple[int, ...]:
     """Indexes of the features that are 1 at a node."""
     size = 0 if node.size == 0 else min(6, 1 + int(np.log2(node.size + 1)) // 2)
+    own = 0 if node.own == 0 else min(4, 1 + int(np.log2(node.own + 1)) // 3)
     share = node.link / node.size if node.size else 0.0
     link = 0 if share == 0 else 1 if share < 0.25 else 2 if share < 0.6 else 3
-    key = (node.tag, node.attrs, size, link)
-    got = _CACHE.get(key)
+    key = (node.tag, node.attrs, size, link, own, min(3, node.paragraphs), node.heads > 0)
+    got = cache.get(key)
     if got is None:
         groups = _words(node.attrs)
         got = (0, INDEX.get(f"tag:{node.tag}", INDEX["tag:other"]), *(INDEX[f"name:{g}"] for g in sorted(groups)), *(() if groups else (INDEX["unnamed"],)), INDEX[f"size:{size}"], INDEX[f"link:{link}"],
-               *((INDEX["long&unlinked"],) if size >= 4 and link == 0 else ()), *((INDEX["mostly links"],) if link == 3 and size else ()))
-        if len(_CACHE) > 100_000:
-            _CACHE.clear()
-        _CACHE[key] = got
+               *((INDEX["long&unlinked"],) if size >= 4 and link == 0 else ()), *((INDEX["mostly links"],) if link == 3 and size else ()),
+               INDEX[f"own:{own}"], INDEX[f"paragraphs:{key[5]}"], *((INDEX["headed"],) if node.heads else ()), *((INDEX["bare root"],) if node.parent < 0 and own else ()))
+        if len(node.attrs) <= CACHED_ATTRS and len(cache) < CACHED:
+            cache[key] = got
     return got
 
 
@@ -207,6 +237,7 @@ class TreeModel:
         self.unary, self.pair = unary, pair
         self._u = unary.tolist()
         self._p = np.exp(pair).tolist()
+        self.cache: dict = {}
 
     def messages(self, nodes: list[Node], feats: list[tuple[int, ...]]):
         """Upward then downward sum-product: (marginals of label 1, inside values, messages to parents, outside values)."""
@@ -251,7 +282,7 @@ class TreeModel:
         return belief, inside, out
 
     def marginals(self, nodes: list[Node]) -> list[float]:
-        return [b[1] for b in self.messages(nodes, [active(x) for x in nodes])[0]]
+        return [b[1] for b in self.messages(nodes, [active(x, self.cache) for x in nodes])[0]]
 
     def text(self, source: str | None) -> str:
         if not source:
@@ -269,7 +300,8 @@ def train(pages: list[tuple[str, callable]], rounds: int = 160, rate: float = 0.
     data = []
     for source, label in pages:
         nodes, _ = parse(source)
-        data.append((nodes, [active(x) for x in nodes], label(nodes)))
+        y = label(nodes)
+        data.append((nodes, [active(x, {}) for x in nodes], y))
     unary, pair = np.zeros(len(NAMES)), np.zeros((KINDS, 2, 2))
     su, sp = np.full(len(NAMES), 1e-6), np.full((KINDS, 2, 2), 1e-6)
     total = sum(len(n) for n, _, _ in data)

@@ -44,8 +44,10 @@ def _paragraph(r: random.Random) -> str:
 
 
 def _content(r: random.Random) -> str:
-    parts = [f"<h1>{_say(r, r.randint(2, 9))}</h1>"]
-    for _ in range(r.randint(1, 9)):
+    parts = [f"<h{r.choice((1, 1, 2))}>{_say(r, r.randint(2, 9))}</h1>"] if r.random() < 0.75 else []
+    if r.random() < 0.12:  # a page of a few words
+        return (parts[0] if parts and r.random() < 0.5 else "") + f"<p>{_say(r, r.randint(1, 5))}</p>"
+    for _ in range(r.choice((1, 1, 2, 3, 4, 5, 6, 7, 8, 9))):
         k = r.random()
         if k < 0.7:
             parts.append(_paragraph(r))
@@ -100,7 +102,44 @@ def _aside(r: random.Random, inner: bool = False) -> str:
     return r.choice(forms)
 
 
+def _blocks(r: random.Random) -> list[str]:
+    """Content as a list of marked blocks: a heading perhaps, and paragraphs in the ways that pages write them."""
+    out = [f"<h{r.randint(1, 2)} data-y=\"1\">{_say(r, r.randint(2, 8))}</h1>"] if r.random() < 0.6 else []
+    way = r.random()
+    for _ in range(r.choice((1, 2, 3, 4, 5, 6, 7))):
+        t = _say(r, r.choice((2, 5, 12, 30, 60, 100)))
+        if r.random() < 0.15:
+            t += f" <a data-y='1' href='/y'>{_say(r, 2)}</a> {_say(r, 5)}"
+        if way < 0.6:
+            out.append(f'<p data-y="1">{t}</p>')
+        elif way < 0.88:
+            out.append(f'<div data-y="1">{t}</div>')
+        else:
+            out.append(f"{t}<br><br>")
+    return out
+
+
+def _bare(r: random.Random) -> str:
+    """A page whose content has no wrapper of its own: blocks in the body, in a nameless div, in a fragment, or text alone."""
+    k = r.random()
+    blocks = _blocks(r)
+    before = "".join(_aside(r) for _ in range(r.choice((0, 0, 1, 2))))
+    after = "".join(_aside(r) for _ in range(r.choice((0, 0, 1, 2))))
+    if k < 0.3:
+        return f'<html><head><title>{_say(r, 2)}</title></head><body data-y="1">{before}{"".join(blocks)}{after}</body></html>'
+    if k < 0.65:
+        inner = f'<div data-y="1">{"".join(blocks)}</div>'
+        for _ in range(r.choice((0, 0, 1, 2))):
+            inner = f"<div>{inner}</div>"
+        return f'<html><body data-y="0">{before}{inner}{after}</body></html>'
+    if k < 0.85:
+        return f'<html data-y="1">{before}{"".join(blocks)}{after}'
+    return '<html data-y="1">' + "\n".join(_say(r, r.choice((3, 10, 40))) for _ in range(r.randint(1, 5)))
+
+
 def _page(r: random.Random) -> str:
+    if r.random() < 0.3:
+        return _bare(r)
     body = _content(r)
     name = r.choice(("content", "post", "entry-content", "article-body", "story", "main-text", "post-body"))
     k = r.random()
@@ -116,10 +155,8 @@ def _page(r: random.Random) -> str:
         body = f'<main data-y="1">{body}</main>'
     elif k < 0.9:
         body = f'<main><div class="wrap"><article data-y="1"><div class="{name}">{body}</div></article></div></main>'
-    elif k < 0.95:
-        body = f'<section data-y="1">{body}</section>'
     else:
-        body = f'<div data-y="1">{body}</div>'
+        body = f'<section data-y="1">{body}</section>'
     before = "".join(_aside(r) for _ in range(r.randint(0, 4)))
     after = "".join(_aside(r) for _ in range(r.randint(0, 4)))
     if r.random() < 0.4:
@@ -129,7 +166,7 @@ def _page(r: random.Random) -> str:
     return f'<html lang="en"><head><title>{_say(r, 3)}</title></head><body data-y="0">{before}{body}{after}</body></html>'
 
 
-def labelled_pages(count: int = 120, seed: int = 5):
+def labelled_pages(count: int = 320, seed: int = 5):
     """(html, label function) pairs; the same for a given seed."""
     r = random.Random(seed)
     return [(_page(r), _labels) for _ in range(count)]

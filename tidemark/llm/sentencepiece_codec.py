@@ -4,11 +4,15 @@ The model's protobuf is read field by field; from it are rebuilt the normaliser
 dummy prefix and space marker), the piece table with its scores as a unigram or a merge model, and byte fallback.
 A unit is a run of space markers with the word behind it: where no piece holds a marker behind another
 character (checked when a model is loaded), cutting there changes no result, so each distinct unit is encoded once,
-in multithreaded batches, and the SentencePiece library encodes it too. Ids that disagree are counted and the
-SentencePiece ids win, so results equal that library's and ``parity`` says where the rebuilt model alone would not.
+in multithreaded batches. Ids are the rebuilt model's. The SentencePiece library encodes each distinct unit as well, only to
+verify: ``parity`` tells where it disagrees, and :func:`require_parity` raises there. (With unigram models that library sums scores
+over a whole text in single precision, so pieces whose scores tie may fall otherwise there, by what stands before them.) Decoding runs the library's decoders
+(space marker, byte fallback) over each distinct run of pieces from one marker to the next.
+
+Memory: the memos of units belong to a partition and are emptied once they hold ``MEMO_BYTES``.
 
 Defined results: null text counts as empty (no ids); ids never include control pieces; any doc_id, repeated rows and
-extra columns pass through as they are; an empty table gives no rows.
+extra columns (whatever their names) pass through as they are; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -20,6 +24,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,7 +33,8 @@ MARK = "▁"
 #: fixed values: piece types and model types of the SentencePiece model format
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-MEMO_ENTRIES = 600_000
+MEMO_BYTES = 80 << 20  # of the units of a partition, and as much of decoded runs
+ENTRY = 200  # bytes of an entry beside its text and ids
 _UNIT = re.compile(f"(?<=[^{MARK}])(?={MARK})")
 _CODECS: dict[str, Codec] = {}
 
@@ -144,40 +150,47 @@ class Codec:
         os.environ["TOKENIZERS_PARALLELISM"] = "true"
         os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
         import sentencepiece
+        from tokenizers import decoders
 
         with open(path, "rb") as f:
             data = f.read()
         self.model = Model(data)
         self.tokenizer = self.model.tokenizer()
+        unknown = self.model.pieces[self.model.unk][0]
+        steps = [decoders.Replace(unknown, " ⁇ "), decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()]
+        self.tokenizer.decoder = decoders.Sequence([*(decoders.Replace(p, "") for p, _, k in self.model.pieces if k == CONTROL), *steps])
         self.library = sentencepiece.SentencePieceProcessor(model_proto=data)
+        self.opens = np.array([p.startswith(MARK) for p, _, _ in self.model.pieces])  # pieces that begin a run
+        self.forget()
+
+    def forget(self) -> Codec:
         self.units: dict[str, bytes] = {}
         self.unlike: set[str] = set()
-        self.bytes_of = [bytes([int(p[3:5], 16)]) if k == BYTE else b"" if k == CONTROL else p.replace(MARK, " ").encode() for p, _, k in self.model.pieces]
-        self.bytes_of[self.model.unk] = " ⁇ ".encode()
+        self.runs: dict[bytes, str] = {}
+        self.size = self.run_size = 0
+        return self
 
     def _reference(self, unit: str) -> list[int]:
-        """The library's ids of a unit: its own dummy prefix stands for the unit's first marker."""
+        """The SentencePiece library's ids of a unit: its own dummy prefix stands for the unit's first marker."""
         first = 1 if self.model.dummy_prefix else 0
         return self.library.encode(unit[first:].replace(MARK, " "))
 
     def _learn(self, units: list[str]) -> None:
-        if len(self.units) > MEMO_ENTRIES:
+        if self.size > MEMO_BYTES:
             self.units.clear()
             self.unlike.clear()
+            self.size = 0
         new = list(dict.fromkeys(units))
         for at in range(0, len(new), 4096):
             batch = new[at : at + 4096]
             for u, e in zip(batch, self.tokenizer.encode_batch_fast(batch, add_special_tokens=False), strict=True):
-                ids = e.ids
-                if u != MARK:
-                    want = self._reference(u)
-                    if want != ids:
-                        self.unlike.add(u)
-                        ids = want
-                self.units[u] = array("I", ids).tobytes()
+                if u != MARK and self._reference(u) != e.ids:
+                    self.unlike.add(u)
+                self.units[u] = ids = array("I", e.ids).tobytes()
+                self.size += ENTRY + 2 * len(u) + len(ids)
 
     def encode_batch(self, texts: list[str]) -> list[tuple[bytes, bool]]:
-        """(ids as little-endian unsigned 32-bit integers, whether the rebuilt model alone gives them)."""
+        """(ids as little-endian unsigned 32-bit integers, whether the SentencePiece library gives the same)."""
         cut = []
         for t in texts:
             x = self.model.normalize(t)
@@ -194,44 +207,77 @@ class Codec:
         return out
 
     def decode(self, ids) -> str:
-        table = self.bytes_of
-        raw = b"".join([table[i] for i in ids])
-        if self.model.dummy_prefix and raw[:1] == b" ":
-            raw = raw[1:]
-        return raw.decode("utf-8", "replace")
+        ids = np.asarray(ids, np.uint32)
+        if not len(ids):
+            return ""
+        if self.run_size > MEMO_BYTES:
+            self.runs.clear()
+            self.run_size = 0
+        raw = ids.tobytes()
+        cuts = (4 * np.flatnonzero(self.opens[ids])).tolist()
+        if not cuts or cuts[0]:
+            cuts.insert(0, 0)
+        out = []
+        for a, b in zip(cuts, [*cuts[1:], len(raw)], strict=True):
+            run = raw[a:b]
+            text = self.runs.get(run)
+            if text is None:
+                text = self.runs[run] = self.tokenizer.decode(array("I", run).tolist(), skip_special_tokens=False)
+                self.run_size += ENTRY + 2 * len(run)
+            out.append(text)
+        text = "".join(out)
+        return text[1:] if self.model.dummy_prefix and text[:1] == " " else text
 
 
 def codec(path: str) -> Codec:
-    """One codec per worker process and model."""
+    """The codec of a worker process for a model, with empty memos."""
     if path not in _CODECS:
         _CODECS[path] = Codec(path)
-    return _CODECS[path]
+    return _CODECS[path].forget()
+
+
+def require_parity(path: str, texts: list[str]) -> None:
+    """Raise where the rebuilt model and the SentencePiece library give other ids for a whole text."""
+    c = codec(path)
+    for text, (ids, _) in zip(texts, c.encode_batch(texts), strict=True):
+        want = c.library.encode(text)
+        if array("I", ids).tolist() != want:
+            raise ValueError(f"the rebuilt model and the library disagree on {text[:80]!r}")
 
 
 def encode_documents(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
     """Every row with ``ids`` (array of integers) and ``parity``; columns that had these names are replaced."""
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("ids", "parity")]
+    rows = docs.select(F.struct(*kept).alias("row"), F.coalesce(text_col, F.lit("")).alias("text"))
 
-    def run(frames):
-        import numpy as np
+    def run(batches):
+        import pyarrow as pa
 
-        for pdf in frames:
-            got = codec(path).encode_batch(pdf["_text"].tolist())
-            yield pdf.drop(columns="_text").assign(ids=[np.frombuffer(i, "<u4").astype("int32") for i, _ in got], parity=[p for _, p in got])
+        c = codec(path)
+        for batch in batches:
+            got = c.encode_batch(batch.column(1).to_pylist())
+            ends = np.cumsum([0, *(len(i) // 4 for i, _ in got)])
+            ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.frombuffer(b"".join([i for i, _ in got]), "<i4")))
+            yield pa.RecordBatch.from_arrays([batch.column(0), ids, pa.array([p for _, p in got], pa.bool_())], ["row", "ids", "parity"])
 
-    kept = docs.select(*[c for c in docs.columns if c not in ("ids", "parity", "_text")], F.coalesce(text_col, F.lit("")).alias("_text"))
-    fields = [f for f in kept.schema.fields if f.name != "_text"]
-    return kept.mapInPandas(run, T.StructType([*fields, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("parity", T.BooleanType())]))
+    schema = T.StructType([rows.schema["row"], T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("parity", T.BooleanType())])
+    return rows.mapInArrow(run, schema).select("row.*", "ids", "parity")
 
 
 def decode_documents(rows: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
-    """Every row with ``decoded``, the text of its ids."""
+    """Every row with ``decoded``, the text of its ids (null: empty)."""
+    kept = [F.col(f"`{c}`") for c in rows.columns if c != "decoded"]
+    packed = rows.select(F.struct(*kept).alias("row"), F.coalesce(F.col(ids_col), F.array().cast("array<int>")).alias("ids"))
 
-    def run(frames):
-        for pdf in frames:
-            yield pdf.assign(decoded=[codec(path).decode(i) for i in pdf[ids_col]])
+    def run(batches):
+        import pyarrow as pa
+
+        c = codec(path)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([c.decode(i) for i in batch.column(1).to_pylist()], pa.string())], ["row", "decoded"])
 
-    kept = rows.select(*[c for c in rows.columns if c != "decoded"])
-    return kept.mapInPandas(run, T.StructType([*kept.schema.fields, T.StructField("decoded", T.StringType())]))
+    schema = T.StructType([packed.schema["row"], T.StructField("decoded", T.StringType())])
+    return packed.mapInArrow(run, schema).select("row.*", "decoded")
 
 
 def codec_report(docs: DataFrame, path: str) -> DataFrame:
@@ -247,7 +293,7 @@ def codec_report(docs: DataFrame, path: str) -> DataFrame:
                 part = batch.slice(at, 256)
                 texts = part.column(1).to_pylist()
                 for doc_id, t, (ids, parity) in zip(part.column(0).to_pylist(), texts, c.encode_batch(texts), strict=True):
-                    rows.append((doc_id, len(ids) // 4, zlib.crc32(ids), c.decode(memoryview(ids).cast("I")) == t, parity))
+                    rows.append((doc_id, len(ids) // 4, zlib.crc32(ids), c.decode(np.frombuffer(ids, "<u4")) == t, parity))
             cols = list(zip(*rows, strict=True)) or [[]] * 5
             types = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_()]
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, types, strict=True)], ["doc_id", "n_tokens", "ids_crc32", "round_trip", "parity"])
