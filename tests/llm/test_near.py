@@ -70,6 +70,25 @@ def test_trie_links_dense_clusters(seed):
     assert (forest.root == want.root).all()
 
 
+@pytest.mark.parametrize("hot", [5, 60])
+def test_large_groups_are_dealt_again(spark, hot):
+    r = np.random.default_rng(9)
+    base = r.integers(0, 2**63, 3)
+    low = [int(x) for b in base for x in {int(b) ^ int(n) for n in (np.int64(1) << r.integers(0, 20, 150)) ^ (np.int64(1) << r.integers(0, 60, 150)) ^ (np.int64(1) << r.integers(0, 60, 150))}]
+    fps = sorted(set(low))
+    nodes = spark.createDataFrame([(i, f) for i, f in enumerate(fps)], "node long, fp long")
+    got = [(x["u"], x["v"]) for x in simhash.links(nodes, 4, hot).collect()]
+    v = np.array(fps, np.int64).view(np.uint64)
+    i, j = np.triu_indices(len(v), 1)
+    near = np.bitwise_count(v[i] ^ v[j]) <= 4
+    want, have = simhash._Forest(len(v)), simhash._Forest(len(v))
+    want.link(i[near], j[near])
+    a, b = np.array(got).T
+    assert (np.bitwise_count(v[a] ^ v[b]) <= 4).all()
+    have.link(a, b)
+    assert (have.root == want.root).all()
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(60)] + [(100, 101), (103, 102), (102, 101)] + [(200, 200 + i) for i in range(1, 30)]
     got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(chain, "u long, v long")).collect()}

@@ -20,7 +20,7 @@ def _min_to_neighbours(pairs: DataFrame) -> DataFrame:
     """(u, v) -> (u, v, m): m is the least of u and its neighbours."""
     least = pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
     spread = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return pairs.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(spread, ["u", "salt"]).select("u", "v", "m")
+    return pairs.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(spread.hint("merge"), ["u", "salt"]).select("u", "v", "m")
 
 
 def _both(edges: DataFrame) -> DataFrame:
@@ -43,7 +43,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         unsettled = new.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
         if not unsettled:
             heads = new.select(F.col("v").alias("u")).distinct()
-            unsettled = new.select("u").join(heads, "u", "left_semi").limit(1).count()
+            unsettled = new.select("u").join(heads.hint("merge"), "u", "left_semi").limit(1).count()
         now = new
         if not unsettled:
             break

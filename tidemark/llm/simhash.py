@@ -9,7 +9,8 @@ fingerprint is dealt to every pair of blocks under the bits it has there. Within
 rotated so that the agreed bits come first, form a binary trie over sorted integers. Pairs of trie nodes are
 traversed together, the differing bits of their paths accumulate, and a pair is dropped as soon as they exceed the
 budget. A group's links are reduced to a spanning forest before they leave the task, so copies and dense clusters
-never emit all their pairs; the forests' union has the same components as all links.
+never emit all their pairs; the forests' union has the same components as all links. A group of more than ``HOT`` fingerprints
+is dealt once more, by its next ``SUB`` bits: every pair of its sub-nodes within the budget is a group of its own.
 
 Defined results: no words (null and empty texts too): fingerprint 0, linked like any other; fewer words than
 ``size``: the whole sequence is one shingle. A component's id is its smallest non-null doc_id (null where it has
@@ -123,6 +124,7 @@ class _Forest:
         return (np.concatenate(keep_a), np.concatenate(keep_b)) if keep_a else (none, none)
 
 
+HOT, SUB = 50_000, 3
 LEAF = 8  # node pairs of at most this many values a side are compared value by value
 FRONT = 200_000  # node pairs expanded at a time
 LEAF_PAIRS = 2_000_000  # values compared at a time
@@ -233,26 +235,39 @@ def _compare(values: np.ndarray, node: np.ndarray, budget: int) -> Iterator[tupl
         yield a[near], b[near]
 
 
-def links(nodes: DataFrame, budget: int = 4) -> DataFrame:
+def links(nodes: DataFrame, budget: int = 4, hot: int = HOT) -> DataFrame:
     """Spanning links (u, v) over ``nodes(node, fp)`` with distinct fp, u and v node ids."""
     bounds = block_bounds(budget)
     pairs = list(itertools.combinations(range(len(bounds)), 2))
 
     def key(i: int, j: int):
         parts = [F.shiftrightunsigned("fp", lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1)) for lo, hi in (bounds[i], bounds[j])]
-        return F.struct(F.lit(i * len(bounds) + j).alias("combo"), F.shiftleft(parts[0], bounds[j][1] - bounds[j][0]).bitwiseOR(parts[1]).alias("bits"))
-
-    dealt = nodes.select("node", "fp", F.explode(F.array(*[key(i, j) for i, j in pairs])).alias("k")).select("k.combo", "k.bits", "fp", "node")
-    laid = dealt.repartition("combo", "bits").sortWithinPartitions("combo", "bits", "fp")
+        free = next(lo for k, (lo, _) in enumerate(bounds) if k not in (i, j))
+        return F.struct(
+            F.lit(i * len(bounds) + j).alias("combo"), F.shiftleft(parts[0], bounds[j][1] - bounds[j][0]).bitwiseOR(parts[1]).alias("bits"),
+            F.shiftrightunsigned("fp", free).bitwiseAND(F.lit((1 << SUB) - 1)).cast("int").alias("sub"),
+        )
+
+    dealt = nodes.select("node", "fp", F.explode(F.array(*[key(i, j) for i, j in pairs])).alias("k")).select("k.combo", "k.bits", "k.sub", "fp", "node")
+    large = dealt.groupBy("combo", "bits").agg(F.count("*").alias("_n")).where(F.col("_n") > hot).hint("merge")
+    # a sub-node of a large group meets every other within the budget, and itself
+    other = F.filter(F.sequence(F.lit(0), F.lit((1 << SUB) - 1)), lambda t: F.bit_count(t.bitwiseXOR(F.col("sub"))) <= budget)
+    parts = F.transform(other, lambda t: F.least(t, F.col("sub")) * (1 << SUB) + F.greatest(t, F.col("sub")))
+    parted = dealt.join(large, ["combo", "bits"], "left").select("combo", "bits", F.explode(F.when(F.col("_n").isNull(), F.array(F.lit(-1))).otherwise(parts)).alias("part"), "fp", "node")
+    laid = parted.repartition("combo", "bits", "part").sortWithinPartitions("combo", "bits", "part", "fp")
 
     def run(batches):
         import pyarrow as pa
 
+        def edges(table):
+            return np.flatnonzero(np.any([np.diff(table.column(k).to_numpy()) != 0 for k in range(3)], axis=0))
+
         def solve(table):
-            combo, bits = table.column(0).to_numpy(), table.column(1).to_numpy()
-            fp, node = table.column(2).to_numpy().view(np.uint64), table.column(3).to_numpy()
+            combo = table.column(0).to_numpy()
+            fp, node = table.column(3).to_numpy().view(np.uint64), table.column(4).to_numpy()
             group = np.zeros(len(fp), np.int64)
-            group[1:] = np.cumsum((np.diff(combo) != 0) | (np.diff(bits) != 0))
+            group[edges(table) + 1] = 1
+            group = np.cumsum(group)
             size = np.bincount(group)
             keep = size[group] > 1
             fp, node, group, combo = fp[keep], node[keep], group[keep], combo[keep]
@@ -267,21 +282,22 @@ def links(nodes: DataFrame, budget: int = 4) -> DataFrame:
                 if len(a):
                     yield pa.RecordBatch.from_arrays([pa.array(n[a]), pa.array(n[b])], ["u", "v"])
 
-        # groups arrive whole and in order: solve what is complete, keep the last group for the next batch
-        held = None
+        # groups arrive whole and in order: solve what is complete, keep the last group; look again when twice as much is held
+        held, rows, most = [], 0, 200_000
         for batch in batches:
-            t = pa.Table.from_batches([batch])
-            held = t if held is None else pa.concat_tables([held, t])
-            if held.num_rows < 200_000:
+            held.append(pa.Table.from_batches([batch]))
+            rows += batch.num_rows
+            if rows < most:
                 continue
-            combo, bits = held.column(0).to_numpy(), held.column(1).to_numpy()
-            new = np.flatnonzero((np.diff(combo) != 0) | (np.diff(bits) != 0))
-            if len(new):
-                cut = int(new[-1]) + 1
-                yield from solve(held.slice(0, cut))
-                held = held.slice(cut)
-        if held is not None and held.num_rows:
-            yield from solve(held)
+            table = pa.concat_tables(held)
+            cut = edges(table)
+            if len(cut):
+                yield from solve(table.slice(0, int(cut[-1]) + 1))
+                table = table.slice(int(cut[-1]) + 1)
+            held, rows = [table], table.num_rows
+            most = max(200_000, 2 * rows)
+        if rows:
+            yield from solve(pa.concat_tables(held))
 
     return laid.mapInArrow(run, "u long, v long")
 
@@ -305,7 +321,7 @@ def near_duplicates(docs: DataFrame, size: int = 4, budget: int = 4) -> DataFram
     nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")).select("fp", F.coalesce("least", no_id).alias("node")), "nodes")
     part = connected_components(links(nodes, budget))
     named = materialize(
-        nodes.join(part, "node", "left").select("fp", F.coalesce("component", "node").alias("component")), "named"
+        nodes.join(part.hint("merge"), "node", "left").select("fp", F.coalesce("component", "node").alias("component")), "named"
     )
     component = F.when(F.col("component") < F.lit(NO_ID), F.col("component"))
-    return prints.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), component.alias("component_id"))
+    return prints.join(named.hint("merge"), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), component.alias("component_id"))
