@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: fixed values: events that a cohort's minutes report
 NEWSWORTHY = ("measurement_activated", "measurement_resumed", "reference_baseline_added", "reference_baseline_recorded", "axis_available", "history_sufficient", "gate_eligible", "axis_threshold_recorded", "convergence_published", "collection_failed")
 #: fixed values: order in which a cohort's minutes are cut
 PRIORITY = {
@@ -89,11 +90,13 @@ def minutes(prev: DataFrame, cur: DataFrame, events: DataFrame, change: float =
     )
     some = news.unionByName(added).unionByName(moved)
     quiet = cover.where("cn > 0").select("cohort").join(some.select("cohort").distinct(), "cohort", "left_anti").select("cohort", F.lit("quiet_week").alias("event_kind"), nobody, F.lit("No changes this week.").alias("text"))
-    rank = F.coalesce(F.element_at(F.create_map(*(F.lit(x) for kv in PRIORITY.items() for x in kv)), F.col("event_kind")), F.lit(10**6))
-    return capped(some.unionByName(quiet).withColumn("_pri", rank), cap)
+    return capped(some.unionByName(quiet), cap)
 
 
 def capped(rows: DataFrame, cap: int) -> DataFrame:
+    """At most ``cap`` rows a cohort, by the priority of their kind; kinds without one come last."""
+    rank = F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for kv in PRIORITY.items() for x in kv)), F.col("event_kind")), F.lit(10**6))
+    rows = rows.withColumn("_pri", rank)
     w = Window.partitionBy("cohort").orderBy("_pri", "event_kind", F.col("entity_id").asc_nulls_first())
     return rows.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= cap).drop("_rn", "_pri")
 

@@ -9,21 +9,26 @@ GENESIS = "0" * 64
 
 
 def row_hash(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """``row_sha``: SHA-256 of the canonical JSON of a row (columns in name order, nulls kept)."""
-    cols = sorted(columns or df.columns)
-    return df.withColumn("row_sha", F.sha2(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}), 256))
+    """``row_sha``: SHA-256 of a row's canonical text: per column, in name order, its name, the length of its value and the value."""
+    def part(name: str) -> Column:
+        value = F.col(name).cast("string")
+        return F.concat(F.lit(f"{name}="), F.coalesce(F.concat(F.octet_length(value).cast("string"), F.lit(":"), value), F.lit("null")))
+
+    return df.withColumn("row_sha", F.sha2(F.concat_ws(";", *map(part, sorted(columns or df.columns))), 256))
 
 
 def table_digest(df: DataFrame, keys: list[str] | None = None, columns: list[str] | None = None) -> DataFrame:
-    """One digest of all rows (per ``keys``), whatever their order or partitioning: a Merkle-style fold.
+    """One digest of all rows (per ``keys``), whatever their order or partitioning.
 
-    Row hashes are XOR-free: they are listed in order within 4096 buckets of their first three digits, and the
-    buckets' digests are listed in order. A bucket holds a 4096th of the rows.
+    Row hashes are added up word by word (four words of 64 bits), so partial sums are all that moves; the digest is the
+    SHA-256 of the number of rows and the four sums. Repeated rows count as often as they occur.
     """
     keys = keys or []
-    h = row_hash(df, columns).select(*keys, "row_sha", F.substring("row_sha", 1, 3).alias("_b"))
-    part = h.groupBy(*keys, "_b").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("row_sha")), ""), 256).alias("_h"), F.count("*").alias("_n"))
-    return part.groupBy(*keys).agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_b", "_h"))), lambda x: x["_h"]), ""), 256).alias("digest"), F.sum("_n").alias("rows"))
+    h = row_hash(df, columns).select(*keys, "row_sha")
+    word = lambda i: F.conv(F.substring("row_sha", 1 + 16 * i, 16), 16, 10).cast("decimal(20,0)").cast("decimal(38,0)")
+    part = h.groupBy(*keys).agg(F.count("*").alias("rows"), *(F.sum(word(i)).alias(f"_s{i}") for i in range(4)))
+    text = F.concat(F.col("rows").cast("string"), F.lit(":"), F.concat_ws(",", *(F.col(f"_s{i}").cast("string") for i in range(4))))
+    return part.select(*keys, F.sha2(text, 256).alias("digest"), "rows")
 
 
 def same_table(a: DataFrame, b: DataFrame) -> bool:
@@ -73,10 +78,24 @@ def positioned(df: DataFrame, order: list[str]) -> DataFrame:
     return local.join(F.broadcast(off), "_p").withColumn("pos", (F.col("_o") + F.col("_i")).cast("long")).drop("_p", "_i", "_o")
 
 
-def chain(rows: DataFrame, line: str, seq: str, keys: list[str]) -> DataFrame:
-    """``expected``: the hash of the line before (a fixed start for the first), per chain."""
-    w = Window.partitionBy(*keys).orderBy(seq)
-    return rows.withColumn("expected", F.lag(F.sha2(F.col(line), 256), 1, GENESIS).over(w))
+def verify_root(leaves: DataFrame, recorded: str) -> bool:
+    """Does a recorded root still stand for the leaves?"""
+    return merkle_root(leaves) == recorded
+
+
+def chain(rows: DataFrame, line: str, seq: str) -> DataFrame:
+    """``expected``: the hash of the line before (a fixed start for the first), in the order of ``seq``.
+
+    The line before is the row at the place before, so no task sees the whole chain.
+    """
+    placed = positioned(rows, [seq]).withColumnRenamed("pos", "_pos")
+    before = placed.select((F.col("_pos") + 1).alias("_pos"), F.sha2(F.col(line), 256).alias("expected"))
+    return placed.join(before, "_pos", "left").withColumn("expected", F.coalesce("expected", F.lit(GENESIS))).drop("_pos")
+
+
+def broken_links(rows: DataFrame, line: str, seq: str, prev: str) -> DataFrame:
+    """Records of a stored chain whose ``prev`` is not the hash of the line before."""
+    return chain(rows, line, seq).where(~F.col(prev).eqNullSafe(F.col("expected")))
 
 
 def collisions(bundles: DataFrame, allowed: DataFrame | None = None) -> DataFrame:
@@ -123,5 +142,5 @@ def rewrite_ids(rows: DataFrame, old: str, new: str, day) -> DataFrame:
 
 
 def source_manifest(rows: DataFrame, column: str) -> DataFrame:
-    """Hash of the sorted distinct values of a column, bucketed like :func:`table_digest`."""
+    """Digest of the distinct values of a column."""
     return table_digest(rows.select(column).where(F.col(column).isNotNull()).distinct())

@@ -56,32 +56,47 @@ def clean_moves(panel: DataFrame, exclude: DataFrame | None = None) -> DataFrame
     return got.select("series", "snap", "n", "max_move", F.when(F.col("n") >= 10, F.col("_s")).alias("big_share"))
 
 
-def coverage_deviation(panel: DataFrame) -> DataFrame:
-    """Per series: upper median of entities per snap and the largest relative deviation from it."""
+def coverage_deviation(panel: DataFrame, exclude: DataFrame | None = None) -> DataFrame:
+    """Per series: upper median of entities per snap and the largest relative deviation from it, without ``exclude(snap)``."""
     n = panel.groupBy("series", "snap").agg(F.countDistinct("entity").alias("n"))
+    if exclude is not None:
+        n = n.join(exclude, "snap", "left_anti")
     med = n.groupBy("series").agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY n DESC)").alias("median_n"))
     return n.join(med, "series").groupBy("series", "median_n").agg(F.max(F.abs(F.col("n") - F.col("median_n")) / F.col("median_n")).alias("max_deviation"))
 
 
 def calibrate(panel: DataFrame, exclude: DataFrame | None = None) -> DataFrame:
-    """Bounds from clean history: move bound, panel share bound, least coverage."""
+    """Bounds from clean history (``exclude(snap)`` is left out of all of them): move bound, panel share bound, least coverage."""
     a = clean_moves(panel, exclude).groupBy("series").agg(F.max("max_move").alias("m"), F.max("big_share").alias("s"))
-    return a.join(coverage_deviation(panel), "series").select(
+    return a.join(coverage_deviation(panel, exclude), "series").select(
         "series", F.greatest("m", F.lit(math.log(2))).alias("move_bound"), F.greatest(3 * F.coalesce("s", F.lit(0.0)), F.lit(0.10)).alias("share_bound"),
         F.least(F.lit(0.90), 1 - 3 * F.col("max_deviation")).alias("least_coverage"),
     )
 
 
-def verdicts(panel: DataFrame, move_bound: float, share_bound: float, least_coverage: float) -> DataFrame:
-    """Each snap's state. Low coverage outranks everything; the last snap is PROVISIONAL until it has a successor."""
+ELIGIBLE = 10  # fewer entities than this accuse no snap
+
+
+def firings(controls: DataFrame, move_bound: float, share_bound: float) -> DataFrame:
+    """Negative control: snaps of other series at which the derived rule fires; a rule that fires there is wrong."""
+    got = reversal_share(controls, move_bound).where((F.col("eligible") >= ELIGIBLE) & (F.col("share") > share_bound))
+    return got.select("series", "snap", "eligible", "share")
+
+
+def verdicts(panel: DataFrame, move_bound: float, share_bound: float, least_coverage: float, exclude: DataFrame | None = None, floor: int = 0) -> DataFrame:
+    """Each snap's state. The first snap and the last have no shape: CLEAN and PROVISIONAL.
+
+    A coverage under ``least_coverage`` of the median (of snaps outside ``exclude``), or under ``floor``, outranks both and CLEAN,
+    not SUSPECT_CORRUPT.
+    """
     n = with_index(panel).groupBy("series", "snap", "idx").agg(F.countDistinct("entity").alias("n"))
-    med = n.groupBy("series").agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY n DESC)").alias("median_n"), F.max("idx").alias("last"))
+    med = (n.join(exclude, "snap", "left_anti") if exclude is not None else n).groupBy("series").agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY n DESC)").alias("median_n"))
+    ends = n.groupBy("series").agg(F.max("idx").alias("last"))
     rev = reversal_share(panel, move_bound).select("series", "snap", "share", "eligible")
-    x = n.join(med, "series").join(rev, ["series", "snap"], "left")
-    state = (
-        F.when(F.col("n") < least_coverage * F.col("median_n"), "INVALID_COVERAGE").when(F.col("idx") == F.col("last"), "PROVISIONAL")
-        .when(F.coalesce("share", F.lit(0.0)) > share_bound, "SUSPECT_CORRUPT").otherwise("CLEAN")
-    )
+    x = n.join(ends, "series").join(med, "series", "left").join(rev, ["series", "snap"], "left")
+    bad = (F.col("eligible") >= ELIGIBLE) & (F.col("share") > share_bound) & (F.col("idx") < F.col("last"))
+    thin = F.coalesce(F.col("n") < least_coverage * F.col("median_n"), F.lit(False)) | (F.col("n") < floor)
+    state = F.when(bad, "SUSPECT_CORRUPT").when(thin, "INVALID_COVERAGE").when((F.col("idx") == F.col("last")) & (F.col("last") > 1), "PROVISIONAL").otherwise("CLEAN")
     return x.select("series", "snap", F.col("n").alias("coverage"), "eligible", "share", state.alias("status"))
 
 

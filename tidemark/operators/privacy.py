@@ -9,7 +9,12 @@ from pyspark.sql import types as T
 from tidemark.functions.scalars import fully_decoded
 
 #: fixed values: keys that name a person
-PERSON_KEYS = ("login", "email", "author", "user", "avatar_url", "committer", "name_of_person", "assignee")
+PERSON_KEYS = (
+    "login", "avatar_url", "gravatar_id", "email", "user_view_type",
+    "followers_url", "following_url", "gists_url", "starred_url",
+    "subscriptions_url", "organizations_url", "received_events_url",
+    "owner", "organization", "author", "committer", "maintainer",
+)
 
 
 def allow(df: DataFrame, names: list[str], nested: dict[str, list[str]] | None = None) -> DataFrame:
@@ -27,7 +32,7 @@ def person_paths(schema: T.DataType, at: str = "$") -> list[str]:
     if isinstance(schema, T.StructType):
         for f in schema.fields:
             path = f"{at}.{f.name}"
-            if f.name.lower() in PERSON_KEYS:
+            if f.name in PERSON_KEYS:
                 found.append(path)
             found += person_paths(f.dataType, path)
     elif isinstance(schema, T.ArrayType):
@@ -37,24 +42,43 @@ def person_paths(schema: T.DataType, at: str = "$") -> list[str]:
     return found
 
 
-def json_leaves(df: DataFrame, key: str, column: str, depth: int = 4) -> DataFrame:
-    """(key, path, value) of every scalar in a JSON column, down to ``depth`` levels; unreadable JSON gives none."""
-    now = df.select(key, F.lit("$").alias("path"), F.try_parse_json(column).alias("v"))
+def nesting(column: Column | str) -> Column:
+    """How deep the containers of a JSON text lie in each other (0 for none or null)."""
+    c = F.col(column) if isinstance(column, str) else column
+    brackets = F.regexp_replace(F.regexp_replace(c, '"(?:[^"\\\\]|\\\\.)*"', ""), "[^\\[\\]{}]", "")
+    step = lambda acc, x: F.struct((acc["at"] + F.when(x.isin("[", "{"), 1).otherwise(-1)).alias("at"), F.greatest(acc["top"], acc["at"] + F.when(x.isin("[", "{"), 1).otherwise(-1)).alias("top"))
+    chars = F.filter(F.split(brackets, ""), lambda x: x != "")
+    return F.coalesce(F.aggregate(chars, F.struct(F.lit(0).alias("at"), F.lit(0).alias("top")), step)["top"], F.lit(0))
+
+
+def json_nodes(df: DataFrame, key: str, column: str) -> DataFrame:
+    """(key, path, name, value, leaf) of every member and item at every level of a JSON column; unreadable JSON gives none.
+
+    The levels are as many as the deepest row has (one number is read from a scan of the column first).
+    """
+    spark = df.sparkSession
+    depth = df.agg(F.max(nesting(column)).alias("d")).first()["d"] or 0
+    now = df.select(F.col(key).alias("key"), F.lit("$").alias("path"), F.try_parse_json(column).alias("v")).where("v IS NOT NULL")
     out = None
-    for _ in range(depth):
-        now.createOrReplaceTempView("_json_level")
-        nxt = df.sparkSession.sql(f"SELECT l.{key} AS {key}, concat(l.path, coalesce(concat('.', e.key), concat('[', e.pos, ']'))) AS path, e.value AS v FROM _json_level l, LATERAL variant_explode(l.v) AS e")
-        kind = F.schema_of_variant("v")
-        leaf = nxt.where(~(kind.startswith("OBJECT") | kind.startswith("ARRAY"))).select(key, "path", F.col("v").cast("string").alias("value"))
-        out = leaf if out is None else out.unionByName(leaf)
-        now = nxt.where(kind.startswith("OBJECT") | kind.startswith("ARRAY"))
-    return out
+    for _ in range(max(1, depth)):
+        inner = now.lateralJoin(spark.tvf.variant_explode(F.col("v").outer()).toDF("pos", "name", "value"))
+        step = F.concat("path", F.coalesce(F.concat(F.lit("."), F.col("name")), F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]"))))
+        kind = F.schema_of_variant("value")
+        nodes = inner.select("key", step.alias("path"), "name", F.col("value").alias("v"), (~(kind.startswith("OBJECT") | kind.startswith("ARRAY"))).alias("leaf"))
+        part = nodes.select("key", "path", "name", F.when(F.col("leaf"), F.col("v").cast("string")).alias("value"), "leaf")
+        out = part if out is None else out.unionByName(part)
+        now = nodes.where("NOT leaf").select("key", "path", "v")
+    return out.withColumnRenamed("key", key)
+
+
+def json_leaves(df: DataFrame, key: str, column: str) -> DataFrame:
+    """(key, path, value) of every scalar in a JSON column, at any depth; unreadable JSON gives none."""
+    return json_nodes(df, key, column).where("leaf").select(key, "path", "value")
 
 
-def person_fields(df: DataFrame, key: str, column: str, depth: int = 4) -> DataFrame:
-    """Paths of person keys found in a JSON column."""
-    last = F.lower(F.regexp_extract("path", "([^.\\[\\]]+)(?:\\[\\d+\\])?$", 1))
-    return json_leaves(df, key, column, depth).where(last.isin(*PERSON_KEYS)).select(key, "path")
+def person_fields(df: DataFrame, key: str, column: str) -> DataFrame:
+    """Paths of person keys found anywhere in a JSON column, whether they hold a scalar or a container."""
+    return json_nodes(df, key, column).where(F.col("name").isin(*PERSON_KEYS)).select(key, "path")
 
 
 def public_projection(rows: DataFrame, owners: DataFrame) -> DataFrame:
@@ -100,9 +124,19 @@ def window_terms(surfaces: DataFrame, names: list[str], terms: list[str], window
     return surfaces.mapInPandas(run, schema)
 
 
+def leaf_terms(df: DataFrame, key: str, column: str, terms: list[str]) -> DataFrame:
+    """(key, path, term): forbidden terms in the scalars of a JSON column."""
+    found = F.explode(F.regexp_extract_all("value", F.lit(term_pattern(terms)), 1)).alias("term")
+    return json_leaves(df, key, column).where("value IS NOT NULL").select(key, "path", found)
+
+
+def term_pattern(terms: list[str]) -> str:
+    return "(?i)(?<![\\p{L}\\p{N}_])(" + "|".join(terms) + ")(?![\\p{L}\\p{N}_])"
+
+
 def page_terms(surfaces: DataFrame, terms: list[str]) -> DataFrame:
     """(doc, term) anywhere on a surface."""
-    pattern = "(?i)(?<![\\p{L}\\p{N}_])(" + "|".join(terms) + ")(?![\\p{L}\\p{N}_])"
+    pattern = term_pattern(terms)
     return surfaces.select("doc", F.explode(F.regexp_extract_all("surface", F.lit(pattern), 1)).alias("term"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -63,6 +63,51 @@ def violations(df: DataFrame, rules: dict[str, str]) -> DataFrame:
     return df.withColumn("violations", bad).where(F.size("violations") > 0)
 
 
+def _json_rules(rows: DataFrame, line: str, fields: list[str], rules: dict[str, Column]) -> DataFrame:
+    """``violations`` of a JSON column: ``bad_fields`` alone where the object's keys are not exactly ``fields``, else the rules that fail."""
+    exact = F.coalesce(F.array_sort(F.json_object_keys(line)) == F.array(*map(F.lit, sorted(fields))), F.lit(False)) & F.try_parse_json(line).isNotNull()
+    failed = F.array_compact(F.array(*(F.when(~F.coalesce(ok, F.lit(False)), name) for name, ok in sorted(rules.items()))))
+    return rows.withColumn("violations", F.when(exact, failed).otherwise(F.array(F.lit("bad_fields")))).where(F.size("violations") > 0)
+
+
+def _whole(line: str, name: str, least: int) -> Column:
+    """A JSON integer (no boolean, text or fraction) of at least ``least``."""
+    v = F.try_variant_get(F.try_parse_json(line), f"$.{name}", "variant")
+    return F.schema_of_variant(v).isin("BIGINT", "INT", "SMALLINT", "TINYINT") & (F.get_json_object(line, f"$.{name}").cast("long") >= least)
+
+
+def _text(line: str, name: str) -> Column:
+    v = F.try_variant_get(F.try_parse_json(line), f"$.{name}", "variant")
+    return F.when(F.schema_of_variant(v) == "STRING", F.get_json_object(line, f"$.{name}"))
+
+
+def _owner_slash_name(line: str, name: str) -> Column:
+    return _text(line, name).rlike("^[^/]+/[^/]+$")
+
+
+def discovery_violations(rows: DataFrame, line: str) -> DataFrame:
+    """JSON lines that are not ``{id, full_name}`` with a positive integer and an owner/name."""
+    return _json_rules(rows, line, ["id", "full_name"], {"bad_id": _whole(line, "id", 1), "bad_full_name": _owner_slash_name(line, "full_name")})
+
+
+def observation_violations(rows: DataFrame, line: str, day: str) -> DataFrame:
+    """JSON lines that are not ``{id, stars, observed_at}`` with a UTC timestamp of the partition's ``day``."""
+    at = _text(line, "observed_at")
+    stamp = at.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}Z$") & F.try_to_timestamp(at, F.lit("yyyy-MM-dd'T'HH:mm:ssX")).isNotNull()
+    # of a sound timestamp only: the day is judged where there is one
+    same = ~F.coalesce(stamp, F.lit(False)) | (F.substring(at, 1, 10) == day)
+    return _json_rules(rows, line, ["id", "stars", "observed_at"], {"bad_id": _whole(line, "id", 1), "bad_stars": _whole(line, "stars", 0), "bad_observed_at": stamp, "other_day": same})
+
+
+def owner_cache_violations(registered: DataFrame, cache: DataFrame, key: str = "repo", entry: str = "entry") -> DataFrame:
+    """Cache entries with other fields, types or names than allowed, and keys that the register or the cache lacks."""
+    kinds = {"bad_owner_type": _text(entry, "owner_type").isin("Organization", "User"), "bad_repo_id": _whole(entry, "repo_id", 1), "bad_full_name": _owner_slash_name(entry, "full_name")}
+    own = _json_rules(cache, entry, ["owner_type", "repo_id", "full_name"], kinds).select(key, "violations")
+    names, there = registered.select(key).distinct(), cache.select(key).distinct()
+    gone = names.join(there, key, "left_anti").withColumn("violations", F.array(F.lit("missing")))
+    return own.unionByName(gone).unionByName(there.join(names, key, "left_anti").withColumn("violations", F.array(F.lit("extra"))))
+
+
 def identity_changes(old: DataFrame, new: DataFrame, key: str = "github_repo") -> DataFrame:
     """Cached ids that changed, and User to Organization moves that need confirming."""
     j = old.select(key, F.col("repo_id").alias("o"), F.col("owner_type").alias("ot")).join(new.select(key, F.col("repo_id").alias("n"), F.col("owner_type").alias("nt")), key)

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from tidemark.functions import scalars as sc
 from tidemark.functions.stats import r
 from tidemark.operators import census as ce
+from tidemark.operators import manifests as mf
 from tidemark.plans.base import query, t
 
 VOCAB, WEAK, STRONG = ("erwh", "idiot", "stau", "pathetic"), ("src1", "src7"), ("scum", "licensed")
 #: documents as repositories: every column is derived from the table
-REPO = """repo AS (SELECT doc_id AS repo_id, source AS name, left(text, 200) AS description, left(text, 2000) AS readme, lang AS language,
+REPO = """repo AS (SELECT doc_id AS repo_id, source AS name, text AS description, text AS readme, lang AS language,
  CASE WHEN doc_id % 5 = 0 THEN 'GPL-3.0-or-later' WHEN doc_id % 7 = 0 THEN NULL ELSE 'MIT' END AS license, n_chars AS stars FROM documents)"""
 
 
@@ -24,7 +25,7 @@ def repos(s, d):
     lic = F.when(F.col("doc_id") % 5 == 0, "GPL-3.0-or-later").when(F.col("doc_id") % 7 == 0, F.lit(None)).otherwise("MIT")
     topics = F.array("lang", F.concat("lang", F.lit("-"), "source"))
     return doc.select(
-        F.col("doc_id").alias("repo_id"), F.col("source").alias("name"), F.substring("text", 1, 200).alias("description"), F.substring("text", 1, 2000).alias("readme"),
+        F.col("doc_id").alias("repo_id"), F.col("source").alias("name"), F.col("text").alias("description"), F.col("text").alias("readme"),
         F.col("lang").alias("language"), lic.alias("license"), F.col("n_chars").alias("stars"), topics.alias("topics"),
     )
 
@@ -52,9 +53,14 @@ def pf_08(s, d):
     return repos(s, d).select("repo_id", sc.norm_license("license").alias("license"))
 
 
-@query("pf_14_manifest_paths", "SELECT page_id FROM pages WHERE regexp_extract(url, '([^/]*)$', 1) <> '' AND NOT regexp_matches(url, '(?i)casino|free-bets')")
+PATHS = """paths AS (SELECT page_id, ['', 'src/', 'tests/', 'Docs/api/', 'lib/vendor/x/', 'contests/', '.github/'][page_id % 7 + 1] || ['pyproject.toml', 'package.json', 'Cargo.toml', 'go.mod', 'setup.py'][page_id % 5 + 1] AS path FROM pages)"""
+
+
+@query("pf_14_manifest_paths", f"WITH {PATHS} SELECT page_id, path FROM paths WHERE NOT regexp_matches(path, '(?i)(^|/)(tests?|docs?|vendor|\\.github)(/|$)') AND NOT path LIKE '%setup.py'")
 def pf_14(s, d):
-    return t(s, d, "pages").where((F.regexp_extract("url", "([^/]*)$", 1) != "") & ~F.col("url").rlike("(?i)casino|free-bets")).select("page_id")
+    lists = [["", "src/", "tests/", "Docs/api/", "lib/vendor/x/", "contests/", ".github/"], ["pyproject.toml", "package.json", "Cargo.toml", "go.mod", "setup.py"]]
+    path = F.concat(*(F.get(F.array(*map(F.lit, x)), F.pmod(F.col("page_id"), F.lit(len(x))).cast("int")) for x in lists))
+    return t(s, d, "pages").select("page_id", path.alias("path")).where(ce.manifest_path(F.col("path")))
 
 
 @query("ag_21_block_tokens", f"WITH {REPO} SELECT token, count(*) AS n FROM (SELECT coalesce(nullif(regexp_extract(lower(name), '{rx(WEAK)}', 2), ''), nullif(regexp_extract(lower(description), '{rx(STRONG)}', 2), '')) AS token FROM repo) WHERE token IS NOT NULL GROUP BY 1")
@@ -93,23 +99,25 @@ def sf_02(s, d):
 
 
 def manifests(s, d):
-    """A requirements file per document: its first words are the packages."""
-    words = F.slice(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), 0)), 1, 6)
-    file = F.when(F.col("doc_id") % 2 == 0, "requirements.txt").otherwise("package.json")
+    """A manifest per document that declares every word of its text; the package asked for is the first in alphabetical order."""
+    words = F.array_sort(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), 0)))
     req = F.array_join(words, ">=1\n")
-    pkg = F.to_json(F.struct(F.concat(F.lit("Own_"), F.col("source")).alias("name"), F.map_from_arrays(words, F.transform(words, lambda w: F.lit("1"))).alias("dependencies")))
-    return t(s, d, "documents").select(F.col("doc_id").alias("id"), file.alias("file"), F.when(F.col("doc_id") % 2 == 0, req).otherwise(pkg).alias("text"))
+    pkg = F.concat(F.lit('{"name": "Own_'), "source", F.lit('",\n"dependencies": {\n'), F.array_join(F.transform(words, lambda w: F.concat(F.lit('"'), w, F.lit('": "1"'))), ",\n"), F.lit("\n}}"))
+    even = F.col("doc_id") % 2 == 0
+    return t(s, d, "documents").select(F.col("doc_id").alias("id"), F.when(even, "requirements.txt").otherwise("package.json").alias("file"), F.when(even, req).otherwise(pkg).alias("text"), F.array_min(words).alias("package"))
+
 
+WORDS = "SELECT doc_id AS id, list_sort(list_distinct(regexp_extract_all(lower(text), '[a-z]+'))) AS u FROM documents"
 
 
-@query("sf_08_manifest_deps", "WITH w AS (SELECT doc_id AS id, regexp_extract_all(lower(text), '[a-z]+') AS w FROM documents), u AS (SELECT id, list_filter(w, lambda x, i: list_position(w, x) = i) AS u FROM w) SELECT id, array_to_string(list_sort(list_slice(u, 1, 6)), ',') AS deps FROM u")
+@query("sf_08_manifest_deps", f"WITH w AS ({WORDS}) SELECT id, array_to_string(u, ',') AS deps FROM w")
 def sf_08(s, d):
-    return ce.parse_manifests(manifests(s, d)).select("id", F.array_join("deps", ",").alias("deps"))
+    return mf.parse_manifests(manifests(s, d)).select("id", F.array_join("deps", ",").alias("deps"))
 
 
 @query("sf_09_own_name", "SELECT doc_id AS id, CASE WHEN doc_id % 2 = 1 THEN 'own-' || source END AS own_name FROM documents")
 def sf_09(s, d):
-    return ce.parse_manifests(manifests(s, d)).select("id", "own_name")
+    return mf.parse_manifests(manifests(s, d)).select("id", "own_name")
 
 
 @query("sf_10_stratum", "SELECT doc_id, CASE lang WHEN 'en' THEN 'english' WHEN 'de' THEN 'german' ELSE 'other' END AS stratum FROM documents")
@@ -118,9 +126,9 @@ def sf_10(s, d):
     return t(s, d, "documents").select("doc_id", F.coalesce(F.try_element_at(m, F.col("lang")), F.lit("other")).alias("stratum"))
 
 
-@query("sf_12_dependency_line", "SELECT doc_id, coalesce(list_filter(string_split(text, chr(10)), lambda x: contains(lower(x), 'idiot'))[1], '[whole file] ' || text) AS line FROM documents")
+@query("sf_12_dependency_line", f"""WITH w AS ({WORDS}) SELECT id, CASE WHEN id % 2 = 0 THEN u[1] || CASE WHEN len(u) > 1 THEN '>=1' ELSE '' END ELSE '"' || u[1] || '": "1"' || CASE WHEN len(u) > 1 THEN ',' ELSE '' END END AS line FROM w WHERE len(u) > 0""")
 def sf_12(s, d):
-    return t(s, d, "documents").select("doc_id", ce.dependency_line("text", F.lit("idiot")).alias("line"))
+    return mf.dependency_lines(manifests(s, d).where("package IS NOT NULL"))
 
 
 @query("sf_13_qualifying_text", f"WITH {REPO} SELECT repo_id, sha256(name || ' ' || description) AS sha256 FROM repo WHERE regexp_matches(lower(name || ' ' || description), '{rx(VOCAB)}')")
@@ -147,14 +155,14 @@ def sf_22(s, d):
 
 
 def classified(s, d):
-    deps = ce.parse_manifests(manifests(s, d)).select(F.col("id").alias("repo_id"), "deps")
+    deps = mf.parse_manifests(manifests(s, d)).select(F.col("id").alias("repo_id"), "deps")
     x = repos(s, d).withColumn("topics", F.array("language")).join(deps, "repo_id")
     return ce.classify(x, ce.words(*VOCAB), ["zz"], ["fr"], ["the", "die", "les"], ce.words("licensed"))
 
 
-CLASSED = f"""{REPO}, dd AS (SELECT doc_id AS repo_id, list_slice(list_filter(w, lambda x, i: list_position(w, x) = i), 1, 6) AS deps FROM (SELECT doc_id, regexp_extract_all(lower(text), '[a-z]+') AS w FROM documents)),
+CLASSED = f"""{REPO}, dd AS (SELECT doc_id AS repo_id, list_distinct(regexp_extract_all(lower(text), '[a-z]+')) AS deps FROM documents),
  mm AS (SELECT r.*, nullif(regexp_extract(lower(name || ' ' || description), '{rx(VOCAB)}', 2), '') AS front, CASE WHEN language = 'fr' THEN 'weak-topic' END AS w, list_sort(list_intersect(deps, ['the', 'die', 'les']))[1] AS dep,
-  nullif(regexp_extract(lower(readme), '{rx(VOCAB)}', 2), '') AS rd, regexp_matches(lower(description || ' ' || language), '{rx(("licensed",))}') AS veto FROM repo r JOIN dd USING (repo_id)),
+  nullif(regexp_extract(lower(left(readme, 2000)), '{rx(VOCAB)}', 2), '') AS rd, regexp_matches(lower(description || ' ' || language), '{rx(("licensed",))}') AS veto FROM repo r JOIN dd USING (repo_id)),
  classed AS (SELECT *, CASE WHEN front IS NOT NULL THEN 'storefront' WHEN dep IS NOT NULL AND (w IS NOT NULL OR rd IS NOT NULL) AND NOT veto THEN 'corroborated' END AS channel FROM mm),
  legged AS (SELECT *, list_filter([CASE WHEN channel IS NULL THEN 'scope' END, CASE WHEN repo_id % 11 = 0 OR repo_id % 13 = 0 THEN 'fork_or_archived' END, CASE WHEN license IS NULL THEN 'licence' END, CASE WHEN language NOT IN ('en', 'de', 'fr') THEN 'language' END,
   CASE WHEN NOT (repo_id % 3 >= 1 OR stars % 100 >= 50 OR (stars % 20 >= 10 AND repo_id % 5 >= 3)) THEN 'velocity' END], lambda x: x IS NOT NULL) AS legs FROM classed)"""
@@ -234,11 +242,11 @@ def ag_27(s, d):
     return ce.author_rescue(c, "conv_id", "login", "role")
 
 
-@query("ag_30_topic_lift", """WITH w AS (SELECT DISTINCT doc_id, w AS topic FROM (SELECT doc_id, unnest(regexp_extract_all(lower(left(text, 2000)), '[a-z]+')) AS w FROM documents)),
+@query("ag_30_topic_lift", """WITH w AS (SELECT DISTINCT doc_id, w AS topic FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS w FROM documents)),
  m AS (SELECT doc_id, lang = 'es' AS m FROM documents), n AS (SELECT count(*) AS a, count(*) FILTER (WHERE m) AS i FROM m)
  SELECT topic, count(*) AS total, count(*) FILTER (WHERE m) AS members, round((count(*) FILTER (WHERE m) / i) / (count(*) / a), 4) AS lift FROM w JOIN m USING (doc_id), n GROUP BY topic, a, i HAVING count(*) FILTER (WHERE m) >= 3 AND (count(*) FILTER (WHERE m) / i) / (count(*) / a) >= 5""")
 def ag_30(s, d):
-    x = t(s, d, "documents").select("lang", F.regexp_extract_all(F.lower(F.substring("text", 1, 2000)), F.lit("[a-z]+"), 0).alias("topics"))
+    x = t(s, d, "documents").select("lang", F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), 0).alias("topics"))
     return ce.topic_lift(x, F.col("lang") == "es", lift=5.0).withColumn("lift", r("lift", 4))
 
 
@@ -292,9 +300,9 @@ def jn_22(s, d):
     return repos(s, d).join(legacy, "repo_id", "left").select("repo_id", F.coalesce("l", F.lit(False)).alias("is_legacy"))
 
 
-@query("so_06_framework_intersection", "SELECT doc_id, list_sort(list_intersect(regexp_extract_all(lower(left(text, 2000)), '[a-z]+'), ['the', 'und', 'les']))[1] AS hit FROM documents")
+@query("so_06_framework_intersection", "SELECT doc_id, list_sort(list_intersect(regexp_extract_all(lower(text), '[a-z]+'), ['the', 'und', 'les']))[1] AS hit FROM documents")
 def so_06(s, d):
-    w = F.regexp_extract_all(F.lower(F.substring("text", 1, 2000)), F.lit("[a-z]+"), 0)
+    w = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), 0)
     return t(s, d, "documents").select("doc_id", F.array_min(F.array_intersect(w, F.array(F.lit("the"), F.lit("und"), F.lit("les")))).alias("hit"))
 
 
@@ -303,10 +311,10 @@ def tk_01(s, d):
     return repos(s, d).select("repo_id", "stars", F.row_number().over(ce.Window.partitionBy("language").orderBy(F.desc("stars"), "repo_id")).alias("place"))
 
 
-@query("tk_02_tranche", "SELECT doc_id AS repo_id, n_chars AS stars FROM documents ORDER BY CASE WHEN lang = 'es' THEN 0 ELSE 1 END, n_chars DESC, doc_id LIMIT 30")
+@query("tk_02_tranche", "SELECT repo_id, stars FROM (SELECT doc_id AS repo_id, n_chars AS stars, row_number() OVER (ORDER BY CASE WHEN lang = 'es' THEN 0 ELSE 1 END, n_chars DESC, doc_id) AS rn FROM documents) WHERE rn <= (SELECT greatest(10, ceil(0.06 * count(*))) FROM labels)")
 def tk_02(s, d):
     x = repos(s, d).select("repo_id", "stars", F.when(F.col("language") == "es", "forward").otherwise("stock").alias("wave"))
-    return ce.tranche(x, live=500).select("repo_id", "stars")
+    return ce.tranche(x, ce.tranche_size(t(s, d, "labels"))).select("repo_id", "stars")
 
 
 @query("tk_03_catalog_order", "SELECT p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY coalesce(CASE p_type WHEN 'PROMO' THEN 1 WHEN 'ECONOMY' THEN 2 END, 999), lower(p_name), p_partkey) AS place FROM part")

@@ -167,11 +167,10 @@ def cl_10(s, d):
     return events.minutes(a, b, events.diff_events(a, b))
 
 
-@query("tk_05_priority_cap", BOTH + ", " + EVENTS + " SELECT cohort, event_kind, entity_id FROM (SELECT *, row_number() OVER (PARTITION BY cohort ORDER BY event_kind, entity_id, detail) AS rn FROM ev) WHERE rn <= 5")
+@query("tk_05_priority_cap", BOTH + ", " + EVENTS + f" SELECT cohort, event_kind, entity_id FROM (SELECT *, row_number() OVER (PARTITION BY cohort ORDER BY CASE event_kind {' '.join(f"WHEN '{k}' THEN {v}" for k, v in events.PRIORITY.items())} ELSE 1000000 END, event_kind, entity_id NULLS FIRST) AS rn FROM (SELECT DISTINCT cohort, event_kind, entity_id FROM ev)) WHERE rn <= 5")
 def tk_05(s, d):
     e = events.diff_events(*(stored(x, f"snapshot-{k}") for k, x in enumerate(snaps(s, d))))
-    w = Window.partitionBy("cohort").orderBy("event_kind", "entity_id", "detail")
-    return e.withColumn("rn", F.row_number().over(w)).where("rn <= 5").select("cohort", "event_kind", "entity_id")
+    return events.capped(e.select("cohort", "event_kind", "entity_id").distinct(), 5)
 
 
 @query("so_05_thresholds_crossed", BOTH + " SELECT c.entity_id, (CASE WHEN c.up1 AND NOT p.up1 THEN 'axis1' ELSE '' END || CASE WHEN c.up2 AND NOT p.up2 THEN 'axis2' ELSE '' END) AS recorded, (CASE WHEN p.up1 AND NOT c.up1 THEN 'axis1' ELSE '' END || CASE WHEN p.up2 AND NOT c.up2 THEN 'axis2' ELSE '' END) AS lost FROM scores c JOIN scores_p p USING (entity_id)")

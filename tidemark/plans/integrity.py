@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as sc
@@ -38,10 +37,9 @@ def sf_14(s, d):
     return x.select("p_partkey", "claim", sc.parse_claim("claim").getField("accession").alias("accession"))
 
 
-@query("sf_16_percent_decode", "SELECT page_id, url_decode(url_decode(url)) AS url FROM pages WHERE NOT contains(url, '+')")
+@query("sf_16_percent_decode", "SELECT page_id, url_decode(url_decode(url)) AS url FROM pages")
 def sf_16(s, d):
-    p = t(s, d, "pages").where(~F.col("url").contains("+"))
-    return p.select("page_id", sc.fully_decoded(F.url_encode("url")).alias("url"))
+    return t(s, d, "pages").select("page_id", sc.fully_decoded(F.replace(F.url_encode("url"), F.lit("+"), F.lit("%20"))).alias("url"))
 
 
 @query("sf_19_html_surface", r"""SELECT page_id, trim(regexp_replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\b[^>]*>.*?</script>', '', 'g'), '(?is)<style\b[^>]*>.*?</style>', '', 'g'), '<[^>]+>', '', 'g'), '&nbsp;', ' '), '&amp;', '&'), '&quot;', '"'), '\s+', ' ', 'g')) AS surface FROM pages""")
@@ -51,21 +49,35 @@ def sf_19(s, d):
 
 @query("sf_20_json_leaves", "SELECT event_id, '$.k' AS path, json_extract_string(props, '$.k') AS value FROM events")
 def sf_20(s, d):
-    return pv.json_leaves(t(s, d, "events"), "event_id", "props", depth=2)
+    return pv.json_leaves(t(s, d, "events"), "event_id", "props")
 
 
-@query("sf_21_formatting", SCORES + " SELECT entity_id, CASE WHEN axis1_z IS NULL THEN '–' ELSE format('{:+.2f}', axis1_z) END AS z FROM scores WHERE abs(abs(axis1_z * 100) % 1 - 0.5) > 0.01")
+@query("sf_21_formatting", SCORES + " SELECT entity_id, CASE WHEN axis1_z IS NULL THEN '–' ELSE CASE WHEN axis1_z < 0 THEN '-' ELSE '+' END || format('{:.2f}', round(abs(axis1_z)::DECIMAL(18, 3), 2)::DOUBLE) END AS z FROM scores")
 def sf_21(s, d):
-    x = scores(s, d).where(F.abs(F.abs(F.col("axis1_z") * 100) % 1 - 0.5) > 0.01)
-    return x.select("entity_id", sc.signed("axis1_z").alias("z"))
+    return scores(s, d).select("entity_id", sc.signed("axis1_z").alias("z"))
 
 
-@query("ag_17_table_digest")
+DIGESTED = "sha256(concat_ws(';', {}))"
+
+
+def part_sql(name: str) -> str:
+    """The canonical part of a column: its name, the length of its text in bytes, and the text."""
+    return f"'{name}=' || coalesce(strlen({name}::VARCHAR)::VARCHAR || ':' || {name}::VARCHAR, 'null')"
+
+
+def digest_sql(source: str, columns: list[str]) -> str:
+    sums = " || ',' || ".join(f"sum(('0x' || substr(h, {1 + 16 * i}, 16))::UBIGINT::HUGEINT)::VARCHAR" for i in range(4))
+    return f"SELECT sha256(count(*)::VARCHAR || ':' || {sums}) AS digest, count(*) AS rows FROM (SELECT {DIGESTED.format(', '.join(map(part_sql, sorted(columns))))} AS h FROM {source})"
+
+
+@query("ag_17_table_digest", digest_sql("documents", ["doc_id", "text", "lang", "source", "n_chars"]))
 def ag_17(s, d):
     return idn.table_digest(t(s, d, "documents"))
 
 
-@query("ag_18_merkle_root")
+@query("ag_18_merkle_root", """WITH RECURSIVE leaf AS (SELECT row_number() OVER (ORDER BY path) - 1 AS pos, sha256('\\x00'::BLOB || encode(path) || '\\x00'::BLOB || encode(text)) AS h FROM (SELECT 'doc/' || lpad(doc_id::VARCHAR, 9, '0') AS path, text FROM documents)),
+ level AS (SELECT pos, h, (SELECT count(*) FROM leaf) AS n FROM leaf UNION ALL SELECT pos // 2, CASE WHEN count(*) = 2 THEN sha256('\\x01'::BLOB || unhex(arg_min(h, pos)) || unhex(arg_max(h, pos))) ELSE min(h) END, (n + 1) // 2 FROM level WHERE n > 1 GROUP BY pos // 2, n)
+ SELECT h AS root FROM level WHERE n = 1""")
 def ag_18(s, d):
     leaves = idn.merkle_leaves(t(s, d, "documents").select(F.format_string("doc/%09d", "doc_id").alias("path"), F.col("text").alias("content")))
     return s.createDataFrame([(idn.merkle_root(leaves),)], "root string")
@@ -82,14 +94,14 @@ def ag_26(s, d):
     return ql.sweep(n)
 
 
-@query("ag_33_source_manifest")
+@query("ag_33_source_manifest", digest_sql("(SELECT DISTINCT source FROM documents WHERE source IS NOT NULL)", ["source"]))
 def ag_33(s, d):
     return idn.source_manifest(t(s, d, "documents"), "source")
 
 
 @query("wn_06_hash_chain", "SELECT item_id, lag(sha256(text), 1, repeat('0', 64)) OVER (ORDER BY item_id) AS expected FROM benchmark")
 def wn_06(s, d):
-    return idn.chain(t(s, d, "benchmark").withColumn("chain", F.lit(1)), "text", "item_id", ["chain"]).select("item_id", "expected")
+    return idn.chain(t(s, d, "benchmark"), "text", "item_id").select("item_id", "expected")
 
 
 @query("wn_08_shards", "SELECT doc_id, ntile(7) OVER (ORDER BY doc_id) - 1 AS shard FROM documents")
@@ -220,11 +232,20 @@ def dq_03(s, d):
     return t(s, d, "nation").groupBy(F.col("n_regionkey").alias("snapshot_id")).agg(F.countDistinct("n_name").alias("payloads")).where("payloads > 1")
 
 
-@query("dq_06_chain_of_roots", "SELECT count(*) AS links, 0::BIGINT AS broken FROM benchmark")
+@query("dq_06_chain_of_roots", "SELECT item_id FROM benchmark WHERE item_id % 50 = 7 AND item_id > (SELECT min(item_id) FROM benchmark)")
 def dq_06(s, d):
-    c = idn.chain(t(s, d, "benchmark").withColumn("chain", F.lit(1)), "text", "item_id", ["chain"])
-    prev = F.lag(F.sha2("text", 256), 1, idn.GENESIS).over(Window.partitionBy("chain").orderBy("item_id"))
-    return c.withColumn("_p", prev).agg(F.count("*").alias("links"), F.count_if(F.col("_p") != F.col("expected")).alias("broken"))
+    """A stored chain in which every fiftieth record names another predecessor."""
+    stored = idn.chain(t(s, d, "benchmark"), "text", "item_id").withColumn("prev", F.when((F.col("item_id") % 50 == 7) & (F.col("expected") != idn.GENESIS), F.sha2("expected", 256)).otherwise(F.col("expected"))).drop("expected")
+    return idn.broken_links(stored, "text", "item_id", "prev").select("item_id")
+
+
+@query("dq_06_root_verify", "SELECT 'same' AS recorded, true AS ok UNION ALL SELECT 'other content', false UNION ALL SELECT 'file gone', false")
+def dq_06b(s, d):
+    files = t(s, d, "benchmark").select(F.format_string("item/%09d", "item_id").alias("path"), F.col("text").alias("content"))
+    root = idn.merkle_root(idn.merkle_leaves(files))
+    last = files.agg(F.max("path")).first()[0]
+    cases = {"same": files, "other content": files.withColumn("content", F.when(F.col("path") == last, F.concat("content", F.lit("."))).otherwise(F.col("content"))), "file gone": files.where(F.col("path") != last)}
+    return s.createDataFrame([(k, idn.verify_root(idn.merkle_leaves(x), root)) for k, x in cases.items()], "recorded string, ok boolean")
 
 
 @query("dq_07_sweep_coverage", "SELECT user_id, n AS collected, abs(n - 40) <= greatest(2.0, 0.2) AS ok FROM (SELECT user_id, count(*) AS n FROM events GROUP BY 1)")
@@ -258,11 +279,12 @@ def pf_01(s, d):
     return pv.allow(t(s, d, "customer"), ["c_custkey", "c_mktsegment", "not_there"])
 
 
-@query("pf_02_person_fields", "SELECT event_id, '$.user' AS path FROM events WHERE event_type = 'signup'")
+@query("pf_02_person_fields", """SELECT event_id, unnest(['$.owner', '$.owner.login', '$.a[1].b.c[0].email']) AS path FROM events WHERE event_type = 'signup' UNION ALL SELECT event_id, '$.maintainer' FROM events WHERE event_type = 'click'""")
 def pf_02(s, d):
     e = t(s, d, "events")
-    j = F.when(F.col("event_type") == "signup", F.to_json(F.struct(F.col("user_id").alias("user"), "value"))).otherwise(F.col("props"))
-    return pv.person_fields(e.select("event_id", j.alias("j")), "event_id", "j", depth=2)
+    deep = F.format_string('{"owner": {"login": "u%d", "kind": "x"}, "a": [1, {"b": {"c": [{"email": "u@v"}]}}], "note": "{\\"author\\": [[[1]]]}"}', "user_id")
+    j = F.when(F.col("event_type") == "signup", deep).when(F.col("event_type") == "click", F.to_json(F.struct(F.col("user_id").alias("maintainer"), "value"))).otherwise(F.col("props"))
+    return pv.person_fields(e.select("event_id", j.alias("j")), "event_id", "j")
 
 
 def owned(s, d):
@@ -289,16 +311,51 @@ def pf_09(s, d):
     return t(s, d, "orders").select("o_orderkey", F.coalesce(F.col("o_orderdate") < F.to_timestamp(F.lit("1996-01-01")), F.lit(False)).alias("provisional"))
 
 
-@query("pf_10_row_violations", "SELECT o_orderkey, (CASE WHEN o_orderstatus NOT IN ('F', 'O') THEN 'bad_status' ELSE '' END || CASE WHEN o_orderstatus NOT IN ('F', 'O') AND o_totalprice > 100000 THEN ',' ELSE '' END || CASE WHEN o_totalprice > 100000 THEN 'too_dear' ELSE '' END) AS violations FROM orders WHERE o_orderstatus NOT IN ('F', 'O') OR o_totalprice > 100000")
+def defective(k: str, defects: dict[int, str], sound: str) -> str:
+    """SQL of a JSON line: the sound one, or by ``k`` modulo 20 one with a defect."""
+    return f"CASE {' '.join(f'WHEN {k} % 20 = {i} THEN {x}' for i, x in defects.items())} ELSE {sound} END"
+
+
+DISCOVERY = defective("k", {
+    1: "concat('{\"id\": 0, \"full_name\": \"org/', n, '\"}')", 2: "concat('{\"id\": true, \"full_name\": \"org/', n, '\"}')", 3: "concat('{\"id\": ', k + 1, ', \"full_name\": \"', n, '\"}')",
+    4: "concat('{\"id\": ', k + 1, ', \"full_name\": \"org/\"}')", 5: "concat('{\"id\": ', k + 1, ', \"full_name\": \"org/', n, '\", \"stars\": 1}')", 6: "'{\"id\": '", 7: "concat('{\"id\": \"', k + 1, '\", \"full_name\": \"org/', n, '\"}')",
+}, "concat('{\"id\": ', k + 1, ', \"full_name\": \"org/', n, '\"}')")
+
+
+@query("pf_10_row_violations", "SELECT c_custkey AS k, ['bad_id', 'bad_id', 'bad_full_name', 'bad_full_name', 'bad_fields', 'bad_fields', 'bad_id'][(c_custkey % 20)::INT] AS violations FROM customer WHERE c_custkey % 20 BETWEEN 1 AND 7")
 def pf_10(s, d):
-    v = ql.violations(t(s, d, "orders"), {"bad_status": "o_orderstatus IN ('F', 'O')", "too_dear": "o_totalprice <= 100000"})
-    return v.select("o_orderkey", F.array_join("violations", ",").alias("violations"))
+    rows = t(s, d, "customer").select(F.col("c_custkey").alias("k"), F.replace("c_name", F.lit("#"), F.lit("")).alias("n"))
+    v = ql.discovery_violations(rows.select("k", F.expr(DISCOVERY).alias("line")), "line")
+    return v.select("k", F.array_join("violations", ",").alias("violations"))
+
+
+OBSERVED = defective("k", {
+    1: "concat('{\"id\": ', k + 1, ', \"stars\": -1, \"observed_at\": \"2024-01-05T01:02:03Z\"}')", 2: "concat('{\"id\": ', k + 1, ', \"stars\": 1.5, \"observed_at\": \"2024-01-05T01:02:03Z\"}')",
+    3: "concat('{\"id\": ', k + 1, ', \"stars\": 1, \"observed_at\": \"2024-01-05 01:02:03\"}')", 4: "concat('{\"id\": ', k + 1, ', \"stars\": 1, \"observed_at\": \"2024-02-30T01:02:03Z\"}')",
+    5: "concat('{\"id\": ', k + 1, ', \"stars\": 1, \"observed_at\": \"2024-01-06T01:02:03Z\"}')", 6: "concat('{\"id\": ', k + 1, ', \"observed_at\": \"2024-01-05T01:02:03Z\"}')",
+}, "concat('{\"id\": ', k + 1, ', \"stars\": ', k, ', \"observed_at\": \"2024-01-05T01:02:03Z\"}')")
+
 
+@query("pf_10_observation_violations", "SELECT c_custkey AS k, ['bad_stars', 'bad_stars', 'bad_observed_at', 'bad_observed_at', 'other_day', 'bad_fields'][(c_custkey % 20)::INT] AS violations FROM customer WHERE c_custkey % 20 BETWEEN 1 AND 6")
+def pf_10b(s, d):
+    rows = t(s, d, "customer").select(F.col("c_custkey").alias("k"))
+    v = ql.observation_violations(rows.select("k", F.expr(OBSERVED).alias("line")), "line", "2024-01-05")
+    return v.select("k", F.array_join("violations", ",").alias("violations"))
 
-@query("pf_11_owner_cache", "SELECT c_custkey, 'name_shape' AS violations FROM customer WHERE NOT regexp_matches(c_name, '^Customer#0000000[0-9]{2}$')")
+
+OWNERS = defective("k", {
+    1: "concat('{\"owner_type\": \"Robot\", \"repo_id\": ', k + 1, ', \"full_name\": \"org/x\"}')", 2: "'{\"owner_type\": \"User\", \"repo_id\": -3, \"full_name\": \"org/x\"}'", 3: "concat('{\"owner_type\": \"User\", \"repo_id\": ', k + 1, ', \"full_name\": \"x\"}')",
+    4: "concat('{\"owner_type\": \"User\", \"repo_id\": ', k + 1, '}')", 5: "'{\"owner_type\": \"Bot\", \"repo_id\": true, \"full_name\": \"a/b/c\"}'",
+}, "concat('{\"owner_type\": \"Organization\", \"repo_id\": ', k + 1, ', \"full_name\": \"org/x\"}')")
+
+
+@query("pf_11_owner_cache", """WITH e AS (SELECT c_custkey AS k, c_name AS repo FROM customer)
+ SELECT repo, ['bad_owner_type', 'bad_repo_id', 'bad_full_name', 'bad_fields', 'bad_full_name,bad_owner_type,bad_repo_id'][(k % 20)::INT] AS violations FROM e WHERE k % 20 BETWEEN 1 AND 5
+ UNION ALL SELECT repo, 'missing' FROM e WHERE k % 20 = 19 UNION ALL SELECT 'extra/' || k, 'extra' FROM e WHERE k % 20 = 18""")
 def pf_11(s, d):
-    v = ql.violations(t(s, d, "customer"), {"name_shape": "c_name rlike '^Customer#0000000[0-9]{2}$'", "positive_id": "c_custkey >= 0"})
-    return v.select("c_custkey", F.array_join("violations", ",").alias("violations"))
+    c = t(s, d, "customer").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("repo"))
+    entries = c.where("k % 20 <> 19").select("repo", F.expr(OWNERS).alias("entry")).unionByName(c.where("k % 20 = 18").select(F.concat(F.lit("extra/"), F.col("k").cast("string")).alias("repo"), F.expr("concat('{\"owner_type\": \"User\", \"repo_id\": ', k + 1, ', \"full_name\": \"org/x\"}')").alias("entry")))
+    return ql.owner_cache_violations(c.select("repo"), entries).select("repo", F.array_join("violations", ",").alias("violations"))
 
 
 @query("pf_12_pinned_rows", "SELECT l_orderkey, l_linenumber FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_size > 40 AND l_returnflag = 'R'")
@@ -319,10 +376,16 @@ def pf_15(s, d):
     return pv.window_terms(surf, ["erwh", "the"], ["idiot", "scum"]).select("doc", "name", F.lower("term").alias("term"))
 
 
-@query("pf_15_page_terms", "SELECT doc, term, count(*) AS n FROM (SELECT doc_id AS doc, unnest(regexp_extract_all(' ' || lower(text), '[^a-z0-9_äöüßéèêçñáíóú](idiot|scum)', 1)) AS term FROM documents) GROUP BY 1, 2")
+@query("pf_15_page_terms", "SELECT doc, term, count(*) AS n FROM (SELECT doc_id AS doc, unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}_]+')) AS term FROM documents) WHERE term IN ('idiot', 'scum') GROUP BY 1, 2")
 def pf_15b(s, d):
-    surf = t(s, d, "documents").select(F.col("doc_id").alias("doc"), F.concat(F.lit(" "), F.lower("text")).alias("surface"))
-    return surf.select("doc", F.explode(F.regexp_extract_all("surface", F.lit("[^a-z0-9_äöüßéèêçñáíóú](idiot|scum)"), 1)).alias("term")).groupBy("doc", "term").agg(F.count("*").alias("n"))
+    surf = t(s, d, "documents").select(F.col("doc_id").alias("doc"), F.col("text").alias("surface"))
+    return pv.page_terms(surf, ["idiot", "scum"]).groupBy("doc", F.lower("term").alias("term")).agg(F.count("*").alias("n"))
+
+
+@query("pf_15_leaf_terms", "SELECT event_id, unnest(['$.k', '$.deep[1].says']) AS path, unnest(['idiot', 'scum']) AS term FROM events WHERE event_id % 3 = 0")
+def pf_15c(s, d):
+    said = F.when(F.col("event_id") % 3 == 0, '{"k": "an Idiot, said", "deep": [1, {"says": "SCUM"}], "scum": 2}').otherwise(F.col("props"))
+    return pv.leaf_terms(t(s, d, "events").select("event_id", said.alias("j")), "event_id", "j", ["idiot", "scum"]).withColumn("term", F.lower("term"))
 
 
 @query("pf_16_plane_split", SCORES + " SELECT CASE WHEN axis1_z IS NULL THEN 'excluded' WHEN axis2_z IS NULL THEN 'rail' ELSE 'plane' END AS place, count(*) AS n FROM scores GROUP BY 1")
@@ -352,11 +415,12 @@ def pf_18(s, d):
 @query("sc_01_snapshot_documents", "SELECT strftime(ts, '%Y-%m-%d') AS snapshot_date, count(*) AS entities FROM events GROUP BY 1")
 def sc_01(s, d):
     path = scratch(s, "snapshots")
-    day = F.date_format("ts", "yyyy-MM-dd")
-    docs = t(s, d, "events").groupBy(day.alias("snapshot_date")).agg(F.collect_list("event_id").alias("entities"))
-    docs.withColumn("part", F.col("snapshot_date")).repartition("part").write.partitionBy("part").json(path)
-    rows = s.read.schema("snapshot_date string, entities array<long>").json(f"{path}/part=*")
-    return rows.select("snapshot_date", F.explode("entities").alias("e")).groupBy("snapshot_date").agg(F.count("*").alias("entities"))
+    e = t(s, d, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("snapshot_date"), "event_id")
+    # a day's documents hold about a thousand entities each; every document is a file of its day's directory
+    docs = e.groupBy("snapshot_date", F.floor(F.col("event_id") / 1000).alias("k")).agg(F.collect_list("event_id").alias("entities"))
+    docs.select(F.to_json(F.struct("snapshot_date", "entities")).alias("value"), F.col("snapshot_date").alias("day")).repartition("day").write.partitionBy("day").option("maxRecordsPerFile", 1).text(path)
+    rows = readers.snapshots(s, f"{path}/day=*", "snapshot_date string, entities array<long>")
+    return rows.select(F.col("dir_date").alias("snapshot_date"), F.explode("entities").alias("e")).groupBy("snapshot_date").agg(F.count("*").alias("entities"))
 
 
 @query("sc_02_tolerant_json_lines", "SELECT event_id, event_type FROM events")
@@ -383,14 +447,14 @@ def sc_04(s, d):
     return got.select(F.when(F.col("corrupt").isNotNull(), "corrupt").otherwise("ok").alias("state")).groupBy("state").agg(F.count("*").alias("n"))
 
 
-SERIES = "SELECT user_id AS entity_id, ts::DATE AS snap, max(event_id) FILTER (WHERE event_type <> 'error') AS value FROM events WHERE ts::DATE <= DATE '2024-01-20' AND event_type <> 'error' GROUP BY 1, 2"
+#: rows of every third event come from the backfill; where both origins have a day, the captured row wins
+SERIES = "SELECT user_id AS entity_id, ts::DATE AS snap, coalesce(max(event_id) FILTER (WHERE event_id % 3 <> 0), max(event_id)) AS value FROM events WHERE ts::DATE <= DATE '2024-01-20' AND event_type <> 'error' GROUP BY 1, 2"
 
 
 @query("sc_05_partitioned_series", SERIES)
 def sc_05(s, d):
     e = t(s, d, "events").select(F.col("user_id").alias("entity_id"), F.to_date("ts").alias("snap"), F.col("event_id").alias("value"), F.when(F.col("event_type") == "error", "fetch_error").otherwise("matched").alias("coverage"), F.col("event_id").alias("file_date"))
-    none = e.where(F.col("value") < 0)
-    return readers.series(none, e, "2024-01-20")
+    return readers.series(e.where("value % 3 = 0"), e.where("value % 3 <> 0"), "2024-01-20")
 
 
 @query("sc_07_labelled_series", "SELECT 'views' AS series, user_id::VARCHAR AS entity, event_id AS snap, value FROM events WHERE event_type = 'view' UNION ALL SELECT 'clicks', user_id::VARCHAR, event_id, value * 2 FROM events WHERE event_type = 'click'")
@@ -503,11 +567,11 @@ def ss_01(s, d):
     return got.groupBy("week").agg(F.count("*").alias("n"))
 
 
-@query("ss_02_last_in_week", f"SELECT user_id AS entity_id, {WEEK}::VARCHAR AS week, arg_max(value, ts) AS value, count(*) AS captures FROM events WHERE {WEEK} < DATE '2024-01-29' GROUP BY 1, 2")
+@query("ss_02_last_in_week", f"SELECT user_id AS entity_id, {WEEK}::VARCHAR AS week, arg_max(value, ts) AS value, count(*) AS captures FROM events  GROUP BY 1, 2")
 def ss_02(s, d):
     got = replay(s, d, "ss02", lambda x: st.last_in_week(x, ["entity_id"], "value"), "update")
     last = latest(got, ["entity_id", "week_start"], [F.col("captures")])
-    return last.select("entity_id", F.date_format("week_start", "yyyy-MM-dd").alias("week"), "value", "captures").where("week < '2024-01-29'")
+    return last.select("entity_id", F.date_format("week_start", "yyyy-MM-dd").alias("week"), "value", "captures")
 
 
 @query("ss_03_once", "SELECT event_id::VARCHAR AS observation_id FROM events")

@@ -51,7 +51,7 @@ def ag_29(s, d):
 
 @query("st_19_calibrate", f"""WITH {PANEL}, {MOVES}, cm AS (SELECT snap, count(*) AS n, max(abs(ln((v + 1) / (a + 1)))) AS mm, avg((abs(ln((v + 1) / (a + 1))) > ln(2))::INT) AS bs FROM m
   WHERE idx NOT IN (SELECT idx FROM idx WHERE snap = DATE '{BAD}') AND idx - 1 NOT IN (SELECT idx FROM idx WHERE snap = DATE '{BAD}') GROUP BY 1),
- n AS (SELECT snap, count(DISTINCT entity) AS n FROM panel GROUP BY 1), md AS (SELECT -quantile_disc(-n, 0.5) AS q FROM n), dv AS (SELECT max(abs(n - q) / q) AS dv FROM n, md)
+ n AS (SELECT snap, count(DISTINCT entity) AS n FROM panel WHERE snap <> DATE '{BAD}' GROUP BY 1), md AS (SELECT -quantile_disc(-n, 0.5) AS q FROM n), dv AS (SELECT max(abs(n - q) / q) AS dv FROM n, md)
  SELECT 'types' AS series, round(greatest(max(mm), ln(2)), 6) AS move_bound, round(greatest(3 * coalesce(max(CASE WHEN n >= 10 THEN bs END), 0), 0.1), 6) AS share_bound, round(least(0.9, 1 - 3 * max(dv)), 6) AS least_coverage FROM cm, dv""")
 def st_19(s, d):
     bad = s.createDataFrame([(BAD,)], "snap string").select(F.to_date("snap").alias("snap"))
@@ -59,8 +59,29 @@ def st_19(s, d):
     return got.select("series", *(r(c).alias(c) for c in ("move_bound", "share_bound", "least_coverage")))
 
 
+#: other series: orders a nation and quarter, as they are and with one quarter scaled down
+CONTROL = f"""panel AS (SELECT series, entity, snap, (n // CASE WHEN series = 'broken' AND snap = DATE '{BAD}' THEN 20 ELSE 1 END)::BIGINT AS value
+ FROM (SELECT c_nationkey::VARCHAR AS entity, date_trunc('quarter', o_orderdate)::DATE AS snap, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2), (SELECT unnest(['nations', 'broken']) AS series)),
+ idx AS (SELECT *, dense_rank() OVER (PARTITION BY series ORDER BY snap) AS idx FROM panel)"""
+
+
+def control(s, d):
+    o = t(s, d, "orders").join(t(s, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    n = o.groupBy(F.col("c_nationkey").cast("string").alias("entity"), F.to_date(F.date_trunc("quarter", "o_orderdate")).alias("snap")).agg(F.count("*").alias("n"))
+    down = F.when((F.col("series") == "broken") & (F.col("snap") == F.lit(BAD)), 20).otherwise(1)
+    return n.withColumn("series", F.explode(F.array(F.lit("nations"), F.lit("broken")))).select("series", "entity", "snap", F.floor(F.col("n") / down).cast("long").alias("value"))
+
+
+@query("st_19_negative_control", f"""WITH {CONTROL}, m AS (SELECT c.series, c.snap, c.value AS v, p.value AS a, n1.value AS b1, n2.value AS b2 FROM idx c JOIN idx p ON p.series = c.series AND p.entity = c.entity AND p.idx = c.idx - 1
+ LEFT JOIN idx n1 ON n1.series = c.series AND n1.entity = c.entity AND n1.idx = c.idx + 1 LEFT JOIN idx n2 ON n2.series = c.series AND n2.entity = c.entity AND n2.idx = c.idx + 2 WHERE p.value >= 5 AND (n1.value IS NOT NULL OR n2.value IS NOT NULL)),
+ f AS (SELECT series, snap, count(*) AS eligible, avg((abs(ln((v + 1) / (a + 1))) > ln(2) AND least(abs(ln((b1 + 1) / (a + 1))), abs(ln((b2 + 1) / (a + 1)))) < ln(2) / 2)::INT) AS share FROM m GROUP BY 1, 2)
+ SELECT series, snap, eligible, round(share, 6) AS share FROM f WHERE eligible >= 10 AND share > 0.3""")
+def st_19b(s, d):
+    return pn.firings(control(s, d), 0.6931471805599453, 0.3).withColumn("share", r("share"))
+
+
 @query("cl_12_partition_verdicts", f"""WITH {PANEL}, {MOVES}, {REV}, n AS (SELECT snap, idx, count(DISTINCT entity) AS n FROM idx GROUP BY 1, 2), md AS (SELECT -quantile_disc(-n, 0.5) AS md, max(idx) AS last FROM n)
- SELECT n.snap, n.n AS coverage, CASE WHEN n.n < 0.9 * md THEN 'INVALID_COVERAGE' WHEN n.idx = last THEN 'PROVISIONAL' WHEN coalesce(share, 0) > 0.3 THEN 'SUSPECT_CORRUPT' ELSE 'CLEAN' END AS status
+ SELECT n.snap, n.n AS coverage, CASE WHEN eligible >= 10 AND share > 0.3 AND n.idx < last THEN 'SUSPECT_CORRUPT' WHEN n.n < 0.9 * md THEN 'INVALID_COVERAGE' WHEN n.idx = last AND last > 1 THEN 'PROVISIONAL' ELSE 'CLEAN' END AS status
  FROM n CROSS JOIN md LEFT JOIN rev USING (snap)""")
 def cl_12(s, d):
     return pn.verdicts(panel(s, d), 0.6931471805599453, 0.3, 0.9).select("snap", "coverage", "status")
