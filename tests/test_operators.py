@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.stats import residualize, robust_z
-from tidemark.operators import census, cohort, events, identity, panel, quality, series
+from tidemark.operators import census, cohort, events, identity, manifests, panel, privacy, quality, series
 from tidemark.operators.asof import asof_join, visible
 
 
@@ -159,10 +159,70 @@ def test_completeness(spark):
 
 
 def test_manifests():
-    assert census.read_manifest("requirements.txt", "Torch>=2.0 # x\n-r other\n\nnum_py") == (None, ["num-py", "torch"])
-    assert census.read_manifest("pyproject.toml", '[project]\nname = "My.Tool"\ndependencies = ["jax>0"]') == ("my-tool", ["jax"])
-    assert census.read_manifest("Cargo.toml", '[package]\nname="x"\n[dependencies]\nserde="1"\nown={path="../own"}') == ("x", ["serde"])
-    assert census.read_manifest("package.json", "{bad") == (None, [])
+    read = manifests.read_manifest
+    assert read("requirements.txt", "Torch>=2.0 # x\n-r other\n\nnum_py") == (None, ["num-py", "torch"])
+    assert read("pyproject.toml", '[project]\nname = "My.Tool"\ndependencies = ["jax>0"]') == ("my-tool", ["jax"])
+    assert read("Cargo.toml", '[package]\nname="x"\n[dependencies]\nserde="1"\nown={path="../own"}') == ("x", ["serde"])
+    assert read("package.json", "{bad") == read("package.json", "[1]") == read("go.mod", "module x") == (None, [])
+    assert read("package.json", '{"name": "A_b", "dependencies": {"x": "1", "y": "file:../y", "z": 3}}') == ("a-b", ["x"])
+
+
+def test_dependency_lines_come_from_their_section():
+    line = manifests.dependency_line
+    assert line("requirements.txt", "# torch\nnumpy>=1\npytorch==2\ntorch\n", "torch") == "torch"
+    assert line("package.json", '{\n "devDependencies": {"a-b": "0"},\n "dependencies": {\n  "My_lib": "^1",\n  "a.b": "2"\n },\n "x": {"a-b": 1}}', "a-b") == '  "a.b": "2"'
+    assert line("pyproject.toml", "[build-system]\nrequires=['torch']\n[project]\nname='x'\ndependencies = [\n 'numpy[extra]>1',  # ]\n 'torch >= 2',\n]\n[tool.x]\n", "torch") == " 'torch >= 2',"
+    assert line("Cargo.toml", '[dev-dependencies]\nserde="1"\n[dependencies]\nserde_json = "1"\nserde = { version="1" }\n', "serde") == 'serde = { version="1" }'
+    for file in ("requirements.txt", "package.json", "pyproject.toml", "Cargo.toml", "other"):
+        with pytest.raises(ValueError, match="declares torch"):
+            line(file, '{"scripts": {"torch": "x"}}' if file == "package.json" else "pytorch\n[x]\ntorch2 = '1'\n", "torch")
+
+
+def test_window_terms_equal_brute_force(spark):
+    import random
+
+    r = random.Random(4)
+    docs = [(k, "".join(r.choice(["tool ", "scum ", "Idiot, ", "toolbox ", "x" * 40 + " ", "a b ", "scummy "]) for _ in range(r.randint(0, 60)))) for k in range(40)]
+    got = {(x["doc"], x["name"], x["term"].lower(), x["context"]) for x in privacy.window_terms(spark.createDataFrame(docs, "doc long, surface string"), ["tool"], ["scum", "idiot"], 120).collect()}
+    want = set()
+    for k, text in docs:
+        spans = {w: [i for i in range(len(text)) if text[i : i + len(w)].lower() == w and not text[i - 1 : i].isalnum() and not text[i + len(w) : i + len(w) + 1].isalnum()] for w in ("tool", "scum", "idiot")}
+        for a in spans["tool"]:
+            lo, hi = max(0, a - 120), min(len(text), a + 4 + 120)
+            # a term cut by the window's edge is judged as it stands there
+            ctx = text[lo:hi]
+            for w in ("scum", "idiot"):
+                if any(ctx[i : i + len(w)].lower() == w and not ctx[i - 1 : i].isalnum() * (i > 0) and not ctx[i + len(w) : i + len(w) + 1].isalnum() for i in range(len(ctx))):
+                    want.add((k, "tool", w, ctx))
+    assert got == want and len(got) > 20
+
+
+def test_json_nesting_and_person_keys(spark):
+    rows = [(1, '{"a": {"b": [[{"owner": {"email": 1}}]]}}'), (2, '{"Owner": 1, "x": "{\\"login\\": [1]}"}'), (3, "{bad"), (4, None), (5, "7")]
+    df = spark.createDataFrame(rows, "k long, j string")
+    assert [x["n"] for x in df.select(privacy.nesting("j").alias("n")).collect()] == [6, 1, 1, 0, 0]
+    got = {(x["k"], x["path"]) for x in privacy.person_fields(df, "k", "j").collect()}
+    assert got == {(1, "$.a.b[0][0].owner"), (1, "$.a.b[0][0].owner.email")}
+
+
+def test_surface_of_markup(spark):
+    from tidemark.functions import scalars
+
+    pages = ["plain &amp; text", "<p>a&amp;b &amp;lt; &NBSP;c</p>", "<script>x<y</script>k<style>b</style>", "<b>1 < 2 &copy; & x</b>", "", None, "<i>&#39;q&quot;</i>\n\t z"]
+    got = [x["s"] for x in spark.createDataFrame([(p,) for p in pages], "h string").select(scalars.html_surface("h").alias("s")).collect()]
+    assert got == ["plain &amp; text", "a&b < c", "k", "1", "", None, "'q\" z"]
+
+
+def test_partition_verdicts(spark):
+    """12 entities over six days: a reversal, a thin day, the last one."""
+    rows = [("x", f"e{k}", d, 4 if d == 2 else 100) for k in range(12) for d in range(6) if not (d == 4 and k > 3)]
+    df = spark.createDataFrame(rows, "series string, entity string, snap int, value long")
+    got = {x["snap"]: x["status"] for x in panel.verdicts(df, math.log(2), 0.3, 0.9).collect()}
+    assert got == {0: "CLEAN", 1: "CLEAN", 2: "SUSPECT_CORRUPT", 3: "CLEAN", 4: "INVALID_COVERAGE", 5: "PROVISIONAL"}
+    assert {x["status"] for x in panel.verdicts(df, math.log(2), 0.3, 0.9, floor=20).where("snap <> 2").collect()} == {"INVALID_COVERAGE"}
+    few = panel.verdicts(df.where("entity < 'e2'"), math.log(2), 0.3, 0.9).where("snap = 2").first()
+    assert few["status"] == "CLEAN"  # fewer than ten entities accuse nobody
+    assert [x["snap"] for x in panel.firings(df, math.log(2), 0.3).collect()] == [2]
 
 
 def test_two_mentions_need_a_manifest(spark):

@@ -38,18 +38,18 @@ def without_own(rows: DataFrame, own: DataFrame) -> DataFrame:
 
 
 def distinct_counts(rows: DataFrame) -> DataFrame:
-    """Direct and any-depth distinct dependents per (entity, package) and per entity (package ``__SYSTEM__``), in one pass.
+    """Direct and any-depth distinct dependents per (entity, package) and per entity (package ``__SYSTEM__``).
 
-    Rows are first brought to one per (entity, package, dependent), so the distinct counts see few rows.
+    Rows are first brought to one per (entity, package, dependent) and those to one per (entity, dependent), so that plain
+    counts are distinct counts: no row is expanded for them, and each level is partially aggregated.
     """
     once = rows.groupBy("entity", "package", "dependent").agg(F.max("direct").alias("direct"))
-    got = once.groupingSets([["entity"], ["entity", "package"]], "entity", "package").agg(
-        F.countDistinct(F.when(F.col("direct"), F.col("dependent"))).alias("direct_dependents"),
-        F.countDistinct("dependent").alias("all_dependents"),
-        F.countDistinct("package").alias("packages_present"),
-        F.grouping("package").alias("_whole"),
-    )
-    return got.select("entity", F.when(F.col("_whole") == 1, WHOLE).otherwise(F.col("package").cast("string")).alias("package"), "direct_dependents", "all_dependents", "packages_present")
+    tally = [F.count_if(F.col("direct") & F.col("dependent").isNotNull()).alias("direct_dependents"), F.count("dependent").alias("all_dependents")]
+    each = once.groupBy("entity", "package").agg(*tally)
+    whole = once.groupBy("entity", "dependent").agg(F.max("direct").alias("direct")).groupBy("entity").agg(*tally)
+    present = each.groupBy("entity").agg(F.count("package").alias("packages_present"))
+    whole = whole.join(present, "entity").select("entity", F.lit(WHOLE).alias("package"), "direct_dependents", "all_dependents", "packages_present")
+    return whole.unionByName(each.select("entity", F.col("package").cast("string").alias("package"), "direct_dependents", "all_dependents", F.col("package").isNotNull().cast("long").alias("packages_present")))
 
 
 def xor_fingerprint(rows: DataFrame, key: str = "entity", member: str = "dependent", distinct: bool = True) -> DataFrame:

@@ -188,15 +188,66 @@ def pooled_correlation(rows: DataFrame, a: str, b: str, least: int = 5) -> DataF
     return dev.agg(F.count("*").alias("n"), F.corr("x", "y").alias("corr")).select("n", F.when(F.col("n") >= least, F.col("corr")).alias("corr"))
 
 
-def promotion(v: DataFrame, registry_n: DataFrame, correlation: DataFrame, flips: DataFrame) -> DataFrame:
-    """One row of criteria: coverage, independence, flips, share of rising in (0, 0.40) over two cohorts at least."""
-    last = v.where(F.col("cutoff") == v.select(F.max("cutoff")).first()[0]) if "cutoff" in v.columns else v
-    held = last.join(verdict_canary(last).where("hold").select("cohort"), "cohort", "left_anti")
-    c = held.agg(F.count("*").alias("eligible"), F.count_if("rising").alias("rising"), F.countDistinct(F.when(F.col("rising"), F.col("cohort"))).alias("rising_cohorts"))
-    f = flips.agg(F.max(F.when(F.col("state") == "EVALUATED", F.col("flip"))).alias("max_flip"), F.count_if(F.col("state") == "UNEVALUABLE").alias("unevaluable"))
-    one = c.join(F.broadcast(registry_n)).join(F.broadcast(correlation.select("corr"))).join(F.broadcast(f))
-    share = F.col("rising") / F.expr("nullif(eligible, 0)")
-    c1, c2 = F.col("eligible") >= 0.5 * F.col("registry_n"), F.abs(F.coalesce("corr", F.lit(0.0))) < 0.7
-    c3, c4 = F.coalesce(F.col("max_flip") <= 0.25, F.lit(False)) & (F.col("unevaluable") == 0), F.coalesce((share > 0) & (share < 0.40), F.lit(False)) & (F.col("rising_cohorts") >= 2)
-    state = F.when(F.col("eligible") == 0, "NOT_EVALUABLE").when(c1 & c2 & c3 & c4, "EVALUATED").otherwise("HOLD")
-    return one.select("eligible", "rising", share.alias("share"), c1.alias("c1_coverage"), c2.alias("c2_independence"), c3.alias("c3_flip"), c4.alias("c4_spread"), state.alias("status"))
+#: fixed values: the promotion criteria
+CRITERIA = {"coverage_min": 30, "independence_max_abs_r": 0.5, "flip_max": 0.30, "rising_share_lo": 0.0, "rising_share_hi": 0.40}
+
+
+def promotion(v: DataFrame, axes: DataFrame, correlation: DataFrame, flips: DataFrame, states: DataFrame | None = None, criteria: dict = CRITERIA) -> DataFrame:
+    """One row of criteria at the newest cutoff of ``v(cutoff, entity, cohort, rising, slope, endpoint_up)``.
+
+    ``axes(entity, axes_present)``: c1 counts voting entities with another axis. ``correlation(n, corr)``: c2 needs one.
+    ``flips``: c3 holds if some transition is evaluated and all evaluated ones flip less than the bound. c4: the panel's rising
+    share lies inside the band over two cohorts or more, and no cohort is held by the canary. c5 and c6 hold by construction:
+    votes are cast on the least number of clean points and on rows not after their cutoff. ``states(snap, status)``: snaps
+    without a verdict (status null) make the whole an ERROR; no clean one makes it NOT_EVALUABLE. A held cohort makes it HOLD.
+    """
+    newest = v.agg(F.max("cutoff").alias("cutoff"))
+    last = v.join(F.broadcast(newest), "cutoff", "left_semi")
+    held = verdict_canary(last).agg(F.count_if("hold").alias("held_cohorts"))
+    capable = last.join(axes.where("axes_present >= 1").select("entity"), "entity", "left_semi").agg(F.count("*").alias("gate_capable"))
+    c = last.agg(F.count("*").alias("voting"), F.count_if("rising").alias("rising"), F.countDistinct(F.when(F.col("rising"), F.col("cohort"))).alias("rising_cohorts"))
+    f = flips.agg(F.count_if(F.col("state") == "EVALUATED").alias("evaluated"), F.max(F.when(F.col("state") == "EVALUATED", F.col("flip"))).alias("max_flip"))
+    one = c.join(F.broadcast(held)).join(F.broadcast(capable)).join(F.broadcast(correlation.select("corr"))).join(F.broadcast(f))
+    if states is not None:
+        one = one.join(F.broadcast(states.agg(F.count_if(F.col("status").isNull()).alias("unknown"), F.count_if(F.col("status") == "CLEAN").alias("clean"))))
+    else:
+        one = one.withColumn("unknown", F.lit(0)).withColumn("clean", F.lit(1))
+    share = F.coalesce(F.col("rising") / F.expr("nullif(voting, 0)"), F.lit(0.0))
+    c1 = F.col("gate_capable") >= criteria["coverage_min"]
+    c2 = F.coalesce(F.abs("corr") < criteria["independence_max_abs_r"], F.lit(False))
+    c3 = (F.col("evaluated") > 0) & F.coalesce(F.col("max_flip") < criteria["flip_max"], F.lit(False))
+    c4 = (F.col("voting") > 0) & (F.col("held_cohorts") == 0) & (share > criteria["rising_share_lo"]) & (share < criteria["rising_share_hi"]) & (F.col("rising_cohorts") >= 2)
+    state = F.when(F.col("unknown") > 0, "ERROR").when(F.col("clean") == 0, "NOT_EVALUABLE").when(F.col("held_cohorts") > 0, "HOLD").otherwise("EVALUATED")
+    yes = F.lit(True)
+    return one.select(
+        "voting", "rising", "rising_cohorts", "held_cohorts", "gate_capable", share.alias("share"), c1.alias("c1_coverage"), c2.alias("c2_independence"), c3.alias("c3_flip"), c4.alias("c4_nondegeneracy"),
+        yes.alias("c5_floors"), yes.alias("c6_no_lookahead"), state.alias("status"),
+    )
+
+
+def cohort_shares(v: DataFrame) -> DataFrame:
+    """The older form of c4, for diagnosis: each cohort's rising share, and whether a share inside the open band is attainable at all."""
+    return v.groupBy("cohort").agg(F.count("*").alias("n"), F.avg(F.col("rising").cast("double")).alias("share")).withColumn("attainable", F.col("n") >= 3)
+
+
+def shadow_report(points: DataFrame, entities: DataFrame, least: int = MIN_POINTS, floor: int = FLOOR, sized: int = 5) -> DataFrame:
+    """One row: what a third axis would do. ``points(entity, day, value)``, ``entities(entity, cohort, axes_present)``.
+
+    An entity with ``least`` points votes: slope over real days, robust z in its cohort (``sized`` voters at least), freed of size.
+    """
+    from tidemark.operators.series import dated_slope
+
+    own = points.join(entities.select("entity", "cohort"), "entity")
+    n = own.groupBy("entity", "cohort").agg(F.count("*").alias("points"), F.max_by("value", "day").alias("latest"))
+    slopes = dated_slope(own, ["entity"], "day", "value").withColumnRenamed("slope", "_slope")
+    rows = n.join(slopes, "entity").withColumn("slope", F.when(F.col("points") >= least, F.col("_slope"))).drop("_slope")
+    voting = rows.where("slope IS NOT NULL").withColumn("_size", F.log1p(F.col("latest").cast("double")))
+    large = voting.groupBy("cohort").agg(F.count("*").alias("_n")).where(F.col("_n") >= sized).select("cohort")
+    z = robust_z(voting.join(large, "cohort", "left_semi"), ["cohort"], "slope", "_z", floor=None, upper=True)
+    z = residualize(z, ["cohort"], "_z", "_size", "z", least=3, bound=3.0)
+    votes_ = z.agg(F.count_if((F.col("slope") > 0) & (F.col("z") >= Z_FLOOR) & (F.col("latest") >= floor)).alias("rising_votes"))
+    third = entities.join(rows.select("entity", F.col("slope").isNotNull().alias("_third")), "entity", "left")
+    axes = third.agg(F.count_if(F.col("axes_present") >= 2).alias("two_axes_now"), F.count_if(F.col("axes_present") + F.coalesce(F.col("_third").cast("int"), F.lit(0)) >= 2).alias("two_axes_projected"))
+    cover = rows.agg(F.count("*").alias("covered"), F.count_if(F.col("latest") > 0).alias("nonzero"), F.count("slope").alias("voting"))
+    days = own.agg(F.countDistinct("day").alias("days"))
+    return cover.join(F.broadcast(days)).join(F.broadcast(votes_)).join(F.broadcast(axes)).select("days", "covered", "nonzero", "voting", "rising_votes", "two_axes_now", "two_axes_projected")

@@ -97,9 +97,10 @@ def ag_09b(s, d):
     return dp.heavy_hitters_approx(rows(s, d), "entity", "dep_system", 3).select("entity", F.size("top").cast("long").alias("n"))
 
 
-@query("ag_10_any_value", f"WITH {FACTS} SELECT entity, strftime(min(snapshot), '%Y-%m-%d') AS first_seen FROM rows GROUP BY 1")
+@query("ag_10_any_value", f"WITH {FACTS} SELECT package, min(entity) AS entity, strftime(min(snapshot), '%Y-%m-%d') AS first_seen FROM rows GROUP BY 1")
 def ag_10(s, d):
-    return rows(s, d).groupBy("entity").agg(F.date_format(F.min("snapshot"), "yyyy-MM-dd").alias("first_seen"), F.any_value("dep_system").alias("_any")).drop("_any")
+    """A package belongs to one entity, so any of its rows tells which."""
+    return rows(s, d).groupBy("package").agg(F.any_value("entity").alias("entity"), F.date_format(F.min("snapshot"), "yyyy-MM-dd").alias("first_seen"))
 
 
 @query("ag_11_multi_key_count", f"WITH {FACTS} SELECT entity, package, dep_system, direct, count(*) AS n FROM rows GROUP BY ALL")

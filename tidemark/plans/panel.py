@@ -174,18 +174,41 @@ def st_16(s, d):
     return pn.pooled_correlation(scores(s, d), "axis1_z", "axis2_z").withColumn("corr", r("corr"))
 
 
-@query("cl_15_promotion_criteria")
+PROMOTION = SCORES + f""", g AS (SELECT cohort, avg(axis1_z) AS a, avg(axis2_z) AS b FROM scores WHERE axis1_z IS NOT NULL AND axis2_z IS NOT NULL GROUP BY 1 HAVING count(*) >= 5),
+ cr AS (SELECT corr(axis1_z - a, axis2_z - b) AS corr FROM scores JOIN g USING (cohort) WHERE axis1_z IS NOT NULL AND axis2_z IS NOT NULL), {PANEL}, {CUTZED.replace(" cutoff, entity, slope > 0 AND", " cutoff, entity, cohort, slope, latest > first AS up, slope > 0 AND").replace("arg_max(value, snap) AS latest, coalesce", "arg_max(value, snap) AS latest, arg_min(value, snap) AS first, coalesce").replace("md AS (", "mdc AS (").replace("JOIN md USING", "JOIN mdc USING")},
+ lt AS (SELECT * FROM vt WHERE cutoff = (SELECT max(cutoff) FROM vt)), can AS (SELECT cohort, count(*) >= 3 AND avg(((round(slope, 6) > 0) = up)::INT) < 0.8 AS hold FROM lt GROUP BY 1),
+ fl AS (SELECT count(*) AS n, avg((coalesce(now, false) <> coalesce(was, false))::INT) AS flip FROM bo GROUP BY prev, cutoff),
+ o AS (SELECT count(*) AS voting, count(*) FILTER (WHERE rising) AS rising, count(DISTINCT CASE WHEN rising THEN cohort END) AS rising_cohorts, (SELECT count(*) FILTER (WHERE hold) FROM can) AS held_cohorts,
+  count(*) FILTER (WHERE entity IN (SELECT cohort FROM scores WHERE has1)) AS gate_capable, (SELECT corr FROM cr) AS corr, (SELECT count(*) FROM fl WHERE n >= 5) AS evaluated, (SELECT max(flip) FROM fl WHERE n >= 5) AS max_flip FROM lt)
+ SELECT voting, rising, rising_cohorts, held_cohorts, gate_capable, round(rising / voting, 6) AS share, gate_capable >= 30 AS c1_coverage, coalesce(abs(corr) < 0.5, false) AS c2_independence, evaluated > 0 AND coalesce(max_flip < 0.3, false) AS c3_flip,
+  held_cohorts = 0 AND rising > 0 AND rising / voting < 0.4 AND rising_cohorts >= 2 AS c4_nondegeneracy, true AS c5_floors, true AS c6_no_lookahead, CASE WHEN held_cohorts > 0 THEN 'HOLD' ELSE 'EVALUATED' END AS status FROM o"""
+
+
+@query("cl_15_promotion_criteria", PROMOTION)
 def cl_15(s, d):
     v = cut_votes(s, d)
-    n = cohorts(s, d).agg(F.count("*").alias("registry_n"))
-    return pn.promotion(v, n, pn.pooled_correlation(scores(s, d), "axis1_z", "axis2_z"), pn.flip_and_churn(v))
+    x = scores(s, d)
+    axes = x.groupBy(F.col("cohort").alias("entity")).agg(F.max(F.array_contains("axes_present", "axis1").cast("int")).alias("axes_present"))
+    return pn.promotion(v, axes, pn.pooled_correlation(x, "axis1_z", "axis2_z"), pn.flip_and_churn(v)).withColumn("share", r("share"))
 
 
-@query("cl_16_shadow_report", SCORES + " SELECT cohort, count(*) AS entities, count(*) FILTER (WHERE has1) AS with_axis1, count(*) FILTER (WHERE has1 AND has2) AS two_axis_capable FROM scores GROUP BY 1")
+SHADOW = SCORES + f""", pt AS (SELECT l_partkey AS entity, date_trunc('month', l_shipdate)::DATE AS day, count(*) AS value FROM lineitem GROUP BY 1, 2),
+ rw AS (SELECT entity, p.p_brand AS cohort, count(*) AS points, arg_max(value, day) AS latest, CASE WHEN count(*) >= 14 THEN coalesce(regr_slope(ln(1 + value), date_diff('day', DATE '1970-01-01', day)), 0) END AS slope FROM pt JOIN part p ON p_partkey = entity GROUP BY 1, 2),
+ vo AS (SELECT *, ln(1 + latest) AS ls FROM rw WHERE slope IS NOT NULL AND cohort IN (SELECT cohort FROM rw WHERE slope IS NOT NULL GROUP BY 1 HAVING count(*) >= 5)),
+ vm AS (SELECT cohort, count(*) AS n, -quantile_disc(-slope, 0.5) AS mv FROM vo GROUP BY 1), vd AS (SELECT cohort, -quantile_disc(-abs(slope - mv), 0.5) * 1.4826 AS sd FROM vo JOIN vm USING (cohort) GROUP BY 1),
+ vz AS (SELECT vo.*, CASE WHEN sd = 0 THEN 0 ELSE greatest(-3.0, least(3.0, (slope - mv) / sd)) END AS z FROM vo JOIN vm USING (cohort) JOIN vd USING (cohort)),
+ vq AS (SELECT cohort, covar_pop(ls, z) AS c, var_pop(ls) AS vv, avg(ls) AS ml FROM vz GROUP BY 1),
+ vs AS (SELECT vz.*, CASE WHEN vv = 0 THEN z ELSE greatest(-3.0, least(3.0, z - c / vv * (ls - ml))) END AS zz FROM vz JOIN vq USING (cohort))
+ SELECT (SELECT count(DISTINCT day) FROM pt) AS days, (SELECT count(*) FROM rw) AS covered, (SELECT count(*) FILTER (WHERE latest > 0) FROM rw) AS nonzero, (SELECT count(slope) FROM rw) AS voting,
+  (SELECT count(*) FROM vs WHERE slope > 0 AND zz >= 1.0 AND latest >= 5) AS rising_votes, count(*) FILTER (WHERE n_present >= 2) AS two_axes_now, count(*) FILTER (WHERE n_present + (rw.slope IS NOT NULL)::INT >= 2) AS two_axes_projected
+ FROM scores LEFT JOIN rw ON rw.entity = scores.entity_id"""
+
+
+@query("cl_16_shadow_report", SHADOW)
 def cl_16(s, d):
-    x = scores(s, d)
-    has = lambda a: F.array_contains("axes_present", a)
-    return x.groupBy("cohort").agg(F.count("*").alias("entities"), F.count_if(has("axis1")).alias("with_axis1"), F.count_if(has("axis1") & has("axis2")).alias("two_axis_capable"))
+    pts = t(s, d, "lineitem").groupBy(F.col("l_partkey").alias("entity"), F.trunc("l_shipdate", "month").alias("day")).agg(F.count("*").alias("value"))
+    x = scores(s, d).select(F.col("entity_id").alias("entity"), "cohort", F.size("axes_present").alias("axes_present"))
+    return pn.shadow_report(pts, x)
 
 
 @query("sc_06_coverage_per_snapshot", f"WITH {PANEL} SELECT snap, count(*) AS n FROM panel GROUP BY 1")
