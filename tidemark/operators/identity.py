@@ -98,9 +98,18 @@ def broken_links(rows: DataFrame, line: str, seq: str, prev: str) -> DataFrame:
     return chain(rows, line, seq).where(~F.col(prev).eqNullSafe(F.col("expected")))
 
 
+def divergent(bundles: DataFrame) -> DataFrame:
+    """(snapshot_id, payloads) of ids that stand for several contents."""
+    return bundles.groupBy("snapshot_id").agg(F.countDistinct("payload").alias("payloads")).where("payloads > 1")
+
+
 def collisions(bundles: DataFrame, allowed: DataFrame | None = None) -> DataFrame:
-    """Pairs of bundles with one id but different content that no erratum allows. ``bundles(snapshot_id, day, payload)``."""
-    a, b = (bundles.select(F.col("snapshot_id"), F.col("day").alias(f"day_{s}"), F.col("payload").alias(f"hash_{s}")) for s in "ab")
+    """Pairs of bundles with one id but different content that no erratum allows. ``bundles(snapshot_id, day, payload)``.
+
+    Only ids that stand for several contents are paired, and one bundle of each content.
+    """
+    one = bundles.join(divergent(bundles).select("snapshot_id"), "snapshot_id", "left_semi").groupBy("snapshot_id", "payload").agg(F.min("day").alias("day"))
+    a, b = (one.select(F.col("snapshot_id"), F.col("day").alias(f"day_{s}"), F.col("payload").alias(f"hash_{s}")) for s in "ab")
     pairs = a.join(b, "snapshot_id").where("hash_a < hash_b")
     if allowed is not None:
         pairs = pairs.join(allowed, ["day_a", "hash_a", "day_b", "hash_b"], "left_anti")
@@ -141,6 +150,16 @@ def rewrite_ids(rows: DataFrame, old: str, new: str, day) -> DataFrame:
     return rows.withColumn("snapshot_id", F.when(hit, F.lit(new)).otherwise(F.col("snapshot_id")))
 
 
+def rewrite_report(before: DataFrame, after: DataFrame, key: str, old: str, new: str, day) -> DataFrame:
+    """(rewritten, touched, ok): rows of a table that changed as :func:`rewrite_ids` changes them, and rows that differ otherwise."""
+    want = row_hash(rewrite_ids(before, old, new, day)).select(key, F.col("row_sha").alias("_w"))
+    was, now = row_hash(before).select(key, F.col("row_sha").alias("_b")), row_hash(after).select(key, F.col("row_sha").alias("_a"))
+    j = want.join(was, key).join(now, key, "full_outer")
+    right = F.col("_a").eqNullSafe(F.col("_w"))
+    got = j.agg(F.count_if(right & (F.col("_w") != F.col("_b"))).alias("rewritten"), F.count_if(~right).alias("touched"))
+    return got.withColumn("ok", F.col("touched") == 0)
+
+
 def source_manifest(rows: DataFrame, column: str) -> DataFrame:
     """Digest of the distinct values of a column."""
     return table_digest(rows.select(column).where(F.col(column).isNotNull()).distinct())

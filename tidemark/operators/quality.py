@@ -28,6 +28,29 @@ def counts_contract(stored: DataFrame, found: DataFrame, keys: list[str], column
     return j.select(*keys, bad.alias("differs"), (F.size(bad) == 0).alias("ok"))
 
 
+def counts_by_mode(stored: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """Stored status counts against recounted ones. A bundle with a count of single-axis rows is checked strictly; one without
+    (null) is of the older form, whose tracked count holds both."""
+    f = found.select(key, *(F.col(c).alias(f"_{c}") for c in ("entities", "tracked", "single_axis")))
+    j = stored.join(f, key)
+    legacy = F.col("single_axis").isNull()
+    ok = F.when(legacy, F.col("tracked") == F.col("_tracked") + F.col("_single_axis")).otherwise((F.col("tracked") == F.col("_tracked")) & (F.col("single_axis") == F.col("_single_axis")))
+    return j.select(key, "entities", F.when(legacy, "legacy").otherwise("strict").alias("mode"), ((F.col("entities") == F.col("_entities")) & ok).alias("ok"))
+
+
+def mirrored_ids(bundles: DataFrame, files: DataFrame) -> DataFrame:
+    """Do all files that mirror a bundle's id agree with it? ``files(snapshot_id, mirrored_id)``; a bundle without mirrors does."""
+    n = files.groupBy("snapshot_id").agg(F.count("*").alias("n"), F.count_if(~F.col("mirrored_id").eqNullSafe(F.col("snapshot_id"))).alias("other"))
+    return bundles.join(n, "snapshot_id", "left").select("snapshot_id", F.coalesce("n", F.lit(0)).alias("mirrors"), (F.coalesce("other", F.lit(0)) == 0).alias("ok"))
+
+
+def skipped(registered: DataFrame, counts: DataFrame, key: str) -> DataFrame:
+    """Entities that a reconstruction leaves out, and why. ``registered(key, entity_id)``, ``counts(key, period, value)``."""
+    n = counts.groupBy(key).agg(F.count_if(F.col("value") > 0).alias("_some"))
+    why = F.when(F.col("entity_id").isNull(), "no entity_id").when(F.col("_some").isNull(), "no activity").when(F.col("_some") == 0, "no nonzero periods")
+    return registered.join(n, key, "left").select(key, why.alias("reason")).where("reason IS NOT NULL")
+
+
 def dangling(ledger: DataFrame, published: DataFrame, amendments: DataFrame) -> DataFrame:
     """Ledger rows whose snapshot id is neither published nor amended in the same entity's ledger."""
     a = ledger.join(published.select("snapshot_id").distinct(), "snapshot_id", "left_anti")

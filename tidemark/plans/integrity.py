@@ -227,9 +227,28 @@ def dq_02(s, d):
     return ql.counts_contract(stored, found, ["cohort"], ["entities"]).withColumn("differs", F.array_join("differs", ","))
 
 
-@query("dq_03_bundle_divergence", "SELECT n_regionkey AS snapshot_id, count(DISTINCT n_name) AS payloads FROM nation GROUP BY 1 HAVING count(DISTINCT n_name) > 1")
+@query("dq_02_counts_modes", "SELECT p_brand AS cohort, count(*) AS entities, CASE WHEN p_brand < 'Brand#3' THEN 'strict' ELSE 'legacy' END AS mode, p_brand >= 'Brand#3' OR p_brand <> 'Brand#11' AS ok FROM part GROUP BY 1")
+def dq_02b(s, d):
+    """Bundles of the older form have no count of single-axis rows: there tracked holds both."""
+    x = t(s, d, "part").groupBy(F.col("p_brand").alias("cohort")).agg(F.count("*").alias("entities"), F.count_if(F.col("p_size") < 25).alias("tracked"), F.count_if(F.col("p_size") >= 25).alias("single_axis"))
+    old = F.col("cohort") >= "Brand#3"
+    stored = x.select("cohort", "entities", (F.when(old, F.col("tracked") + F.col("single_axis")).otherwise(F.col("tracked")) + F.when(F.col("cohort") == "Brand#11", 1).otherwise(0)).alias("tracked"), F.when(~old, F.col("single_axis")).alias("single_axis"))
+    return ql.counts_by_mode(stored, x, "cohort").select("cohort", "entities", "mode", "ok")
+
+
+@query("dq_03_mirrored_ids", "SELECT n_nationkey AS snapshot_id, n_nationkey % 4 AS mirrors, n_nationkey % 5 <> 1 OR n_nationkey % 4 = 0 AS ok FROM nation")
+def dq_03b(s, d):
+    """Every bundle has its id in up to three mirror files; one in five has another id in one of them."""
+    n = t(s, d, "nation").select(F.col("n_nationkey").alias("snapshot_id"))
+    files = n.where("snapshot_id % 4 > 0").select("snapshot_id", F.explode(F.sequence(F.lit(1).cast("long"), F.col("snapshot_id") % 4)).alias("k"))
+    files = files.select("snapshot_id", F.when((F.col("snapshot_id") % 5 == 1) & (F.col("k") == 1), F.col("snapshot_id") + 100).otherwise(F.col("snapshot_id")).alias("mirrored_id"))
+    return ql.mirrored_ids(n, files)
+
+
+@query("dq_03_bundle_divergence", "SELECT n_regionkey AS snapshot_id, count(DISTINCT sha256(n_name)) AS payloads FROM nation GROUP BY 1 HAVING count(DISTINCT n_name) > 1")
 def dq_03(s, d):
-    return t(s, d, "nation").groupBy(F.col("n_regionkey").alias("snapshot_id")).agg(F.countDistinct("n_name").alias("payloads")).where("payloads > 1")
+    b = t(s, d, "nation").select(F.col("n_regionkey").alias("snapshot_id"), F.col("n_nationkey").alias("day"), F.sha2("n_name", 256).alias("payload"))
+    return idn.divergent(b)
 
 
 @query("dq_06_chain_of_roots", "SELECT item_id FROM benchmark WHERE item_id % 50 = 7 AND item_id > (SELECT min(item_id) FROM benchmark)")
@@ -274,6 +293,14 @@ def dq_11(s, d):
     return idn.rewrite_ids(e, "click", "tap", "2024-01-05").select("event_id", "snapshot_id")
 
 
+@query("dq_11_untouched_rows", "SELECT count(*) FILTER (WHERE event_type = 'click' AND ts::DATE = DATE '2024-01-05') AS rewritten, count(*) FILTER (WHERE event_id % 1000 = 1 AND NOT (event_type = 'click' AND ts::DATE = DATE '2024-01-05')) AS touched, false AS ok FROM events")
+def dq_11b(s, d):
+    """The rewrite of another hand changed rows that it had no business with."""
+    e = t(s, d, "events").select("event_id", F.col("event_type").alias("snapshot_id"), F.col("ts").alias("captured_at"), "value")
+    other = idn.rewrite_ids(e, "click", "tap", "2024-01-05").withColumn("value", F.col("value") + F.when((F.col("event_id") % 1000 == 1) & (F.col("snapshot_id") != "tap"), 1.0).otherwise(0.0))
+    return idn.rewrite_report(e, other, "event_id", "click", "tap", "2024-01-05")
+
+
 @query("pf_01_allow_list", "SELECT c_custkey, c_mktsegment FROM customer")
 def pf_01(s, d):
     return pv.allow(t(s, d, "customer"), ["c_custkey", "c_mktsegment", "not_there"])
@@ -402,6 +429,16 @@ def pf_17(s, d):
     return n.where("value > 0").withColumn("reconstructable", F.lit(True))
 
 
+@query("pf_17_skipped_entities", f"""WITH r AS ({RECON}) SELECT p_partkey AS entity_id, CASE WHEN p_partkey % 9 = 0 THEN 'no entity_id' WHEN p_partkey NOT IN (SELECT entity_id FROM r) THEN 'no activity' ELSE 'no nonzero periods' END AS reason FROM part
+ WHERE p_partkey % 9 = 0 OR p_partkey % 7 = 0 OR p_partkey NOT IN (SELECT entity_id FROM r)""")
+def pf_17b(s, d):
+    """Every ninth part has no registered id; every seventh only zero counts."""
+    p = t(s, d, "part").select("p_partkey", F.when(F.col("p_partkey") % 9 != 0, F.col("p_partkey")).alias("entity_id"))
+    n = t(s, d, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey"), F.date_format("l_shipdate", "yyyy-MM").alias("period")).agg(F.count("*").alias("n"))
+    counts = n.select("p_partkey", "period", F.when(F.col("p_partkey") % 7 == 0, 0).otherwise(F.col("n")).alias("value"))
+    return ql.skipped(p, counts, "p_partkey").select(F.col("p_partkey").alias("entity_id"), "reason")
+
+
 @query("pf_18_taxonomy_nodes", "SELECT DISTINCT 't_' || substr(sha256(slug), 1, 8) AS id, slug, level, parent FROM (SELECT lower(r_name) AS slug, 'field' AS level, 'domain' AS parent FROM region UNION ALL SELECT lower(n_name), 'cohort', lower(r_name) FROM nation JOIN region ON n_regionkey = r_regionkey)")
 def pf_18(s, d):
     j = t(s, d, "nation").join(t(s, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
@@ -490,6 +527,13 @@ def sc_14(s, d):
     return readers.newest(observations(s, d), "period").select("event_id")
 
 
+@query("sc_14_newest_set", f"WITH {OBS}, p AS (SELECT period, count(*) AS n FROM obs GROUP BY 1) SELECT event_id FROM obs WHERE period = (SELECT max(period) FROM p)")
+def sc_14b(s, d):
+    """The newest set, read after its digest has been found equal to the recorded one."""
+    o = observations(s, d).select("period", "event_id")
+    return readers.newest_verified(o, "period", idn.table_digest(o, ["period"], ["event_id"]), ["event_id"]).select("event_id")
+
+
 @query("sc_15_backfill_read", f"WITH r AS ({RECON}) SELECT entity_id, period, value FROM r")
 def sc_15(s, d):
     return readers.reconstructed(pf_17(s, d).withColumn("signal", F.lit("weekly")), "weekly")
@@ -603,15 +647,44 @@ def ss_04b(s, d):
     return got.groupBy("observation_id").agg(F.max_by("status", F.when(F.col("status") == "retracted", 1).otherwise(0)).alias("status"), F.max("value").alias("value")).where("status <> 'retracted'").select("observation_id", "value")
 
 
-@query("ss_05_late_rows", "SELECT count(*) AS n FROM events WHERE ts <= TIMESTAMP '2024-01-20 00:00:00'")
+def replay_parts(s, d, name, parts):
+    """A stream source over the events in parts of a given order, one part a micro-batch."""
+    src = scratch(s, name + "-in")
+    for p in parts:
+        p.coalesce(1).write.mode("append").parquet(src)
+    return s.readStream.schema(t(s, d, "events").schema).option("maxFilesPerTrigger", 1).parquet(src)
+
+
+LATE = "event_id % 50 = 0 AND ts < TIMESTAMP '2024-01-15 00:00:00'"
+
+
+@query("ss_05_late_rows", f"SELECT CASE WHEN {LATE} THEN 'late' ELSE 'on time' END AS kind, count(*) AS n, sum(event_id)::BIGINT AS ids FROM events GROUP BY 1")
 def ss_05(s, d):
-    return replay(s, d, "ss05", lambda x: st.visible_at(x, CUT).select("observation_id")).agg(F.count("*").alias("n"))
+    """Every fiftieth row of the first two weeks arrives at the end: counted apart, it changes no view of its time."""
+    e = t(s, d, "events")
+    src = replay_parts(s, d, "ss05", [e.where(f"NOT ({LATE})"), e.where(LATE)])
+    out, mark = scratch(s, "ss05"), scratch(s, "ss05-state")
+    keep = lambda kind: lambda b, _: b.select(F.lit(kind).alias("kind"), "event_id").write.mode("append").parquet(out)
+    sink = st.split_late(keep("on time"), keep("late"), scratch(s, "ss05-marks"), "ts")
+    src.writeStream.option("checkpointLocation", mark).trigger(availableNow=True).foreachBatch(sink).start().awaitTermination()
+    return s.read.schema("kind string, event_id long").parquet(out).groupBy("kind").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
+
 
+@query("ss_05_view_at_cutoff", "SELECT count(*) AS n FROM events WHERE ts <= TIMESTAMP '2024-01-20 00:00:00'")
+def ss_05b(s, d):
+    return replay(s, d, "ss05v", lambda x: st.visible_at(x, CUT).select("observation_id")).agg(F.count("*").alias("n"))
 
-@query("ss_06_final_partitions", "SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS rows FROM events GROUP BY 1")
+
+@query("ss_06_final_partitions", "SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS rows FROM events GROUP BY 1 HAVING min(ts::DATE) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY")
 def ss_06(s, d):
-    got = replay(s, d, "ss06", lambda x: st.final_partitions(x), "update")
-    return got.groupBy(F.date_format("day", "yyyy-MM-dd").alias("day")).agg(F.max("rows").alias("rows"))
+    """In append mode a day appears once, when the watermark has passed it; the newest days stay provisional and are not there."""
+    e = t(s, d, "events")
+    src = replay_parts(s, d, "ss06", [e.where("ts < '2024-01-10'"), e.where("ts >= '2024-01-10' AND ts < '2024-01-20'"), e.where("ts >= '2024-01-20'")])
+    rows = src.select(F.col("user_id").alias("entity_id"), F.col("ts").cast("timestamp").alias("captured_at"))
+    out, mark = scratch(s, "ss06"), scratch(s, "ss06-state")
+    got = st.final_partitions(rows)
+    got.writeStream.outputMode("append").option("checkpointLocation", mark).trigger(availableNow=True).foreachBatch(lambda b, _: b.write.mode("append").parquet(out)).start().awaitTermination()
+    return s.read.schema(got.schema).parquet(out).select(F.date_format("day", "yyyy-MM-dd").alias("day"), "rows")
 
 
 @query("ss_06_provisional", "SELECT strftime(ts, '%Y-%m-%d') AS day, CASE WHEN ts::DATE = (SELECT max(ts::DATE) FROM events) THEN 'PROVISIONAL' ELSE 'FINAL' END AS state FROM events GROUP BY 1, 2")
@@ -626,10 +699,30 @@ def ss_07(s, d):
     return st.silent_sessions(x, ["entity_id"], "2 days").groupBy("entity_id").agg(F.count("*").alias("runs"), F.sum("rows").alias("rows"))
 
 
-@query("ss_08_refused_batches", "SELECT CASE WHEN avg((event_type = 'error')::INT) > 0.5 THEN 0 ELSE count(*) END AS n FROM events")
+@query("ss_07_silent_stream", """WITH g AS (SELECT user_id, ts, CASE WHEN ts < lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 2 DAY THEN 0 ELSE 1 END AS new FROM events),
+ k AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, new DESC ROWS UNBOUNDED PRECEDING) AS run FROM g)
+ SELECT user_id AS entity_id, strftime(max(ts) + INTERVAL 2 DAY, '%Y-%m-%d %H:%M:%S') AS silent_since, count(*) AS rows FROM k GROUP BY user_id, run HAVING max(ts) + INTERVAL 2 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY""")
+def ss_07b(s, d):
+    """The watermark is the timer: an entity is reported when it has been silent for two days."""
+    got = replay(s, d, "ss07", lambda x: st.silent_sessions(x, ["entity_id"], "2 days"))
+    return got.select("entity_id", F.date_format("silent_since", "yyyy-MM-dd HH:mm:ss").alias("silent_since"), "rows")
+
+
+SOUND = "event_type <> 'error' AND event_id % 2 = 0"
+
+
+@query("ss_08_refused_batches", f"SELECT count(*) AS n, true AS refused FROM events WHERE {SOUND}")
 def ss_08(s, d):
+    """The second batch is all errors: it is refused, the stream stops, and nothing of it or behind it is written."""
+    from pyspark.errors import StreamingQueryException
+
+    e = t(s, d, "events")
+    src = replay_parts(s, d, "ss08", [e.where(SOUND), e.where("event_type = 'error'"), e.where("event_type <> 'error' AND event_id % 2 = 1")])
     out, mark = scratch(s, "ss08"), scratch(s, "ss08-state")
-    src = s.readStream.schema(t(s, d, "events").schema).parquet(f"{d}/events.parq[u]et")
-    sink = st.refusing_sink(lambda b, e: b.select("event_id").write.mode("append").parquet(out), F.col("event_type") == "error", 0.5)
-    src.writeStream.option("checkpointLocation", mark).trigger(availableNow=True).foreachBatch(sink).start().awaitTermination()
-    return s.read.schema("event_id long").parquet(out).agg(F.count("*").alias("n"))
+    sink = st.refusing_sink(lambda b, _: b.select("event_id").write.mode("append").parquet(out), F.col("event_type") == "error", 0.5)
+    refused = False
+    try:
+        src.writeStream.option("checkpointLocation", mark).trigger(availableNow=True).foreachBatch(sink).start().awaitTermination()
+    except StreamingQueryException as e:
+        refused = "refused" in str(e)
+    return s.read.schema("event_id long").parquet(out).agg(F.count("*").alias("n"), F.lit(refused).alias("refused"))
