@@ -6,10 +6,8 @@ from tests.compare import compare, connect
 from tidemark.plans import registry
 
 SF = "/root/testdata/sf0.001"
-#: these score two snapshots and take tens of seconds; tests/compare.py and the driver run them
-LONG = {"cl_09_diff_events", "cl_10_cohort_minutes", "tk_05_priority_cap", "sf_15_event_ids", "sk_06_feed_items", "cl_15_promotion_criteria", "jn_05_snapshot_pair", "cl_07_measurement_state", "cl_08_phrases", "cl_19_rising_floor", "sk_01_snapshot_bundle",
-        "ag_01_status_counts", "ag_02_legacy_fold_counts", "ag_13_power_funnel", "jn_20_sensitivity_grid", "ag_14_two_axis_coverage", "ag_16_cohort_summary", "tk_06_top_k_per_group", "tk_07_status_report", "so_05_thresholds_crossed", "so_07_cohort_keys",
-        "st_16_pooled_correlation", "cl_16_shadow_report", "sk_05_flat_csv", "sf_21_formatting", "pf_16_plane_split", "cl_01_convergence_gate", "cl_02_status", "cl_03_momentum", "wn_01_percentile", "st_04_residualize"}
+#: these score two snapshots; tests/compare.py and the driver run them
+LONG = {"cl_09_diff_events", "cl_10_cohort_minutes", "tk_05_priority_cap", "sf_15_event_ids", "sk_06_feed_items", "cl_15_promotion_criteria", "jn_05_snapshot_pair", "so_05_thresholds_crossed", "cl_16_shadow_report"}
 
 
 @pytest.fixture(scope="module")

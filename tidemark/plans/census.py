@@ -184,12 +184,6 @@ def cl_05(s, d):
     return ce.eligibility(deep(s, d), ("en", "de", "fr")).select("repo_id", F.array_join("legs", ",").alias("legs"), "admitted")
 
 
-@query("cl_06_members")
-def cl_06(s, d):
-    adm = ce.eligibility(deep(s, d), ("en", "de", "fr")).where("admitted").select("repo_id", "stars")
-    return ce.carry_forward(adm, members(s, d), "2001-13", "2001-12-31").select("repo_id", "census_month", F.col("first_qualified_on").cast("string").alias("first_qualified_on"), "status", "wave")
-
-
 @query("ag_19_channel_attribution", f"WITH {CLASSED} SELECT channel, coalesce(n, 0)::BIGINT AS n FROM (SELECT unnest(['storefront', 'corroborated', 'manual']) AS channel) LEFT JOIN (SELECT channel, count(*) AS n FROM classed GROUP BY 1) USING (channel)")
 def ag_19(s, d):
     return ce.zero_filled(classified(s, d), "channel", ["storefront", "corroborated", "manual"])
@@ -221,6 +215,13 @@ def members(s, d):
 ONE = MEMBERS + ", one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY repo_id, census_month ORDER BY day, o_orderkey) AS rn FROM members) WHERE rn = 1)"
 
 
+@query("cl_06_members", f"""WITH {CLASSED}, {ONE}, q AS (SELECT repo_id, min(day) AS q FROM one GROUP BY 1), st AS (SELECT repo_id, arg_max(status, census_month) AS st FROM one WHERE status <> 'pending' GROUP BY 1), wv AS (SELECT repo_id, arg_min(wave, census_month) AS w1 FROM one WHERE wave IS NOT NULL GROUP BY 1)
+ SELECT repo_id, '2001-13' AS census_month, strftime(coalesce(q, DATE '2001-12-31'), '%Y-%m-%d') AS first_qualified_on, coalesce(st, 'pending') AS status, coalesce(w1, 'forward') AS wave FROM legged LEFT JOIN q USING (repo_id) LEFT JOIN st USING (repo_id) LEFT JOIN wv USING (repo_id) WHERE len(legs) = 0""")
+def cl_06(s, d):
+    adm = ce.eligibility(deep(s, d), ("en", "de", "fr")).where("admitted").select("repo_id", "stars")
+    return ce.carry_forward(adm, members(s, d), "2001-13", "2001-12-31").select("repo_id", "census_month", F.col("first_qualified_on").cast("string").alias("first_qualified_on"), "status", "wave")
+
+
 @query("ag_23_first_qualified", f"WITH {ONE} SELECT repo_id, min(day) AS first_qualified_on FROM one GROUP BY 1")
 def ag_23(s, d):
     return ce.first_qualified(members(s, d))
@@ -273,7 +274,10 @@ def jn_15(s, d):
     return ce.identity_union(c.select(F.col("c_name").alias("name"), F.col("c_custkey").alias("repo_id")), p.select(F.col("s_name").alias("name"), F.col("s_suppkey").alias("repo_id")), c.select(F.upper("c_name").alias("name"), F.col("c_custkey").alias("repo_id")))
 
 
-@query("jn_16_first_linked_package")
+@query("jn_16_first_linked_package", """WITH nm AS (SELECT replace(p_name, ' ', '-') AS n, p_type AS system, bool_or(p_size = 50) AS errored FROM part WHERE p_type IN ('PROMO', 'ECONOMY', 'STANDARD') GROUP BY 1, 2),
+ l AS (SELECT p_partkey AS entity_id, n, system, errored, list_position(['PROMO', 'ECONOMY', 'STANDARD'], system) AS rk FROM part JOIN nm ON n = lower(replace(p_name, ' ', '-'))),
+ e AS (SELECT entity_id, bool_or(errored) AS err, arg_min(system, rk) AS system, min(n) AS package FROM l GROUP BY 1)
+ SELECT p_partkey AS entity_id, CASE WHEN NOT err THEN system END AS system, CASE WHEN NOT err THEN package END AS package, CASE WHEN err THEN 'fetch_error' WHEN package IS NOT NULL THEN 'matched' ELSE 'no_package_match' END AS coverage FROM part LEFT JOIN e ON p_partkey = e.entity_id""")
 def jn_16(s, d):
     p = t(s, d, "part").select(F.col("p_partkey").alias("entity_id"), F.concat(F.lit("org/"), F.replace("p_name", F.lit(" "), F.lit("-"))).alias("repo"))
     names = t(s, d, "part").select(F.replace("p_name", F.lit(" "), F.lit("-")).alias("n"), "p_type", (F.col("p_size") == 50).alias("errored"))

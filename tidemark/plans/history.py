@@ -191,7 +191,8 @@ def sf_15(s, d):
     return events.event_id(events.diff_events(*(stored(x, f"snapshot-{k}") for k, x in enumerate(snaps(s, d)))), "2001-11-30").select("entity_id", "event_kind", "id")
 
 
-@query("sk_06_feed_items")
+@query("sk_06_feed_items", BOTH + ", " + EVENTS + """ SELECT substr(sha256('{"day":"2001-11-30","event_kind":"' || event_kind || '","entity_id":"' || entity_id || '","detail":"' || coalesce(detail, '') || '"}'), 1, 16) AS id,
+ CASE WHEN event_kind = 'convergence_published' THEN 'moment_signal' ELSE 'observation' END AS type, event_kind, array_to_string(list_transform(string_split(event_kind, '_'), lambda x: upper(x[1]) || x[2:]), ' ') AS title, '2001-11-30' AS date_published, entity_id::VARCHAR AS entity_ids FROM ev""")
 def sk_06(s, d):
     return events.feed_items(events.diff_events(*(stored(x, f"snapshot-{k}") for k, x in enumerate(snaps(s, d)))), "2001-11-30").select("id", "type", "event_kind", "title", "date_published", F.concat_ws(",", "entity_ids").alias("entity_ids"))
 
