@@ -26,14 +26,21 @@ def _row(docs: DataFrame) -> Column:
     return F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
 
 
+def _free_name(docs: DataFrame) -> str:
+    """A name longer than any column's."""
+    return "_score" + "_" * max(map(len, docs.columns))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), held_mod=5, held_at=0)
-    return toxicity.score_documents(docs.select("text", _row(docs)), model, ["row"]).where("score < 0.5").select("row.*")
+    score = _free_name(docs)
+    return toxicity.score_documents(docs, model, docs.columns, score).where(F.col(score) < 0.5).drop(score)
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality.fit(docs, table(spark, sf_dir, "labels"), held_mod=4, held_at=2)
-    return quality.score_documents(docs.select("text", _row(docs)), model, ["row"]).where("score >= 0.7").select("row.*")
+    score = _free_name(docs)
+    return quality.score_documents(docs, model, docs.columns, score).where(F.col(score) >= 0.7).drop(score)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import labelled_sample, texts_of
+from tidemark.llm.common import labelled_sample, score_texts, texts_of
 
 ROWS = 12_000
 _SYMBOLS = re.compile(r"(?<!\S)[^\w\s]+(?!\S)")  # words of symbols only
@@ -182,18 +182,6 @@ def fit(docs: DataFrame, labels: DataFrame, held_mod: int = 4, held_at: int = 2,
     return QualityModel(scaler, net, prior)
 
 
-def score_documents(docs: DataFrame, model: QualityModel, keep: list[str] | None = None) -> DataFrame:
-    """Every row with ``score``; ``keep`` names the columns that stay beside it (default doc_id)."""
-    keep = keep or ["doc_id"]
-    schema = docs.select(*keep).schema.add("score", "double")
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            texts = batch.column(0).to_pylist()
-            cols = [batch.column(i + 1) for i in range(len(keep))]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(shared.value.score(texts))], [*keep, "score"])
-
-    return docs.select(F.coalesce("text", F.lit("")).alias("_text"), *keep).mapInArrow(run, schema)
+def score_documents(docs: DataFrame, model: QualityModel, keep: list[str] | None = None, out: str = "score") -> DataFrame:
+    """Every row with its score; ``keep`` names the columns that stay beside it (default doc_id)."""
+    return score_texts(docs, model, keep or ["doc_id"], out)

@@ -19,8 +19,8 @@ from collections.abc import Iterator
 
 import numpy as np
 
-CHUNK = 8 << 20  # bytes of text encoded at a time
-MEMO_BYTES = 64 << 20  # of both generations of a partition's memo
+CHUNK = 4 << 20  # bytes of text encoded at a time
+MEMO_BYTES = 48 << 20  # of both generations of a partition's memo
 MEMO_WORD = 64  # longest word that a memo keeps
 ENTRY = 200  # bytes of a memo's entry beside its word and ids: two objects and their slots
 # two white-space characters in a row (a superset of what any pattern engine calls white space)
