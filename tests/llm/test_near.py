@@ -201,10 +201,12 @@ def test_audio_votes_and_runs_equal_brute_force(seed):
     a, b = r.integers(0, 5, 60).astype(np.uint32), r.integers(0, 9, 45).astype(np.uint32)
     a[20:35] = r.integers(0, 2**32, 15)
     b[5:20] = a[20:35] ^ (np.uint32(1) << r.integers(0, 32, 15).astype(np.uint32)) * (r.random(15) < 0.4)
-    offset, votes, error, run = audio.align(a, b)
+    offset, votes, error, run, steps = audio.align(a, b)
     assert (votes, offset) == slow_align(a, b)
     want = slow_run(a, b, offset)
     assert error == pytest.approx(want[0]) and run == want[1]
+    agree = {j for j in range(len(b)) if 0 <= j + offset < len(a) and a[j + offset] == b[j]}
+    assert steps == sum(j + 1 in agree and b[j] != b[j + 1] for j in agree)
 
 
 def test_audio_alignment(spark):
@@ -229,7 +231,7 @@ def test_audio_alignment(spark):
         if i is not None and i % 100 == 0:
             for j, y in prints.items():
                 if j is not None and y.tobytes() != prints[i].tobytes():
-                    want = audio.matches(*audio.best_phase(audio.phases_of(x or b""), y)[1:4])
+                    want = audio.matches(*audio.best_phase(audio.phases_of(x or b""), y)[1:5])
                     least = min(k for k, z in prints.items() if k is not None and z.tobytes() == y.tobytes())
                     assert want == ((i, least) in links), (i, j)
     assert not audio.align_recordings(docs.limit(0)).count()
@@ -250,7 +252,7 @@ def test_audio_search_on_documents_equals_all_pairs(spark):
         for k, d in least.items():
             if k and k != prints[q].tobytes():
                 found = audio.best_phase(phases, prints[d])
-                if audio.matches(*found[1:4]):
+                if audio.matches(*found[1:5]):
                     want.add((q, d, found[0], found[1]))
     assert got == want
 
@@ -266,6 +268,6 @@ def test_audio_recall_of_planted_passages():
         at = int(r.integers(0, len(texts[i]) - 6000))
         host = texts[j][: int(r.integers(100, 5000))] + texts[i][at : at + 6000] + texts[k][: int(r.integers(0, 3000))]
         phases = audio.phases_of(texts[i])
-        found.append(audio.matches(*audio.best_phase(phases, audio.fingerprint(host))[1:4]))
-        wrong.append(audio.matches(*audio.best_phase(phases, audio.fingerprint(texts[k]))[1:4]))
+        found.append(audio.matches(*audio.best_phase(phases, audio.fingerprint(host))[1:5]))
+        wrong.append(audio.matches(*audio.best_phase(phases, audio.fingerprint(texts[k]))[1:5]))
     assert np.mean(found) >= 0.9 and np.mean(wrong) <= 0.05

@@ -7,14 +7,14 @@ one packed 32-bit integer.
 
 Two recordings are aligned by the histogram of position offsets of equal integers, each distinct integer counting once an
 offset (a held tone or silence proves no time). At the best offset, bits are compared along the run of positions that agree
-best; they match where ``VOTES`` integers or more agree and the run has ``LEAST_RUN`` positions or more of which at most
-``MAX_ERROR`` of the bits differ. So a short passage inside two long recordings is found.
+best; they match where ``VOTES`` integers or more agree, two of them different and next to each other, and the run has
+``LEAST_RUN`` positions or more of which at most ``MAX_ERROR`` of the bits differ. So a short passage inside two long
+recordings is found.
 
 The search compares the recordings of a query set with all recordings. A query is fingerprinted at ``PHASES`` shifts within a
 hop, as a passage seldom begins on the other recording's frame grid. Equal fingerprints form a class and are searched once.
-Candidates come from a join on the integers themselves: a match needs ``VOTES`` distinct common integers, so it shares one
-besides the ``VOTES - 1`` that most recordings have. Leaving those out loses no match, and an integer as frequent as silence
-joins nothing. Every candidate is aligned.
+Candidates come from a join on pairs of neighbouring, different integers: every match shares one, so none is lost, while
+silence and held tones join nothing and chance meetings of single integers are no candidates. Every candidate is aligned.
 
 The given tables hold no sound, so the registered query renders each document: its UTF-8 bytes are the samples.
 
@@ -26,7 +26,7 @@ null partner columns; repeated queries give repeated rows; an empty table gives
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialize
@@ -117,13 +117,13 @@ def offset_votes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return votes
 
 
-def align(a: np.ndarray, b: np.ndarray) -> tuple[int, int, float, int]:
-    """(offset, votes, bit error, run): a[i + offset] meets b[i]; ties of votes go to the offset nearest zero.
+def align(a: np.ndarray, b: np.ndarray) -> tuple[int, int, float, int, int]:
+    """(offset, votes, bit error, run, steps): a[i + offset] meets b[i]; ties of votes go to the offset nearest zero.
 
-    The run is the stretch at that offset whose positions' bit errors, less ``EXPECTED``, have the least sum.
+    Steps are the neighbouring positions that both agree on different integers. The run is the stretch at that offset whose positions' bit errors, less ``EXPECTED``, have the least sum.
     """
     if not len(a) or not len(b):
-        return 0, 0, 1.0, 0
+        return 0, 0, 1.0, 0, 0
     votes = offset_votes(a, b)
     best = np.flatnonzero(votes == votes.max()) - (len(b) - 1)
     offset = int(min(best.tolist(), key=lambda o: (abs(o), o)))
@@ -134,17 +134,19 @@ def align(a: np.ndarray, b: np.ndarray) -> tuple[int, int, float, int]:
     low = np.minimum.accumulate(gain)
     stop = int((gain - low).argmax())
     start = int(np.flatnonzero(gain[: stop + 1] == low[stop])[-1])
-    return offset, int(votes.max()), float(wrong[start:stop].mean()) if stop > start else 1.0, stop - start
+    same = wrong == 0
+    steps = int((same[:-1] & same[1:] & (b[s : s + n - 1] != b[s + 1 : s + n])).sum())
+    return offset, int(votes.max()), float(wrong[start:stop].mean()) if stop > start else 1.0, stop - start, steps
 
 
-def matches(votes: int, error: float, run: int) -> bool:
-    return votes >= VOTES and run >= LEAST_RUN and error <= MAX_ERROR
+def matches(votes: int, error: float, run: int, steps: int) -> bool:
+    return votes >= VOTES and run >= LEAST_RUN and error <= MAX_ERROR and steps > 0
 
 
-def best_phase(phases: list[np.ndarray], ref: np.ndarray) -> tuple[int, int, float, int, int]:
-    """The alignment of most votes over a query's phases: (offset, votes, bit error, run, phase)."""
+def best_phase(phases: list[np.ndarray], ref: np.ndarray) -> tuple[int, int, float, int, int, int]:
+    """The alignment of most votes over a query's phases: (offset, votes, bit error, run, steps, phase)."""
     found = [(*align(p, ref), k) for k, p in enumerate(phases)]
-    return max(found, key=lambda x: (matches(*x[1:4]), x[1], -x[2], -x[4]), default=(0, 0, 1.0, 0, 0))
+    return max(found, key=lambda x: (matches(*x[1:5]), x[1], -x[2], -x[5]), default=(0, 0, 1.0, 0, 0, 0))
 
 
 def text_recordings(docs: DataFrame) -> DataFrame:
@@ -189,12 +191,12 @@ def align_recordings(recordings: DataFrame, query: str = QUERY) -> DataFrame:
     classes = materialize(prints.groupBy("print_hash").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("members"), F.first("prints").alias("prints")), "classes")
     asked = prints.where("phases IS NOT NULL")
     queries = materialize(asked.groupBy("print_hash").agg(F.first("phases").alias("phases")), "queries")
-    postings = classes.select(F.col("print_hash").alias("ref"), F.explode(F.array_distinct("prints")).alias("h"))
-    mine = queries.select("print_hash", F.posexplode("phases").alias("phase", "one")).select("print_hash", "phase", F.explode(F.array_distinct("one")).alias("h"))
-    often = postings.groupBy("h").agg(F.count("*").alias("n"))
-    rank = F.row_number().over(Window.partitionBy("print_hash", "phase").orderBy(F.desc("n"), "h"))
-    rare = mine.join(often, "h").withColumn("rank", rank).where(F.col("rank") >= VOTES).select("print_hash", "h").distinct()
-    pairs = rare.join(postings, "h").where("print_hash <> ref").select("print_hash", "ref").distinct()
+    steps = lambda c: F.filter(F.transform(F.sequence(F.lit(1), F.size(c) - 1), lambda i: F.struct(F.get(c, i - 1).alias("a"), F.get(c, i).alias("b"))), lambda x: x["a"] != x["b"])
+    keys = lambda c: F.explode(F.array_distinct(F.when(F.size(c) > 1, steps(c))))
+    postings = classes.select(F.col("print_hash").alias("ref"), keys(F.col("prints")).alias("step")).select("ref", "step.a", "step.b")
+    one = queries.select("print_hash", F.explode("phases").alias("one"))
+    mine = one.select("print_hash", keys(F.col("one")).alias("step")).select("print_hash", "step.a", "step.b").distinct()
+    pairs = mine.join(postings, ["a", "b"]).where("print_hash <> ref").select("print_hash", "ref").distinct()
     both = pairs.join(queries, "print_hash").join(classes.select(F.col("print_hash").alias("ref"), "prints"), "ref").select("print_hash", "ref", "phases", "prints")
 
     def run(batches):
@@ -204,8 +206,8 @@ def align_recordings(recordings: DataFrame, query: str = QUERY) -> DataFrame:
             rows = []
             for q, ref, phases, other in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
                 found = best_phase([np.array(p, np.int32).view(np.uint32) for p in phases], np.array(other, np.int32).view(np.uint32))
-                if matches(*found[1:4]):
-                    rows.append((q, ref, *found))
+                if matches(*found[1:5]):
+                    rows.append((q, ref, *found[:4], found[5]))
             cols = list(zip(*rows, strict=True)) or [[]] * 7
             types = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["print_hash", "ref", "offset", "votes", "bit_error", "run", "phase"])
