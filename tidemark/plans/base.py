@@ -6,6 +6,7 @@ SQL common table expression of the same name.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -36,9 +37,11 @@ def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(s: SparkSession, name: str) -> str:
-    """A new path in the shared checkpoint folder; a local temporary one only where that setting is unset."""
+    """A new path in the shared checkpoint folder; where that setting is unset, a local temporary one in local mode only."""
     base = s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", s.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="tidemark-")
         s.conf.set("spark.checkpoint.dir", base)
     return f"{base}/tidemark/{name}-{uuid.uuid4().hex}"
