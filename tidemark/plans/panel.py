@@ -8,7 +8,7 @@ from tidemark.functions.stats import r
 from tidemark.operators import panel as pn
 from tidemark.plans.base import SCORES, query, scores, t
 
-BAD = "1998-07-01"
+BAD, BAD_YEAR = "1998-07-01", "1998-01-01"
 #: customers a month per part type, one month scaled down: the corrupt partition
 PANEL = f"""panel AS (SELECT 'types' AS series, p_brand AS entity, date_trunc('quarter', l_shipdate)::DATE AS snap,
  (count(*) // CASE WHEN date_trunc('quarter', l_shipdate)::DATE = DATE '{BAD}' THEN 20 ELSE 1 END)::BIGINT AS value FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, 3),
@@ -59,16 +59,16 @@ def st_19(s, d):
     return got.select("series", *(r(c).alias(c) for c in ("move_bound", "share_bound", "least_coverage")))
 
 
-#: other series: orders a nation and quarter, as they are and with one quarter scaled down
-CONTROL = f"""panel AS (SELECT series, entity, snap, (n // CASE WHEN series = 'broken' AND snap = DATE '{BAD}' THEN 20 ELSE 1 END)::BIGINT AS value
- FROM (SELECT c_nationkey::VARCHAR AS entity, date_trunc('quarter', o_orderdate)::DATE AS snap, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2), (SELECT unnest(['nations', 'broken']) AS series)),
+#: other series: orders a nation and year, as they are and with one year scaled down
+CONTROL = f"""panel AS (SELECT series, entity, snap, (n // CASE WHEN series = 'broken' AND snap = DATE '{BAD_YEAR}' THEN 20 ELSE 1 END)::BIGINT AS value
+ FROM (SELECT c_nationkey::VARCHAR AS entity, date_trunc('year', o_orderdate)::DATE AS snap, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2), (SELECT unnest(['nations', 'broken']) AS series)),
  idx AS (SELECT *, dense_rank() OVER (PARTITION BY series ORDER BY snap) AS idx FROM panel)"""
 
 
 def control(s, d):
     o = t(s, d, "orders").join(t(s, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    n = o.groupBy(F.col("c_nationkey").cast("string").alias("entity"), F.to_date(F.date_trunc("quarter", "o_orderdate")).alias("snap")).agg(F.count("*").alias("n"))
-    down = F.when((F.col("series") == "broken") & (F.col("snap") == F.lit(BAD)), 20).otherwise(1)
+    n = o.groupBy(F.col("c_nationkey").cast("string").alias("entity"), F.to_date(F.date_trunc("year", "o_orderdate")).alias("snap")).agg(F.count("*").alias("n"))
+    down = F.when((F.col("series") == "broken") & (F.col("snap") == F.lit(BAD_YEAR)), 20).otherwise(1)
     return n.withColumn("series", F.explode(F.array(F.lit("nations"), F.lit("broken")))).select("series", "entity", "snap", F.floor(F.col("n") / down).cast("long").alias("value"))
 
 
