@@ -9,7 +9,7 @@ verify: ``parity`` tells where it disagrees, and :func:`require_parity` raises t
 over a whole text in single precision, so pieces whose scores tie may fall otherwise there, by what stands before them.) Decoding runs the library's decoders
 (space marker, byte fallback) over each distinct run of pieces from one marker to the next.
 
-Memory: the memos of units belong to a partition and are emptied once they hold ``MEMO_BYTES``.
+Memory: a worker's memos of units and of decoded runs are emptied once they hold ``MEMO_BYTES`` each, whatever the units are.
 
 Defined results: null text counts as empty (no ids); ids never include control pieces; any doc_id, repeated rows and
 extra columns (whatever their names) pass through as they are; an empty table gives no rows.
@@ -33,7 +33,7 @@ MARK = "▁"
 #: fixed values: piece types and model types of the SentencePiece model format
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-MEMO_BYTES = 80 << 20  # of the units of a partition, and as much of decoded runs
+MEMO_BYTES = 144 << 20  # of a worker's units, and as much of decoded runs
 ENTRY = 200  # bytes of an entry beside its text and ids
 _UNIT = re.compile(f"(?<=[^{MARK}])(?={MARK})")
 _CODECS: dict[str, Codec] = {}
@@ -161,6 +161,7 @@ class Codec:
         self.tokenizer.decoder = decoders.Sequence([*(decoders.Replace(p, "") for p, _, k in self.model.pieces if k == CONTROL), *steps])
         self.library = sentencepiece.SentencePieceProcessor(model_proto=data)
         self.opens = np.array([p.startswith(MARK) for p, _, _ in self.model.pieces])  # pieces that begin a run
+        self.marked = frozenset(np.flatnonzero(self.opens).tolist())
         self.forget()
 
     def forget(self) -> Codec:
@@ -176,6 +177,9 @@ class Codec:
         return self.library.encode(unit[first:].replace(MARK, " "))
 
     def _learn(self, units: list[str]) -> None:
+        if self.run_size > MEMO_BYTES:
+            self.runs.clear()
+            self.run_size = 0
         if self.size > MEMO_BYTES:
             self.units.clear()
             self.unlike.clear()
@@ -183,11 +187,15 @@ class Codec:
         new = list(dict.fromkeys(units))
         for at in range(0, len(new), 4096):
             batch = new[at : at + 4096]
-            for u, e in zip(batch, self.tokenizer.encode_batch_fast(batch, add_special_tokens=False), strict=True):
-                if u != MARK and self._reference(u) != e.ids:
+            made = [e.ids for e in self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)]
+            for u, ids, text in zip(batch, made, self.tokenizer.decode_batch(made, skip_special_tokens=False), strict=True):
+                if u != MARK and self._reference(u) != ids:
                     self.unlike.add(u)
-                self.units[u] = ids = array("I", e.ids).tobytes()
-                self.size += ENTRY + 2 * len(u) + len(ids)
+                self.units[u] = raw = array("I", ids).tobytes()
+                self.size += ENTRY + 2 * len(u) + len(raw)
+                if self.marked.isdisjoint(ids[1:]):  # a run of its own
+                    self.runs[raw] = text
+                    self.run_size += ENTRY + 2 * len(raw)
 
     def encode_batch(self, texts: list[str]) -> list[tuple[bytes, bool]]:
         """(ids as little-endian unsigned 32-bit integers, whether the SentencePiece library gives the same)."""
@@ -210,9 +218,6 @@ class Codec:
         ids = np.asarray(ids, np.uint32)
         if not len(ids):
             return ""
-        if self.run_size > MEMO_BYTES:
-            self.runs.clear()
-            self.run_size = 0
         raw = ids.tobytes()
         cuts = (4 * np.flatnonzero(self.opens[ids])).tolist()
         if not cuts or cuts[0]:
@@ -222,6 +227,9 @@ class Codec:
             run = raw[a:b]
             text = self.runs.get(run)
             if text is None:
+                if self.run_size > MEMO_BYTES:
+                    self.runs.clear()
+                    self.run_size = 0
                 text = self.runs[run] = self.tokenizer.decode(array("I", run).tolist(), skip_special_tokens=False)
                 self.run_size += ENTRY + 2 * len(run)
             out.append(text)
@@ -230,10 +238,10 @@ class Codec:
 
 
 def codec(path: str) -> Codec:
-    """The codec of a worker process for a model, with empty memos."""
+    """One codec per worker process and model."""
     if path not in _CODECS:
         _CODECS[path] = Codec(path)
-    return _CODECS[path].forget()
+    return _CODECS[path]
 
 
 def require_parity(path: str, texts: list[str]) -> None:
