@@ -7,9 +7,10 @@ character (checked when a model is loaded), cutting there changes no result, so
 in multithreaded batches. Ids are the rebuilt model's. The SentencePiece library encodes each distinct unit as well, only to
 verify: ``parity`` tells where it disagrees, and :func:`require_parity` raises there. (With unigram models that library sums scores
 over a whole text in single precision, so pieces whose scores tie may fall otherwise there, by what stands before them.) Decoding runs the library's decoders
-(space marker, byte fallback) over each distinct run of pieces from one marker to the next.
+(space marker, byte fallback): once for every piece of the model, as texts of pieces only follow each other, and over each run
+of byte pieces.
 
-Memory: a worker's memos of units and of decoded runs are emptied once they hold ``MEMO_BYTES`` each, whatever the units are.
+Memory: a worker's memo of units is emptied once it holds ``MEMO_BYTES``, whatever the units are.
 
 Defined results: null text counts as empty (no ids); ids never include control pieces; any doc_id, repeated rows and
 extra columns (whatever their names) pass through as they are; an empty table gives no rows.
@@ -17,6 +18,7 @@ extra columns (whatever their names) pass through as they are; an empty table gi
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 import struct
@@ -33,7 +35,7 @@ MARK = "▁"
 #: fixed values: piece types and model types of the SentencePiece model format
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-MEMO_BYTES = 144 << 20  # of a worker's units, and as much of decoded runs
+MEMO_BYTES = 144 << 20  # of a worker's units
 ENTRY = 200  # bytes of an entry beside its text and ids
 _UNIT = re.compile(f"(?<=[^{MARK}])(?={MARK})")
 _CODECS: dict[str, Codec] = {}
@@ -160,15 +162,14 @@ class Codec:
         steps = [decoders.Replace(unknown, " ⁇ "), decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()]
         self.tokenizer.decoder = decoders.Sequence([*(decoders.Replace(p, "") for p, _, k in self.model.pieces if k == CONTROL), *steps])
         self.library = sentencepiece.SentencePieceProcessor(model_proto=data)
-        self.opens = np.array([p.startswith(MARK) for p, _, _ in self.model.pieces])  # pieces that begin a run
-        self.marked = frozenset(np.flatnonzero(self.opens).tolist())
+        self.text_of = self.tokenizer.decode_batch([[i] for i in range(len(self.model.pieces))], skip_special_tokens=False)
+        self.byte_ids = frozenset(i for i, (_, _, k) in enumerate(self.model.pieces) if k == BYTE)
         self.forget()
 
     def forget(self) -> Codec:
         self.units: dict[str, bytes] = {}
         self.unlike: set[str] = set()
-        self.runs: dict[bytes, str] = {}
-        self.size = self.run_size = 0
+        self.size = 0
         return self
 
     def _reference(self, unit: str) -> list[int]:
@@ -177,63 +178,44 @@ class Codec:
         return self.library.encode(unit[first:].replace(MARK, " "))
 
     def _learn(self, units: list[str]) -> None:
-        if self.run_size > MEMO_BYTES:
-            self.runs.clear()
-            self.run_size = 0
-        if self.size > MEMO_BYTES:
-            self.units.clear()
-            self.unlike.clear()
-            self.size = 0
         new = list(dict.fromkeys(units))
         for at in range(0, len(new), 4096):
             batch = new[at : at + 4096]
-            made = [e.ids for e in self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)]
-            for u, ids, text in zip(batch, made, self.tokenizer.decode_batch(made, skip_special_tokens=False), strict=True):
+            for u, e in zip(batch, self.tokenizer.encode_batch_fast(batch, add_special_tokens=False), strict=True):
+                ids = e.ids
                 if u != MARK and self._reference(u) != ids:
                     self.unlike.add(u)
                 self.units[u] = raw = array("I", ids).tobytes()
                 self.size += ENTRY + 2 * len(u) + len(raw)
-                if self.marked.isdisjoint(ids[1:]):  # a run of its own
-                    self.runs[raw] = text
-                    self.run_size += ENTRY + 2 * len(raw)
 
     def encode_batch(self, texts: list[str]) -> list[tuple[bytes, bool]]:
         """(ids as little-endian unsigned 32-bit integers, whether the SentencePiece library gives the same)."""
+        # emptied between batches only: what a batch needs is there when its ids are put together
+        if self.size > MEMO_BYTES:
+            self.units.clear()
+            self.unlike.clear()
+            self.size = 0
         cut = []
         for t in texts:
             x = self.model.normalize(t)
             cut.append([] if not x else _UNIT.split(x) if self.model.cuttable else [x])
-        missing = [u for units in cut for u in units if u not in self.units]
+        known = self.units
+        missing = [u for units in cut for u in units if u not in known]
         if missing:
             self._learn(missing)
-        out = []
-        for units in cut:
-            if any(u not in self.units for u in units):
-                self._learn([u for u in units if u not in self.units])
-            ids = b"".join([self.units[u] for u in units])
-            out.append((ids, not self.unlike or self.unlike.isdisjoint(units)))
-        return out
+        get = known.__getitem__
+        return [(b"".join(map(get, units)), not self.unlike or self.unlike.isdisjoint(units)) for units in cut]
 
     def decode(self, ids) -> str:
-        ids = np.asarray(ids, np.uint32)
-        if not len(ids):
-            return ""
-        raw = ids.tobytes()
-        cuts = (4 * np.flatnonzero(self.opens[ids])).tolist()
-        if not cuts or cuts[0]:
-            cuts.insert(0, 0)
-        out = []
-        for a, b in zip(cuts, [*cuts[1:], len(raw)], strict=True):
-            run = raw[a:b]
-            text = self.runs.get(run)
-            if text is None:
-                if self.run_size > MEMO_BYTES:
-                    self.runs.clear()
-                    self.run_size = 0
-                text = self.runs[run] = self.tokenizer.decode(array("I", run).tolist(), skip_special_tokens=False)
-                self.run_size += ENTRY + 2 * len(run)
-            out.append(text)
-        text = "".join(out)
+        ids = np.asarray(ids, np.uint32).tolist()
+        text_of = self.text_of
+        if self.byte_ids.isdisjoint(ids):
+            text = "".join([text_of[i] for i in ids])
+        else:
+            out = []
+            for in_bytes, run in itertools.groupby(ids, self.byte_ids.__contains__):
+                out += [self.tokenizer.decode(list(run), skip_special_tokens=False)] if in_bytes else [text_of[i] for i in run]
+            text = "".join(out)
         return text[1:] if self.model.dummy_prefix and text[:1] == " " else text
 
 
