@@ -197,10 +197,45 @@ def test_window_terms_equal_brute_force(spark):
     assert got == want and len(got) > 20
 
 
+def test_window_terms_of_many_names(spark):
+    """Ten thousand names, overlapping and nested ones, other letters' cases, names that are terms: equal to a pattern per name."""
+    import random
+    import re
+
+    r = random.Random(5)
+    words = ["tool", "tool-kit", "kit", "a.b", "scum", "İx", "größe", "x", "tools", "idiot", "deep idiot"]
+    names = words[:8] + [f"name{k:05}" for k in range(10_000)]
+    terms = ["scum", "idiot", "deep idiot", "x"]
+    docs = [(k, "".join(r.choice([*words, "GRÖSSE", "GRÖßE", f"name{r.randrange(10_000):05}", "_tool", "Scum9"]) + r.choice([" ", "-", ", ", "", " "]) for _ in range(r.randint(0, 50)))) for k in range(60)]
+    got = sorted((x["doc"], x["name"], x["term"], x["context"]) for x in privacy.window_terms(spark.createDataFrame([*docs, (None, None)], "doc long, surface string"), names, terms, 30).collect())
+    want = []
+    for k, text in docs:
+        for n in names[:8] + [n for n in names[8:] if n in text.lower()]:
+            for m in re.finditer(rf"(?<!\w){re.escape(n)}(?!\w)", text, re.I):
+                lo = max(0, m.start() - 30)
+                ctx = text[lo : m.end() + 30]
+                for t in terms:
+                    want += [(k, n, x.group(0), ctx) for x in re.finditer(rf"(?<!\w){re.escape(t)}(?!\w)", ctx, re.I) if (lo + x.start(), lo + x.end()) != m.span()]
+    assert got == sorted(want) and len(got) > 200
+
+
+def test_json_walk_has_one_plan_at_any_depth(spark):
+    deep = "[" * 10_000
+    rows = [(1, deep), (2, deep + "]" * 10_000), (3, "[" * 900 + '{"owner": 1}' + "]" * 900), (4, '{"a": [1.50, true, null, "x", [], {}], "b": {"a": -0}}'), (5, "[1, 2"), (6, '"s"')]
+    df = spark.createDataFrame(rows, "k long, j string")
+    plan = privacy.json_nodes(df, "k", "j")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Generate" not in plan and "Exchange" not in plan
+    got = [tuple(x) for x in privacy.json_nodes(df, "k", "j").where("k > 3").collect()]
+    assert got == [
+        (4, "$.a", "a", None, False), (4, "$.a[0]", None, "1.50", True), (4, "$.a[1]", None, "true", True), (4, "$.a[2]", None, None, True), (4, "$.a[3]", None, "x", True), (4, "$.a[4]", None, None, False),
+        (4, "$.a[5]", None, None, False), (4, "$.b", "b", None, False), (4, "$.b.a", "a", "-0", True),
+    ]
+    assert [x["path"] for x in privacy.person_fields(df, "k", "j").collect()] == ["$" + "[0]" * 900 + ".owner"]
+
+
 def test_json_nesting_and_person_keys(spark):
     rows = [(1, '{"a": {"b": [[{"owner": {"email": 1}}]]}}'), (2, '{"Owner": 1, "x": "{\\"login\\": [1]}"}'), (3, "{bad"), (4, None), (5, "7")]
     df = spark.createDataFrame(rows, "k long, j string")
-    assert [x["n"] for x in df.select(privacy.nesting("j").alias("n")).collect()] == [6, 1, 1, 0, 0]
     got = {(x["k"], x["path"]) for x in privacy.person_fields(df, "k", "j").collect()}
     assert got == {(1, "$.a.b[0][0].owner"), (1, "$.a.b[0][0].owner.email")}
 
@@ -211,6 +246,8 @@ def test_surface_of_markup(spark):
     pages = ["plain &amp; text", "<p>a&amp;b &amp;lt; &NBSP;c</p>", "<script>x<y</script>k<style>b</style>", "<b>1 < 2 &copy; & x</b>", "", None, "<i>&#39;q&quot;</i>\n\t z"]
     got = [x["s"] for x in spark.createDataFrame([(p,) for p in pages], "h string").select(scalars.html_surface("h").alias("s")).collect()]
     assert got == ["plain &amp; text", "a&b < c", "k", "1", "", None, "'q\" z"]
+    twice = spark.createDataFrame([("<p>&amp;amp;lt;x a&amp;nbsp;b &amp;#39; &amp;quot;</p>",), ('<a title="<script>">x</script>\u00a0y\ufeff',)], "h string")
+    assert [x["s"] for x in twice.select(scalars.html_surface("h").alias("s")).collect()] == ["&amp;lt;x a&nbsp;b ' \"", '<a title=" y']
 
 
 def test_partition_verdicts(spark):

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.stats import MAD_SCALE, clamp
+from tidemark.operators.placement import ranked
 from tidemark.operators.series import trailing, yearly_momentum
 
 
@@ -54,7 +55,7 @@ def cohort_z(rows: DataFrame, axes: list[tuple[str, str, str]], m: Methodology)
     return rows.join(x.select("entity_id", *(free(v).alias(out) for v, _, out in axes)), "entity_id", "left")
 
 
-def weekly_scores(registry: DataFrame, activity: DataFrame, yearly: DataFrame, last: int, current_year: int, m: Methodology) -> DataFrame:
+def scored_rows(registry: DataFrame, activity: DataFrame, yearly: DataFrame, last: int, current_year: int, m: Methodology) -> DataFrame:
     """One scored row per registry entity with activity.
 
     ``registry(entity_id, cohort, size, incumbent)``, ``activity(entity_id, pos, value)``, ``yearly(entity_id, year, n)``.
@@ -63,7 +64,12 @@ def weekly_scores(registry: DataFrame, activity: DataFrame, yearly: DataFrame, l
     rows = rows.withColumn("axis2_status", F.coalesce("axis2_status", F.lit("absent"))).withColumn("axis2_total", F.coalesce("axis2_total", F.lit(0)))
     rows = cohort_z(rows, [("axis1_slope", "size", "axis1_z"), ("axis2_slope", "axis2_total", "axis2_z")], m)
     size = rows.groupBy("cohort").agg(F.count("*").alias("cohort_n"))
-    return percentile(gate(rows.join(size, "cohort"), m))
+    return gate(rows.join(size, "cohort"), m)
+
+
+def weekly_scores(registry: DataFrame, activity: DataFrame, yearly: DataFrame, last: int, current_year: int, m: Methodology) -> DataFrame:
+    """:func:`scored_rows` with the percentile of each entity's momentum in its cohort."""
+    return percentile(scored_rows(registry, activity, yearly, last, current_year, m))
 
 
 def gate(rows: DataFrame, m: Methodology) -> DataFrame:
@@ -84,11 +90,13 @@ def gate(rows: DataFrame, m: Methodology) -> DataFrame:
 
 
 def percentile(rows: DataFrame, value: str = "momentum", tie: str = "entity_id") -> DataFrame:
-    """Position in the cohort by ``value`` (ties in ``tie`` order) on 0..100; a lone row is 50, a null value null."""
-    w = Window.partitionBy("cohort", F.col(value).isNull())
-    i, n = F.row_number().over(w.orderBy(value, tie)) - 1, F.count("*").over(w)
-    got = F.when(n > 1, F.bround(100.0 * i / F.greatest(n - 1, F.lit(1)), 0)).otherwise(50.0)
-    return rows.withColumn("percentile", F.when(F.col(value).isNotNull(), got).cast("long"))
+    """Position in the cohort by ``value`` (ties in ``tie`` order) on 0..100; a lone row is 50, a null value null.
+
+    The rows are stored in cohort order, so a cohort of any size is ranked by as many tasks as it fills.
+    """
+    placed = ranked(rows.withColumn("_none", F.col(value).isNull()), ["cohort", "_none"], [value, tie], "_i", "_n")
+    got = F.when(F.col("_n") > 1, F.bround(100.0 * F.col("_i") / F.greatest(F.col("_n") - 1, F.lit(1)), 0)).otherwise(50.0)
+    return placed.withColumn("percentile", F.when(~F.col("_none"), got).cast("long")).drop("_none", "_i", "_n")
 
 
 STATUSES = ("rising", "watch", "tracked", "single-axis", "calibration")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.placement import positioned
+
 GENESIS = "0" * 64
 
 
@@ -46,7 +48,7 @@ def merkle_leaves(files: DataFrame, path: str = "path", content: str = "content"
 def merkle_root(leaves: DataFrame) -> str:
     """Root over leaves in path order; an odd node is promoted; no leaves: the hash of nothing.
 
-    Positions come from a range sort with per-partition offsets, so no task sees all leaves; each level halves the table.
+    Positions come from the stored placement, so no task sees all leaves; each level halves the table.
     """
     level = positioned(leaves, ["path"]).select("pos", F.col("leaf").alias("h"))
     n = level.count()
@@ -69,15 +71,6 @@ def merkle_root(leaves: DataFrame) -> str:
     return rows[0].hex()
 
 
-def positioned(df: DataFrame, order: list[str]) -> DataFrame:
-    """``pos``: the place of each row in a total order, from a range partitioning and one offset a partition."""
-    laid = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id())
-    local = laid.withColumn("_i", F.row_number().over(Window.partitionBy("_p").orderBy(*order)) - 1)
-    n = local.groupBy("_p").agg(F.count("*").alias("_n"))
-    off = n.withColumn("_o", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    return local.join(F.broadcast(off), "_p").withColumn("pos", (F.col("_o") + F.col("_i")).cast("long")).drop("_p", "_i", "_o")
-
-
 def verify_root(leaves: DataFrame, recorded: str) -> bool:
     """Does a recorded root still stand for the leaves?"""
     return merkle_root(leaves) == recorded
@@ -86,9 +79,9 @@ def verify_root(leaves: DataFrame, recorded: str) -> bool:
 def chain(rows: DataFrame, line: str, seq: str) -> DataFrame:
     """``expected``: the hash of the line before (a fixed start for the first), in the order of ``seq``.
 
-    The line before is the row at the place before, so no task sees the whole chain.
+    The line before is the row at the place before in a stored order, so no task sees the whole chain.
     """
-    placed = positioned(rows, [seq]).withColumnRenamed("pos", "_pos")
+    placed = positioned(rows, [seq], "_pos")
     before = placed.select((F.col("_pos") + 1).alias("_pos"), F.sha2(F.col(line), 256).alias("expected"))
     return placed.join(before, "_pos", "left").withColumn("expected", F.coalesce("expected", F.lit(GENESIS))).drop("_pos")
 
@@ -104,26 +97,46 @@ def divergent(bundles: DataFrame) -> DataFrame:
 
 
 def collisions(bundles: DataFrame, allowed: DataFrame | None = None) -> DataFrame:
-    """Pairs of bundles with one id but different content that no erratum allows. ``bundles(snapshot_id, day, payload)``.
+    """(snapshot_id, day_a, hash_a, day_b, hash_b) of pairs of contents of one id that no errata excuse. ``bundles(snapshot_id, day, payload)``.
+
+    Two contents are excused only if every pair of their days is excused (``allowed(snapshot_id, day_a, hash_a, day_b, hash_b)``,
+    either way round). A pair that is not is reported once, with the first pair of days that no erratum names.
 
-    Only ids that stand for several contents are paired, and one bundle of each content.
+    Only ids that stand for several contents are paired. Days are counted, not paired: the work is that of the bundles and the errata.
     """
-    one = bundles.join(divergent(bundles).select("snapshot_id"), "snapshot_id", "left_semi").groupBy("snapshot_id", "payload").agg(F.min("day").alias("day"))
-    a, b = (one.select(F.col("snapshot_id"), F.col("day").alias(f"day_{s}"), F.col("payload").alias(f"hash_{s}")) for s in "ab")
+    days = bundles.select("snapshot_id", "day", "payload").distinct().join(divergent(bundles).select("snapshot_id"), "snapshot_id", "left_semi")
+    one = days.groupBy("snapshot_id", "payload").agg(F.min("day").alias("day"), F.count("*").alias("n"))
+    a, b = (one.select("snapshot_id", F.col("day").alias(f"day_{s}"), F.col("payload").alias(f"hash_{s}"), F.col("n").alias(f"n_{s}")) for s in "ab")
     pairs = a.join(b, "snapshot_id").where("hash_a < hash_b")
-    if allowed is not None:
-        pairs = pairs.join(allowed, ["day_a", "hash_a", "day_b", "hash_b"], "left_anti")
-    return pairs
+    if allowed is None:
+        return pairs.drop("n_a", "n_b")
+    # errata with the smaller content first, and of those only what names days that are there
+    turned = F.col("hash_a") > F.col("hash_b")
+    swap = lambda x: F.when(turned, F.col(f"{x}_b")).otherwise(F.col(f"{x}_a")).alias(f"{x}_a"), lambda x: F.when(turned, F.col(f"{x}_a")).otherwise(F.col(f"{x}_b")).alias(f"{x}_b")
+    named = allowed.select("snapshot_id", *(f(x) for x in ("day", "hash") for f in swap)).distinct()
+    for s in "ab":
+        named = named.join(days.select("snapshot_id", F.col("day").alias(f"day_{s}"), F.col("payload").alias(f"hash_{s}")), ["snapshot_id", f"day_{s}", f"hash_{s}"], "left_semi")
+    enough = named.groupBy("snapshot_id", "hash_a", "hash_b").agg(F.count("*").alias("named"))
+    left = pairs.join(enough, ["snapshot_id", "hash_a", "hash_b"], "left").where("named IS NULL OR named < n_a * n_b")
+    none, some = left.where("named IS NULL"), left.where("named IS NOT NULL").select("snapshot_id", "hash_a", "hash_b", "n_b")
+    # the first day of a that is not named with every day of b, and the first day of b that is not named with it
+    side = lambda s: days.select("snapshot_id", F.col("day").alias(f"day_{s}"), F.col("payload").alias(f"hash_{s}"))
+    per_day = named.groupBy("snapshot_id", "hash_a", "hash_b", "day_a").agg(F.count("*").alias("named"))
+    first_a = some.join(side("a"), ["snapshot_id", "hash_a"]).join(per_day, ["snapshot_id", "hash_a", "hash_b", "day_a"], "left").where("named IS NULL OR named < n_b")
+    first_a = first_a.groupBy("snapshot_id", "hash_a", "hash_b").agg(F.min("day_a").alias("day_a"))
+    key = ["snapshot_id", "day_a", "hash_a", "day_b", "hash_b"]
+    first_b = first_a.join(side("b"), ["snapshot_id", "hash_b"]).join(named.select(key), key, "left_anti")
+    return none.select(key).union(first_b.groupBy("snapshot_id", "day_a", "hash_a", "hash_b").agg(F.min("day_b").alias("day_b")).select(key))
 
 
 def shards(df: DataFrame, order: list[str], n: int) -> DataFrame:
     """Contiguous shards whose sizes differ by at most one, the first ones larger (the rule of NTILE, without its single task)."""
-    p = positioned(df, order)
+    p = positioned(df, order, "_pos")
     total = df.agg(F.count("*").alias("_t"))
     small, extra = F.floor(F.col("_t") / n), F.col("_t") % n
     edge = extra * (small + 1)
-    got = F.when(F.col("pos") < edge, F.floor(F.col("pos") / (small + 1))).otherwise(extra + F.floor((F.col("pos") - edge) / F.greatest(small, F.lit(1))))
-    return p.join(F.broadcast(total)).withColumn("shard", got.cast("long")).drop("_t", "pos")
+    got = F.when(F.col("_pos") < edge, F.floor(F.col("_pos") / (small + 1))).otherwise(extra + F.floor((F.col("_pos") - edge) / F.greatest(small, F.lit(1))))
+    return p.join(F.broadcast(total)).withColumn("shard", got.cast("long")).drop("_t", "_pos")
 
 
 def first_of(df: DataFrame, key: str, order: list[Column]) -> DataFrame:

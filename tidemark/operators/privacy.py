@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import bisect
+import json
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,33 +46,55 @@ def person_paths(schema: T.DataType, at: str = "$") -> list[str]:
     return found
 
 
-def nesting(column: Column | str) -> Column:
-    """How deep the containers of a JSON text lie in each other (0 for none or null)."""
-    c = F.col(column) if isinstance(column, str) else column
-    brackets = F.regexp_replace(F.regexp_replace(c, '"(?:[^"\\\\]|\\\\.)*"', ""), "[^\\[\\]{}]", "")
-    step = lambda acc, x: F.struct((acc["at"] + F.when(x.isin("[", "{"), 1).otherwise(-1)).alias("at"), F.greatest(acc["top"], acc["at"] + F.when(x.isin("[", "{"), 1).otherwise(-1)).alias("top"))
-    chars = F.filter(F.split(brackets, ""), lambda x: x != "")
-    return F.coalesce(F.aggregate(chars, F.struct(F.lit(0).alias("at"), F.lit(0).alias("top")), step)["top"], F.lit(0))
-
-
 def json_nodes(df: DataFrame, key: str, column: str) -> DataFrame:
     """(key, path, name, value, leaf) of every member and item at every level of a JSON column; unreadable JSON gives none.
 
-    The levels are as many as the deepest row has (one number is read from a scan of the column first).
+    One pass in Arrow batches walks each row with a stack of its own, so the plan is the same whatever a row's nesting. Numbers
+    keep the text they have in the JSON. Nested beyond what the JSON library reads (thousands of levels) is unreadable.
     """
-    spark = df.sparkSession
-    depth = df.agg(F.max(nesting(column)).alias("d")).first()["d"] or 0
-    now = df.select(F.col(key).alias("key"), F.lit("$").alias("path"), F.try_parse_json(column).alias("v")).where("v IS NOT NULL")
-    out = None
-    for _ in range(max(1, depth)):
-        inner = now.lateralJoin(spark.tvf.variant_explode(F.col("v").outer()).toDF("pos", "name", "value"))
-        step = F.concat("path", F.coalesce(F.concat(F.lit("."), F.col("name")), F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]"))))
-        kind = F.schema_of_variant("value")
-        nodes = inner.select("key", step.alias("path"), "name", F.col("value").alias("v"), (~(kind.startswith("OBJECT") | kind.startswith("ARRAY"))).alias("leaf"))
-        part = nodes.select("key", "path", "name", F.when(F.col("leaf"), F.col("v").cast("string")).alias("value"), "leaf")
-        out = part if out is None else out.unionByName(part)
-        now = nodes.where("NOT leaf").select("key", "path", "v")
-    return out.withColumnRenamed("key", key)
+    kind = df.schema[key].dataType
+    schema = T.StructType([T.StructField(key, kind), T.StructField("path", T.StringType()), T.StructField("name", T.StringType()), T.StructField("value", T.StringType()), T.StructField("leaf", T.BooleanType())])
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            rows, out, size = [], [], 0
+            for i, text in enumerate(batch.column(1).to_pylist()):
+                for node in walk_json(text):
+                    rows.append(i)
+                    out.append(node)
+                    size += len(node[0]) + len(node[2] or "")
+                    if size > 4 << 20:
+                        yield send(pa, batch, rows, out)
+                        rows, out, size = [], [], 0
+            if out:
+                yield send(pa, batch, rows, out)
+
+    def send(pa, batch, rows, out):
+        path, name, value, leaf = zip(*out, strict=True)
+        columns = [batch.column(0).take(pa.array(rows)), pa.array(path, pa.string()), pa.array(name, pa.string()), pa.array(value, pa.string()), pa.array(leaf, pa.bool_())]
+        return pa.RecordBatch.from_arrays(columns, [key, "path", "name", "value", "leaf"])
+
+    return df.select(key, F.col(column).cast("string").alias("_json")).where("_json IS NOT NULL").mapInArrow(run, schema)
+
+
+def walk_json(text: str) -> Iterator[tuple[str, str | None, str | None, bool]]:
+    """(path, name, value, leaf) of what lies below the root of a JSON text, in document order."""
+    try:
+        root = json.loads(text, parse_int=str, parse_float=str)
+    except (ValueError, RecursionError):
+        return
+    stack = [("$", None, root)]
+    while stack:
+        path, name, v = stack.pop()
+        inner = isinstance(v, (dict, list))
+        if path != "$":
+            yield path, name, None if inner or v is None else str(v).lower() if isinstance(v, bool) else v, not inner
+        if isinstance(v, dict):
+            stack += [(f"{path}.{k}", k, x) for k, x in reversed(v.items())]
+        elif inner:
+            stack += [(f"{path}[{i}]", None, x) for i, x in reversed(list(enumerate(v)))]
 
 
 def json_leaves(df: DataFrame, key: str, column: str) -> DataFrame:
@@ -100,28 +126,78 @@ def handle_leaks(staged: DataFrame, handles: list[str]) -> DataFrame:
     return staged.withColumn("leaks", hit).where(F.size("leaks") > 0)
 
 
+def _same_length_lower(text: str) -> str:
+    """Lower case where that keeps the number of characters, so that places stay places."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(x if len(x := c.lower()) == 1 else c for c in text)
+
+
+def _wordlike(c: str) -> bool:
+    return c.isalpha() or c.isnumeric() or c == "_"
+
+
+class TermWindows:
+    """Names and terms in one automaton: a text is read once, however many there are."""
+
+    def __init__(self, names: list[str], terms: list[str], window: int):
+        import ahocorasick
+
+        self.names, self.terms, self.window = names, terms, window
+        kinds: dict[str, tuple[list[int], list[int]]] = {}
+        for which, words in enumerate((names, terms)):
+            for i, w in enumerate(words):
+                if w:
+                    kinds.setdefault(_same_length_lower(w), ([], []))[which].append(i)
+        self.automaton = ahocorasick.Automaton()
+        for w, kind in kinds.items():
+            self.automaton.add_word(w, (len(w), *kind))
+        if kinds:
+            self.automaton.make_automaton()
+
+    def find(self, text: str) -> Iterator[tuple[int, int, int, int]]:
+        """(name, its place, term, its place): terms inside the window around a name; both stand alone, a window's edges count as gaps."""
+        if not self.automaton:
+            return
+        low = _same_length_lower(text)
+        edge = lambda i: not (0 <= i < len(low) and _wordlike(low[i]))
+        named, told, last = [], [], {}
+        for end, (size, names, terms) in self.automaton.iter(low):
+            start = end + 1 - size
+            if names and edge(start - 1) and edge(end + 1) and start >= last.get((size, names[0]), 0):
+                last[size, names[0]] = end + 1
+                named += [(start, end + 1, n) for n in names]
+            told += [(start, end + 1, t) for t in terms]
+        told.sort()
+        starts = [x[0] for x in told]
+        for at, stop, name in named:
+            lo, hi = max(0, at - self.window), min(len(low), stop + self.window)
+            free: dict[int, int] = {}  # per term, where its next match may begin
+            for start, end, term in told[bisect.bisect_left(starts, lo) : bisect.bisect_left(starts, hi)]:
+                alone = end <= hi and (start == lo or edge(start - 1)) and (end == hi or edge(end))
+                if alone and start >= free.get(term, 0):
+                    free[term] = end
+                    if not (start == at and end == stop):
+                        yield name, at, term, start
+
+
 def window_terms(surfaces: DataFrame, names: list[str], terms: list[str], window: int = 120) -> DataFrame:
-    """(doc, name, term, context): forbidden terms within ``window`` characters of a name; match positions need Python, in Arrow batches."""
+    """(doc, name, term, context): forbidden terms within ``window`` characters of a name; one automaton in Arrow batches."""
     schema = f"doc {surfaces.schema['doc'].dataType.simpleString()}, name string, term string, context string"
 
-    def run(frames):
-        import re
-
-        import pandas as pd
+    def run(batches):
+        import pyarrow as pa
 
-        pats = [(n, re.compile(rf"(?<![\w]){re.escape(n)}(?![\w])", re.I)) for n in names]
-        bad = re.compile("|".join(rf"(?<![\w]){re.escape(x)}(?![\w])" for x in terms), re.I)
-        for pdf in frames:
-            out = []
-            for doc, text in zip(pdf["doc"], pdf["surface"], strict=True):
-                for n, p in pats:
-                    for m in p.finditer(text or ""):
-                        a = max(0, m.start() - window)
-                        ctx = text[a : m.end() + window]
-                        out += [(doc, n, x.group(0), ctx) for x in bad.finditer(ctx) if not (a + x.start() == m.start() and x.group(0).lower() == n.lower())]
-            yield pd.DataFrame(out, columns=["doc", "name", "term", "context"])
+        scan = TermWindows(names, terms, window)
+        for batch in batches:
+            rows, out = [], []
+            for i, text in enumerate(batch.column(1).to_pylist()):
+                for n, at, t, start in scan.find(text):
+                    rows.append(i)
+                    out.append((names[n], text[start : start + len(terms[t])], text[max(0, at - window) : at + len(names[n]) + window]))
+            if out:
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), *(pa.array(c, pa.string()) for c in zip(*out, strict=True))], ["doc", "name", "term", "context"])
 
-    return surfaces.mapInPandas(run, schema)
+    return surfaces.select("doc", "surface").where("surface IS NOT NULL").mapInArrow(run, schema)
 
 
 def leaf_terms(df: DataFrame, key: str, column: str, terms: list[str]) -> DataFrame:

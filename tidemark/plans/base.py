@@ -6,15 +6,13 @@ SQL common table expression of the same name.
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.cohort import Methodology, weekly_scores
+from tidemark.operators.cohort import Methodology, scored_rows, weekly_scores
+from tidemark.sources.scratch import scratch  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,17 +34,6 @@ def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(s: SparkSession, name: str) -> str:
-    """A new path in the shared checkpoint folder; where that setting is unset, a local temporary one in local mode only."""
-    base = s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        if not re.fullmatch(r"local(\[.*\])?", s.sparkContext.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        base = tempfile.mkdtemp(prefix="tidemark-")
-        s.conf.set("spark.checkpoint.dir", base)
-    return f"{base}/tidemark/{name}-{uuid.uuid4().hex}"
-
-
 def month_pos(c: str):
     return ((F.year(c) - 1995) * 12 + F.month(c) - 1).cast("long")
 
@@ -69,8 +56,10 @@ def yearly(s: SparkSession, d: str) -> DataFrame:
     return t(s, d, "lineitem").groupBy(F.col("l_partkey").alias("entity_id"), F.year("l_shipdate").cast("long").alias("year")).agg(F.sum("l_quantity").cast("long").alias("n"))
 
 
-def scores(s: SparkSession, d: str, last: int = MONTHS - 1, year: int = CURRENT_YEAR) -> DataFrame:
-    return weekly_scores(registry(s, d), activity(s, d).select("entity_id", "pos", "value"), yearly(s, d).where(F.col("year") <= year), last, year, METHOD)
+def scores(s: SparkSession, d: str, last: int = MONTHS - 1, year: int = CURRENT_YEAR, percentiles: bool = False) -> DataFrame:
+    """Scored rows; the percentile, for which they are stored in the order of their cohorts, on demand."""
+    of = weekly_scores if percentiles else scored_rows
+    return of(registry(s, d), activity(s, d).select("entity_id", "pos", "value"), yearly(s, d).where(F.col("year") <= year), last, year, METHOD)
 
 
 REGISTRY = "registry AS (SELECT p_partkey AS entity_id, p_brand AS cohort, p_retailprice AS size, p_size >= 45 AS incumbent, p_name AS name, p_type AS type FROM part)"

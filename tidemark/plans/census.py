@@ -8,6 +8,7 @@ from tidemark.functions import scalars as sc
 from tidemark.functions.stats import r
 from tidemark.operators import census as ce
 from tidemark.operators import manifests as mf
+from tidemark.operators.placement import ranked
 from tidemark.plans.base import query, t
 
 VOCAB, WEAK, STRONG = ("erwh", "idiot", "stau", "pathetic"), ("src1", "src7"), ("scum", "licensed")
@@ -312,7 +313,7 @@ def so_06(s, d):
 
 @query("tk_01_admitted_order", f"WITH {REPO} SELECT repo_id, stars, row_number() OVER (PARTITION BY language ORDER BY stars DESC, repo_id) AS place FROM repo")
 def tk_01(s, d):
-    return repos(s, d).select("repo_id", "stars", F.row_number().over(ce.Window.partitionBy("language").orderBy(F.desc("stars"), "repo_id")).alias("place"))
+    return ranked(repos(s, d).select("language", "repo_id", "stars"), ["language"], [F.desc("stars"), "repo_id"]).select("repo_id", "stars", (F.col("place") + 1).alias("place"))
 
 
 @query("tk_02_tranche", "SELECT repo_id, stars FROM (SELECT doc_id AS repo_id, n_chars AS stars, row_number() OVER (ORDER BY CASE WHEN lang = 'es' THEN 0 ELSE 1 END, n_chars DESC, doc_id) AS rn FROM documents) WHERE rn <= (SELECT greatest(10, ceil(0.06 * count(*))) FROM labels)")
@@ -324,9 +325,10 @@ def tk_02(s, d):
 @query("tk_03_catalog_order", "SELECT p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY coalesce(CASE p_type WHEN 'PROMO' THEN 1 WHEN 'ECONOMY' THEN 2 END, 999), lower(p_name), p_partkey) AS place FROM part")
 def tk_03(s, d):
     rank = F.coalesce(F.when(F.col("p_type") == "PROMO", 1).when(F.col("p_type") == "ECONOMY", 2), F.lit(999))
-    return t(s, d, "part").select("p_partkey", F.row_number().over(ce.Window.partitionBy("p_brand").orderBy(rank, F.lower("p_name"), "p_partkey")).alias("place"))
+    rows = t(s, d, "part").select("p_partkey", "p_brand", rank.alias("rank"), F.lower("p_name").alias("name"))
+    return ranked(rows, ["p_brand"], ["rank", "name", "p_partkey"]).select("p_partkey", (F.col("place") + 1).alias("place"))
 
 
 @query("tk_04_alphabetical", "SELECT p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY p_name, p_partkey) AS place FROM part")
 def tk_04(s, d):
-    return t(s, d, "part").select("p_partkey", F.row_number().over(ce.Window.partitionBy("p_brand").orderBy("p_name", "p_partkey")).alias("place"))
+    return ranked(t(s, d, "part").select("p_partkey", "p_brand", "p_name"), ["p_brand"], ["p_name", "p_partkey"]).select("p_partkey", (F.col("place") + 1).alias("place"))

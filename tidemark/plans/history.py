@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.stats import r
 from tidemark.operators import asof, events, states
+from tidemark.operators.placement import ranked
 from tidemark.plans.base import ACTIVITY, MONTHS, SCORES, YEARLY, query, scores, scores_sql, scratch, t
 
 CUT = "2024-01-20T00:00:00Z"
@@ -206,4 +207,4 @@ def tk_06(s, d):
 @query("tk_07_status_report", SCORES + " SELECT status, entity_id, coalesce(momentum, 0) AS momentum, row_number() OVER (PARTITION BY status ORDER BY coalesce(momentum, 0) DESC, entity_id) AS place FROM scores")
 def tk_07(s, d):
     m = F.coalesce("momentum", F.lit(0.0))
-    return scores(s, d).select("status", "entity_id", m.alias("momentum"), F.row_number().over(Window.partitionBy("status").orderBy(m.desc(), "entity_id")).alias("place"))
+    return ranked(scores(s, d).select("status", "entity_id", m.alias("momentum")), ["status"], [F.desc("momentum"), "entity_id"]).withColumn("place", F.col("place") + 1)

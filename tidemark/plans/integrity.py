@@ -42,9 +42,24 @@ def sf_16(s, d):
     return t(s, d, "pages").select("page_id", sc.fully_decoded(F.replace(F.url_encode("url"), F.lit("+"), F.lit("%20"))).alias("url"))
 
 
-@query("sf_19_html_surface", r"""SELECT page_id, trim(regexp_replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\b[^>]*>.*?</script>', '', 'g'), '(?is)<style\b[^>]*>.*?</style>', '', 'g'), '<[^>]+>', '', 'g'), '&nbsp;', ' '), '&amp;', '&'), '&quot;', '"'), '\s+', ' ', 'g')) AS surface FROM pages""")
+#: references escaped once and twice, and text without markup on every fifth page
+ESCAPED = "&amp;lt;x &amp;amp;lt;y a&amp;nbsp;b &amp;#39; &LT;i&GT; &quot;q&#34; c&nbsp;&#160;d"
+PAGES = f"pg AS (SELECT page_id, CASE WHEN page_id % 5 = 0 THEN '{ESCAPED}' ELSE html || '{ESCAPED}' END AS html FROM pages)"
+
+
+def surface_sql() -> str:
+    out = "html"
+    for pattern in (r"(?is)<script\b[^>]*>.*?</script>", r"(?is)<style\b[^>]*>.*?</style>", "<[^>]+>"):
+        out = f"regexp_replace({out}, '{pattern}', '', 'g')"
+    for pattern, plain in sc.REFERENCES:
+        out = f"regexp_replace({out}, '(?i){pattern}', '{plain.replace("'", "''")}', 'g')"
+    return f"WITH {PAGES} SELECT page_id, CASE WHEN regexp_matches(html, '(?is)<[a-z!/].*>') THEN trim(regexp_replace({out}, '\\s+', ' ', 'g')) ELSE html END AS surface FROM pg"
+
+
+@query("sf_19_html_surface", surface_sql())
 def sf_19(s, d):
-    return t(s, d, "pages").select("page_id", sc.html_surface("html").alias("surface"))
+    html = F.when(F.col("page_id") % 5 == 0, F.lit(ESCAPED)).otherwise(F.concat("html", F.lit(ESCAPED)))
+    return t(s, d, "pages").select("page_id", sc.html_surface(html).alias("surface"))
 
 
 @query("sf_20_json_leaves", "SELECT event_id, '$.k' AS path, json_extract_string(props, '$.k') AS value FROM events")
@@ -104,6 +119,16 @@ def wn_06(s, d):
     return idn.chain(t(s, d, "benchmark"), "text", "item_id").select("item_id", "expected")
 
 
+@query("wn_06_document_chain", "SELECT doc_id, lag(sha256(text), 1, repeat('0', 64)) OVER (ORDER BY doc_id) AS expected, length(text) AS chars FROM documents")
+def wn_06b(s, d):
+    return idn.chain(t(s, d, "documents"), "text", "doc_id").select("doc_id", "expected", F.length("text").cast("long").alias("chars"))
+
+
+@query("wn_08_document_shards", "SELECT doc_id, sha256(text) AS sha, ntile(7) OVER (ORDER BY doc_id) - 1 AS shard FROM documents")
+def wn_08b(s, d):
+    return idn.shards(t(s, d, "documents").select("doc_id", "text"), ["doc_id"], 7).select("doc_id", F.sha2("text", 256).alias("sha"), "shard")
+
+
 @query("wn_08_shards", "SELECT doc_id, ntile(7) OVER (ORDER BY doc_id) - 1 AS shard FROM documents")
 def wn_08(s, d):
     return idn.shards(t(s, d, "documents").select("doc_id"), ["doc_id"], 7)
@@ -137,6 +162,23 @@ def jn_11(s, d):
     return idn.collisions(b).select("snapshot_id", "day_a", "day_b")
 
 
+ORDER_BUNDLES = "b AS (SELECT DISTINCT o_custkey AS snapshot_id, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day, o_orderstatus AS payload FROM orders)"
+
+
+@query("jn_11_errata", f"""WITH {ORDER_BUNDLES}, p AS (SELECT a.snapshot_id, a.day AS day_a, a.payload AS hash_a, b.day AS day_b, b.payload AS hash_b FROM b a JOIN b USING (snapshot_id) WHERE a.payload < b.payload)
+ SELECT snapshot_id, hash_a, hash_b, min(day_a || ' ' || day_b) AS days FROM p WHERE NOT (snapshot_id % 3 < 2 AND (snapshot_id % 3 = 0 OR day_a < '1999-06-01' OR day_b < '2000-01-01')) GROUP BY 1, 2, 3""")
+def jn_11b(s, d):
+    """A third of the ids has errata for all pairs of days, a third for some, each written with either content first; the rest has errata of another id."""
+    b = t(s, d, "orders").select(F.col("o_custkey").alias("snapshot_id"), F.to_date("o_orderdate").cast("string").alias("day"), F.col("o_orderstatus").alias("payload")).distinct()
+    one, two = (b.select("snapshot_id", F.col("day").alias(f"day_{x}"), F.col("payload").alias(f"hash_{x}")) for x in "ab")
+    pairs = one.join(two, "snapshot_id").where("hash_a < hash_b")
+    listed = pairs.where("snapshot_id % 3 = 0 OR (snapshot_id % 3 = 1 AND (day_a < '1999-06-01' OR day_b < '2000-01-01'))")
+    turned = listed.where("snapshot_id % 2 = 1").select("snapshot_id", F.col("day_b").alias("day_a"), F.col("hash_b").alias("hash_a"), F.col("day_a").alias("day_b"), F.col("hash_a").alias("hash_b"))
+    other = pairs.where("snapshot_id % 3 = 2").withColumn("snapshot_id", F.col("snapshot_id") + 1)
+    errata = listed.where("snapshot_id % 2 = 0").unionByName(turned).unionByName(other)
+    return idn.collisions(b, errata).select("snapshot_id", "hash_a", "hash_b", F.concat_ws(" ", "day_a", "day_b").alias("days"))
+
+
 def taxonomy(s, d):
     """Old key: brand; new: (field = first digit, cohort)."""
     return t(s, d, "part").select(F.col("p_brand").alias("cohort")).distinct().select("cohort", F.concat(F.lit("field"), F.substring("cohort", 7, 1)).alias("field"), F.lower("cohort").alias("new"))
@@ -258,6 +300,14 @@ def dq_06(s, d):
     return idn.broken_links(stored, "text", "item_id", "prev").select("item_id")
 
 
+@query("dq_06_document_chain", "SELECT doc_id FROM documents WHERE doc_id % 50 = 7 AND doc_id > (SELECT min(doc_id) FROM documents)")
+def dq_06c(s, d):
+    """The same over whole texts."""
+    docs = t(s, d, "documents").select("doc_id", "text")
+    stored = idn.chain(docs, "text", "doc_id").withColumn("prev", F.when((F.col("doc_id") % 50 == 7) & (F.col("expected") != idn.GENESIS), F.sha2("expected", 256)).otherwise(F.col("expected"))).drop("expected")
+    return idn.broken_links(stored, "text", "doc_id", "prev").select("doc_id")
+
+
 @query("dq_06_root_verify", "SELECT 'same' AS recorded, true AS ok UNION ALL SELECT 'other content', false UNION ALL SELECT 'file gone', false")
 def dq_06b(s, d):
     files = t(s, d, "benchmark").select(F.format_string("item/%09d", "item_id").alias("path"), F.col("text").alias("content"))

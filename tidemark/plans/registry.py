@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans import census, dependents, history, integrity, panel, scoring  # noqa: F401
+from tidemark.plans import census, dependents, documented, history, integrity, panel, scoring  # noqa: F401
 from tidemark.plans.base import ORACLES, QUERIES
 
 

@@ -126,12 +126,12 @@ def cl_03(s, d):
 
 @query("wn_01_percentile", SCORES + " SELECT entity_id, cohort, momentum, percentile FROM scores")
 def wn_01(s, d):
-    return scores(s, d).select("entity_id", "cohort", "momentum", "percentile")
+    return scores(s, d, percentiles=True).select("entity_id", "cohort", "momentum", "percentile")
 
 
 @query("weekly_scores", SCORES + " SELECT entity_id, cohort, axis1_z, axis2_z, momentum, percentile, status, confidence FROM scores")
 def flagship(s, d):
-    return scores(s, d).select("entity_id", "cohort", "axis1_z", "axis2_z", "momentum", "percentile", "status", "confidence")
+    return scores(s, d, percentiles=True).select("entity_id", "cohort", "axis1_z", "axis2_z", "momentum", "percentile", "status", "confidence")
 
 
 COUNTS = "count(*) AS entities, count(*) FILTER (WHERE status = 'rising') AS rising, count(*) FILTER (WHERE status = 'watch') AS watch, count(*) FILTER (WHERE status = 'tracked'{}) AS tracked, {} count(*) FILTER (WHERE status = 'calibration') AS calibration, count(*) FILTER (WHERE axis2_status = 'present') AS axis2_present FROM scores"
