@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as sc
@@ -13,7 +15,9 @@ from tidemark.operators.asof import latest
 from tidemark.plans.base import SCORES, query, registry, scores, scratch, t
 from tidemark.plans.history import CUT, OBS, observations
 from tidemark.sources import readers, writers
+from tidemark.streaming import exactly_once as once
 from tidemark.streaming import observations as st
+from tidemark.streaming import timers
 
 DIGITS = sc.DIGITS32
 SHA = "sha256('org/' || c_name)"
@@ -645,11 +649,11 @@ def replay(s, d, name, build, mode="append"):
     rows = src.select(F.col("event_id").cast("string").alias("observation_id"), F.col("user_id").alias("entity_id"), F.col("ts").cast("timestamp").alias("captured_at"), "value", "event_type")
     got = build(rows)
 
-    def write(batch, epoch):
-        batch.write.mode("append").parquet(out)
-
-    got.writeStream.outputMode(mode).option("checkpointLocation", mark).trigger(availableNow=True).foreachBatch(write).start().awaitTermination()
-    return s.read.schema(got.schema).parquet(out)
+    ledger = once.BatchLedger(s, out)
+    sink = ledger.sink(lambda batch, _: {"rows": batch})
+    got.writeStream.outputMode(mode).option("checkpointLocation", mark).trigger(availableNow=True).foreachBatch(sink).start().awaitTermination()
+    names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in got.schema)
+    return ledger.read("rows", names).drop("batch")
 
 
 WEEK = "date_trunc('week', ts)::DATE"
@@ -693,16 +697,34 @@ def ss_04(s, d):
 
 @query("ss_04_retractions_stream", FLIPS)
 def ss_04b(s, d):
-    got = replay(s, d, "ss04", lambda x: st.retractions(with_flips(x)), "update")
+    with rocksdb(s):
+        got = replay(s, d, "ss04", lambda x: timers.standing_changes(with_flips(x)), "update")
     return got.groupBy("observation_id").agg(F.max_by("status", F.when(F.col("status") == "retracted", 1).otherwise(0)).alias("status"), F.max("value").alias("value")).where("status <> 'retracted'").select("observation_id", "value")
 
 
-def replay_parts(s, d, name, parts):
-    """A stream source over the events in parts of a given order, one part a micro-batch."""
-    src = scratch(s, name + "-in")
+@contextlib.contextmanager
+def rocksdb(s):
+    """The session's state store for the streams that are started inside."""
+    before = {k: s.conf.get(k, None) for k in timers.ROCKSDB}
+    for k, v in timers.ROCKSDB.items():
+        s.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            s.conf.set(k, v) if v else s.conf.unset(k)
+
+
+def replay_parts(s, d, name, parts, start):
+    """Let a stream run over the events as they arrive: each part is added to its source, and the stream is started again.
+
+    A part is one micro-batch of as many files as its writers made; all runs share a checkpoint.
+    """
+    src, mark = scratch(s, name + "-in"), scratch(s, name + "-state")
     for p in parts:
-        p.coalesce(1).write.mode("append").parquet(src)
-    return s.readStream.schema(t(s, d, "events").schema).option("maxFilesPerTrigger", 1).parquet(src)
+        p.write.mode("append").parquet(src)
+        rows = s.readStream.schema(t(s, d, "events").schema).parquet(src)
+        start(rows).option("checkpointLocation", mark).trigger(availableNow=True).start().awaitTermination()
 
 
 LATE = "event_id % 50 = 0 AND ts < TIMESTAMP '2024-01-15 00:00:00'"
@@ -712,12 +734,11 @@ LATE = "event_id % 50 = 0 AND ts < TIMESTAMP '2024-01-15 00:00:00'"
 def ss_05(s, d):
     """Every fiftieth row of the first two weeks arrives at the end: counted apart, it changes no view of its time."""
     e = t(s, d, "events")
-    src = replay_parts(s, d, "ss05", [e.where(f"NOT ({LATE})"), e.where(LATE)])
-    out, mark = scratch(s, "ss05"), scratch(s, "ss05-state")
-    keep = lambda kind: lambda b, _: b.select(F.lit(kind).alias("kind"), "event_id").write.mode("append").parquet(out)
-    sink = st.split_late(keep("on time"), keep("late"), scratch(s, "ss05-marks"), "ts")
-    src.writeStream.option("checkpointLocation", mark).trigger(availableNow=True).foreachBatch(sink).start().awaitTermination()
-    return s.read.schema("kind string, event_id long").parquet(out).groupBy("kind").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
+    ledger = once.BatchLedger(s, scratch(s, "ss05"))
+    sink = ledger.sink(once.split_late(scratch(s, "ss05-marks"), "ts"))
+    replay_parts(s, d, "ss05", [e.where(f"NOT ({LATE})"), e.where(LATE)], lambda rows: rows.select("event_id", "ts").writeStream.foreachBatch(sink))
+    got = ledger.read("rows", "event_id long").withColumn("kind", F.lit("on time")).unionByName(ledger.read("late", "event_id long").withColumn("kind", F.lit("late")))
+    return got.groupBy("kind").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
 
 
 @query("ss_05_view_at_cutoff", "SELECT count(*) AS n FROM events WHERE ts <= TIMESTAMP '2024-01-20 00:00:00'")
@@ -729,12 +750,11 @@ def ss_05b(s, d):
 def ss_06(s, d):
     """In append mode a day appears once, when the watermark has passed it; the newest days stay provisional and are not there."""
     e = t(s, d, "events")
-    src = replay_parts(s, d, "ss06", [e.where("ts < '2024-01-10'"), e.where("ts >= '2024-01-10' AND ts < '2024-01-20'"), e.where("ts >= '2024-01-20'")])
-    rows = src.select(F.col("user_id").alias("entity_id"), F.col("ts").cast("timestamp").alias("captured_at"))
-    out, mark = scratch(s, "ss06"), scratch(s, "ss06-state")
-    got = st.final_partitions(rows)
-    got.writeStream.outputMode("append").option("checkpointLocation", mark).trigger(availableNow=True).foreachBatch(lambda b, _: b.write.mode("append").parquet(out)).start().awaitTermination()
-    return s.read.schema(got.schema).parquet(out).select(F.date_format("day", "yyyy-MM-dd").alias("day"), "rows")
+    parts = [e.where("ts < '2024-01-10'"), e.where("ts >= '2024-01-10' AND ts < '2024-01-20'"), e.where("ts >= '2024-01-20'")]
+    ledger = once.BatchLedger(s, scratch(s, "ss06"))
+    final = lambda rows: st.final_partitions(rows.select(F.col("user_id").alias("entity_id"), F.col("ts").cast("timestamp").alias("captured_at")))
+    replay_parts(s, d, "ss06", parts, lambda rows: final(rows).writeStream.outputMode("append").foreachBatch(ledger.sink(lambda b, _: {"days": b})))
+    return ledger.read("days", "day date, rows long, entities long").select(F.date_format("day", "yyyy-MM-dd").alias("day"), "rows")
 
 
 @query("ss_06_provisional", "SELECT strftime(ts, '%Y-%m-%d') AS day, CASE WHEN ts::DATE = (SELECT max(ts::DATE) FROM events) THEN 'PROVISIONAL' ELSE 'FINAL' END AS state FROM events GROUP BY 1, 2")
@@ -758,6 +778,15 @@ def ss_07b(s, d):
     return got.select("entity_id", F.date_format("silent_since", "yyyy-MM-dd HH:mm:ss").alias("silent_since"), "rows")
 
 
+@query("ss_07_silence_timer", """WITH e AS (SELECT * FROM events WHERE user_id % 3 > 0 OR ts < TIMESTAMP '2024-01-20 00:00:00')
+ SELECT user_id AS entity_id, strftime(max(ts) + INTERVAL 2 DAY, '%Y-%m-%d %H:%M:%S') AS silent_since, count(*) AS rows FROM e GROUP BY 1 HAVING max(ts) + INTERVAL 2 DAY <= (SELECT max(ts) FROM e) - INTERVAL 1 DAY""")
+def ss_07c(s, d):
+    """A third of the entities stops on a day; a timer of each reports it while the others go on."""
+    with rocksdb(s):
+        got = replay(s, d, "ss07t", lambda x: timers.silent_entities(x.where("entity_id % 3 > 0 OR captured_at < '2024-01-20'"), 2))
+    return got.select("entity_id", F.date_format("silent_since", "yyyy-MM-dd HH:mm:ss").alias("silent_since"), "rows")
+
+
 SOUND = "event_type <> 'error' AND event_id % 2 = 0"
 
 
@@ -767,12 +796,39 @@ def ss_08(s, d):
     from pyspark.errors import StreamingQueryException
 
     e = t(s, d, "events")
-    src = replay_parts(s, d, "ss08", [e.where(SOUND), e.where("event_type = 'error'"), e.where("event_type <> 'error' AND event_id % 2 = 1")])
-    out, mark = scratch(s, "ss08"), scratch(s, "ss08-state")
-    sink = st.refusing_sink(lambda b, _: b.select("event_id").write.mode("append").parquet(out), F.col("event_type") == "error", 0.5)
-    refused = False
+    ledger, refused = once.BatchLedger(s, scratch(s, "ss08")), False
+    sink = ledger.sink(once.refusing(lambda b, _: {"rows": b.select("event_id")}, F.col("event_type") == "error", 0.5))
     try:
-        src.writeStream.option("checkpointLocation", mark).trigger(availableNow=True).foreachBatch(sink).start().awaitTermination()
-    except StreamingQueryException as e:
-        refused = "refused" in str(e)
-    return s.read.schema("event_id long").parquet(out).agg(F.count("*").alias("n"), F.lit(refused).alias("refused"))
+        replay_parts(s, d, "ss08", [e.where(SOUND), e.where("event_type = 'error'"), e.where("event_type <> 'error' AND event_id % 2 = 1")], lambda rows: rows.writeStream.foreachBatch(sink))
+    except StreamingQueryException as x:
+        refused = "refused" in str(x)
+    return ledger.read("rows", "event_id long").agg(F.count("*").alias("n"), F.lit(refused).alias("refused"))
+
+
+@query("ss_08_exactly_once", "SELECT event_id, count(*) AS n FROM events GROUP BY 1")
+def ss_08b(s, d):
+    """The stream dies twice and is started again: once after a batch was written but not entered, once after it was entered."""
+    from pyspark.errors import StreamingQueryException
+
+    e = t(s, d, "events")
+    parts = [e.where(f"event_id % 3 = {k}") for k in range(3)]
+    ledger, died = once.BatchLedger(s, scratch(s, "once")), set()
+
+    def dies(at):
+        def run(epoch):
+            if (epoch, at) in {(1, "before"), (2, "after")} - died:
+                died.add((epoch, at))
+                raise RuntimeError("the driver is gone")
+
+        return run
+
+    sink = ledger.sink(lambda b, _: {"rows": b.select("event_id")}, dies("before"), dies("after"))
+    src, mark = scratch(s, "once-in"), scratch(s, "once-state")
+    for p in parts:
+        p.write.mode("append").parquet(src)
+        for _ in range(2):
+            with contextlib.suppress(StreamingQueryException):
+                s.readStream.schema(e.schema).parquet(src).writeStream.option("checkpointLocation", mark).trigger(availableNow=True).foreachBatch(sink).start().awaitTermination()
+    if len(died) != 2:
+        raise AssertionError("the stream did not die where it should")
+    return ledger.read("rows", "event_id long").groupBy("event_id").agg(F.count("*").alias("n"))

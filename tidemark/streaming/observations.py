@@ -1,12 +1,10 @@
-"""The observation log as streams: weekly periods, last capture wins, duplicates, retractions, finality, staleness, refusal.
+"""The observation log as streams: weekly periods, last capture wins, duplicates, finality, staleness.
 
 Every function takes a streaming (or batch) DataFrame with an event-time column and returns one; the caller starts the query.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,54 +35,6 @@ def standing(df: DataFrame) -> DataFrame:
     return got.where("status <> 'retracted'")
 
 
-def retractions(df: DataFrame, time: str = "captured_at", late: str = "1 day", keep_days: int = 366) -> DataFrame:
-    """Stream form of :func:`standing`: emits (observation_id, status, value) whenever an observation's status changes.
-
-    An observation's state is dropped once the watermark is ``keep_days`` beyond its last row; a retraction later than that
-    finds no observation and is emitted with a null value.
-    """
-    import pandas as pd
-
-    def run(key, frames: Iterator[pd.DataFrame], state):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        value, status, at = state.get if state.exists else (None, None, 0)
-        before = status
-        rows = pd.concat(list(frames)).sort_values([time, "supersedes"], na_position="first")
-        first = rows[rows["supersedes"].isna()]
-        value = float(first["value"].iloc[-1]) if len(first) else value
-        when = int(rows[time].iloc[-1].value // 1_000_000)
-        if when >= at:
-            status, at = rows["status"].iloc[-1], when
-        state.update((value, status, at))
-        state.setTimeoutTimestamp(max(at, state.getCurrentWatermarkMs()) + keep_days * 86_400_000)
-        if status != before:
-            yield pd.DataFrame({"observation_id": [key[0]], "status": [status], "value": [value]})
-
-    rows = df.withWatermark(time, late).withColumn("_id", F.coalesce("supersedes", "observation_id"))
-    return rows.groupBy("_id").applyInPandasWithState(run, "observation_id string, status string, value double", "value double, status string, at long", "update", "EventTimeTimeout")
-
-
-def split_late(write: Callable[[DataFrame, int], None], write_late: Callable[[DataFrame, int], None], marks: str, time: str = "captured_at", late_seconds: int = 86_400) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function that keeps late rows apart: those more than ``late_seconds`` behind the newest row of earlier batches.
-
-    Each batch's newest time is stored under ``marks`` by its number, so a batch that runs again after a failure is judged as
-    before.
-    """
-
-    def run(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        spark.createDataFrame([], "epoch long, newest timestamp").write.mode("append").parquet(marks)
-        seen = spark.read.schema("epoch long, newest timestamp").parquet(marks).where(F.col("epoch") < epoch).agg(F.max("newest").alias("newest"))
-        judged = batch.join(F.broadcast(seen)).withColumn("_late", F.coalesce(F.col(time) < F.col("newest") - F.make_dt_interval(secs=F.lit(late_seconds)), F.lit(False))).drop("newest")
-        write(judged.where("NOT _late").drop("_late"), epoch)
-        write_late(judged.where("_late").drop("_late"), epoch)
-        batch.agg(F.lit(epoch).cast("long").alias("epoch"), F.max(time).cast("timestamp").alias("newest")).write.mode("append").parquet(marks)
-
-    return run
-
-
 def final_partitions(df: DataFrame, time: str = "captured_at", late: str = "1 day") -> DataFrame:
     """Daily partitions with their counts; in append mode one appears only when the watermark has passed it, that is once it has a successor."""
     src = df.withWatermark(time, late) if df.isStreaming else df
@@ -106,15 +56,3 @@ def silent_sessions(df: DataFrame, keys: list[str], gap: str, time: str = "captu
 def visible_at(df: DataFrame, cutoff, time: str = "captured_at") -> DataFrame:
     """Rows that an older view may show: later captures never change it."""
     return df.where(F.col(time) <= F.to_timestamp(F.lit(cutoff)))
-
-
-def refusing_sink(write: Callable[[DataFrame, int], None], failed, limit: float = 0.20) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function that refuses a batch with too many failed rows and passes others to ``write``."""
-
-    def run(batch: DataFrame, epoch: int) -> None:
-        rate = batch.agg(F.avg(failed.cast("double"))).first()[0]
-        if rate is not None and rate > limit:
-            raise ValueError(f"batch {epoch} refused: {rate:.0%} of its rows failed")
-        write(batch, epoch)
-
-    return run
