@@ -6,10 +6,10 @@ weights give all shorter counts without counting them in the text again: what fl
 end there is the node's own count, and so on down to two words. A phrase whose whole count flows on through one edge
 (a unary path) is compacted into the longer phrase.
 
-No phrase is more frequent than a part of it, so a piece is cut where a word, or two neighbours, cannot reach
-``min_count``. Which ones can is told by bitmaps of fixed size (``BITS``), broadcast whatever the corpus' size: a false yes
-costs work and changes nothing, as every count that is returned comes from the summed weights or the word counts, keyed
-by the words themselves.
+No phrase is more frequent than a part of it, so a piece is cut where a word, two neighbours or three cannot reach
+``min_count``. Which ones can is told by bitmaps of fixed size (``BITS``), broadcast whatever the corpus' size; pairs and
+triples are counted by hashes of ``HASH_BITS`` bits for that. A false yes costs work and changes nothing, as every count
+that is returned comes from the summed weights or the word counts, keyed by the words themselves.
 
 Words are what lies between spaces and tabs of a piece, pieces between ``.,;:!?`` and line breaks (0A-0D); A-Z are
 lower-cased. Everything is counted by lang.
@@ -33,6 +33,7 @@ from tidemark.llm.common import materialize
 
 ORDER = 5  # words of an edge
 BITS = 1 << 25  # of a bitmap: 4 MB
+HASH_BITS = 40  # of the hashes under which pairs and triples are counted: a count is never too small
 SLICE = 256  # rows whose texts a task holds as Python bytes at a time
 CHUNK = 1 << 20  # bytes of text cut into words at a time
 WORDS = 500_000  # distinct words a task holds before it sends them on
@@ -113,7 +114,7 @@ def _pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     x = a * np.uint64(0x9E3779B97F4A7C15) + (b ^ (b >> np.uint64(29))) * np.uint64(0xC2B2AE3D27D4EB4F)
     x ^= x >> np.uint64(32)
     x *= np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(31))
+    return (x ^ (x >> np.uint64(31))) & np.uint64((1 << HASH_BITS) - 1)
 
 
 class _Codes(dict):
@@ -163,28 +164,39 @@ class _Vocabulary:
         found = np.concatenate([*out, np.zeros(1, np.int32)])
         return found[found >= 0]
 
-    def pairs(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(where two neighbours are both words, hashes of those pairs)."""
-        both = np.flatnonzero((codes[:-1] > 0) & (codes[1:] > 0))
-        h = np.array(self.hashes, np.uint64)
-        return both, _pair_hash(h[codes[both]], h[codes[both + 1]])
+    def grams(self, codes: np.ndarray, *often: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per gram of two words, and of one word more for each bitmap: (where it stands, its hash).
 
+        A longer gram stands where the bitmap of its length less one has both of its parts.
+        """
+        at, h = np.flatnonzero((codes[:-1] > 0) & (codes[1:] > 0)), np.array(self.hashes, np.uint64)
+        found = [(at, _pair_hash(h[codes[at]], h[codes[at + 1]]))]
+        for n, bits in enumerate(often, 2):
+            ok = np.zeros(len(codes) + 1, bool)
+            yes = _among(bits, found[-1][1])
+            ok[at[yes]] = True
+            both = yes & ok[at + 1]
+            found.append((at[both], _pair_hash(found[-1][1][both], h[codes[at[both] + n]])))
+            at = found[-1][0]
+        return found
 
-def pair_counts(docs: DataFrame, words: np.ndarray) -> DataFrame:
-    """(h, f): how often pairs of maybe frequent words occur, by the pair's hash."""
-    shared = docs.sparkSession.sparkContext.broadcast(words)
+
+def gram_counts(docs: DataFrame, words: np.ndarray, *often: np.ndarray) -> DataFrame:
+    """(h, f): how often pairs of maybe frequent words occur, by the pair's hash; with the bitmap of pairs, triples."""
+    shared = docs.sparkSession.sparkContext.broadcast((words, *often))
 
     def run(batches):
         import pyarrow as pa
 
-        vocabulary, held, n = _Vocabulary(shared.value), [], 0
+        words, *often = shared.value
+        vocabulary, held, n = _Vocabulary(words), [], 0
 
         def send():
             h, c = np.unique(np.concatenate(held), return_counts=True)
             return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c.astype(np.int64))], ["h", "f"])
 
         for lang, blob in _texts(batches):
-            found = vocabulary.pairs(vocabulary.read(lang, blob))[1]
+            found = vocabulary.grams(vocabulary.read(lang, blob), *often)[-1][1]
             held.append(found)
             n += len(found)
             if n > GRAMS:
@@ -198,19 +210,19 @@ def pair_counts(docs: DataFrame, words: np.ndarray) -> DataFrame:
     return _read(docs).mapInArrow(run, "h long, f long").groupBy("h").agg(F.sum("f").alias("f"))
 
 
-def edges(docs: DataFrame, words: np.ndarray, pairs: np.ndarray) -> DataFrame:
+def edges(docs: DataFrame, words: np.ndarray, pairs: np.ndarray, triples: np.ndarray) -> DataFrame:
     """(lang, w1 .. w5, f): summed weights of the longest gram at every word; of two words at least, null behind its end.
 
     A row with ``w5`` is an edge; the others are the piece-end corrections.
     """
-    sc = docs.sparkSession.sparkContext
-    shared, shared_pairs = sc.broadcast(words), sc.broadcast(pairs)
+    shared = docs.sparkSession.sparkContext.broadcast((words, pairs, triples))
     names = [f"w{i}" for i in range(1, ORDER + 1)]
 
     def run(batches):
         import pyarrow as pa
 
-        vocabulary, held, n = _Vocabulary(shared.value), [], 0
+        words, pairs, triples = shared.value
+        vocabulary, held, n = _Vocabulary(words), [], 0
 
         def send():
             keys = [np.concatenate([x[i] for x in held]) for i in range(3)]  # two words each, the last one
@@ -231,14 +243,14 @@ def edges(docs: DataFrame, words: np.ndarray, pairs: np.ndarray) -> DataFrame:
 
         for lang, blob in _texts(batches):
             codes = vocabulary.read(lang, blob)
-            both, h = vocabulary.pairs(codes)
-            runs = np.zeros(len(codes) + ORDER, bool)
-            runs[both[_among(shared_pairs.value, h)]] = True
-            at = np.flatnonzero(runs)
+            (two, h2), (three, h3) = vocabulary.grams(codes, pairs)
+            at = two[_among(pairs, h2)]
+            runs = np.zeros(len(codes) + ORDER, bool)  # where three words go on
+            runs[three[_among(triples, h3)]] = True
             wide = np.concatenate([codes, np.zeros(ORDER, np.int32)]).astype(np.int64)
-            gram, on = [wide[at]], np.ones(len(at), bool)
-            for i in range(1, ORDER):
-                on = on & runs[at + i - 1]
+            gram, on = [wide[at], wide[at + 1]], np.ones(len(at), bool)
+            for i in range(2, ORDER):
+                on = on & runs[at + i - 2]
                 gram.append(np.where(on, wide[at + i], 0))
             held.append((gram[0] << 32 | gram[1], gram[2] << 32 | gram[3], gram[4]))
             n += len(at)
@@ -276,8 +288,10 @@ def collocations(docs: DataFrame, min_count: int = 100, top: int = 2000) -> Data
     words = materialize(word_counts(docs), "words")
     frequent = words.where(F.col("f") >= min_count)
     in_words = bitmap(frequent.select(F.xxhash64("lang", "word").alias("h")))
-    in_pairs = bitmap(pair_counts(docs, in_words).where(F.col("f") >= min_count).select("h"))
-    graph = materialize(edges(docs, in_words, in_pairs), "edges")
+    often = lambda grams: bitmap(grams.where(F.col("f") >= min_count).select("h"))
+    in_pairs = often(gram_counts(docs, in_words))
+    in_triples = often(gram_counts(docs, in_words, in_pairs))
+    graph = materialize(edges(docs, in_words, in_pairs, in_triples), "edges")
     counts = materialize(phrase_counts(graph, min_count).union(frequent.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("k"), "f")), "counts")
     phrases = counts.where("k > 1")
     # unary paths: all occurrences go on through one longer phrase
