@@ -17,16 +17,6 @@ def fingerprint64(c: Column | str) -> Column:
     return F.conv(F.substring(F.sha2(c.cast("string"), 256), 1, 15), 16, 10).cast("long")
 
 
-def partition_at(facts: DataFrame, snapshot) -> DataFrame:
-    """One snapshot's rows: a literal predicate, pruned at the scan."""
-    return facts.where(F.col("snapshot") == F.lit(snapshot))
-
-
-def newest_partitions(facts: DataFrame, before, n: int) -> DataFrame:
-    """The newest ``n`` distinct snapshots before a moment."""
-    return facts.select("snapshot").where(F.col("snapshot") < F.lit(before)).distinct().orderBy(F.desc("snapshot")).limit(n)
-
-
 def on_panel(facts: DataFrame, panel: DataFrame) -> DataFrame:
     """Facts of panel packages with their entity; the join strategy is left to the sizes."""
     return facts.join(panel, "package")

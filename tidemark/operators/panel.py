@@ -7,9 +7,11 @@ from __future__ import annotations
 
 import math
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions import slopes
 from tidemark.functions.stats import residualize, robust_z
 
 FLOOR, Z_FLOOR, MIN_POINTS, CANARY_FLOOR = 5, 1.0, 14, 0.8
@@ -101,10 +103,14 @@ def verdicts(panel: DataFrame, move_bound: float, share_bound: float, least_cove
 
 
 def theil_sen(points: DataFrame, keys: list[str], pos: str = "i", value: str = "y", out: str = "theil_sen") -> DataFrame:
-    """Median of all pairwise slopes; a series' points are few by its length, so the pairs are a bounded self join."""
-    a, b = points.select(*keys, F.col(pos).alias("_i"), F.col(value).alias("_a")), points.select(*keys, F.col(pos).alias("_j"), F.col(value).alias("_b"))
-    pairs = a.join(b, keys).where("_i < _j")
-    return pairs.groupBy(*keys).agg(F.median((F.col("_b") - F.col("_a")) / (F.col("_j") - F.col("_i"))).alias(out))
+    """Median of all pairwise slopes of each series of two points or more (distinct positions), from one array a series."""
+    series = points.where(F.col(pos).isNotNull() & F.col(value).isNotNull()).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(pos).cast("double").alias("x"), F.col(value).cast("double").alias("y")))).alias("_p"))
+
+    @F.pandas_udf("double")
+    def slope(xs: pd.Series, ys: pd.Series) -> pd.Series:
+        return pd.Series([slopes.median_slope(x, y) for x, y in zip(xs, ys, strict=True)], dtype="float64")
+
+    return series.where(F.size("_p") > 1).select(*keys, slope(F.col("_p.x"), F.col("_p.y")).alias(out))
 
 
 def leave_one_out_flips(points: DataFrame, keys: list[str], pos: str = "i", value: str = "y") -> DataFrame:

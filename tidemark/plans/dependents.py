@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.stats import r
 from tidemark.operators import dependents as dp
-from tidemark.plans.base import query, t
+from tidemark.operators import sketches
+from tidemark.plans.base import query, scratch, t
+from tidemark.sources import facts as store
 
 AT, CUT = "1998-06-01", "2000-01-01"
 FACTS = """facts AS (SELECT date_trunc('month', o_orderdate)::DATE AS snapshot, l_partkey AS package, o_custkey AS dependent, c_mktsegment AS dep_system, l_linenumber = 1 AS direct
@@ -32,14 +34,35 @@ def rows(s, d):
     return dp.on_panel(facts(s, d), panel(s, d))
 
 
+FACT_SCHEMA = "system string, package long, dependent struct<system:string,id:long>, depth int, snapshot date"
+
+
+def fact_store(s, d):
+    """The facts of all months, written once by snapshot with the dependent as a struct."""
+    path = scratch(s, "facts")
+    store.write_facts(facts(s, d).select(F.lit("own").alias("system"), "package", F.struct(F.col("dep_system").alias("system"), F.col("dependent").alias("id")).alias("dependent"), F.when(F.col("direct"), 1).otherwise(2).alias("depth"), "snapshot"), path)
+    return path
+
+
 @query("sc_09_day_partition_scan", f"WITH {FACTS} SELECT dep_system, count(*) AS n FROM facts WHERE snapshot = DATE '{AT}' GROUP BY 1")
 def sc_09(s, d):
-    return dp.partition_at(facts(s, d), AT).groupBy("dep_system").agg(F.count("*").alias("n"))
+    rows = store.read_facts(s, fact_store(s, d), FACT_SCHEMA)
+    return store.at(rows, [AT]).groupBy(F.col("dependent.system").alias("dep_system")).agg(F.count("*").alias("n"))
+
+
+@query("sc_09_calendar_scan", f"WITH {FACTS} SELECT snapshot, package, count(DISTINCT dependent) FILTER (WHERE direct) AS direct_dependents, count(DISTINCT dependent) AS all_dependents FROM facts WHERE month(snapshot) = 3 AND snapshot < DATE '{CUT}' GROUP BY 1, 2")
+def sc_09b(s, d):
+    """The calendar's quarter-end months choose the partitions at run time."""
+    path = fact_store(s, d)
+    months = s.createDataFrame([(x,) for x in store.partitions(s, path)], "day string").select(F.col("day").cast("date").alias("snapshot")).where(f"month(snapshot) = 3 AND snapshot < DATE '{CUT}'")
+    rows = store.of_calendar(store.read_facts(s, path, FACT_SCHEMA), months)
+    once = rows.groupBy("snapshot", "package", F.col("dependent.id").alias("dependent")).agg(F.min("depth").alias("depth"))
+    return once.groupBy("snapshot", "package").agg(F.count_if(F.col("depth") == 1).alias("direct_dependents"), F.count("dependent").alias("all_dependents"))
 
 
 @query("sc_10_partition_listing", f"WITH {FACTS} SELECT DISTINCT snapshot FROM facts WHERE snapshot < DATE '{CUT}' ORDER BY 1 DESC LIMIT 5")
 def sc_10(s, d):
-    return dp.newest_partitions(facts(s, d), CUT, 5)
+    return s.createDataFrame([(x,) for x in store.newest(s, fact_store(s, d), CUT, 5)], "day string").select(F.col("day").cast("date").alias("snapshot"))
 
 
 @query("sc_11_narrow_slice", "SELECT p_partkey, lower(p_name) AS name FROM part WHERE lower(p_brand) IN ('brand#11', 'brand#12')")
@@ -98,6 +121,30 @@ def ag_09b(s, d):
     return dp.heavy_hitters_approx(rows(s, d), "entity", "dep_system", 3).select("entity", F.array_join(F.reverse(F.array_sort(F.transform("top", lambda x: x["count"].cast("long")))).cast("array<string>"), ",").alias("counts"))
 
 
+@query("ag_07_merged_sketches", f"WITH {FACTS} SELECT entity, array_to_string(list(fp ORDER BY fp), ',') AS sketch FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY fp) AS rn FROM (SELECT DISTINCT entity, {FP} AS fp FROM rows WHERE snapshot >= DATE '{AT}')) WHERE rn <= 64 GROUP BY 1")
+def ag_07b(s, d):
+    """States of the months up to a year, then of the later ones, each month's rows read once; merged over the months since a day."""
+    path, every = scratch(s, "bottoms"), rows(s, d)
+    for part in (every.where(F.col("snapshot") < CUT), every):
+        sketches.refresh(part, path, "snapshot", lambda x: sketches.bottoms(x, ["snapshot", "entity"], "dependent"))
+    states = s.read.schema("entity string, fp long, snapshot date").parquet(path).where(F.col("snapshot") >= AT)
+    return sketches.merged_bottoms(states, ["entity"]).select("entity", F.concat_ws(",", F.col("sketch").cast("array<string>")).alias("sketch"))
+
+
+@query("ag_09_merged_hitters", f"""WITH {FACTS}, v AS (SELECT entity, CASE WHEN package % 2 = 0 THEN dependent % 3 ELSE dependent END AS value FROM rows)
+ SELECT entity, count(*) AS rows, (SELECT count(*) FROM (SELECT value FROM v w WHERE w.entity = v.entity GROUP BY 1 HAVING count(*) > 2 * 3.5 / 64 * (SELECT count(*) FROM v u WHERE u.entity = v.entity))) AS heavy, true AS within FROM v GROUP BY 1""")
+def ag_09c(s, d):
+    """Many more values than places: every estimate is within the stated error, and no value above twice the error is missed."""
+    path = scratch(s, "hitters")
+    value = F.when(F.col("package") % 2 == 0, F.col("dependent") % 3).otherwise(F.col("dependent"))
+    x = rows(s, d).select("snapshot", "entity", value.alias("value"))
+    sketches.add_states(sketches.hitter_states(x, ["snapshot", "entity"], "value", 64), path, "snapshot")
+    top = sketches.merged_hitters(s.read.parquet(path), ["entity"], 48, 64)
+    true = x.groupBy("entity", "value").agg(F.count("*").alias("true"))
+    j = top.join(true, ["entity", "value"])
+    return j.groupBy("entity", "rows").agg(F.count_if(F.col("true") > 2 * F.col("error")).alias("heavy"), F.bool_and(F.abs(F.col("n") - F.col("true")) <= F.col("error")).alias("within"))
+
+
 @query("ag_10_any_value", f"WITH {FACTS} SELECT package, min(entity) AS entity, strftime(min(snapshot), '%Y-%m-%d') AS first_seen FROM rows GROUP BY 1")
 def ag_10(s, d):
     """A package belongs to one entity, so any of its rows tells which."""
@@ -116,7 +163,7 @@ def ag_12(s, d):
 
 @query("jn_02_coverage", f"WITH {FACTS}, w AS (SELECT entity, count(DISTINCT dependent) AS n FROM rows WHERE snapshot = DATE '{AT}' GROUP BY 1) SELECT DISTINCT p.entity, n AS all_dependents, CASE WHEN n IS NULL THEN 'not_in_snapshot' ELSE 'matched' END AS coverage FROM panel p LEFT JOIN w USING (entity)")
 def jn_02(s, d):
-    got = dp.coverage(panel(s, d), dp.distinct_counts(dp.partition_at(rows(s, d), AT)))
+    got = dp.coverage(panel(s, d), dp.distinct_counts(rows(s, d).where(F.col("snapshot") == F.lit(AT))))
     return got.select("entity", "all_dependents", "coverage")
 
 

@@ -14,7 +14,8 @@ from tidemark.operators import quality as ql
 from tidemark.operators.asof import latest
 from tidemark.plans.base import SCORES, query, registry, scores, scratch, t
 from tidemark.plans.history import CUT, OBS, observations
-from tidemark.sources import readers, writers
+from tidemark.sources import bundles, readers, writers
+from tidemark.sources.scratch import discard, stored
 from tidemark.streaming import exactly_once as once
 from tidemark.streaming import observations as st
 from tidemark.streaming import timers
@@ -581,11 +582,35 @@ def sc_14(s, d):
     return readers.newest(observations(s, d), "period").select("event_id")
 
 
-@query("sc_14_newest_set", f"WITH {OBS}, p AS (SELECT period, count(*) AS n FROM obs GROUP BY 1) SELECT event_id FROM obs WHERE period = (SELECT max(period) FROM p)")
+@query("sc_14_newest_set", f"WITH {OBS} SELECT event_id FROM obs WHERE period = (SELECT DISTINCT period FROM obs ORDER BY 1 DESC LIMIT 1 OFFSET 3)")
 def sc_14b(s, d):
-    """The newest set, read after its digest has been found equal to the recorded one."""
-    o = observations(s, d).select("period", "event_id")
-    return readers.newest_verified(o, "period", idn.table_digest(o, ["period"], ["event_id"]), ["event_id"]).select("event_id")
+    """Of the newest four sets one is tampered with, one has lost a part, and one was never finished: the fourth is read."""
+    o, root = observations(s, d).select("period", "event_id"), scratch(s, "sets")
+    fourth, third, second, first = sorted(r["period"] for r in o.select("period").distinct().collect())[-4:]
+    whole = lambda period: {"ids": o.where(F.col("period") == period).select("event_id"), "size": o.where(F.col("period") == period).groupBy("period").count()}
+    for period in (fourth, third, second):
+        name = bundles.publish(s, root, period, whole(period), {"period": period})
+        if period == third:
+            # the same number of rows and files under other contents
+            changed = s.read.parquet(f"{root}/sets/{name}/ids").withColumn("event_id", F.col("event_id") + 1)
+            other = bundles.write_set(s, root, {"ids": changed, "size": whole(period)["size"]}, {"period": period})
+            discard(s, f"{root}/sets/{name}/manifest")
+            move(s, f"{root}/sets/{name}/ids", f"{root}/sets/{name}/was")
+            move(s, f"{root}/sets/{other}/ids", f"{root}/sets/{name}/ids")
+            listed = s.read.schema(bundles.MANIFEST).json(f"{root}/sets/{other}/manifest")
+            true = idn.table_digest(s.read.parquet(f"{root}/sets/{name}/was")).select(F.col("digest").alias("true"))
+            listed.join(F.broadcast(true)).withColumn("digest", F.when(F.col("part") == "ids", F.col("true")).otherwise(F.col("digest"))).drop("true").coalesce(1).write.json(f"{root}/sets/{name}/manifest")
+        if period == second:
+            discard(s, f"{root}/sets/{name}/size")
+    bundles.write_set(s, root, whole(first), {"period": first})
+    day, at = bundles.newest_complete(s, root, ["ids", "size"])
+    return s.read.schema("event_id long").parquet(f"{at}/ids")
+
+
+def move(s, a, b):
+    p, q = (s._jvm.org.apache.hadoop.fs.Path(x) for x in (a, b))
+    if not p.getFileSystem(s._jsc.hadoopConfiguration()).rename(p, q):
+        raise OSError(f"{a} was not moved")
 
 
 @query("sc_15_backfill_read", f"WITH r AS ({RECON}) SELECT entity_id, period, value FROM r")
@@ -593,11 +618,19 @@ def sc_15(s, d):
     return readers.reconstructed(pf_17(s, d).withColumn("signal", F.lit("weekly")), "weekly")
 
 
-@query("sk_01_snapshot_bundle", SCORES + " SELECT entity_id, status FROM scores")
+@query("sk_01_snapshot_bundle", SCORES + """, j AS (SELECT 'entities' AS part, entity_id::VARCHAR || ' ' || status AS line FROM scores UNION ALL SELECT 'counts', status || ' ' || count(*) FROM scores GROUP BY status)
+ SELECT * FROM j UNION ALL SELECT 'provenance', 'day 2001-11-30' UNION ALL SELECT 'provenance', 'methodology m1' UNION ALL SELECT 'manifest', part || ' ' || count(*) FROM j GROUP BY part""")
 def sk_01(s, d):
-    path = scratch(s, "bundle")
-    writers.snapshot_bundle(scores(s, d).select("entity_id", "status"), path, "2001-11-30")
-    return s.read.parquet(f"{path}/snapshots").select("entity_id", "status")
+    """Entities and counts of a snapshot as one set, read back with its manifest and provenance."""
+    root = scratch(s, "bundle")
+    e = stored(scores(s, d).select("entity_id", "status"), "scores")
+    bundles.publish(s, root, "2001-11-30", {"entities": e, "counts": e.groupBy("status").agg(F.count("*").alias("n"))}, {"day": "2001-11-30", "methodology": "m1"})
+    _, at = bundles.newest_complete(s, root, ["entities", "counts"])
+    line = lambda rows, part, *c: rows.select(F.lit(part).alias("part"), F.concat_ws(" ", *c).alias("line"))
+    out = line(s.read.schema("entity_id long, status string").parquet(f"{at}/entities"), "entities", "entity_id", "status")
+    out = out.unionByName(line(s.read.schema("status string, n long").parquet(f"{at}/counts"), "counts", "status", "n"))
+    out = out.unionByName(line(s.read.schema("key string, value string").json(f"{at}/provenance"), "provenance", "key", "value"))
+    return out.unionByName(line(s.read.schema(bundles.MANIFEST).json(f"{at}/manifest"), "manifest", "part", "rows"))
 
 
 @query("sk_02_append_history", f"WITH {OBS} SELECT event_id, period FROM obs")

@@ -86,17 +86,6 @@ def newest(rows: DataFrame, partition: str) -> DataFrame:
     return rows.join(F.broadcast(top), F.col(partition) == F.col("_t")).drop("_t")
 
 
-def newest_verified(rows: DataFrame, partition: str, recorded: DataFrame, columns: list[str]) -> DataFrame:
-    """The newest partition's rows, if their digest is the one that ``recorded(partition, digest)`` holds; else reading raises."""
-    from tidemark.operators.identity import table_digest
-
-    got = newest(rows, partition)
-    found = table_digest(got.select(*columns)).select(F.col("digest").alias("_found"))
-    held = newest(recorded, partition).select(F.col("digest").alias("_held"))
-    same = F.when(F.col("_found").eqNullSafe(F.col("_held")), F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("the newest set is not the recorded one: "), F.coalesce("_found", F.lit("none")))).cast("boolean"))
-    return got.join(F.broadcast(found)).join(F.broadcast(held)).where(same).drop("_found", "_held")
-
-
 def reconstructed(rows: DataFrame, signal: str) -> DataFrame:
     """Reconstructed points of one signal, never mixed with captured ones."""
     return rows.where(F.col("reconstructable") & (F.col("signal") == signal)).select("entity_id", "period", "value")

@@ -1,17 +1,11 @@
-"""Writers: snapshot bundles, append-only ledgers, idempotent and verified writes, flat projections."""
+"""Writers: append-only ledgers, idempotent and verified writes, flat projections."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.identity import same_table, table_digest
-
-
-def snapshot_bundle(rows: DataFrame, path: str, day: str) -> None:
-    """Rows of a day under its partition, and a manifest row with their digest and number."""
-    rows.withColumn("snapshot_date", F.lit(day)).write.mode("append").partitionBy("snapshot_date").parquet(f"{path}/snapshots")
-    table_digest(rows).withColumn("snapshot_date", F.lit(day)).coalesce(1).write.mode("append").json(f"{path}/manifest")
+from tidemark.operators.identity import same_table
 
 
 def append_history(rows: DataFrame, path: str, partition: str = "period") -> None:
@@ -48,6 +42,7 @@ def flat_csv(rows: DataFrame, path: str) -> None:
 
 
 def feed_json(items: DataFrame, path: str) -> None:
+    """A feed's items as JSON lines, spread by id."""
     items.write.mode("overwrite").json(path)
 
 
