@@ -42,6 +42,15 @@ def test_scores_of_awkward_rows(spark, module):
     assert not module.score_documents(empty(spark).drop("score"), module.fit(empty(spark), labels(spark))).count()
 
 
+@pytest.mark.parametrize("mark", list("1@$*!#"))
+def test_masked_words_depend_on_no_other_character(mark):
+    lexicon = toxicity.Lexicon({"idiot": 2.0})
+    at = toxicity.N_FEATURES - 5  # the rate of masked words
+    plain, more = (toxicity.features(t, lexicon) for t in (f"you id{mark}ot", f"you id{mark}ot 5"))
+    assert plain[at] == more[at] == pytest.approx(1 / 3)
+    assert toxicity.features("you idiot", lexicon)[at] == 0
+
+
 def test_labels_of_the_held_out_fold_are_not_read(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     given = spark.read.parquet(f"{SF}/labels.parquet")
@@ -95,7 +104,7 @@ def test_marginals_on_unseen_layouts(model):
 
 def test_messages_equal_enumeration(model):
     nodes, _ = html_extract.parse("<body><div class=ad><p>x</p></div><article><p>long text here</p><a href=x>y</a></article></body>")
-    feats = [html_extract.active(n, {}) for n in nodes]
+    feats = html_extract.features(nodes, {})
     n = len(nodes)
     mass = np.zeros(n)
     total = 0.0
@@ -145,6 +154,22 @@ def test_nothing_inside_an_article_is_dropped(model):
     assert model.text("<html><body><article><p>Short note.</p></article></body></html>") == "Short note."
 
 
+LINKS = "<ul><li><a href=/a>First document about harbours</a></li><li><a href=/b>Second report</a></li></ul>"
+
+
+@pytest.mark.parametrize(("page", "want"), [
+    (f"<article><p>{SAID[0]}</p>{LINKS}<p>{SAID[1]}</p></article>", f"{SAID[0]} First document about harbours Second report {SAID[1]}"),
+    (f"<html><body>{MENU}<article><h1>Index of things</h1>{LINKS}</article>{FOOT}</body></html>", "Index of things First document about harbours Second report"),
+    (f"<form><select><option>a</form><article>{PS}</article>", " ".join(SAID)),
+    (f"<html><body>{MENU}<article>{PS}</article><form><select><option>a<option>b</select></form></body></html>", " ".join(SAID)),
+    (f"<article><p>{SAID[0]}</p><canvas>Fallback words</canvas><noscript><p>Also said.</p></noscript></article>", f"{SAID[0]} Fallback words Also said."),
+    (f"<body><noscript>Please enable JavaScript</noscript><article>{PS}</article></body>", " ".join(SAID)), ("<div>two words</div>", "two words"), ("<html><body><div>two words</div></body></html>", "two words"),
+    (f"<nav>{LINKS}</nav><article>{PS}</article>", " ".join(SAID)),
+])
+def test_lists_of_links_selects_and_few_words(model, page, want):
+    assert model.text(page) == want
+
+
 @pytest.mark.parametrize("part", ["<div>|</span>", "<p><button>|<b>|<h1></h1>", "<a '", '<a "', "<p>", "<ul>|<li><b>", "<!--", "<", "&", "<a b='", "<div>|x|</div>"])
 def test_a_megabyte_of_broken_markup_takes_seconds(model, part):
     import time

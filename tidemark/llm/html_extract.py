@@ -1,7 +1,7 @@
 """Main text of web pages by a tree-structured graphical model over the DOM.
 
 Every element is a binary variable (content or not). Unary potentials come from its tag, the words of its class, id and
-role, the length of its text and of the part that stands directly in it, its link density, and its paragraphs and headings; pairwise potentials tie it to its parent, by the kind of child. Sum-product
+role, the length of its text and of the part that stands directly in it, its link density, its share of the page's text, and its paragraphs and headings; pairwise potentials tie it to its parent, by the kind of child. Sum-product
 messages pass upward and then downward, which gives each element's exact content marginal. Weights are fitted by
 gradient ascent on the likelihood of labelled pages (:mod:`tidemark.llm.html_pages`), with the same messages. Text whose
 element has a marginal of at least one half is kept.
@@ -10,7 +10,7 @@ Output text: character references decoded, white space runs inside a block one s
 joined by one space. Defined results: null and empty html give empty text, broken markup is repaired the way
 browsers do in the common cases (unclosed elements, stray end tags; elements nested deeper than ``DEPTH`` count as part of
 the one at that depth), repeated rows and extra columns do no harm, an empty table gives no rows. A page without any markup
-is one block of text. Script, style and similar raw content is never text.
+is one block of text. Script, style and similar raw content is never text; what ``noscript``, ``canvas`` and ``select`` hold are elements like others.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ _ATTR = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]
 _NAME = re.compile(r"[a-z]+")
 # fixed values: element classes of the HTML standard
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe textarea title select canvas".split())
+RAW = frozenset("script style template iframe textarea title".split())
 DEPTH = 512
 INLINE = frozenset("math mi mn mo mrow mfrac msqrt msub msup mtext object svg a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
 SECTION = frozenset("article aside body div fieldset figure footer form header html main nav section table tbody td tr th ul ol dl center details".split())
@@ -186,8 +186,8 @@ WORD_GROUPS: dict[str, list[str]] = {}
 for _g, _words in GROUPS.items():
     for _w in _words.split():
         WORD_GROUPS.setdefault(_w, []).append(_g)
-TAGS = "html body div section article main p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table tr td th blockquote pre figure figcaption aside nav header footer form fieldset button label address details summary a b i em strong span small time cite code".split()
-NAMES = ["bias", *[f"tag:{t}" for t in TAGS], "tag:other", *[f"name:{g}" for g in GROUPS], "unnamed", *[f"size:{k}" for k in range(7)], *[f"link:{k}" for k in range(4)], "long&unlinked", "mostly links", *[f"own:{k}" for k in range(5)], *[f"paragraphs:{k}" for k in range(4)], "headed", "bare root"]
+TAGS = "html body div section article main p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table tr td th blockquote pre figure figcaption aside nav header footer form fieldset button label address details summary a b i em strong span small time cite code noscript canvas select option".split()
+NAMES = ["bias", *[f"tag:{t}" for t in TAGS], "tag:other", *[f"name:{g}" for g in GROUPS], "unnamed", *[f"size:{k}" for k in range(7)], *[f"link:{k}" for k in range(4)], "long&unlinked", "mostly links", *[f"own:{k}" for k in range(5)], *[f"paragraphs:{k}" for k in range(4)], "headed", "bare root", "whole page", "most of page", "says it all", "plain article", "plain words"]
 INDEX = {n: i for i, n in enumerate(NAMES)}
 KINDS = 3  # inline, block and sectioning children
 CACHED, CACHED_ATTRS = 20_000, 120  # entries of a partition's cache of features, longest attributes that it keeps
@@ -205,19 +205,26 @@ def _words(attrs: str) -> set[str]:
     return out
 
 
-def active(node: Node, cache: dict) -> tuple[int, ...]:
-    """Indexes of the features that are 1 at a node."""
+def features(nodes: list[Node], cache: dict) -> list[tuple[int, ...]]:
+    return [active(x, cache, nodes[0].size) for x in nodes]
+
+
+def active(node: Node, cache: dict, total: int) -> tuple[int, ...]:
+    """Indexes of the features that are 1 at a node; ``total``: how much text the page has."""
     size = 0 if node.size == 0 else min(6, 1 + int(np.log2(node.size + 1)) // 2)
     own = 0 if node.own == 0 else min(4, 1 + int(np.log2(node.own + 1)) // 3)
     share = node.link / node.size if node.size else 0.0
     link = 0 if share == 0 else 1 if share < 0.25 else 2 if share < 0.6 else 3
-    key = (node.tag, node.attrs, size, link, own, min(3, node.paragraphs), node.heads > 0)
+    part = 2 if node.size and node.size == total else 1 if node.size > 0.6 * total else 0
+    key = (node.tag, node.attrs, size, link, own, min(3, node.paragraphs), node.heads > 0, part)
     got = cache.get(key)
     if got is None:
         groups = _words(node.attrs)
         got = (0, INDEX.get(f"tag:{node.tag}", INDEX["tag:other"]), *(INDEX[f"name:{g}"] for g in sorted(groups)), *(() if groups else (INDEX["unnamed"],)), INDEX[f"size:{size}"], INDEX[f"link:{link}"],
                *((INDEX["long&unlinked"],) if size >= 4 and link == 0 else ()), *((INDEX["mostly links"],) if link == 3 and size else ()),
-               INDEX[f"own:{own}"], INDEX[f"paragraphs:{key[5]}"], *((INDEX["headed"],) if node.heads else ()), *((INDEX["bare root"],) if node.parent < 0 and own else ()))
+               INDEX[f"own:{own}"], INDEX[f"paragraphs:{key[5]}"], *((INDEX["headed"],) if node.heads else ()), *((INDEX["bare root"],) if node.parent < 0 and own else ()),
+               *((INDEX[("", "most of page", "whole page")[part]],) if part and node.parent >= 0 else ()), *((INDEX["says it all"],) if part == 2 and own else ()),
+               *((INDEX["plain words"],) if own >= 3 and link == 0 and not groups else ()), *((INDEX["plain article"],) if node.tag in ("article", "main") and groups <= {"main"} else ()))
         if len(node.attrs) <= CACHED_ATTRS and len(cache) < CACHED:
             cache[key] = got
     return got
@@ -282,7 +289,7 @@ class TreeModel:
         return belief, inside, out
 
     def marginals(self, nodes: list[Node]) -> list[float]:
-        return [b[1] for b in self.messages(nodes, [active(x, self.cache) for x in nodes])[0]]
+        return [b[1] for b in self.messages(nodes, features(nodes, self.cache))[0]]
 
     def text(self, source: str | None) -> str:
         if not source:
@@ -301,7 +308,7 @@ def train(pages: list[tuple[str, callable]], rounds: int = 160, rate: float = 0.
     for source, label in pages:
         nodes, _ = parse(source)
         y = label(nodes)
-        data.append((nodes, [active(x, {}) for x in nodes], y))
+        data.append((nodes, features(nodes, {}), y))
     unary, pair = np.zeros(len(NAMES)), np.zeros((KINDS, 2, 2))
     su, sp = np.full(len(NAMES), 1e-6), np.full((KINDS, 2, 2), 1e-6)
     total = sum(len(n) for n, _, _ in data)

@@ -29,6 +29,16 @@ def _links(r: random.Random, n: int) -> str:
     return "".join(f'<li><a href="/{k}">{_say(r, r.randint(1, 3))[:-1]}</a></li>' for k in range(n))
 
 
+def _linked(r: random.Random) -> str:
+    """A list inside an article whose items are links, or hold one."""
+    way, tag = r.random(), r.choice(("ul", "ul", "ol"))
+    items = []
+    for k in range(r.randint(1, 7)):
+        link = f'<a href="/doc/{k}">{_say(r, r.randint(1, 8))[:-1]}</a>'
+        items.append(f"<li>{link}</li>" if way < 0.6 else f"<li>{link} {_say(r, r.randint(1, 9))}</li>" if way < 0.8 else f"<li><p>{link}</p></li>")
+    return f"<{tag}>{''.join(items)}</{tag}>"
+
+
 def _paragraph(r: random.Random) -> str:
     t = _say(r, r.choice((2, 6, 12, 25, 50, 90)))
     k = r.random()
@@ -45,14 +55,18 @@ def _paragraph(r: random.Random) -> str:
 
 def _content(r: random.Random) -> str:
     parts = [f"<h{r.choice((1, 1, 2))}>{_say(r, r.randint(2, 9))}</h1>"] if r.random() < 0.75 else []
-    if r.random() < 0.12:  # a page of a few words
-        return (parts[0] if parts and r.random() < 0.5 else "") + f"<p>{_say(r, r.randint(1, 5))}</p>"
+    if r.random() < 0.16:  # a page of a few words
+        return (parts[0] if parts and r.random() < 0.5 else "") + f"<p>{_say(r, r.randint(1, 5))}</p>" + (f"<noscript><p>{_say(r, 3)}</p></noscript>" if r.random() < 0.3 else "")
+    if r.random() < 0.09:  # an index: links, with a heading perhaps
+        return (parts[0] if parts and r.random() < 0.7 else "") + (f"<p>{_say(r, 8)}</p>" if r.random() < 0.4 else "") + "".join(_linked(r) for _ in range(r.choice((1, 1, 2))))
     for _ in range(r.choice((1, 1, 2, 3, 4, 5, 6, 7, 8, 9))):
         k = r.random()
         if k < 0.7:
             parts.append(_paragraph(r))
-        elif k < 0.78:
+        elif k < 0.75:
             parts.append(f"<h{r.randint(2, 4)}>{_say(r, 4)}</h2>")
+        elif k < 0.79:
+            parts.append(_linked(r))
         elif k < 0.84:
             parts.append("<ul>" + "".join(f"<li>{_say(r, r.randint(3, 15))}</li>" for _ in range(3)) + "</ul>")
         elif k < 0.88:
@@ -62,7 +76,8 @@ def _content(r: random.Random) -> str:
         elif k < 0.95:
             parts.append(f"<pre>{_say(r, 10)}</pre>")
         else:
-            parts.append(f"<figure><img src='a.png'><figcaption>{_say(r, 6)}</figcaption></figure>")
+            held = r.choice(("figure><img src='a.png'><figcaption|</figcaption></figure", "canvas|</canvas", "noscript><p|</p></noscript"))
+            parts.append(held.split("|")[0].join(("<", ">")) + _say(r, 6) + held.split("|")[1] + ">")
         if r.random() < 0.08:
             parts.append(_aside(r, inner=True))
     return "".join(parts)
@@ -96,9 +111,12 @@ def _aside(r: random.Random, inner: bool = False) -> str:
         f'<div data-y="0" class="{name(("related", "recommended", "popular-posts", "more-stories"))}"><h3>{_say(r, 2)}</h3><p>{text}</p><ul>{_links(r, 3)}</ul></div>',
         f'<div data-y="0" role="{name(("navigation", "banner", "contentinfo", "complementary", "search"))}"><p>{more}</p></div>',
         f'<div data-y="0" style="display:none"><p>{more}</p></div>',
+        f'<form data-y="0" action="/go"><label>{_say(r, 1)}</label><select name="s">' + "".join(f"<option>{_say(r, 2)[:-1]}</option>" for _ in range(4)) + "</select></form>",
+        f'<{(bar := name(("div", "td", "p")))} data-y="0">' + name((" ", " | ")).join(f'<a href="/{k}">{_say(r, r.randint(1, 2))[:-1]}</a>' for k in range(r.randint(2, 6))) + f"</{bar}>",
+        f'<noscript data-y="0">{_say(r, r.choice((3, 8)))}</noscript>',
     ]
     if inner:
-        forms = [f for f in forms if not f.startswith(("<footer", "<header"))]
+        forms = [f for f in forms if not f.startswith(("<footer", "<header", "<td"))]
     return r.choice(forms)
 
 
@@ -110,7 +128,7 @@ def _blocks(r: random.Random) -> list[str]:
         t = _say(r, r.choice((2, 5, 12, 30, 60, 100)))
         if r.random() < 0.15:
             t += f" <a data-y='1' href='/y'>{_say(r, 2)}</a> {_say(r, 5)}"
-        if way < 0.6:
+        if way < 0.48:
             out.append(f'<p data-y="1">{t}</p>')
         elif way < 0.88:
             out.append(f'<div data-y="1">{t}</div>')
@@ -122,6 +140,9 @@ def _blocks(r: random.Random) -> list[str]:
 def _bare(r: random.Random) -> str:
     """A page whose content has no wrapper of its own: blocks in the body, in a nameless div, in a fragment, or text alone."""
     k = r.random()
+    if r.random() < 0.2:  # a few words in a nameless wrapper and nothing else
+        inner = f'<div data-y="1">{_say(r, r.choice((1, 2, 2, 3, 5)))}</div>'
+        return r.choice((inner, f"<html><body data-y='0'>{inner}</body></html>".replace("'", '"'), f"<body>{inner}</body>"))
     blocks = _blocks(r)
     before = "".join(_aside(r) for _ in range(r.choice((0, 0, 1, 2))))
     after = "".join(_aside(r) for _ in range(r.choice((0, 0, 1, 2))))
@@ -138,7 +159,7 @@ def _bare(r: random.Random) -> str:
 
 
 def _page(r: random.Random) -> str:
-    if r.random() < 0.3:
+    if r.random() < 0.36:
         return _bare(r)
     body = _content(r)
     name = r.choice(("content", "post", "entry-content", "article-body", "story", "main-text", "post-body"))
@@ -159,14 +180,16 @@ def _page(r: random.Random) -> str:
         body = f'<section data-y="1">{body}</section>'
     before = "".join(_aside(r) for _ in range(r.randint(0, 4)))
     after = "".join(_aside(r) for _ in range(r.randint(0, 4)))
-    if r.random() < 0.4:
+    if r.random() < 0.2:  # nothing but the article
+        before = after = ""
+    elif r.random() < 0.4:
         before = f'<nav data-y="0"><ul>{_links(r, 5)}</ul></nav>' + before
     if r.random() < 0.3:
         before, after = '<div class="container">' + before, after + "</div>"
     return f'<html lang="en"><head><title>{_say(r, 3)}</title></head><body data-y="0">{before}{body}{after}</body></html>'
 
 
-def labelled_pages(count: int = 320, seed: int = 5):
+def labelled_pages(count: int = 640, seed: int = 5):
     """(html, label function) pairs; the same for a given seed."""
     r = random.Random(seed)
     return [(_page(r), _labels) for _ in range(count)]
