@@ -33,6 +33,7 @@ ROWS = 20_000
 HEADS = (4, 5)  # lengths of word beginnings
 _WORD = re.compile(r"[^\W\d_]+")
 _MASKED = re.compile(r"[^\W\d_]+[\d@$*!#]+[^\W\d_]+")
+_MASKS = re.compile(r"[\d@$*!#]")
 _RUN = re.compile(r"([^\W\d_])\1\1")
 # fixed values: second-person words of the languages in common web text
 SECOND = frozenset("you your yours yourself u ur du dich dir dein deine deiner ihr euch euer sie tu te toi ton ta tes vous votre vos tú ti tuyo usted ustedes vosotros os".split())
@@ -76,7 +77,7 @@ def features(text: str, lex: Lexicon) -> list[float]:
                 hits += w in found
                 near += i - last_you <= NEAR
                 last_hit = i
-    masked = _MASKED.findall(low) if re.search(r"[\d@$*]", low) else []
+    masked = _MASKED.findall(low) if _MASKS.search(low) else []
     unmasked = sum(m.translate(PLAIN) in lex.words for m in masked)
     code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
     upper = int(((code >= 65) & (code <= 90)).sum()) + int(((code >= 0xC0) & (code <= 0xDE)).sum())
