@@ -186,8 +186,8 @@ WORD_GROUPS: dict[str, list[str]] = {}
 for _g, _words in GROUPS.items():
     for _w in _words.split():
         WORD_GROUPS.setdefault(_w, []).append(_g)
-TAGS = "html body div section article main p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table tr td th blockquote pre figure figcaption aside nav header footer form fieldset button label address details summary a b i em strong span small time cite code noscript canvas select option".split()
-NAMES = ["bias", *[f"tag:{t}" for t in TAGS], "tag:other", *[f"name:{g}" for g in GROUPS], "unnamed", *[f"size:{k}" for k in range(7)], *[f"link:{k}" for k in range(4)], "long&unlinked", "mostly links", *[f"own:{k}" for k in range(5)], *[f"paragraphs:{k}" for k in range(4)], "headed", "bare root", "whole page", "most of page", "says it all", "plain article", "plain words"]
+TAGS = "html head body div section article main p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table tr td th blockquote pre figure figcaption aside nav header footer form fieldset button label address details summary a b i em strong span small time cite code noscript canvas select option".split()
+NAMES = ["bias", *[f"tag:{t}" for t in TAGS], "tag:other", "tag:other inline", *[f"name:{g}" for g in GROUPS], "unnamed", *[f"size:{k}" for k in range(7)], *[f"link:{k}" for k in range(4)], "long&unlinked", "mostly links", *[f"own:{k}" for k in range(5)], *[f"paragraphs:{k}" for k in range(4)], "headed", "bare root", "whole page", "most of page", "says it all", "plain article", "plain words"]
 INDEX = {n: i for i, n in enumerate(NAMES)}
 KINDS = 3  # inline, block and sectioning children
 CACHED, CACHED_ATTRS = 20_000, 120  # entries of a partition's cache of features, longest attributes that it keeps
@@ -220,7 +220,7 @@ def active(node: Node, cache: dict, total: int) -> tuple[int, ...]:
     got = cache.get(key)
     if got is None:
         groups = _words(node.attrs)
-        got = (0, INDEX.get(f"tag:{node.tag}", INDEX["tag:other"]), *(INDEX[f"name:{g}"] for g in sorted(groups)), *(() if groups else (INDEX["unnamed"],)), INDEX[f"size:{size}"], INDEX[f"link:{link}"],
+        got = (0, INDEX.get(f"tag:{node.tag}", INDEX["tag:other inline" if node.tag in INLINE else "tag:other"]), *(INDEX[f"name:{g}"] for g in sorted(groups)), *(() if groups else (INDEX["unnamed"],)), INDEX[f"size:{size}"], INDEX[f"link:{link}"],
                *((INDEX["long&unlinked"],) if size >= 4 and link == 0 else ()), *((INDEX["mostly links"],) if link == 3 and size else ()),
                INDEX[f"own:{own}"], INDEX[f"paragraphs:{key[5]}"], *((INDEX["headed"],) if node.heads else ()), *((INDEX["bare root"],) if node.parent < 0 and own else ()),
                *((INDEX[("", "most of page", "whole page")[part]],) if part and node.parent >= 0 else ()), *((INDEX["says it all"],) if part == 2 and own else ()),
