@@ -88,6 +88,7 @@ def test_chunks_end_between_words(spark, monkeypatch):
         assert b"".join(phrases._chunks(blob)) == blob and [w for c in phrases._chunks(blob) for w in c.split()] == blob.split()
     v = phrases._Vocabulary(np.full(1 << 10, -1, np.int64).view(np.uint64))
     monkeypatch.setattr(phrases, "CHUNK", 3)
+    monkeypatch.setattr(phrases, "WORDS", 2)
     codes = v.read("en", blob)
     assert [v.words[c] for c in codes if c] == blob.split()
 

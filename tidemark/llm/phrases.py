@@ -38,6 +38,8 @@ SLICE = 256  # rows whose texts a task holds as Python bytes at a time
 CHUNK = 1 << 20  # bytes of text cut into words at a time
 WORDS = 500_000  # distinct words a task holds before it sends them on
 GRAMS = 1_000_000  # positions a task holds before it sends their sums on
+HELD = 500_000  # grams a task holds before it sums them up, and twice as many as it keeps
+SPLITS = 8  # of the table that one task reads when edges are laid: they repeat from split to split and are summed before they move
 SALTS = 16
 ENDS = b".,;:!?\n\x0b\x0c\r"
 _TABLE = bytes.maketrans(bytes(range(65, 91)) + ENDS + b"\t", bytes(range(97, 123)) + b"\n" * len(ENDS) + b" ")
@@ -131,9 +133,14 @@ class _Codes(dict):
         h = self.digest(word, self.seed)
         v = self.vocabulary
         at = h & v.mask
-        code = v.add(self.lang, word, h) if v.bits[at >> 6] >> (at & 63) & 1 else 0
-        self[word] = code
-        return code
+        if v.bits[at >> 6] >> (at & 63) & 1:
+            self[word] = code = v.add(self.lang, word, h)
+            return code
+        v.rare += 1
+        if v.rare > WORDS:
+            v.forget()
+        self[word] = 0
+        return 0
 
 
 class _Vocabulary:
@@ -143,6 +150,7 @@ class _Vocabulary:
 
     def clear(self) -> None:
         self.codes: dict[str, _Codes] = {}
+        self.rare = 0
         self.langs, self.words, self.hashes = [None], [None], [0]
 
     def add(self, lang: str, word: bytes, h: int) -> int:
@@ -151,8 +159,15 @@ class _Vocabulary:
         self.hashes.append(h)
         return len(self.words) - 1
 
+    def forget(self) -> None:
+        """Drop the words that are not frequent: they need no number."""
+        for codes in self.codes.values():
+            for w in [w for w, c in codes.items() if not c and w != b"\n"]:
+                del codes[w]
+        self.rare = 0
+
     def full(self) -> bool:
-        return sum(map(len, self.codes.values())) > WORDS
+        return len(self.words) > WORDS
 
     def read(self, lang: str, blob: bytes) -> np.ndarray:
         if lang not in self.codes:
@@ -224,17 +239,20 @@ def edges(docs: DataFrame, words: np.ndarray, pairs: np.ndarray, triples: np.nda
         words, pairs, triples = shared.value
         vocabulary, held, n = _Vocabulary(words), [], 0
 
-        def send():
+        def summed():
             keys = [np.concatenate([x[i] for x in held]) for i in range(3)]  # two words each, the last one
+            weight = np.concatenate([x[3] for x in held])
             order = np.lexsort(keys[::-1])
             keys = [k[order] for k in keys]
             at = np.flatnonzero(np.concatenate([[True], np.any([k[1:] != k[:-1] for k in keys], axis=0)]))
-            weight = np.diff(np.concatenate([at, [len(order)]]))
-            a, b, c = (k[at] for k in keys)
+            return *(k[at] for k in keys), np.add.reduceat(weight[order], at)
+
+        def send():
+            a, b, c, weight = summed()
             known = pa.array(vocabulary.words, pa.binary()).cast(pa.string())
             cut = (1 << 32) - 1
             columns = [a >> 32, a & cut, b >> 32, b & cut, c]
-            for lo in range(0, len(at), 50_000):
+            for lo in range(0, len(a), 50_000):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(vocabulary.langs, pa.string()).take(pa.array(columns[0][lo : lo + 50_000]))]
                     + [known.take(pa.array(c[lo : lo + 50_000])) for c in columns] + [pa.array(weight[lo : lo + 50_000])],
@@ -252,9 +270,12 @@ def edges(docs: DataFrame, words: np.ndarray, pairs: np.ndarray, triples: np.nda
             for i in range(2, ORDER):
                 on = on & runs[at + i - 2]
                 gram.append(np.where(on, wide[at + i], 0))
-            held.append((gram[0] << 32 | gram[1], gram[2] << 32 | gram[3], gram[4]))
+            held.append((gram[0] << 32 | gram[1], gram[2] << 32 | gram[3], gram[4], np.ones(len(at), np.int64)))
             n += len(at)
-            if n and (n > GRAMS or vocabulary.full()):
+            if n > HELD:
+                held = [summed()]
+                n = len(held[0][0])
+            if n and (2 * n > HELD and len(held) == 1 or vocabulary.full()):
                 yield from send()
                 held, n = [], 0
             if vocabulary.full():
@@ -263,7 +284,8 @@ def edges(docs: DataFrame, words: np.ndarray, pairs: np.ndarray, triples: np.nda
             yield from send()
 
     schema = ", ".join(f"{c} string" for c in ("lang", *names)) + ", f long"
-    return _read(docs).mapInArrow(run, schema).groupBy("lang", *names).agg(F.sum("f").alias("f"))
+    rows = _read(docs)
+    return rows.coalesce(max(1, rows.rdd.getNumPartitions() // SPLITS)).mapInArrow(run, schema).groupBy("lang", *names).agg(F.sum("f").alias("f"))
 
 
 def phrase_counts(graph: DataFrame, min_count: int) -> DataFrame:
