@@ -33,16 +33,47 @@ def measurement_state(rows: DataFrame, version: str = "m2") -> DataFrame:
     return x.withColumn("signal", F.when(F.col("rising") & (F.col("gate") == "eligible"), "published").otherwise("not_published"))
 
 
-def phrase(state: DataFrame) -> DataFrame:
-    """One sentence per state, for people."""
+#: fixed values: the wording of a measurement state; {} are filled from its columns
+REASONS = {"cohort_z_unavailable": "cohort comparison unavailable", "source_returned_too_few": "source returned too few observations", "axis_not_declared_measurable": "axis was not declared measurable"}
+AXES = {"1": "Development velocity", "2": "Citation"}
+MISSING = {"insufficient_source_coverage": "coverage", "source_not_measured": "unmeasured", "no_data": "missing"}
+GATES = {
+    "awaiting_cohort_floor": "Gate: not computable — cohort below comparison floor", "reference_measurement": "Gate: not computable — reference measurement",
+    "eligible": "Gate: computed weekly across the cohort; no convergence event this week",
+}
+
+
+def _lookup(words: dict[str, str], key: Column) -> Column:
+    return F.try_element_at(F.create_map(*(F.lit(x) for kv in words.items() for x in kv)), key)
+
+
+def phrases(state: DataFrame, period: Column) -> DataFrame:
+    """(entity_id, history, axis1, axis2, axis_coverage, gate_phrase, signal_phrase, compact): a state of :func:`measurement_state` in words."""
+    number = lambda c: F.col(c).cast("int")
+
+    def axis(k: str) -> Column:
+        coverage, detail = F.col(f"coverage{k}"), _lookup(REASONS, F.col(f"reason{k}"))
+        said = F.when(coverage == "measurable", "axis: measured.").when(coverage == "insufficient_source_coverage", F.concat(F.lit("axis: insufficient source coverage"), F.coalesce(F.concat(F.lit(" ("), detail, F.lit(")")), F.lit("")), F.lit(".")))
+        return F.concat(F.lit(AXES[k] + " "), said.when(coverage == "source_not_measured", "source: not measured.").otherwise("axis: no observation data."))
+
+    history = F.when(F.col("history") == "sufficient", F.format_string("History: %d weekly observations; minimum %d.", number("observations"), F.lit(HISTORY_REQUIRED)))
+    history = history.otherwise(F.format_string("History: %d of %d weekly observations.", number("observations"), F.lit(HISTORY_REQUIRED)))
+    axes = F.concat(number("measurable").cast("string"), F.when(F.col("measurable") == 1, " measurable axis").otherwise(" measurable axes"))
+    # the reason is told where exactly one axis is not measurable
+    lone = lambda k: F.coalesce(F.when(F.col(f"coverage{k}") == "insufficient_source_coverage", _lookup(REASONS, F.col(f"reason{k}"))), _lookup(MISSING, F.col(f"coverage{k}")))
+    why = F.when(F.col("measurable") == 1, F.when(F.col("coverage1") != "measurable", lone("1")).otherwise(lone("2")))
+    published = F.col("signal") == "published"
+    rising = F.concat(F.lit("Rising signal published for "), period, F.lit("."))
     gate = (
-        F.when(F.col("gate") == "awaiting_observations", F.format_string("%d of %d weekly observations recorded.", F.col("observations").cast("int"), F.lit(HISTORY_REQUIRED)))
-        .when(F.col("gate") == "awaiting_axis_coverage", F.format_string("%d of 2 axes measurable.", F.col("measurable").cast("int")))
-        .when(F.col("gate") == "reference_measurement", F.lit("Measured as a reference; not evaluated."))
-        .when(F.col("gate") == "awaiting_cohort_floor", F.format_string("Cohort has %d members.", F.col("cohort_n").cast("int")))
-        .otherwise(F.lit("Evaluated every week."))
+        F.when(published, F.concat(F.lit("Convergence gate: evaluated weekly; "), rising))
+        .when(F.col("gate") == "awaiting_observations", F.format_string("Gate: not computable — history %d of %d weekly observations", number("observations"), F.lit(HISTORY_REQUIRED)))
+        .when(F.col("gate") == "awaiting_axis_coverage", F.concat(F.format_string("Gate: not computable — %d of 2 axes measurable", number("measurable")), F.coalesce(F.concat(F.lit(" ("), why, F.lit(")")), F.lit(""))))
+        .otherwise(_lookup(GATES, F.col("gate")))
+    )
+    return state.select(
+        "entity_id", history.alias("history"), axis("1").alias("axis1"), axis("2").alias("axis2"), F.concat(F.lit("Axis coverage: "), axes, F.lit(".")).alias("axis_coverage"),
+        gate.alias("gate_phrase"), F.when(published, rising).otherwise(gate).alias("signal_phrase"), F.when(published, "Rising").otherwise(axes).alias("compact"),
     )
-    return state.select("entity_id", "gate", gate.alias("phrase"))
 
 
 def reject_reason(rows: DataFrame, version: str, cutoff, canonical: DataFrame | None = None) -> DataFrame:
@@ -70,6 +101,16 @@ def freshness(newest: Column, now, every_hours: int, grace_hours: int) -> Column
     return F.when(newest.isNull(), "unknown").when(age <= every_hours, "ok").when(age <= every_hours + grace_hours, "publishing").otherwise("stale")
 
 
+def feed_freshness(reached: Column, status: Column, latest: Column, now: Column, most_days: int = 8) -> Column:
+    """struct<state, alert, age_days>: unknown where the feed was not reached; stale with an alert at another status than 200, without a readable
+    time of the latest entry, or at an age beyond ``most_days``; the age is in whole days, 0 for a time ahead.
+    """
+    age = (F.unix_micros(now) - F.unix_micros(latest)) / 86_400_000_000
+    read = reached & (status == 200)
+    state = F.when(~reached, "unknown").when((status != 200) | latest.isNull() | (age > most_days), "stale").otherwise("ok")
+    return F.struct(state.alias("state"), (state == "stale").alias("alert"), F.when(read & latest.isNotNull(), F.greatest(F.lit(0), F.floor(age))).cast("long").alias("age_days"))
+
+
 def capture_health(rows: DataFrame, keys: list[str], failed: Column, limit: float = 0.20) -> DataFrame:
     got = rows.groupBy(*keys).agg(F.count("*").alias("rows"), F.avg(failed.cast("double")).alias("error_rate"))
     return got.withColumn("degraded", F.col("error_rate") > limit)

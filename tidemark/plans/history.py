@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.stats import r
 from tidemark.operators import asof, events, states
 from tidemark.operators.placement import ranked
 from tidemark.plans.base import ACTIVITY, MONTHS, SCORES, YEARLY, query, scores, scores_sql, scratch, t
+from tidemark.sources import writers
 
 CUT = "2024-01-20T00:00:00Z"
 OBS = "obs AS (SELECT event_id, user_id AS entity_id, ts AS captured_at, strftime(ts, '%G-w%V') AS period, value, event_type FROM events)"
@@ -108,7 +109,8 @@ def st_sql(x: str, n: int) -> str:
 
 
 def state(s, d, last=MONTHS - 1, year=2001, n=6):
-    return states.measurement_state(scores(s, d, last, year).withColumn("observations", F.lit(n)))
+    weeks = n if isinstance(n, Column) else F.lit(n)
+    return states.measurement_state(scores(s, d, last, year).withColumn("observations", weeks))
 
 
 @query("cl_07_measurement_state", SCORES + ", " + st_sql("", 6) + " SELECT entity_id, coverage1, coverage2, history, gate, CASE WHEN rising AND gate = 'eligible' THEN 'published' ELSE 'not_published' END AS signal FROM state")
@@ -116,10 +118,38 @@ def cl_07(s, d):
     return state(s, d).select("entity_id", "coverage1", "coverage2", "history", "gate", "signal")
 
 
-@query("cl_08_phrases", SCORES + ", " + st_sql("", 6) + """ SELECT entity_id, gate, CASE gate WHEN 'awaiting_observations' THEN observations || ' of 4 weekly observations recorded.' WHEN 'awaiting_axis_coverage' THEN ((coverage1 = 'measurable')::INT + (coverage2 = 'measurable')::INT) || ' of 2 axes measurable.'
- WHEN 'reference_measurement' THEN 'Measured as a reference; not evaluated.' WHEN 'awaiting_cohort_floor' THEN 'Cohort has ' || cohort_n || ' members.' ELSE 'Evaluated every week.' END AS phrase FROM state""")
+WEEKS = "(2 + entity_id % 5)"
+PHRASES = f"""SELECT entity_id, CASE WHEN observations >= 4 THEN 'History: ' || observations || ' weekly observations; minimum 4.' ELSE 'History: ' || observations || ' of 4 weekly observations.' END AS history,
+ 'Development velocity ' || CASE coverage1 WHEN 'measurable' THEN 'axis: measured.' WHEN 'insufficient_source_coverage' THEN 'axis: insufficient source coverage (cohort comparison unavailable).' ELSE 'axis: no observation data.' END AS axis1,
+ 'Citation ' || CASE coverage2 WHEN 'measurable' THEN 'axis: measured.' WHEN 'insufficient_source_coverage' THEN 'axis: insufficient source coverage (' || why2 || ').' WHEN 'source_not_measured' THEN 'source: not measured.' ELSE 'axis: no observation data.' END AS axis2,
+ 'Axis coverage: ' || axes || '.' AS axis_coverage, gate_phrase, CASE WHEN published THEN 'Rising signal published for 2001-w48.' ELSE gate_phrase END AS signal_phrase, CASE WHEN published THEN 'Rising' ELSE axes END AS compact
+ FROM (SELECT *, m || CASE WHEN m = 1 THEN ' measurable axis' ELSE ' measurable axes' END AS axes, CASE WHEN published THEN 'Convergence gate: evaluated weekly; Rising signal published for 2001-w48.'
+   WHEN gate = 'awaiting_observations' THEN 'Gate: not computable — history ' || observations || ' of 4 weekly observations'
+   WHEN gate = 'awaiting_axis_coverage' THEN 'Gate: not computable — ' || m || ' of 2 axes measurable' || CASE WHEN m = 1 AND coverage1 <> 'measurable' THEN CASE coverage1 WHEN 'no_data' THEN ' (missing)' ELSE ' (cohort comparison unavailable)' END
+     WHEN m = 1 THEN CASE coverage2 WHEN 'source_not_measured' THEN ' (unmeasured)' WHEN 'no_data' THEN ' (missing)' ELSE ' (' || why2 || ')' END ELSE '' END
+   WHEN gate = 'reference_measurement' THEN 'Gate: not computable — reference measurement' WHEN gate = 'awaiting_cohort_floor' THEN 'Gate: not computable — cohort below comparison floor'
+   ELSE 'Gate: computed weekly across the cohort; no convergence event this week' END AS gate_phrase
+  FROM (SELECT *, (coverage1 = 'measurable')::INT + (coverage2 = 'measurable')::INT AS m, rising AND gate = 'eligible' AS published,
+    CASE WHEN axis2_status = 'insufficient' THEN 'source returned too few observations' ELSE 'cohort comparison unavailable' END AS why2 FROM state))"""
+
+
+@query("cl_08_phrases", SCORES + ", " + st_sql("", WEEKS) + " " + PHRASES)
 def cl_08(s, d):
-    return states.phrase(state(s, d))
+    """Two to six weekly observations by entity."""
+    return states.phrases(state(s, d, n=2 + F.col("entity_id") % 5), F.lit("2001-w48"))
+
+
+@query("cl_18_feed_age", """WITH f AS (SELECT user_id AS feed, user_id % 7 > 0 AS reached, CASE WHEN user_id % 5 = 0 THEN 503 ELSE 200 END AS status, CASE WHEN user_id % 11 > 0 THEN max(ts) - INTERVAL 1 DAY * (user_id % 13) END AS latest FROM events GROUP BY 1),
+ a AS (SELECT *, date_diff('microsecond', latest, TIMESTAMP '2024-01-30 12:00:00') / 86400000000.0 AS age FROM f)
+ SELECT feed, CASE WHEN NOT reached THEN 'unknown' WHEN status <> 200 OR latest IS NULL OR age > 8 THEN 'stale' ELSE 'ok' END AS state, reached AND (status <> 200 OR latest IS NULL OR age > 8) AS alert,
+  CASE WHEN reached AND status = 200 AND latest IS NOT NULL THEN greatest(0, floor(age))::BIGINT END AS age_days FROM a""")
+def cl_18b(s, d):
+    """Feeds of which some are not reached, fail, have no readable time, or are ahead of the clock."""
+    latest = observations(s, d).groupBy(F.col("entity_id").alias("feed")).agg(F.max("captured_at").alias("latest"))
+    k = F.col("feed")
+    at = F.when(k % 11 > 0, F.col("latest").cast("timestamp") - F.make_dt_interval((k % 13).cast("int")))
+    got = states.feed_freshness(k % 7 > 0, F.when(k % 5 == 0, 503).otherwise(200), at, F.to_timestamp(F.lit("2024-01-30 12:00:00")))
+    return latest.select("feed", got.alias("f")).select("feed", "f.*")
 
 
 @query("cl_19_rising_floor", SCORES + " SELECT entity_id, CASE WHEN cohort < 'Brand#2' THEN 1.0 ELSE 1.5 END::DOUBLE AS rising_z FROM scores")
@@ -162,7 +192,17 @@ def cl_09(s, d):
     return events.diff_events(*(stored(x, f"snapshot-{k}") for k, x in enumerate(snaps(s, d))))
 
 
-@query("cl_10_cohort_minutes")
+RANKS = f"CASE event_kind {' '.join(f"WHEN '{k}' THEN {v}" for k, v in events.PRIORITY.items())} ELSE 1000000 END"
+MINUTES = EVENTS + f""", cover AS (SELECT cohort, coalesce(pn, 0) AS pn, coalesce(cn, 0) AS cn, pr, cr FROM (SELECT cohort, count(*) AS pn, avg((coverage1 = 'measurable' AND coverage2 = 'measurable')::INT) AS pr FROM state_p GROUP BY 1)
+  FULL OUTER JOIN (SELECT cohort, count(*) AS cn, avg((coverage1 = 'measurable' AND coverage2 = 'measurable')::INT) AS cr FROM state GROUP BY 1) USING (cohort)),
+ news AS (SELECT cohort, event_kind, entity_id, array_to_string(list_transform(string_split(event_kind, '_'), lambda x: upper(x[1]) || x[2:]), ' ') || ' for ' || entity_id || '.' AS text FROM ev WHERE event_kind IN {events.NEWSWORTHY}
+  UNION ALL SELECT cohort, 'cohort_added', NULL, 'Cohort added with ' || cn || ' members.' FROM cover WHERE pn = 0 AND cn > 0
+  UNION ALL SELECT cohort, 'coverage_changed', NULL, format('Two-axis coverage changed from {{:.1f}}% to {{:.1f}}%.', pr * 100, cr * 100) FROM cover WHERE pn > 0 AND cn > 0 AND abs(cr - pr) > 0.05),
+ minutes AS (SELECT * FROM news UNION ALL SELECT cohort, 'quiet_week', NULL, 'No changes this week.' FROM cover WHERE cn > 0 AND cohort NOT IN (SELECT cohort FROM news))
+ SELECT cohort, event_kind, entity_id, text FROM (SELECT *, row_number() OVER (PARTITION BY cohort ORDER BY {RANKS}, event_kind, entity_id NULLS FIRST) AS rn FROM minutes) WHERE rn <= 50"""
+
+
+@query("cl_10_cohort_minutes", BOTH + ", " + MINUTES)
 def cl_10(s, d):
     a, b = (stored(x, f"snapshot-{k}") for k, x in enumerate(snaps(s, d)))
     return events.minutes(a, b, events.diff_events(a, b))
@@ -195,7 +235,11 @@ def sf_15(s, d):
 @query("sk_06_feed_items", BOTH + ", " + EVENTS + """ SELECT substr(sha256('{"day":"2001-11-30","event_kind":"' || event_kind || '","entity_id":"' || entity_id || '","detail":"' || coalesce(detail, '') || '"}'), 1, 16) AS id,
  CASE WHEN event_kind = 'convergence_published' THEN 'moment_signal' ELSE 'observation' END AS type, event_kind, array_to_string(list_transform(string_split(event_kind, '_'), lambda x: upper(x[1]) || x[2:]), ' ') AS title, '2001-11-30' AS date_published, entity_id::VARCHAR AS entity_ids FROM ev""")
 def sk_06(s, d):
-    return events.feed_items(events.diff_events(*(stored(x, f"snapshot-{k}") for k, x in enumerate(snaps(s, d)))), "2001-11-30").select("id", "type", "event_kind", "title", "date_published", F.concat_ws(",", "entity_ids").alias("entity_ids"))
+    """Written as the feed's JSON lines and read back."""
+    path = scratch(s, "feed")
+    writers.feed_json(events.feed_items(events.diff_events(*(stored(x, f"snapshot-{k}") for k, x in enumerate(snaps(s, d)))), "2001-11-30"), path)
+    got = s.read.schema("id string, type string, event_kind string, title string, date_published string, entity_ids array<string>").json(path)
+    return got.select("id", "type", "event_kind", "title", "date_published", F.concat_ws(",", "entity_ids").alias("entity_ids"))
 
 
 @query("tk_06_top_k_per_group", SCORES + " SELECT cohort, entity_id, momentum FROM (SELECT *, row_number() OVER (PARTITION BY cohort ORDER BY momentum DESC NULLS LAST, entity_id) AS rn FROM scores) WHERE rn <= 3")

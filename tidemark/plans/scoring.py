@@ -61,13 +61,20 @@ def st_12(s, d):
     return got.select("entity_id", F.when(~flat, r("swing", 3)).alias("swing"), "prior_window", "label")
 
 
-@query("st_13_slope_to_noise", f"""WITH {ACTIVITY}, f AS (SELECT entity_id, count(*) AS n, count(*) FILTER (WHERE value > 0) AS nz, coalesce(regr_slope(ln(1 + value), pos), 0) AS b, avg(ln(1 + value)) AS my, avg(pos) AS mx, var_pop(pos) AS vx FROM activity GROUP BY 1),
- e AS (SELECT entity_id, pos, ln(1 + value) - my - b * (pos - mx) AS e FROM activity JOIN f USING (entity_id)),
- l AS (SELECT entity_id, e, lag(e) OVER (PARTITION BY entity_id ORDER BY pos) AS p FROM e), q AS (SELECT entity_id, sum(e * e) AS ss, sum(e * p) AS sp FROM l GROUP BY 1),
- u AS (SELECT *, sqrt(ss / (n - 2)) AS sd, sp / ss AS rho FROM f JOIN q USING (entity_id) WHERE nz >= 26 AND ss > 0)
- SELECT entity_id, round(b / sd, 6) + 0.0 AS ratio, round(b / sd - 1.96 * sqrt(greatest(1, (1 + rho) / (1 - rho))) / sqrt(vx * n), 6) + 0.0 AS low FROM u""")
+def noise_sql(source: str) -> str:
+    """CTEs ending in ``noise``: slope over residual deviation, or why it is withheld."""
+    return f"""f AS (SELECT entity_id, count(*) AS n, count(*) FILTER (WHERE value > 0) AS nz, coalesce(regr_slope(ln(1 + value), pos), 0) AS b, avg(ln(1 + value)) AS my, avg(pos) AS mx, var_pop(pos) AS vx FROM {source} GROUP BY 1),
+ e AS (SELECT entity_id, pos, ln(1 + value) - my - b * (pos - mx) AS e FROM {source} JOIN f USING (entity_id)),
+ l AS (SELECT entity_id, e, lag(e) OVER (PARTITION BY entity_id ORDER BY pos) AS p FROM e), q AS (SELECT entity_id, sum(e * e) AS ss, coalesce(sum(e * p), 0) AS sp FROM l GROUP BY 1),
+ u AS (SELECT *, greatest(1, n - 2) AS dof, sqrt(ss / greatest(1, n - 2)) AS sd, CASE WHEN ss = 0 THEN 0 ELSE sp / ss END AS rho FROM f JOIN q USING (entity_id)),
+ noise AS (SELECT *, CASE WHEN nz < 26 THEN 'too few non-zero places' WHEN sd < 1e-12 THEN 'no residual variance' END AS reason FROM u)"""
+
+
+@query("st_13_slope_to_noise", f"""WITH {ACTIVITY}, {noise_sql("activity")}
+ SELECT entity_id, CASE WHEN reason IS NULL THEN round(b / sd, 6) + 0.0 END AS ratio, CASE WHEN reason IS NULL THEN round(b / sd - 1.96 * sqrt(greatest(1, (1 + rho) / (1 - rho))) / sqrt(vx * n), 6) + 0.0 END AS low,
+  CASE WHEN reason IS NULL THEN round(b / sd + 1.96 * sqrt(greatest(1, (1 + rho) / (1 - rho))) / sqrt(vx * n), 6) + 0.0 END AS high, dof::BIGINT AS dof, reason FROM noise""")
 def st_13(s, d):
-    return se.slope_to_noise(activity(s, d)).where("reason IS NULL").select("entity_id", r("ratio").alias("ratio"), r("low").alias("low"))
+    return se.slope_to_noise(activity(s, d)).select("entity_id", r("ratio").alias("ratio"), r("low").alias("low"), r("high").alias("high"), "dof", "reason")
 
 
 def _side(x: str) -> str:
@@ -90,9 +97,15 @@ def st_14(s, d):
     return se.changepoint(activity(s, d)).select("entity_id", "state", "split", r("delta").alias("delta"))
 
 
-@query("st_15_signal_inventory")
+#: every entity's series ends with the others', and is up to 59 places long
+SHORT = "shorter AS (SELECT * FROM activity WHERE pos > 82 - entity_id % 60)"
+
+
+@query("st_15_signal_inventory", f"""WITH {ACTIVITY}, {SHORT}, {noise_sql("shorter")}, i AS (SELECT entity_id, n >= 14 AND n - 13 >= 2 AS swing, reason IS NULL AS ratio, n >= 8 AS change FROM noise)
+ SELECT entity_id, concat_ws(',', CASE WHEN swing THEN 'swing' END, CASE WHEN ratio THEN 'slope_to_noise' END, CASE WHEN change THEN 'changepoint' END) AS shipped,
+  concat_ws(',', CASE WHEN NOT swing THEN 'swing' END, CASE WHEN NOT ratio THEN 'slope_to_noise' END, CASE WHEN NOT change THEN 'changepoint' END, {', '.join(f"'{k}'" for k in sorted(se.RESERVED))}) AS reserved FROM i""")
 def st_15(s, d):
-    a = activity(s, d)
+    a = activity(s, d).where("pos > 82 - entity_id % 60")
     return se.signal_inventory(se.recency_swing(a), se.slope_to_noise(a), se.changepoint(a)).select("entity_id", F.concat_ws(",", "shipped").alias("shipped"), F.concat_ws(",", "reserved").alias("reserved"))
 
 
