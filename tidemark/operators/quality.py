@@ -73,6 +73,22 @@ def sweep(bands: DataFrame) -> DataFrame:
     return got.withColumn("ok", (F.col("unresolved") == 0) & (F.col("beyond") == 0))
 
 
+def band_coverage(ledger: DataFrame, lo: int, hi: int) -> DataFrame:
+    """:func:`sweep` over the bands of a sweep's ledger, with what else makes the sweep incomplete.
+
+    ``ledger(lo, hi, created, done, index_drift, total, collected, at)`` has a row an attempt. A band (lo, hi, created) is done if any attempt was; its
+    newest done attempt counts. ``ok`` also needs a band that is done, a drift recorded with every one, and bands that begin at ``lo`` and end at ``hi``.
+    """
+    done = F.coalesce("done", F.lit(False))
+    last = F.max_by(F.struct("total", "collected", "index_drift"), F.when(done, F.col("at")))
+    bands = ledger.groupBy("lo", "hi", F.coalesce("created", F.lit("")).alias("created")).agg(F.bool_or(done).alias("done"), last.alias("last"), F.count_if(done & F.col("index_drift").isNull()).alias("undrifted"))
+    rows = bands.select("lo", "hi", "done", "undrifted", F.coalesce("last.total", F.lit(0)).alias("total"), F.coalesce("last.collected", F.lit(0)).alias("collected"))
+    more = rows.agg(F.count("*").alias("bands"), F.count_if("done").alias("complete"), F.coalesce(F.sum("undrifted"), F.lit(0)).alias("without_drift"), F.min("lo").alias("_lo"), F.max("hi").alias("_hi"))
+    ranged = F.coalesce((F.col("_lo") == lo) & (F.col("_hi") == hi), F.lit(False))
+    both = more.join(F.broadcast(sweep(rows)))
+    return both.select("bands", "complete", "without_drift", "unresolved", "shortfall", "surplus", "beyond", ranged.alias("whole_range"), (F.col("ok") & (F.col("complete") > 0) & (F.col("without_drift") == 0) & ranged).alias("ok"))
+
+
 def required_present(required: list[str], present: DataFrame, column: str, optional: tuple[str, ...] = ()) -> DataFrame:
     """Which of a list of names are absent."""
     want = present.sparkSession.createDataFrame([(x, x in optional) for x in required], f"{column} string, optional boolean")

@@ -72,11 +72,20 @@ def sf_20(s, d):
     return pv.json_leaves(t(s, d, "events"), "event_id", "props")
 
 
-@query("sf_21_formatting", SCORES + " SELECT entity_id, CASE WHEN axis1_z IS NULL THEN '–' ELSE CASE WHEN axis1_z < 0 THEN '-' ELSE '+' END || format('{:.2f}', round(abs(axis1_z)::DECIMAL(18, 3), 2)::DOUBLE) END AS z FROM scores")
+@query("sf_21_formatting", SCORES + " SELECT entity_id, CASE WHEN axis1_z IS NULL THEN 'no axis' ELSE CASE WHEN axis1_z < 0 THEN '-' ELSE '+' END || format('{:.2f}', round(abs(axis1_z)::DECIMAL(18, 3), 2)::DOUBLE) END AS z FROM scores")
 def sf_21(s, d):
     return scores(s, d).select("entity_id", sc.signed("axis1_z").alias("z"))
 
 
+@query("sf_21_clamp_round_label", SCORES + """ SELECT entity_id, round_even(greatest(-3.0, least(3.0, axis1_slope * 40)), 3) + 0.0 AS bounded, round_even(ln(1 + greatest(size - 1000, 0)), 2) + 0.0 AS logged,
+ CASE WHEN axis1_slope IS NULL THEN 'n/a' ELSE CASE WHEN round(axis1_slope, 9) < 0 THEN '-' ELSE '+' END || format('{:.3f}', round(abs(axis1_slope)::DECIMAL(18, 9), 3)::DOUBLE) END AS slope, replace(cohort, '#', ', ') AS label FROM scores""")
+def sf_21b(s, d):
+    """A cohort's label has a long dash with spaces around it, which is written as a comma."""
+    x = scores(s, d)
+    label = sc.clean_label(F.replace("cohort", F.lit("#"), F.lit(" \u2014  ")))
+    return x.select("entity_id", F.bround(sc.clamped(F.col("axis1_slope") * 40, -3.0, 3.0), 3).alias("bounded"), F.bround(F.log1p(F.greatest(F.col("size") - 1000, F.lit(0.0))), 2).alias("logged"), sc.signed(F.round("axis1_slope", 9) + 0.0, 3, "n/a").alias("slope"), label.alias("label"))
+
+
 DIGESTED = "sha256(concat_ws(';', {}))"
 
 
@@ -322,10 +331,22 @@ def dq_06b(s, d):
     return s.createDataFrame([(k, idn.verify_root(idn.merkle_leaves(x), root)) for k, x in cases.items()], "recorded string, ok boolean")
 
 
-@query("dq_07_sweep_coverage", "SELECT user_id, n AS collected, abs(n - 40) <= greatest(2.0, 0.2) AS ok FROM (SELECT user_id, count(*) AS n FROM events GROUP BY 1)")
+#: attempts at bands of ten users a kind of event; every seventh band never succeeds, every twentieth attempt lost its drift, a band is short by some of its rows
+BANDS = """led AS (SELECT user_id // 10 * 10 AS lo, user_id // 10 * 10 + 9 AS hi, event_type AS created, event_id AS told, event_id % 3 = 0 AND (user_id // 10) % 7 <> 3 AS done, CASE WHEN event_id % 20 <> 6 THEN event_id % 5 END AS index_drift,
+  600 + user_id // 10 AS total, 600 + user_id // 10 - event_id % 8 + CASE WHEN (user_id // 10) % 4 = 1 THEN 5 ELSE 0 END AS collected FROM events)"""
+
+
+@query("dq_07_sweep_coverage", f"""WITH {BANDS}, b AS (SELECT lo, hi, created, bool_or(done) AS done, arg_max(total, told) FILTER (WHERE done) AS total, arg_max(collected, told) FILTER (WHERE done) AS collected, count(*) FILTER (WHERE done AND index_drift IS NULL) AS undrifted FROM led GROUP BY 1, 2, 3),
+ d AS (SELECT *, coalesce(collected, 0) - coalesce(total, 0) AS drift, greatest(2.0, 0.005 * coalesce(total, 0)) AS allowed FROM b),
+ o AS (SELECT count(*) AS bands, count(*) FILTER (WHERE done) AS complete, sum(undrifted)::BIGINT AS without_drift, count(*) FILTER (WHERE NOT done) AS unresolved, sum(greatest(-drift, 0))::BIGINT AS shortfall, sum(greatest(drift, 0))::BIGINT AS surplus,
+  count(*) FILTER (WHERE abs(drift) > allowed) AS beyond, min(lo) = 0 AND max(hi) = 9999 AS whole_range FROM d) SELECT *, unresolved = 0 AND beyond = 0 AND complete > 0 AND without_drift = 0 AND whole_range AS ok FROM o""")
 def dq_07(s, d):
-    n = t(s, d, "events").groupBy("user_id").agg(F.count("*").alias("collected"))
-    return n.withColumn("ok", F.abs(F.col("collected") - 40) <= F.greatest(F.lit(2.0), F.lit(0.005 * 40)))
+    e, band = t(s, d, "events"), F.floor(F.col("user_id") / 10)
+    ledger = e.select(
+        (band * 10).alias("lo"), (band * 10 + 9).alias("hi"), F.col("event_type").alias("created"), F.col("event_id").alias("at"), ((F.col("event_id") % 3 == 0) & (band % 7 != 3)).alias("done"),
+        F.when(F.col("event_id") % 20 != 6, F.col("event_id") % 5).alias("index_drift"), (600 + band).alias("total"), (600 + band - F.col("event_id") % 8 + F.when(band % 4 == 1, 5).otherwise(0)).alias("collected"),
+    )
+    return ql.band_coverage(ledger, 0, 9999)
 
 
 @query("dq_08_required_present", "SELECT name AS n_name, name IN (SELECT n_name FROM nation) AS present, name IN (SELECT n_name FROM nation) OR name = 'ATLANTIS' AS ok FROM (SELECT unnest(['FRANCE', 'ATLANTIS', 'MORDOR']) AS name)")
