@@ -16,10 +16,12 @@ hop, as a passage seldom begins on the other recording's frame grid. Equal finge
 Candidates come from a join on pairs of neighbouring, different integers: every match shares one, so none is lost, while
 silence and held tones join nothing and chance meetings of single integers are no candidates. Every candidate is aligned.
 
-The given tables hold no sound, so the registered query renders each document: its UTF-8 bytes are the samples.
+The given tables hold no sound, so the registered query renders each document: its UTF-8 bytes are samples of an eighth of the
+rate, each held for ``HELD`` samples.
 
-Defined results: null and empty recordings, and those under one span of frames, have no integers and match nothing; they are
-one class. A class is known by its least doc_id (null where no member has one). A query that matches nothing has one row with
+Defined results: a recording under one span of frames is filled up with silence and has one integer; null and empty
+recordings have none. Both match nothing. Recordings of under ``LEAST_RUN`` integers are a class if their samples are equal, null and empty ones
+one of their own. A class is known by its least doc_id (null where no member has one). A query that matches nothing has one row with
 null partner columns; repeated queries give repeated rows; an empty table gives none; extra columns are ignored.
 """
 
@@ -34,6 +36,8 @@ from tidemark.llm.common import materialize
 RATE, FRAME, HOP, SPAN = 8000, 1024, 256, 16
 VOTES, LEAST_RUN, MAX_ERROR, PHASES = 4, 8, 0.2, 4
 EXPECTED = 0.25  # share of differing bits up to which a position lengthens a run
+HELD = 8
+SALTS = 8
 QUERY = "doc_id % 100 = 0"
 BLOCK = 1024  # frames transformed at a time
 #: (shape, first pitch class, classes, frames): what each filter subtracts from what, within a span of SPAN frames
@@ -59,10 +63,13 @@ _GRAY = np.array([0, 1, 3, 2], np.uint32)
 def chroma(pcm: bytes) -> np.ndarray:
     """(frames, 12) pitch-class energies, each frame scaled to unit length."""
     x = np.frombuffer(pcm, np.uint8).astype(np.float32)
-    n = (len(x) - FRAME) // HOP + 1
-    if n < 1:
+    if not len(x):
         return np.zeros((0, 12), np.float32)
     x = (x - x.mean()) / 128
+    short = FRAME + (SPAN - 1) * HOP - len(x)
+    if short > 0:
+        x = np.concatenate([x, np.zeros(short, np.float32)])
+    n = (len(x) - FRAME) // HOP + 1
     frames = np.lib.stride_tricks.sliding_window_view(x, FRAME)[::HOP]
     parts = []
     for at in range(0, n, BLOCK):
@@ -150,44 +157,56 @@ def best_phase(phases: list[np.ndarray], ref: np.ndarray) -> tuple[int, int, flo
 
 
 def text_recordings(docs: DataFrame) -> DataFrame:
-    """(doc_id, pcm): the media column derived from whole texts."""
+    """(doc_id, pcm): the media column derived from whole texts, at an eighth of the rate (``held`` of the search renders it)."""
     return docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).cast("binary").alias("pcm"))
 
 
+def rendered(pcm: bytes, held: int) -> bytes:
+    return pcm if held == 1 else np.repeat(np.frombuffer(pcm, np.uint8), held).tobytes()
+
+
+def print_hash(prints: np.ndarray, pcm: bytes) -> str:
+    """What a class of recordings shares: its integers, or, where they are too few to match, its samples."""
+    import hashlib
+
+    return hashlib.blake2b(prints.tobytes() if len(prints) >= LEAST_RUN else b"short" + pcm, digest_size=16).hexdigest()
+
+
 def phases_of(pcm: bytes) -> list[np.ndarray]:
     """Fingerprints of a query, shifted by fractions of a hop."""
     return [fingerprint(pcm[k * HOP // PHASES :]) for k in range(PHASES)]
 
 
-def fingerprint_recordings(recordings: DataFrame, pcm_col: str = "pcm", query: str = QUERY) -> DataFrame:
-    """(doc_id, prints array<int>, print_hash, phases array<array<int>>): one pass, no shuffle; phases of queries only (else null)."""
+def fingerprint_recordings(recordings: DataFrame, pcm_col: str = "pcm", query: str = QUERY, held: int = 1) -> DataFrame:
+    """(doc_id, prints array<int>, print_hash, phases array<array<int>>): one pass, no shuffle; phases of queries only (else null).
 
-    def run(batches):
-        import hashlib
+    Every sample is held for ``held`` samples.
+    """
 
+    def run(batches):
         import pyarrow as pa
 
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                pcm, asked = part.column(1).to_pylist(), part.column(2).to_pylist()
+                pcm, asked = [rendered(x, held) for x in part.column(1).to_pylist()], part.column(2).to_pylist()
                 prints = [fingerprint(p) for p in pcm]
                 phases = [[x.view(np.int32).tolist() for x in phases_of(p)] if q else None for p, q in zip(pcm, asked, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([p.view(np.int32) for p in prints], pa.list_(pa.int32())), pa.array([hashlib.blake2b(p.tobytes(), digest_size=16).hexdigest() for p in prints]),
+                    [part.column(0), pa.array([p.view(np.int32) for p in prints], pa.list_(pa.int32())), pa.array([print_hash(p, x) for p, x in zip(prints, pcm, strict=True)]),
                      pa.array(phases, pa.list_(pa.list_(pa.int32())))], ["doc_id", "prints", "print_hash", "phases"])
 
     rows = recordings.select(F.col("doc_id").cast("long"), F.coalesce(F.col(pcm_col), F.lit(b"")).alias("pcm"), F.coalesce(F.expr(query), F.lit(False)).alias("asked"))
     return rows.mapInArrow(run, "doc_id long, prints array<int>, print_hash string, phases array<array<int>>")
 
 
-def align_recordings(recordings: DataFrame, query: str = QUERY) -> DataFrame:
+def align_recordings(recordings: DataFrame, query: str = QUERY, held: int = 1) -> DataFrame:
     """Per query recording and class of recordings that share a passage with it.
 
     Columns: doc_id, n_prints, print_hash, class_id, members (of the query's class), ref_id, ref_members (of the matched
     class), offset, votes, bit_error, run, phase.
     """
-    prints = materialize(fingerprint_recordings(recordings, query=query), "prints")
+    prints = materialize(fingerprint_recordings(recordings, query=query, held=held), "prints")
     classes = materialize(prints.groupBy("print_hash").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("members"), F.first("prints").alias("prints")), "classes")
     asked = prints.where("phases IS NOT NULL")
     queries = materialize(asked.groupBy("print_hash").agg(F.first("phases").alias("phases")), "queries")
@@ -196,7 +215,10 @@ def align_recordings(recordings: DataFrame, query: str = QUERY) -> DataFrame:
     postings = classes.select(F.col("print_hash").alias("ref"), keys(F.col("prints")).alias("step")).select("ref", "step.a", "step.b")
     one = queries.select("print_hash", F.explode("phases").alias("one"))
     mine = one.select("print_hash", keys(F.col("one")).alias("step")).select("print_hash", "step.a", "step.b").distinct()
-    pairs = mine.join(postings, ["a", "b"]).where("print_hash <> ref").select("print_hash", "ref").distinct()
+    # a frequent pair of integers is spread over salts
+    salted = postings.withColumn("salt", F.pmod(F.xxhash64("ref"), F.lit(SALTS)).cast("int"))
+    mine = mine.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    pairs = mine.join(salted, ["a", "b", "salt"]).where("print_hash <> ref").select("print_hash", "ref").distinct()
     both = pairs.join(queries, "print_hash").join(classes.select(F.col("print_hash").alias("ref"), "prints"), "ref").select("print_hash", "ref", "phases", "prints")
 
     def run(batches):
