@@ -30,13 +30,15 @@ def test_stages_and_run(spark):
         assert sum(p["length"] for p in mine) == mine[0]["doc_tokens"]
 
 
-def test_clean_documents_stay_and_toxic_ones_go(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
-    kept = {r["doc_id"] for r in corpus_pipeline.drop_toxic(spark, docs, "/root/testdata/sf0.01").select("doc_id").collect()}
+@pytest.mark.parametrize(("sf", "most"), [("/root/testdata/sf0.01", 0.16), ("/root/testdata/sf0.1", 0.06)])
+def test_clean_documents_stay_and_toxic_ones_go(spark, sf, most):
+    """40 labelled toxic documents to learn from at the smaller size, 360 at the larger."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    kept = {r["doc_id"] for r in corpus_pipeline.drop_toxic(spark, docs, sf).select("doc_id").collect()}
     clean = [d for d, t in labels.items() if not t]
     assert np.mean([d in kept for d in clean]) > 0.99
-    assert np.mean([d in kept for d, t in labels.items() if t]) < 0.25
+    assert np.mean([d in kept for d, t in labels.items() if t]) < most
 
 
 @pytest.mark.parametrize("stage", [s for _, s in corpus_pipeline.STAGES[:-1]])

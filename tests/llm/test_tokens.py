@@ -241,7 +241,34 @@ def test_token_files(spark, library, tmp_path):
         at += len(ids)
     one = token_orc.read_token_orc(spark, path, [20])
     assert [r["doc_id"] for r in one.collect()] == [20]
-    assert "PushedFilters: [In(doc_id, [20])" in one._jdf.queryExecution().toString() or "doc_id" in one._jdf.queryExecution().toString()
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(doc_id), EqualTo(doc_id,20)]" in plan or "PushedFilters: [In(doc_id, [20])]" in plan, plan
     none = str(tmp_path / "none")
     token_orc.write_token_orc(empty(spark), none, default_path())
     assert not token_orc.positions(token_orc.read_token_orc(spark, none)).count()
+
+
+def test_footers_of_token_files(spark, tmp_path):
+    """Integers run-length encoded (version 2), row indexes, Bloom filters on doc_id and on nothing else; ranges that do not overlap."""
+    docs = spark.range(30_000).select(F.col("id").alias("doc_id"), F.lit("a few words of text").alias("text"))
+    path = tmp_path / "orc"
+    token_orc.write_token_orc(docs, str(path), default_path())
+    jvm = spark._jvm
+    conf, orc = spark._jsc.hadoopConfiguration(), jvm.org.apache.orc.OrcFile
+    ranges, columns = [], ["", *[c.split()[0] for c in token_orc.FILE_SCHEMA.split(", ")], "element"]
+    files = sorted(path.glob("*.orc"))
+    assert len(files) > 1
+    for f in files:
+        reader = orc.createReader(jvm.org.apache.hadoop.fs.Path(str(f)), orc.readerOptions(conf))
+        assert reader.getRowIndexStride() == 1000
+        stats = reader.getStatistics()[1]
+        ranges.append((stats.getMinimum(), stats.getMaximum()))
+        rows = reader.rows()
+        for stripe in reader.getStripes():
+            footer = rows.readStripeFooter(stripe)
+            assert all(e.getKind().toString() == "DIRECT_V2" for e in list(footer.getColumnsList())[1:])
+            kinds = {(columns[x.getColumn()], x.getKind().toString()) for x in footer.getStreamsList()}
+            assert {c for c, k in kinds if k == "BLOOM_FILTER_UTF8"} == {"doc_id"}
+            assert {c for c, k in kinds if k == "ROW_INDEX"} == set(columns)
+    ranges.sort()
+    assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:], strict=False)) and sum(b - a + 1 for a, b in ranges) == 30_000
