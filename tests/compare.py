@@ -45,8 +45,11 @@ def table(names, rows):
 
 
 def compare(spark, con, name, query, sql, sf_dir):
-    df = query(spark, sf_dir)
-    got = table(df.columns, df.collect())
+    from tidemark.sources.scratch import scratch_scope
+
+    with scratch_scope(spark):
+        df = query(spark, sf_dir)
+        got = table(df.columns, df.collect())
     if not sql:
         return None, len(got[1])
     cur = con.execute(sql)

@@ -73,3 +73,16 @@ def test_facts_are_pruned_by_listing_literal_and_join(spark, tmp_path):
     for f in Path(path).glob("snapshot=2024-01-09/*.parquet"):
         f.write_bytes(b"broken")
     assert facts.partitions(spark, path)[-1] == "2024-01-09"
+
+
+def test_scratch_tables_go_with_their_scope(spark):
+    from tidemark.sources.scratch import scratch, scratch_scope, stored
+
+    with scratch_scope(spark):
+        t = stored(spark.range(5), "x")
+        inside = Path(t.inputFiles()[0].removeprefix("file:")).parent
+        with scratch_scope(spark):
+            other = Path(stored(spark.range(3), "y").inputFiles()[0].removeprefix("file:")).parent
+        assert t.count() == 5 and inside.exists() and not other.exists()
+        scratch(spark, "never written")
+    assert not inside.exists()

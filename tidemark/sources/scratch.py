@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SCOPES: list[list[str]] = []
+
 
 def scratch(s: SparkSession, name: str) -> str:
     """A new path in the shared checkpoint folder; where that setting is unset, a local temporary one in local mode only."""
@@ -17,7 +21,21 @@ def scratch(s: SparkSession, name: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="tidemark-")
         s.conf.set("spark.checkpoint.dir", base)
-    return f"{base}/tidemark/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex}"
+    for made in _SCOPES[-1:]:
+        made.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes the scratch tables made inside, once what reads them is done: a result that was not collected or written is gone with them."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            discard(spark, path)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
