@@ -52,13 +52,13 @@ ESCAPED = "&amp;lt;x &amp;amp;lt;y a&amp;nbsp;b &amp;#39; &LT;i&GT; &quot;q&#34;
 PAGES = f"pg AS (SELECT page_id, CASE WHEN page_id % 5 = 0 THEN '{ESCAPED}' ELSE html || '{ESCAPED}' END AS html FROM pages)"
 
 
-def surface_sql() -> str:
+def surface_sql(pages: str = PAGES) -> str:
     out = "html"
     for pattern in (r"(?is)<script\b[^>]*>.*?</script>", r"(?is)<style\b[^>]*>.*?</style>", "<[^>]+>"):
         out = f"regexp_replace({out}, '{pattern}', '', 'g')"
     for pattern, plain in sc.REFERENCES:
         out = f"regexp_replace({out}, '(?i){pattern}', '{plain.replace("'", "''")}', 'g')"
-    return f"WITH {PAGES} SELECT page_id, CASE WHEN regexp_matches(html, '(?is)<[a-z!/].*>') THEN trim(regexp_replace({out}, '\\s+', ' ', 'g')) ELSE html END AS surface FROM pg"
+    return f"WITH {pages} SELECT page_id, CASE WHEN regexp_matches(html, '(?is)<[a-z!/].*>') THEN trim(regexp_replace({out}, '\\s+', ' ', 'g')) ELSE html END AS surface FROM pg"
 
 
 @query("sf_19_html_surface", surface_sql())
@@ -473,7 +473,20 @@ def pf_13(s, d):
     return t(s, d, "events").where(F.col("event_type").isin("view", "click")).groupBy("event_type").agg(F.count("*").alias("n"))
 
 
-@query("pf_15_window_terms")
+def _word_at(place: str) -> str:
+    return f"regexp_matches(substr(s, CAST({place} AS BIGINT), 1), '[\\p{{L}}\\p{{N}}_]') AND {place} >= 1"
+
+
+#: every place of a name or term, then names that stand alone with the terms in the 120 characters around them; a window's edges count as gaps
+WINDOWS = f"""WITH surf AS ({surface_sql("pg AS (SELECT page_id, html FROM pages)")}), low AS (SELECT page_id AS doc, lower(surface) AS s, length(surface) AS n FROM surf),
+ pos AS (SELECT doc, s, n, unnest(range(1, n + 1)) AS i FROM low),
+ hit AS (SELECT doc, s, n, i, w, kind, length(w) AS k FROM pos, (VALUES ('erwh', 'name'), ('the', 'name'), ('idiot', 'term'), ('scum', 'term')) AS v(w, kind) WHERE substr(s, i, length(w)) = w),
+ name AS (SELECT doc, w, greatest(1, i - 120) AS lo, least(n + 1, i + k + 120) AS hi FROM hit WHERE kind = 'name' AND NOT ({_word_at("i - 1")}) AND NOT ({_word_at("i + k")}))
+ SELECT name.doc, name.w AS name, t.w AS term FROM name JOIN hit t ON t.doc = name.doc AND t.kind = 'term' AND t.i >= lo AND t.i + t.k <= hi
+ WHERE (t.i = lo OR NOT ({_word_at("t.i - 1")})) AND (t.i + t.k = hi OR NOT ({_word_at("t.i + t.k")}))"""
+
+
+@query("pf_15_window_terms", WINDOWS)
 def pf_15(s, d):
     surf = t(s, d, "pages").select(F.col("page_id").alias("doc"), sc.html_surface("html").alias("surface"))
     return pv.window_terms(surf, ["erwh", "the"], ["idiot", "scum"]).select("doc", "name", F.lower("term").alias("term"))
