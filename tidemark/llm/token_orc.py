@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 MAX_FILES = 20_000  # beyond it files grow instead
+MEMO_BYTES = 96 << 20  # of a task's memo of encoded words: ranges of doc_id mix all sources, so more words recur late
 FILE_SCHEMA = "doc_id long, part int, part_start long, n_tokens long, ids array<int>"
 
 
@@ -50,7 +51,7 @@ def encode_sorted(docs: DataFrame, tokenizer_path: str, end_id: int, rows_per_fi
 
         from tidemark.llm.token_encoder import TokenEncoder
 
-        enc, part, start = TokenEncoder(tokenizer_path), TaskContext.get().partitionId(), 0
+        enc, part, start = TokenEncoder(tokenizer_path, MEMO_BYTES), TaskContext.get().partitionId(), 0
         for batch in batches:
             for first, found, counts in enc.encode(batch.column(1)):
                 n = counts + 1
