@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialize
+from tidemark.llm.common import materialize, maybe_among
 
 RATE, FRAME, HOP, SPAN = 8000, 1024, 256, 16
 VOTES, LEAST_RUN, MAX_ERROR, PHASES = 4, 8, 0.2, 4
@@ -79,30 +79,54 @@ def chroma(pcm: bytes) -> np.ndarray:
     return c / np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-9)
 
 
-def fingerprint(pcm: bytes) -> np.ndarray:
-    """Packed 32-bit integers, one per position of the span."""
-    c = chroma(pcm)
-    n = len(c) - SPAN + 1
-    if n < 1:
-        return np.zeros(0, np.uint32)
-    total = np.zeros((len(c) + 1, 13))
-    total[1:, 1:] = c.cumsum(axis=0, dtype=np.float64).cumsum(axis=1)
+def _filter_weights() -> np.ndarray:
+    """((SPAN + 1) * 13, 2 * filters): what each filter's two sides add up of the integral image's corners in a span.
+
+    Weights are halves and whole numbers, so with whole energies every sum is exact, in whatever order it is made.
+    """
+    out = np.zeros((SPAN + 1, 13, 2, len(FILTERS)))
 
-    def area(t0: int, t1: int, y0: int, y1: int) -> np.ndarray:
-        return total[t1 : t1 + n, y1] - total[t0 : t0 + n, y1] - total[t1 : t1 + n, y0] + total[t0 : t0 + n, y0]
+    def add(k: int, side: int, t0: int, t1: int, y0: int, y1: int, by: float = 1.0) -> None:
+        for t, y, sign in ((t1, y1, by), (t0, y1, -by), (t1, y0, -by), (t0, y0, by)):
+            out[t, y, side, k] += sign
 
-    out = np.zeros(n, np.uint32)
     for k, (shape, y, h, w) in enumerate(FILTERS):
         if shape == 0:  # all of the area against the rest of the span
-            a, b = area(0, w, y, y + h), (area(0, w, 0, 12) - area(0, w, y, y + h)) * h / (12 - h)
+            add(k, 0, 0, w, y, y + h)
+            add(k, 1, 0, w, 0, 12, h / (12 - h))
+            add(k, 1, 0, w, y, y + h, -h / (12 - h))
         elif shape == 1:  # earlier against later
-            a, b = area(0, w // 2, y, y + h), area(w // 2, w, y, y + h)
+            add(k, 0, 0, w // 2, y, y + h)
+            add(k, 1, w // 2, w, y, y + h)
         elif shape == 2:  # low against high classes
-            a, b = area(0, w, y, y + h // 2), area(0, w, y + h // 2, y + h)
+            add(k, 0, 0, w, y, y + h // 2)
+            add(k, 1, 0, w, y + h // 2, y + h)
         else:  # the middle third against its sides
-            a, b = 2 * area(w // 4, 3 * w // 4, y, y + h), area(0, w, y, y + h)
-        value = np.log((1e-6 + a) / (1e-6 + b))
-        out |= _GRAY[np.searchsorted(LEVELS, value)] << np.uint32(2 * k)
+            add(k, 0, w // 4, 3 * w // 4, y, y + h, 2.0)
+            add(k, 1, 0, w, y, y + h)
+    return out.reshape((SPAN + 1) * 13, 2 * len(FILTERS))
+
+
+_WEIGHTS = _filter_weights()
+_SHIFTS = np.uint32(2) * np.arange(len(FILTERS), dtype=np.uint32)
+STEPS = 65536  # energies are whole numbers of so many parts
+
+
+def fingerprint(pcm: bytes) -> np.ndarray:
+    """Packed 32-bit integers, one per position of the span."""
+    c = chroma(pcm)
+    n = len(c) - SPAN + 1
+    if n < 1:
+        return np.zeros(0, np.uint32)
+    total = np.zeros((len(c) + 1, 13))
+    total[1:, 1:] = np.rint(c * STEPS).cumsum(axis=0, dtype=np.float64).cumsum(axis=1)
+    spans = np.lib.stride_tricks.sliding_window_view(total.reshape(-1), (SPAN + 1) * 13)[::13]
+    out = np.empty(n, np.uint32)
+    for at in range(0, n, BLOCK):
+        sums = spans[at : min(n, at + BLOCK)] @ _WEIGHTS + 1e-6 * STEPS
+        value = np.log(sums[:, : len(FILTERS)] / sums[:, len(FILTERS) :])
+        level = sum((value > x).astype(np.intp) for x in LEVELS)
+        out[at : at + len(value)] = np.bitwise_or.reduce(_GRAY[level] << _SHIFTS, axis=1)
     return out
 
 
@@ -215,8 +239,10 @@ def align_recordings(recordings: DataFrame, query: str = QUERY, held: int = 1) -
     postings = classes.select(F.col("print_hash").alias("ref"), keys(F.col("prints")).alias("step")).select("ref", "step.a", "step.b")
     one = queries.select("print_hash", F.explode("phases").alias("one"))
     mine = one.select("print_hash", keys(F.col("one")).alias("step")).select("print_hash", "step.a", "step.b").distinct()
-    # a frequent pair of integers is spread over salts
-    salted = postings.withColumn("salt", F.pmod(F.xxhash64("ref"), F.lit(SALTS)).cast("int"))
+    # only pairs of integers that a query may have move; a frequent pair is spread over salts
+    mine = materialize(mine, "steps")
+    known = maybe_among(postings.withColumn("_key", F.xxhash64("a", "b")), "_key", mine.select(F.xxhash64("a", "b").alias("_key"))).drop("_key")
+    salted = known.withColumn("salt", F.pmod(F.xxhash64("ref"), F.lit(SALTS)).cast("int"))
     mine = mine.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     pairs = mine.join(salted, ["a", "b", "salt"]).where("print_hash <> ref").select("print_hash", "ref").distinct()
     both = pairs.join(queries, "print_hash").join(classes.select(F.col("print_hash").alias("ref"), "prints"), "ref").select("print_hash", "ref", "phases", "prints")
