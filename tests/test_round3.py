@@ -1,8 +1,10 @@
 """What the third review found."""
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tidemark.operators import cohort
+from tidemark.streaming import timers
 
 
 def half_even(z1, z2):
@@ -18,3 +20,50 @@ def test_momentum_ties_are_exact(spark):
     got = cohort.gate(some.withColumns(fixed), cohort.Methodology()).select("a", "b", "momentum").collect()
     assert [(r["a"], r["b"], r["momentum"]) for r in got if r["momentum"] != half_even(r["a"], r["b"]) / 10] == []
     assert {r["momentum"] for r in got if (r["a"], r["b"]) == (-607, -2665)} == {29.6}
+
+
+class Store:
+    """State and timers of one key, in memory."""
+
+    def __init__(self):
+        self.one, self.many, self.timers = None, {}, set()
+
+    getValueState = getMapState = lambda self, *_: self
+    exists = lambda self: self.one is not None
+    get = lambda self: self.one
+    registerTimer = lambda self, t: self.timers.add(t)
+    listTimers = lambda self: iter(self.timers)
+    deleteTimer = lambda self, t: self.timers.discard(t)
+    containsKey = lambda self, k: k in self.many
+    getValue = lambda self, k: self.many[k]
+    iterator = lambda self: iter(self.many.items())
+    removeKey = lambda self, k: self.many.pop(k)
+
+    def update(self, v):
+        self.one = v
+
+    def updateValue(self, k, v):
+        self.many[k] = v
+
+
+class Clock:
+    def __init__(self, day):
+        self.getCurrentWatermarkInMs = lambda: day * timers.DAY
+
+
+def test_observations_of_a_key_are_handled_together():
+    store, p = Store(), timers._Standing(16)
+    p.init(store)
+    day = lambda n: pd.Timestamp("1970-01-01") + pd.Timedelta(days=n)
+
+    def send(rows, now):
+        frame = pd.DataFrame(rows, columns=["target", "supersedes", "captured_at", "status", "value"])
+        return sorted(tuple(r) for out in p.handleInputRows((7,), iter([frame[:3], frame[3:]]), Clock(now)) for r in out.itertuples(index=False))
+
+    assert len(send([(f"o{i}", None, day(i % 4), "active", float(i)) for i in range(100)], 0)) == 100
+    assert len(store.many) == 100 and len(store.timers) == 3
+    assert send([("o1", "o1", day(3), "retracted", None), ("o2", "o2", day(1), "retracted", None)], 2) == [("o1", "retracted", 1.0)]
+    # the last rows of o4, o8, ... are of day 0: they have expired on day 16, whether or not they were removed
+    assert [(r[0], r[1], r[2] == r[2]) for r in send([("o4", "o4", day(16), "retracted", None), ("o3", "o3", day(16), "retracted", None)], 16)] == [("o3", "retracted", True), ("o4", "retracted", False)]
+    list(p.handleExpiredTimer((7,), Clock(18), None))
+    assert len(store.many) == 25 + 2 and store.one == (27,)
