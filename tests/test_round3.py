@@ -1,9 +1,13 @@
 """What the third review found."""
 
+import re
+
 import pandas as pd
 from pyspark.sql import functions as F
 
-from tidemark.operators import cohort
+from tidemark.operators import cohort, manifests
+from tidemark.plans import base as plans_base
+from tidemark.plans import census, scoring
 from tidemark.streaming import timers
 
 
@@ -67,3 +71,26 @@ def test_observations_of_a_key_are_handled_together():
     assert [(r[0], r[1], r[2] == r[2]) for r in send([("o4", "o4", day(16), "retracted", None), ("o3", "o3", day(16), "retracted", None)], 16)] == [("o3", "retracted", True), ("o4", "retracted", False)]
     list(p.handleExpiredTimer((7,), Clock(18), None))
     assert len(store.many) == 25 + 2 and store.one == (27,)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_manifests_are_read_beside_their_rows_and_once(spark):
+    sf = "/root/testdata/sf0.001"
+    assert "Exchange" not in plan(census.classified(spark, sf)) and "ArrowEvalPython" in plan(census.classified(spark, sf))
+    assert plan(census.ag_22(spark, sf)).count("EvalPython") == 1
+    rows = spark.range(700).select("id", F.lit("requirements.txt").alias("file"), F.concat(F.lit("Some_Thing>=1\nb"), F.col("id").cast("string")).alias("text"))
+    got = manifests.parse_manifests(rows.coalesce(1)).collect()  # more than two slices of one batch
+    assert [(r["id"], r["own_name"], r["deps"]) for r in got] == [(i, None, [f"b{i}", "some-thing"]) for i in range(700)]
+
+
+def test_series_are_dealt_once_by_entity(spark, monkeypatch):
+    sf = "/root/testdata/sf0.001"
+    monkeypatch.setattr(plans_base, "TASK_ROWS", 2_000)
+    for df in (scoring.st_12(spark, sf), scoring.st_14(spark, sf), scoring.st_15(spark, sf)):
+        text = plan(df)
+        assert "hashpartitioning(entity_id#" in text and text.count("REPARTITION_BY_NUM") == text.count("Exchange hashpartitioning") and "pos#" not in "".join(re.findall(r"hashpartitioning\(.*?\)", text))
+    base = plan(plans_base.scores(spark, sf))
+    assert "lineitem" not in base  # the series are read once, for the stored rows

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import backtest, resolution
-from tidemark.plans.base import ACTIVITY, MONTHS, activity, month_pos, query, t
+from tidemark.plans.base import ACTIVITY, MONTHS, activity, by_entity, month_pos, query, t
 
 #: two registers: parts, and customers under the same numbers. Digests pair them, external ids and names chain some of the pairs.
 RECORD_SQL = """SELECT 'a' || k AS record_id, 'o' || (k // 12) AS owner, 'n' || (k // 6) AS core, CASE WHEN k % 3 = 0 THEN 'd' || k END AS digest,
@@ -74,6 +74,7 @@ def fisher_sql() -> str:
   FROM sig LEFT JOIN fame USING (entity_id), (SELECT unnest({LAGS}) AS lag), (SELECT unnest({CUTS}) AS cut) WHERE coalesce(reached > cutoff, true) AND cutoff + lag <= {MONTHS - 1} GROUP BY 1, 2, 3)
  SELECT cutoff, lag, cut::DOUBLE AS cut, a, b, c, d, (a + c) / (a + b + c + d) AS base_rate, a / nullif(a + b, 0) AS precision, a * (c + d) / nullif(c * (a + b), 0) AS risk_ratio, a * d / nullif(b * c, 0) AS odds_ratio, least(1.0, {fisher_sql()}) AS p FROM cell""")
 def bt_01(s, d):
-    clock = t(s, d, "lineitem").groupBy(F.col("l_partkey").alias("entity_id"), month_pos("l_shipdate").alias("pos")).agg(F.sum("l_quantity").alias("value"))
+    sold = t(s, d, "lineitem").select(F.col("l_partkey").alias("entity_id"), month_pos("l_shipdate").alias("pos"), "l_quantity")
+    clock = by_entity(s, d, sold).groupBy("entity_id", "pos").agg(F.sum("l_quantity").alias("value"))
     signal = backtest.signals(activity(s, d).select("entity_id", "pos", "value"), CUTOFFS, WIDTH)
     return backtest.lead_tables(signal, backtest.reached(clock, LEVEL), LAGS, CUTS, MONTHS - 1)
