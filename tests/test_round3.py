@@ -5,6 +5,7 @@ import re
 import pandas as pd
 from pyspark.sql import functions as F
 
+from tidemark.operators import census as census_ops
 from tidemark.operators import cohort, manifests
 from tidemark.plans import base as plans_base
 from tidemark.plans import census, scoring
@@ -94,3 +95,20 @@ def test_series_are_dealt_once_by_entity(spark, monkeypatch):
         assert "hashpartitioning(entity_id#" in text and text.count("REPARTITION_BY_NUM") == text.count("Exchange hashpartitioning") and "pos#" not in "".join(re.findall(r"hashpartitioning\(.*?\)", text))
     base = plan(plans_base.scores(spark, sf))
     assert "lineitem" not in base  # the series are read once, for the stored rows
+
+
+def test_title_pairs_count_at_their_first_common_token(spark):
+    e = spark.createDataFrame([(1, "Fast Parser", "org/fast-parser"), (2, "other", "x/other")], "entity_id int, name string, repo string")
+    w = spark.createDataFrame([(k, f"Fast parser: number {k}", 2020, 0) for k in range(40)], "work_id int, title string, year int, cited int")
+    got = census_ops.title_candidates(e, w)
+    assert sorted((r["entity_id"], r["work_id"]) for r in got.collect()) == [(1, k) for k in range(40)]
+    assert not re.search(r"keys=\[(entity_id#\w+, work_id|work_id#\w+, entity_id)", plan(got))
+
+
+def test_entities_of_one_repository_are_linked_once(spark):
+    e = spark.range(50).select(F.col("id").alias("entity_id"), F.when(F.col("id") % 2 == 0, "org/big-thing").otherwise("org/lone").alias("repo"))
+    p = spark.createDataFrame([("b", "bigthing", ["https://h/org/big-thing"], False), ("a", "big_thing", ["https://h/org/big-thing"], None), ("a", "big-thing", ["https://h/else"], False), ("c", "lone", [], True), ("a", "lone", ["https://h/org/lone"], None)], "system string, package string, links array<string>, errored boolean")
+    got = census_ops.first_linked_package(e, p, ["a", "b"])
+    assert {tuple(r)[1:] for r in got.where("entity_id % 2 = 0").collect()} == {("a", "big_thing", "matched")} and got.count() == 50
+    assert {tuple(r)[1:] for r in got.where("entity_id % 2 = 1").collect()} == {("a", "lone", "matched")}
+    assert "Window" not in plan(got)
