@@ -292,3 +292,44 @@ def test_audio_recall_of_planted_passages(noise, held, length):
         wrong.append(audio.matches(*audio.best_phase(phases, audio.fingerprint(audio.rendered(texts[k], held)))[1:5]))
     print(noise, held, np.mean(found), np.mean(plain), np.mean(wrong))
     assert np.mean(found) >= 0.9 and sum(found) >= 0.9 * sum(plain) and np.mean(wrong) <= 0.05
+
+
+def test_audio_links_are_counted_on_one_row_a_query_whatever_the_blocks(spark, monkeypatch):
+    """Near copies: each of twelve queries, four of them equal, matches all the others. Rows are as many as queries, and no link is lost."""
+    r = np.random.default_rng(5)
+    song = tone(r.integers(0, 24, 40).tolist())
+    near = [tone(r.integers(0, 24, 2 + k).tolist()) + song for k in range(9)]
+    rows = [(100 * k, near[min(k, 8)]) for k in range(12)] + [(k + 1, near[k]) for k in range(9)] + [(50, tone(r.integers(0, 24, 40).tolist())), (1200, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, pcm binary")
+    pairs = {}
+    for x in audio.align_recordings(docs).collect():
+        pairs.setdefault(x["doc_id"], []).append(x)
+    for held in (audio.QUERY_INTS, 500):
+        monkeypatch.setattr(audio, "QUERY_INTS", held)
+        got = audio.count_links(docs).collect()
+        assert len(got) == 13 == len(pairs)
+        for x in got:
+            mine = [y for y in pairs[x["doc_id"]] if y["votes"] is not None]
+            assert (x["links"], x["linked"]) == (len(mine), sum(y["ref_members"] for y in mine))
+            if mine:
+                best = min(mine, key=lambda y: (-y["votes"], y["bit_error"], y["ref_id"]))
+                assert all(x[c] == best[c] for c in ("ref_id", "ref_members", "offset", "votes", "bit_error", "run", "phase"))
+            else:
+                assert x["doc_id"] == 1200 and x["links_hash"] == 0 and x["ref_id"] is None
+        assert sum(x["links"] for x in got if x["doc_id"] < 1200) == sum(y["votes"] is not None for x in pairs.values() for y in x) >= 12 * 8
+        assert len({x["links_hash"] for x in got if x["doc_id"] in (800, 900, 1000, 1100)}) == 1
+
+
+def test_audio_search_moves_a_class_once_a_block(spark, monkeypatch):
+    """What is dealt follows recordings and blocks, not the pairs that match: ten times the near copies, ten times the rows."""
+    def dealt(n):
+        docs = spark.createDataFrame([(100 * k, [[k, 1, 2, 3, 4, 5, 6, 7, 8]] * 4, [k, 1, 2, 3, 4, 5, 6, 7, 8]) for k in range(n)], "id long, phases array<array<int>>, prints array<int>")
+        classes = docs.selectExpr("string(id) AS print_hash", "id AS class_id", "1L AS members", "prints", "9L AS n")
+        return audio._dealt(classes, docs.selectExpr("string(id) AS print_hash", "phases", "36L AS n"))
+
+    monkeypatch.setattr(audio, "QUERY_INTS", 400)
+    few, many = dealt(10), dealt(100)
+    assert few.count() == 10 * 4 + 10 * 1  # a query goes to four slices, a class to one block
+    assert many.count() == 100 * 4 + 100 * 9  # to nine blocks
+    cells = many.groupBy("cell").agg({"side": "min"}).collect()
+    assert len(cells) == 36 and all(x["min(side)"] == 0 for x in cells)

@@ -13,8 +13,12 @@ recordings is found.
 
 The search compares the recordings of a query set with all recordings. A query is fingerprinted at ``PHASES`` shifts within a
 hop, as a passage seldom begins on the other recording's frame grid. Equal fingerprints form a class and are searched once.
-Candidates come from a join on pairs of neighbouring, different integers: every match shares one, so none is lost, while
-silence and held tones join nothing and chance meetings of single integers are no candidates. Every candidate is aligned.
+Candidates share a pair of neighbouring, different integers in one phase: every match does, so none is lost, while silence and
+held tones join nothing and chance meetings of single integers are no candidates. Every candidate is aligned.
+
+Links are as many as queries times their near copies, so nothing moves for a pair: queries are dealt to blocks of ``QUERY_INTS``
+integers and all classes to slices, and a task holds one block and reads one slice past it. A class moves once a block, a query
+once a slice, whatever they match.
 
 The given tables hold no sound, so the registered query renders each document: its UTF-8 bytes are samples of an eighth of the
 rate, each held for ``HELD`` samples.
@@ -31,13 +35,13 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialize, maybe_among
+from tidemark.llm.common import materialize
 
 RATE, FRAME, HOP, SPAN = 8000, 1024, 256, 16
 VOTES, LEAST_RUN, MAX_ERROR, PHASES = 4, 8, 0.2, 4
 EXPECTED = 0.25  # share of differing bits up to which a position lengthens a run
 HELD = 8
-SALTS = 8
+QUERY_INTS, SLICE_INTS = 12_000_000, 500_000  # integers of queries that a task holds; fewer of a slice are not worth a task
 QUERY = "doc_id % 100 = 0"
 BLOCK = 1024  # frames transformed at a time
 #: (shape, first pitch class, classes, frames): what each filter subtracts from what, within a span of SPAN frames
@@ -174,9 +178,9 @@ def matches(votes: int, error: float, run: int, steps: int) -> bool:
     return votes >= VOTES and run >= LEAST_RUN and error <= MAX_ERROR and steps > 0
 
 
-def best_phase(phases: list[np.ndarray], ref: np.ndarray) -> tuple[int, int, float, int, int, int]:
-    """The alignment of most votes over a query's phases: (offset, votes, bit error, run, steps, phase)."""
-    found = [(*align(p, ref), k) for k, p in enumerate(phases)]
+def best_phase(phases: list[np.ndarray], ref: np.ndarray, among: list[int] | None = None) -> tuple[int, int, float, int, int, int]:
+    """The alignment of most votes over a query's phases, or those ``among`` them: (offset, votes, bit error, run, steps, phase)."""
+    found = [(*align(phases[k], ref), k) for k in (range(len(phases)) if among is None else among)]
     return max(found, key=lambda x: (matches(*x[1:5]), x[1], -x[2], -x[5]), default=(0, 0, 1.0, 0, 0, 0))
 
 
@@ -224,45 +228,153 @@ def fingerprint_recordings(recordings: DataFrame, pcm_col: str = "pcm", query: s
     return rows.mapInArrow(run, "doc_id long, prints array<int>, print_hash string, phases array<array<int>>")
 
 
+def steps_of(flat: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(pair of neighbouring, different integers as one number, its owner), of integers laid end to end."""
+    use = np.flatnonzero((owner[1:] == owner[:-1]) & (flat[1:] != flat[:-1]))
+    return (flat[use].astype(np.uint64) << np.uint64(32)) | flat[use + 1], owner[use]
+
+
+class QueryBlock:
+    """Queries held by a task, and the phases that have each pair of neighbouring integers."""
+
+    def __init__(self, names: list[str], flat: list[np.ndarray], lengths: list[np.ndarray]):
+        self.names, ints = names, np.concatenate(flat) if flat else np.zeros(0, np.uint32)
+        each = np.concatenate(lengths) if lengths else np.zeros(0, np.int64)
+        self.phases = np.split(ints, np.cumsum(each)[:-1])
+        self.query = np.repeat(np.arange(len(names), dtype=np.int32), [len(x) for x in lengths])
+        self.first = np.searchsorted(self.query, np.arange(len(names) + 1))
+        steps, owner = steps_of(ints, np.repeat(np.arange(len(each), dtype=np.int32), each))
+        order = np.argsort(steps, kind="stable")
+        self.steps, self.owner = steps[order], owner[order]
+        self.seen = np.zeros(len(each), bool)
+
+    def candidates(self, flat: np.ndarray, owner: np.ndarray):
+        """(owner, its queries' phases that share a step with it) of each recording that has any."""
+        steps, of = steps_of(flat, owner)
+        order = np.argsort(steps, kind="stable")
+        steps, of = steps[order], of[order]
+        low = np.searchsorted(self.steps, steps)
+        hit = np.flatnonzero(low < len(self.steps))
+        hit = hit[self.steps[low[hit]] == steps[hit]]
+        hit = hit[np.argsort(of[hit], kind="stable")]
+        low, high, of = low[hit], np.searchsorted(self.steps, steps[hit], "right"), of[hit]
+        edges = np.flatnonzero(np.diff(of, prepend=-1, append=-1)) if len(of) else of
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            for x, y in zip(low[a:b].tolist(), high[a:b].tolist(), strict=True):
+                self.seen[self.owner[x:y]] = True
+            found = np.flatnonzero(self.seen)
+            self.seen[found] = False
+            yield int(of[a]), found
+
+    def matches(self, name: str, ref: np.ndarray, found: np.ndarray):
+        """(query, offset, votes, bit error, run, phase) of each query that matches a recording, of the phases found for it.
+
+        A phase that shares no step does not match, so the best of those found is the best of all where any matches.
+        """
+        queries = self.query[found]
+        for part in np.split(found, np.flatnonzero(np.diff(queries)) + 1):
+            q = int(self.query[part[0]])
+            if self.names[q] != name:
+                at = int(self.first[q])
+                best = best_phase(self.phases[at : int(self.first[q + 1])], ref, (part - at).tolist())
+                if matches(*best[1:5]):
+                    yield (self.names[q], *best[:4], best[5])
+
+
+def _dealt(classes: DataFrame, queries: DataFrame) -> DataFrame:
+    """Queries and the recordings they are compared with, a block and a slice to a partition, queries first."""
+    asked = queries.agg(F.sum("n")).first()[0] or 1
+    others = classes.where(F.col("n") >= LEAST_RUN)  # fewer cannot match
+    held = others.agg(F.sum("n")).first()[0] or 1
+    blocks = -(-asked // QUERY_INTS)
+    slices = max(4, min(-(-held // SLICE_INTS), -(-blocks * held // (2 * asked))))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    dealt = lambda n: F.pmod(F.xxhash64("print_hash"), F.lit(n)).cast("int")
+    mine = queries.withColumn("slice", every(slices)).select(
+        (dealt(blocks) * slices + F.col("slice")).alias("cell"), F.lit(0).alias("side"), "print_hash", F.flatten("phases").alias("ints"),
+        F.transform("phases", F.size).alias("lengths"), F.lit(None).cast("long").alias("ref_id"), F.lit(None).cast("long").alias("ref_members"))
+    theirs = others.withColumn("block", every(blocks)).select(
+        (F.col("block") * slices + dealt(slices)).alias("cell"), F.lit(1).alias("side"), "print_hash", F.col("prints").alias("ints"),
+        F.lit(None).cast("array<int>").alias("lengths"), F.col("class_id").alias("ref_id"), F.col("members").alias("ref_members"))
+    return mine.unionByName(theirs).repartitionById(blocks * slices, F.col("cell")).sortWithinPartitions("cell", "side")
+
+
+def _compare(batches):
+    """Links of the recordings of a partition to the queries that come before them in their cell."""
+    import pyarrow as pa
+
+    names = ["print_hash", "ref_id", "ref_members", "offset", "votes", "bit_error", "run", "phase"]
+    types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
+    as_batch = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 8, types, strict=True)], names)
+    ints = lambda part: part.column(3).flatten().to_numpy().view(np.uint32)
+    cell, waiting, block, rows = None, ([], [], []), None, []
+    for batch in batches:
+        where = np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()])
+        edges = [0, *(np.flatnonzero(np.diff(where).any(axis=0)) + 1).tolist(), batch.num_rows]
+        for start, stop in zip(edges[:-1], edges[1:], strict=True):
+            if start == stop:
+                continue
+            part, (at, side) = batch.slice(start, stop - start), where[:, start].tolist()
+            if at != cell:
+                cell, waiting, block = at, ([], [], []), None
+            if side == 0:
+                waiting[0].extend(part.column(2).to_pylist())
+                waiting[1].append(ints(part).copy())
+                waiting[2].extend(np.array(x, np.int64) for x in part.column(4).to_pylist())
+                continue
+            if block is None:
+                block, waiting = QueryBlock(*waiting), ([], [], [])
+            flat, length = ints(part), part.column(3).value_lengths().to_numpy()
+            end = np.cumsum(length)
+            for k, found in block.candidates(flat, np.repeat(np.arange(len(length)), length)):
+                ref_id, members = part.column(5)[k].as_py(), part.column(6)[k].as_py()
+                for q, *best in block.matches(part.column(2)[k].as_py(), flat[end[k] - length[k] : end[k]], found):
+                    rows.append((q, ref_id, members, *best))
+                if len(rows) >= 10_000:
+                    yield as_batch(rows)
+                    rows = []
+    yield as_batch(rows)
+
+
+def _search(recordings: DataFrame, query: str, held: int) -> tuple[DataFrame, DataFrame]:
+    """(own, links): a row per query recording with its class; a row per class of queries and class of recordings that match."""
+    prints = materialize(fingerprint_recordings(recordings, query=query, held=held), "prints")
+    classes = prints.groupBy("print_hash").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("members"), F.first("prints").alias("prints"))
+    classes = materialize(classes.withColumn("n", F.size("prints").cast("long")), "classes")
+    asked = prints.where("phases IS NOT NULL")
+    queries = asked.groupBy("print_hash").agg(F.first("phases").alias("phases"))
+    queries = materialize(queries.withColumn("n", F.aggregate("phases", F.lit(0).cast("long"), lambda n, x: n + F.size(x))), "queries")
+    links = "print_hash string, ref_id long, ref_members long, offset long, votes long, bit_error double, run long, phase long"
+    aligned = materialize(_dealt(classes, queries).mapInArrow(_compare, links), "aligned")
+    own = asked.select("doc_id", F.size("prints").cast("long").alias("n_prints"), "print_hash")
+    return own.join(classes.select("print_hash", "class_id", "members"), "print_hash"), aligned
+
+
 def align_recordings(recordings: DataFrame, query: str = QUERY, held: int = 1) -> DataFrame:
     """Per query recording and class of recordings that share a passage with it.
 
     Columns: doc_id, n_prints, print_hash, class_id, members (of the query's class), ref_id, ref_members (of the matched
     class), offset, votes, bit_error, run, phase.
     """
-    prints = materialize(fingerprint_recordings(recordings, query=query, held=held), "prints")
-    classes = materialize(prints.groupBy("print_hash").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("members"), F.first("prints").alias("prints")), "classes")
-    asked = prints.where("phases IS NOT NULL")
-    queries = materialize(asked.groupBy("print_hash").agg(F.first("phases").alias("phases")), "queries")
-    steps = lambda c: F.filter(F.transform(F.sequence(F.lit(1), F.size(c) - 1), lambda i: F.struct(F.get(c, i - 1).alias("a"), F.get(c, i).alias("b"))), lambda x: x["a"] != x["b"])
-    keys = lambda c: F.explode(F.array_distinct(F.when(F.size(c) > 1, steps(c))))
-    postings = classes.select(F.col("print_hash").alias("ref"), keys(F.col("prints")).alias("step")).select("ref", "step.a", "step.b")
-    one = queries.select("print_hash", F.explode("phases").alias("one"))
-    mine = one.select("print_hash", keys(F.col("one")).alias("step")).select("print_hash", "step.a", "step.b").distinct()
-    # only pairs of integers that a query may have move; a frequent pair is spread over salts
-    mine = materialize(mine, "steps")
-    known = maybe_among(postings.withColumn("_key", F.xxhash64("a", "b")), "_key", mine.select(F.xxhash64("a", "b").alias("_key"))).drop("_key")
-    salted = known.withColumn("salt", F.pmod(F.xxhash64("ref"), F.lit(SALTS)).cast("int"))
-    mine = mine.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    pairs = mine.join(salted, ["a", "b", "salt"]).where("print_hash <> ref").select("print_hash", "ref").distinct()
-    both = pairs.join(queries, "print_hash").join(classes.select(F.col("print_hash").alias("ref"), "prints"), "ref").select("print_hash", "ref", "phases", "prints")
+    own, aligned = _search(recordings, query, held)
+    return own.join(aligned, "print_hash", "left").select(
+        "doc_id", "n_prints", "print_hash", "class_id", "members", "ref_id", "ref_members", "offset", "votes", "bit_error", "run", "phase"
+    )
 
-    def run(batches):
-        import pyarrow as pa
 
-        for batch in batches:
-            rows = []
-            for q, ref, phases, other in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
-                found = best_phase([np.array(p, np.int32).view(np.uint32) for p in phases], np.array(other, np.int32).view(np.uint32))
-                if matches(*found[1:5]):
-                    rows.append((q, ref, *found[:4], found[5]))
-            cols = list(zip(*rows, strict=True)) or [[]] * 7
-            types = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["print_hash", "ref", "offset", "votes", "bit_error", "run", "phase"])
-
-    aligned = materialize(both.mapInArrow(run, "print_hash string, ref string, offset long, votes long, bit_error double, run long, phase long"), "aligned")
-    named = aligned.join(classes.select(F.col("print_hash").alias("ref"), F.col("class_id").alias("ref_id"), F.col("members").alias("ref_members")), "ref").drop("ref")
-    own = asked.select("doc_id", F.size("prints").cast("long").alias("n_prints"), "print_hash")
-    return own.join(classes.select("print_hash", "class_id", "members"), "print_hash").join(named, "print_hash", "left").select(
-        "doc_id", "n_prints", "print_hash", "class_id", "members", "ref_id", "ref_members", "offset", "votes", "bit_error", "run", "phase"
+def count_links(recordings: DataFrame, query: str = QUERY, held: int = 1) -> DataFrame:
+    """The same search with one row per query recording: every link is found, verified and counted, none is listed.
+
+    Columns: doc_id, n_prints, print_hash, class_id, members; links (classes that match), linked (recordings in them), links_hash
+    (their ref_id, offset, votes, run and phase hashed and combined by exclusive or; 0 without any), and the link of most votes, then
+    least error, then least ref_id, with the columns of ``align_recordings``.
+    """
+    own, aligned = _search(recordings, query, held)
+    best = F.min(F.struct((-F.col("votes")).alias("less"), "bit_error", "ref_id", "ref_members", "offset", "votes", "run", "phase"))
+    digest = F.bit_xor(F.xxhash64("ref_id", "offset", "votes", "run", "phase"))
+    links = aligned.groupBy("print_hash").agg(F.count("*").alias("links"), F.sum("ref_members").alias("linked"), digest.alias("links_hash"), best.alias("best"))
+    none = lambda c: F.coalesce(c, F.lit(0).cast("long"))
+    return own.join(links, "print_hash", "left").select(
+        "doc_id", "n_prints", "print_hash", "class_id", "members", none(F.col("links")).alias("links"), none(F.col("linked")).alias("linked"), none(F.col("links_hash")).alias("links_hash"),
+        *(F.col(f"best.{c}").alias(c) for c in ("ref_id", "ref_members", "offset", "votes", "bit_error", "run", "phase")),
     )
