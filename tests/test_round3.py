@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import census as census_ops
 from tidemark.operators import cohort, manifests
 from tidemark.plans import base as plans_base
-from tidemark.plans import census, scoring
+from tidemark.plans import census, dependents, scoring
 from tidemark.streaming import timers
 
 
@@ -97,6 +97,21 @@ def test_series_are_dealt_once_by_entity(spark, monkeypatch):
     assert "lineitem" not in base  # the series are read once, for the stored rows
 
 
+def test_facts_are_dealt_by_order_and_counted_where_packages_are(spark, monkeypatch):
+    """A task of ``ag_11`` holds a fixed number of rows, and its groups are not dealt once more."""
+    sf = "/root/testdata/sf0.001"
+    monkeypatch.setattr(plans_base, "TASK_ROWS", 500)
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet").count()
+    tasks = -(-lines // 500)
+    text = plan(dependents.ag_11(spark, sf))
+    assert set(re.findall(r"Exchange hashpartitioning\((\w+)#\w+, (\d+)\), (\w+)", text)) >= {("l_orderkey", str(tasks), "REPARTITION_BY_NUM"), ("package", str(tasks), "REPARTITION_BY_NUM")}
+    assert "hashpartitioning(entity" not in text and text.count("Exchange hashpartitioning") == text.count("REPARTITION_BY_NUM")
+    assert "hashpartitioning(l_orderkey" in plan(dependents.facts(spark, sf))
+    got = {tuple(r)[:4]: r["n"] for r in dependents.ag_11(spark, sf).collect()}
+    monkeypatch.setattr(plans_base, "TASK_ROWS", 250_000)
+    assert got == {tuple(r)[:4]: r["n"] for r in dependents.ag_11(spark, sf).collect()} and 0 < sum(got.values()) <= lines
+
+
 def test_title_pairs_count_at_their_first_common_token(spark):
     e = spark.createDataFrame([(1, "Fast Parser", "org/fast-parser"), (2, "other", "x/other")], "entity_id int, name string, repo string")
     w = spark.createDataFrame([(k, f"Fast parser: number {k}", 2020, 0) for k in range(40)], "work_id int, title string, year int, cited int")
