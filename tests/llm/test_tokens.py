@@ -62,6 +62,35 @@ def test_encoder_on_any_text(texts, chunk):
     assert got == [i for t in texts for i in lib.encode(t, add_special_tokens=False).ids]
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.sampled_from(" \n\n'sé1_^`~") | st.sampled_from("abÉñ.,!*&$#%'\"-"), max_size=40), max_size=4), st.sampled_from([4, 30, 1 << 20]))
+def test_encoder_on_lines_and_marks(texts, chunk):
+    test_encoder_on_any_text.hypothesis.inner_test(texts, chunk)
+
+
+def test_line_breaks_and_marks_are_cut_once(library, monkeypatch):
+    """Op8: a word, line break, word or a word with any ASCII marks is not searched for pre-tokens by itself."""
+    import pyarrow as pa
+
+    enc, searched = TokenEncoder(default_path()), []
+    findall = enc.model.findall
+    monkeypatch.setattr(enc.model, "findall", lambda text: searched.append(text) or findall(text))
+    words = [a + b for a in "abcdefghij" for b in "klmnopqrst"]
+    texts = [" ".join(f"{x}.\n{y.title()}{mark} {y}{mark}" for x, y in zip(words, words[k:] + words[:k], strict=True)) for k, mark in enumerate(["***", "&&&", ".%", "'"])]
+    (_, ids, counts), = enc.encode(pa.array(texts))
+    assert ids.tolist() == [i for t in texts for i in library(t)] and counts.tolist() == [len(library(t)) for t in texts]
+    assert len(searched) <= len(texts), searched[:9]  # the first words alone
+
+
+def test_memo_of_many_words_is_bounded_in_bytes(library):
+    enc = TokenEncoder(default_path(), 40_000)
+    letters = "abcdefghijklmnopqrst"
+    for k in letters:
+        text = " ".join(k + a + b + "y" * (len(letters) * letters.index(a) // 4) for a in letters for b in letters)
+        assert enc.encode_text(text) == library(text)
+        assert enc.pieces.size <= 20_000 and max(map(len, enc.pieces), default=0) <= 64
+
+
 def test_memo_is_bounded_in_bytes():
     enc = TokenEncoder(default_path(), 100_000)
     for k in range(40):
